@@ -204,7 +204,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[in
     """Those pairs (a, b) whose full shingle sets reach the threshold."""
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    # merge joins at every size: texts are dealt by id, never sent to all tasks
+    both = pairs.select("a", "b").join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_confirm(size, *threshold), "a long, b long, ok boolean").filter("ok").select("a", "b")
 
 
@@ -242,7 +243,7 @@ def near_duplicates(
     chosen = chosen.select("a", F.explode(F.array_distinct(F.array("low", "best", "some"))).alias("b"))
     chosen = chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     needed = both.select(F.col("a").alias("doc_id")).distinct()
-    texts = materialize(docs.join(needed, "doc_id", "left_semi"), "texts")
+    texts = materialize(docs.join(needed.hint("merge"), "doc_id", "left_semi"), "texts")
 
     chosen = materialize(chosen, "chosen")
     links = materialize(confirmed(chosen, texts, shingle_size, threshold), "links")

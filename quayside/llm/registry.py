@@ -67,9 +67,9 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
-win AS (SELECT doc_id, at, md5(array_to_string(w[at:at + 49], ' ')) AS h FROM d, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS at) p WHERE len(w) >= 50),
+win AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 49], ' ')) AS h FROM d, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS pos) p WHERE len(w) >= 50),
 low AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
-gone AS (SELECT doc_id, list(DISTINCT at + o) AS places FROM win JOIN low USING (h), LATERAL (SELECT unnest(range(0, 50)) AS o) q WHERE low < doc_id GROUP BY doc_id)
+gone AS (SELECT doc_id, list(DISTINCT pos + o) AS places FROM win JOIN low USING (h), LATERAL (SELECT unnest(range(0, 50)) AS o) q WHERE low < doc_id GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
   sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE coalesce((
     SELECT string_agg(w[i], ' ' ORDER BY i) FROM (SELECT unnest(range(1, len(w) + 1)) AS i) x WHERE NOT list_contains(places, i)), '') END) AS kept_sha256

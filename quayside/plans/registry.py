@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quayside.plans import cdc_queries, report_queries, table_queries
+from quayside.plans import cdc_queries, report_queries, stream_queries, table_queries
 
-PARTS = (cdc_queries, table_queries, report_queries)
+PARTS = (cdc_queries, table_queries, report_queries, stream_queries)
 
 
 def queries() -> dict:

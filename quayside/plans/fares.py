@@ -59,6 +59,17 @@ SELECT txn_id AS dw_transaction_id, CASE WHEN txn_id % 2 = 0 THEN txn_id END AS
     "media_types": "SELECT DISTINCT p_partkey % 3 AS media_type_key, CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END AS payg_flag FROM part",
     "patron_order": "SELECT o_orderkey AS dw_patron_order_id, o_orderkey AS order_nbr, year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS order_day_key, o_orderdate AS order_dtm, o_custkey AS patron_account_id, o_custkey % 5 AS sales_channel_key, CASE WHEN o_orderstatus = 'F' THEN 'Transfer' ELSE 'Sale' END AS order_type_enum FROM orders",
     "order_lines": "SELECT order_id AS dw_patron_order_id, txn_id AS dw_patron_order_line_item_id, account_id AS subsystem_account_ref, supp_id AS xfer_to_subsystem_account_ref FROM fare_base",
+    "order_items": """
+SELECT txn_id AS line_item_id, order_id, line_no AS line_sequence, part_id AS fare_prod_key, supp_id AS reason_key, operating_day_key, account_id AS transit_account_id, disc_bp AS discount_amount, cents AS line_item_amount,
+  CASE WHEN line_no = 1 THEN 'Cash Overpayment' WHEN line_no = 2 THEN 'Pass Removal' WHEN line_no = 3 THEN 'Refund Issue Media' WHEN line_no = 4 THEN 'Product Refund' WHEN line_no = 5 THEN 'Value Adjustment' ELSE 'Product Sale' END AS line_item_type,
+  CASE WHEN txn_id % 9 = 0 THEN 'Enroll' END AS enroll_action FROM fare_base""",
+    "order_payments": """
+SELECT txn_id AS line_item_id, txn_id * 2 AS dw_transaction_id, CASE WHEN line_no < 3 THEN 1 ELSE line_no END AS payment_type_key, cents AS payment_amount, cents - disc_bp AS transit_value, CASE WHEN tax_bp > 200 THEN tax_bp END AS benefit_value,
+  CASE WHEN disc_bp > 500 THEN disc_bp END AS pass_cost, CONCAT('R', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr, settlement_day_key FROM fare_base
+UNION ALL SELECT txn_id, txn_id * 2 + 1, 1, -disc_bp, 0, NULL, NULL, 'cash returned', settlement_day_key FROM fare_base WHERE line_no = 1 AND disc_bp > 0""",
+    "clearing": """
+SELECT txn_id AS dw_transaction_id, supp_id AS operator_id, part_id AS fare_prod_key, line_no AS payment_type_key, account_id % 30 AS purse_sku, account_id % 25 AS rider_class_id, supp_id % 25 AS route_key, account_id % 25 AS boarding_stop_key, (account_id + 3) % 25 AS alighting_stop_key,
+  CASE WHEN line_no > 2 THEN disc_bp END AS pass_id, settlement_day_key, cents AS net_value, CASE WHEN tax_bp > 200 THEN tax_bp END AS benefit_value FROM fare_base""",
     "channels": "SELECT DISTINCT c_custkey % 5 AS sales_channel_key, CONCAT('channel ', CAST(c_custkey % 5 AS VARCHAR(2))) AS sales_channel_name FROM customer",
     "unsettled": """
 SELECT txn_id, order_id AS order_nbr, CASE WHEN flag = 'N' THEN 'OPEN' ELSE 'HELD' END AS settlement_state, settlement_day_key AS posting_day_key, CASE WHEN line_no > 1 THEN ship_dtm END AS ready_for_settlement_dtm, order_dtm AS transaction_dtm, part_id AS fare_prod_key, supp_id AS operator_id, line_no AS payment_type_key,

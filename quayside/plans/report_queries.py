@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quayside.plans.fares import fare, with_fares
-from quayside.reports import revenue, settlement
+from quayside.reports import orders, revenue, settlement
 
 REPORTS = {
     "wc700_comp_a": revenue.component_a, "wc700_comp_b": revenue.component_b, "wc700_comp_c": revenue.component_c, "wc700_comp_d": revenue.component_d,
@@ -13,6 +13,7 @@ REPORTS = {
     "wc232_patron_order": settlement.unsettled_orders, "wc232_payment_rejection": settlement.unsettled_chargebacks, "wc232_refund_sale": settlement.unsettled_refunds, "wc232_sale": settlement.unsettled_sales, "wc232_use": settlement.unsettled_uses,
     "wa160": settlement.use_transactions, "ad_hoc_processed_taps": settlement.processed_taps, "wo118": settlement.product_transfers, "ad_hoc_journal_entries": settlement.journal_entries, "wc210": settlement.ledger_summary, "wsp630": settlement.outages_in,
     "wsp611_operation_performance": settlement.operation_performance, "wsp611_system_availability": settlement.system_availability, "wsp620_availability": settlement.events_of_month,
+    "comp_a_txn_a": orders.product_sales_addendum, "comp_a_txn_c": orders.product_sales_computation, "wo110": orders.order_detail, "wo150": orders.adjustments, "wc231_clearing_house": orders.clearing_house, "wc231_pass_id_adhoc": orders.clearing_house_passes,
     "wsp620_performance": lambda t: settlement.events_of_month(t, places=("D", "PTT")),
 }
 
@@ -61,7 +62,26 @@ DAY = "strptime({0}::VARCHAR, '%Y%m%d')"
 SWAP = "(coalesce(negative_amount_flag, 0) = 1 AND amount > 0) OR (coalesce(negative_amount_flag, 0) <> 1 AND amount < 0)"
 MONTH = "FROM kpi_days WHERE year = 2024 AND month_nbr = 1"
 
+PRODUCT_SALES = """SELECT 'order' AS side, p.dw_transaction_id AS transaction_id, transit_account_id, payment_type_name, CASE WHEN p.payment_type_key = 1 THEN payment_amount ELSE 0 END AS cash_received,
+  CASE WHEN p.payment_type_key = 1 AND line_item_type = 'Cash Overpayment' THEN -coalesce(returned, 0) ELSE 0 END AS cash_returned,
+  CASE WHEN p.payment_type_key = 1 THEN payment_amount + CASE WHEN line_item_type = 'Cash Overpayment' THEN coalesce(returned, 0) ELSE 0 END ELSE 0 END AS net_cash, coalesce(discount_amount, 0) AS discount_amount,
+  coalesce(transit_value, 0) + coalesce(benefit_value, 0) + coalesce(pass_cost, 0) AS fare_revenue, CASE WHEN fare_prod_name IS NULL AND coalesce(transit_value, 0) + coalesce(benefit_value, 0) <> 0 THEN 'Stored Value' ELSE fare_prod_name END AS fare_product, operating_day_key, p.settlement_day_key
+FROM order_payments p JOIN order_items USING (line_item_id) LEFT JOIN (SELECT line_item_id, sum(payment_amount)::BIGINT AS returned FROM order_payments WHERE retrieval_ref_nbr = 'cash returned' GROUP BY 1) USING (line_item_id) JOIN payment_types USING (payment_type_key) LEFT JOIN products USING (fare_prod_key) WHERE retrieval_ref_nbr <> 'cash returned'
+UNION ALL SELECT 'sale', dw_transaction_id, transit_account_id, NULL, 0, 0, 0, 0, coalesce(value_changed, 0) + coalesce(benefit_value, 0) + coalesce(refundable_purse_value, 0), 'Stored Value', operating_day_key, settlement_day_key FROM sale_txn WHERE sale_type_key = 20"""
+SALE_DOLLARS = "DISTINCT * REPLACE (round(cash_received / 100, 2) AS cash_received, round(cash_returned / 100, 2) AS cash_returned, round(net_cash / 100, 2) AS net_cash, round(discount_amount / 100, 2) AS discount_amount, round(fare_revenue / 100, 2) AS fare_revenue)"
+DETAIL = """SELECT order_id, line_sequence, CASE WHEN enroll_action IS NOT NULL THEN line_item_type || ' (' || enroll_action || ')' ELSE line_item_type END AS kind, fare_prod_name, reason_name, 'TA ' || transit_account_id AS account_label, line_item_amount / 100 AS line_item_amount, coalesce(paid, 0) / 100 AS paid, discount_amount / 100 AS discount_amount
+FROM order_items LEFT JOIN (SELECT line_item_id, sum(payment_amount)::BIGINT AS paid FROM order_payments GROUP BY 1) USING (line_item_id) LEFT JOIN products USING (fare_prod_key) LEFT JOIN reasons USING (reason_key)"""
+CLEARING = """SELECT c.dw_transaction_id, operator_name, fare_prod_name, payment_type_name, purse_name, r.rider_class_name, route_name, b.stop_point_name AS boarding_stop, a.stop_point_name AS alighting_stop, c.pass_id, net_value / 100 AS net_value, coalesce(c.benefit_value, 0) / 100 AS benefit_value
+FROM clearing c JOIN operators ON operator_key = operator_id LEFT JOIN products USING (fare_prod_key) LEFT JOIN payment_types USING (payment_type_key) LEFT JOIN purses USING (purse_sku) LEFT JOIN rider_classes r USING (rider_class_id) LEFT JOIN routes USING (route_key)
+LEFT JOIN stop_points b ON b.stop_point_key = boarding_stop_key LEFT JOIN stop_points a ON a.stop_point_key = alighting_stop_key"""
+
 SQL = {
+    "comp_a_txn_a": _scheduled(PRODUCT_SALES, SALE_DOLLARS, ADDENDUM, NO_SCHEDULE_A, "Y"),
+    "comp_a_txn_c": _scheduled(PRODUCT_SALES, SALE_DOLLARS, COMPUTATION, NO_SCHEDULE_C, "N"),
+    "wo110": DETAIL,
+    "wo150": f"SELECT * FROM ({DETAIL}) WHERE kind LIKE '%Adjustment%' OR kind IN ('Pass Removal', 'Pass Conversion', 'Transit Account Trip Correction', 'Transit Account Trip Void', 'Transit Account Tap Void') OR (kind LIKE '%Refund%' AND kind <> 'Refund Issue Media')",
+    "wc231_clearing_house": CLEARING,
+    "wc231_pass_id_adhoc": f"SELECT x.* REPLACE (coalesce(u.pass_cost, x.pass_id) AS pass_id) FROM ({CLEARING}) x LEFT JOIN use_txn u ON u.dw_transaction_id = x.dw_transaction_id",
     "wc700_comp_a": f"SELECT {SUMMARY}, sum({STORED})::BIGINT / 100 AS stored_value, sum(coalesce(pass_cost, 0))::BIGINT / 100 AS pass_cost, sum(coalesce(enablement_fee, 0))::BIGINT / 100 AS enablement_fee, sum({STORED} + coalesce(pass_cost, 0) + coalesce(enablement_fee, 0) + coalesce(replacement_fee, 0))::BIGINT / 100 AS total_fare_revenue {JOIN} WHERE txn_group = 'Product Sales' GROUP BY {SUMMARY}",
     "wc700_comp_b": f"SELECT {SUMMARY}, sum(coalesce(payment_value, 0))::BIGINT / 100 AS total_fare_revenue {JOIN} WHERE txn_group = 'Open Payment Trips' GROUP BY {SUMMARY}",
     "wc700_comp_c": "SELECT settlement_day_key, operating_day_key, c.rider_class_name, fare_prod_name, service_type_id, fare_rule_description, recovery_txn_type, sum(minimum_fare_charge)::BIGINT / 100 AS recovery_calculation_amount FROM recovery_txn LEFT JOIN rider_classes c USING (rider_class_id) LEFT JOIN products p USING (fare_prod_key) WHERE monetary_inst_type_id = 2 AND minimum_fare_charge IS NOT NULL GROUP BY ALL",

@@ -36,13 +36,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table, or an adapter over them."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    register(spark, sf_dir)
+    register(spark, sf_dir, ADAPTERS[name])
     return spark.sql(ADAPTERS[name])
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """The test tables as temporary views."""
-    for table in TABLES:
+def register(spark: SparkSession, sf_dir: str, text: str) -> None:
+    """The test tables that ``text`` names, as temporary views."""
+    for table in (t for t in TABLES if t in text):
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
 
 

@@ -96,5 +96,8 @@ def with_fares(sql: str) -> str:
 
 
 def fare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    register(spark, sf_dir)
-    return spark.sql(with_fares(f"SELECT * FROM {name}"))
+    text = FARES[name]
+    if "fare_base" in text:
+        text = f"WITH fare_base AS ({FARES['fare_base']}) {text}"
+    register(spark, sf_dir, text)
+    return spark.sql(text)

@@ -20,7 +20,7 @@ SHARD_ROWS = 16_384
 LINKS = 16  # per node and upper layer; twice that in the base layer
 CANDIDATES = 48
 FAR = 16  # more candidates drawn at random, which tie separate clusters together
-BEAM = 96
+BEAM = 160
 ENTRIES = 16  # nodes of an upper layer from which the next one starts
 BLOCK = 256
 INDEX = "shard int, dim int, ids binary, counts binary, vectors binary, sizes binary, links binary"

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -86,14 +87,13 @@ def test_substring(table, request):
     assert sorted(map(tuple, substring.substring_dedup(df).drop("kept_text").collect()), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("table", ["docs", "odd"])
-def test_near_duplicates(table, request):
-    df = request.getfixturevalue(table)
+def near_groups(texts, size):
+    """The smallest linked id of each id, by comparing all pairs; and the shingle sets."""
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = {}
-    for i, t in rows_of(df):
+    for i, t in texts:
         w = split(t.translate(low))
-        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) > 3 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
     up = {i: i for i in sets if i is not None}
 
     def find(x):
@@ -108,11 +108,29 @@ def test_near_duplicates(table, request):
             if common and 100 * common >= 80 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 up[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}, sets
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_near_duplicates(table, request):
+    df = request.getfixturevalue(table)
+    roots, sets = near_groups(rows_of(df), 4)
     for r in neardup.near_duplicates(df, shingle_size=4).collect():
-        root = find(r.doc_id) if r.doc_id is not None else None
+        root = roots[r.doc_id] if r.doc_id is not None else None
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root, r.doc_id == root)
 
 
+def test_single_links_in_a_crowd_are_found(spark):
+    """Texts that share four words in five, below the threshold; some have one near copy."""
+    prepare(spark)
+    shared = [f"b{k}" for k in range(160)]
+    rows = [(k, shared + [f"u{k}x{j}" for j in range(40)]) for k in range(800)]
+    rows += [(800 + k, shared + [f"v{k}x{j}" for j in range(17)] + rows[k][1][177:]) for k in range(200)]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, shingle_size=4).collect()}
+    assert got == {k: k if k < 800 else k - 800 for k in range(1000)}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -258,6 +276,35 @@ def test_pipeline(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
 
 
+def test_pipeline_against_brute_force(spark, sf, docs):
+    """run() against plain versions of its stages; the classifier's scores are its own
+    (their accuracy is tested above), its decisions are applied here."""
+    scores = quality.score_documents(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect()
+    good = {r.doc_id for r in scores if r.score >= 0.3}
+    rows = {i: t for i, t in rows_of(docs) if i in good}
+    best = {}
+    for i, t in rows.items():
+        key = re.sub(r"[\x20\x09-\x0D]", "", t)
+        best[key] = min(best.get(key, (0, i)), (-len(t), i))
+    rows = {i: rows[i] for _, i in best.values()}
+    roots, _ = near_groups(rows.items(), 5)
+    left = [i for i in rows if roots[i] == i]
+    assert 0 < len(left) < len(good) < len(scores)
+    table = docs.filter(docs.doc_id.isin(left)).toArrow()
+    con = duckdb.connect()
+    con.register("documents", table)
+    weights = " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in mixing.MIX_WEIGHTS.items())
+    assert weights in mixing.MIX_SQL
+    library = Tokenizer.from_file(PATH)
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for i, t in con.execute(f"SELECT doc_id, coalesce(text, '') FROM ({mixing.MIX_SQL})").fetchall():
+        ids = library.encode(t, add_special_tokens=False).ids
+        want.append((i, len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids, skip_special_tokens=False))))
+    out = corpus_pipeline.run(spark, sf).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, out)) == sorted(want)
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, sf):
     docs = odd
     for name, stage in corpus_pipeline.STAGES:

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.sources.feeds import materialize_report
 from quayside.sources.files import delete, exists, list_files
 
 
@@ -70,7 +71,14 @@ def data_dictionary(spark, datasets: dict[str, str], descriptions: DataFrame | N
     out = spark.createDataFrame(rows, "dataset string, ordinal int, column string, type string, is_partition boolean, n_files int")
     if descriptions is None:
         return out.withColumn("remarks", F.lit(None).cast("string"))
-    return out.join(descriptions, ["dataset", "column"], "left")
+    return column_descriptions(out, descriptions)
+
+
+def column_descriptions(columns: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """``columns`` (dataset, column, ...) with their remarks, null where none are given;
+    of several remarks for one column the smallest counts, so no row multiplies."""
+    known = descriptions.groupBy("dataset", "column").agg(F.min("remarks").alias("remarks"))
+    return columns.join(known, ["dataset", "column"], "left")
 
 
 def register_views(spark, datasets: dict[str, str]) -> list[tuple[str, str]]:
@@ -84,6 +92,24 @@ def register_views(spark, datasets: dict[str, str]) -> list[tuple[str, str]]:
     return failed
 
 
+def register_reports(spark, folder: str, materialized: dict, views: dict) -> list[tuple[str, str]]:
+    """Register reports under their names, in order: first those to be written (each as
+    parquet below ``folder``), then views. A report is a function of the session, so it
+    may read those before it; one that fails is returned and hides no other."""
+    failed = []
+    for written, reports in ((True, materialized), (False, views)):
+        for name, report in reports.items():
+            try:
+                df = report(spark)
+                if written:
+                    materialize_report(df, f"{folder}/{name}", name)
+                else:
+                    df.createOrReplaceTempView(name)
+            except Exception as error:  # one bad report must not hide the others
+                failed.append((name, str(error).splitlines()[0]))
+    return failed
+
+
 def drop_columns_rewrite(spark, path: str, to: str, columns: list[str]) -> bool:
     """Write a version without the columns; False, and nothing written, if it has none."""
     df = spark.read.parquet(path)

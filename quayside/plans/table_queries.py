@@ -221,6 +221,22 @@ def register_views(spark, d):
     return spark.sql("select n_nationkey, n_name from fare_nation").withColumn("n_failed", F.lit(len(failed)))
 
 
+def column_descriptions(spark, d):
+    part = load(spark, d, "part")
+    columns = part.select(F.col("p_brand").alias("dataset"), F.col("p_partkey").cast("string").alias("column"))
+    remarks = part.filter("p_partkey % 3 = 0").select(F.col("p_brand").alias("dataset"), F.col("p_partkey").cast("string").alias("column"), F.col("p_type").alias("remarks"))
+    return layout.column_descriptions(columns, remarks)
+
+
+def register_reports(spark, d):
+    written = {
+        "report_by_flag": lambda s: load(s, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n")),
+        "report_broken": lambda s: s.table("report_no_such_table"),
+    }
+    failed = layout.register_reports(spark, _folder(spark), written, {"report_totals": lambda s: s.sql("select l_returnflag, sum(n) as n from report_by_flag group by l_returnflag")})
+    return spark.table("report_totals").withColumn("n_failed", F.lit(len(failed)))
+
+
 # ---- schemas
 
 def _descriptors(spark, d):
@@ -456,6 +472,8 @@ SELECT a.feed, count(*) FILTER (WHERE coalesce(state, 'STALE') = 'STALE') AS sta
     "data_dictionary": """SELECT * FROM (VALUES ('region', 0, 'r_regionkey', 'int'), ('region', 1, 'r_name', 'string'), ('nation', 0, 'n_nationkey', 'int'), ('nation', 1, 'n_name', 'string'), ('nation', 2, 'n_regionkey', 'int'),
 ('orders', 0, 'o_orderkey', 'bigint'), ('orders', 1, 'o_custkey', 'bigint'), ('orders', 2, 'o_orderstatus', 'string'), ('orders', 3, 'o_totalprice', 'double'), ('orders', 4, 'o_orderdate', 'timestamp_ntz'), ('orders', 5, 'o_orderpriority', 'string')) v(dataset, ordinal, "column", type),
 LATERAL (SELECT false AS is_partition, CASE WHEN "column" = 'n_name' THEN 'a name' END AS remarks) x""",
+    "column_descriptions": "SELECT p_brand AS dataset, p_partkey::VARCHAR AS \"column\", CASE WHEN p_partkey % 3 = 0 THEN p_type END AS remarks FROM part",
+    "register_reports": "SELECT l_returnflag, count(*) AS n, 1 AS n_failed FROM lineitem GROUP BY 1",
     "register_views": "SELECT n_nationkey, n_name, 1 AS n_failed FROM nation",
     "dfm_schema": f"WITH {DESC} SELECT * FROM s",
     "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 THEN 19 ELSE precision END AS precision, CASE WHEN ordinal % 3 = 0 THEN 0 ELSE scale END AS scale FROM d',

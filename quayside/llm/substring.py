@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import id_text, materialize
+from quayside.llm.common import hot_join, id_text, materialize
 
 SEED = 20
 TOP = np.uint64(2**64 - 1)
@@ -164,17 +164,20 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> tuple[DataFrame, Data
     spec = "doc_id long, n long, wa long, wb long, seeds array<long>, contexts array<long>, places array<int>"
     seeds = materialize(docs.filter("doc_id is not null").mapInArrow(_seeds(window), spec), "seeds")
     whole = seeds.filter(F.col("n") >= window).select("doc_id", "n", "wa", "wb")
-    firsts = whole.groupBy("n", "wa", "wb").agg(F.min("doc_id").alias("low"))
-    copies = materialize(whole.join(firsts, ["n", "wa", "wb"]).filter("doc_id > low").select("doc_id").distinct(), "copies")
+    firsts = whole.groupBy("n", "wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    firsts = materialize(firsts.filter("low < high").drop("high"), "firsts")
+    copies = hot_join(whole, firsts, ["n", "wa", "wb"], "rows").filter("doc_id > low")
+    copies = materialize(copies.select("doc_id").distinct(), "copies")
 
     places = seeds.select("doc_id", "seeds", "contexts", "places").join(copies, "doc_id", "left_anti")
     places = places.select("doc_id", F.explode(F.arrays_zip("seeds", "contexts", "places")).alias("s"))
     places = places.select(F.col("s.seeds").alias("seed"), F.col("s.contexts").alias("context"), "doc_id", F.col("s.places").alias("place"))
-    by_context = places.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    by_seed = by_context.groupBy("seed").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("contexts"))
-    shared = materialize(by_seed.filter("lo < hi").select("seed", "contexts"), "anchors")
-    lows = by_context.filter("low < high").select(F.col("seed").alias("s"), F.col("context").alias("c"), "low")
-    hits = places.join(shared, "seed").join(lows, (F.col("seed") == F.col("s")) & (F.col("context") == F.col("c")), "left")
+    by_context = places.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    by_seed = by_context.groupBy("seed").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("rows"))
+    shared = materialize(by_seed.filter("lo < hi").drop("lo", "hi"), "anchors")
+    hits = materialize(hot_join(places, shared, ["seed"], "rows"), "shared")
+    lows = materialize(hits.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows")), "contexts")
+    hits = hot_join(hits, lows, ["seed", "context"], "rows")
     state = F.when(F.col("doc_id") > F.col("low"), SHARED).when(F.col("contexts") > 1, OPEN).otherwise(FIRST)
     hits = hits.select("doc_id", "place", state.cast("byte").alias("state"))
     hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("place", "state")).alias("h"), F.min("state").alias("least"))
@@ -183,8 +186,9 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> tuple[DataFrame, Data
     rows = docs.join(hits, "doc_id").select("doc_id", "text", "place", "state")
     rows = materialize(rows.mapInArrow(_windows(window), "wa long, wb long, doc_id long, at int"), "windows")
     open_ = rows.filter("wa is not null")
-    lows = open_.groupBy("wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
-    found = open_.join(lows, ["wa", "wb"]).filter("doc_id > low").select("doc_id", "at")
+    lows = open_.groupBy("wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+    lows = materialize(lows.filter("low < high").drop("high"), "lows")
+    found = hot_join(open_, lows, ["wa", "wb"], "rows").filter("doc_id > low").select("doc_id", "at")
     found = found.union(rows.filter("wa is null").select("doc_id", "at"))
     return found.groupBy("doc_id").agg(F.collect_list("at").alias("starts")), copies
 

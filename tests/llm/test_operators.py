@@ -9,11 +9,12 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from quayside.llm import ann, bpe, exact, graph, mixing, neardup, pii, quality, sharding, substring, urlfilter
-from quayside.llm.common import documents, prepare
+from quayside.llm.common import documents, hot_join, prepare
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, sig int, rep int, h long"
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
@@ -310,3 +311,14 @@ def test_pipeline_stages_on_odd_rows(spark, odd, sf):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
         docs.count()
+
+
+def test_hot_join_equals_a_plain_join(spark):
+    """A key of half the rows is broadcast and 10,000 others are dealt by key."""
+    prepare(spark)
+    left = spark.range(20000).selectExpr("if(id % 2 = 0, -1, if(id % 7 = 0, null, id)) as k", "id")
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("low")).filter("k is null or k % 5 <> 3")
+    got = hot_join(left, right, ["k"], "rows")
+    want = left.join(right.drop("rows"), ["k"])
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    assert hot_join(left, right.limit(0), ["k"], "rows").isEmpty()

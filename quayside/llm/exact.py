@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import id_text
+from quayside.llm.common import hot_join, id_text, materialize
 
 NO_ID = 2**63 - 1  # stands for a null doc_id, which thus comes last
 SPACES = r"[\x20\x09-\x0D]"
@@ -170,10 +170,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ignored.
     """
     docs = id_text(df, id_col, text_col)
-    groups = exact_groups(docs)
+    groups = materialize(exact_groups(docs).withColumn("rows", F.col("size")), "groups")
     rows = docs.select("doc_id", text_sha(F.col("text")).alias("sha"))
     keep = F.when(F.col("keep") != NO_ID, F.col("keep"))
-    return rows.join(groups, "sha").select(
+    return hot_join(rows, groups, ["sha"], "rows").select(
         "doc_id",
         keep.alias("keep_id"),
         F.col("size").alias("group_size"),
@@ -185,11 +185,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without the rows that ``exact_dedup`` drops; all columns as they were."""
     groups = exact_groups(id_text(df, id_col, text_col)).select(
-        F.col("sha").alias("__llm_sha"), F.when(F.col("keep") != NO_ID, F.col("keep")).alias("__llm_keep")
-    )
-    tagged = df.withColumn("__llm_row_sha", text_sha(F.coalesce(F.col(text_col), F.lit(""))))
-    return (
-        tagged.join(groups, F.col("__llm_row_sha") == F.col("__llm_sha"))
-        .filter(F.col(id_col).cast("long").eqNullSafe(F.col("__llm_keep")))
-        .drop("__llm_row_sha", "__llm_sha", "__llm_keep")
+        F.col("sha").alias("__llm_sha"), F.when(F.col("keep") != NO_ID, F.col("keep")).alias("__llm_keep"), F.col("size").alias("__llm_rows")
     )
+    tagged = df.withColumn("__llm_sha", text_sha(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = hot_join(tagged, materialize(groups, "groups"), ["__llm_sha"], "__llm_rows")
+    return kept.filter(F.col(id_col).cast("long").eqNullSafe(F.col("__llm_keep"))).drop("__llm_sha", "__llm_keep")

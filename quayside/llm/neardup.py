@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import id_text, materialize
+from quayside.llm.common import hot_join, id_text, materialize
 from quayside.llm.graph import components
 
 FIRST, TREES = 3, 42  # least prefix depth, and trees: together they use each hash once
@@ -232,8 +232,8 @@ def near_duplicates(
     docs = id_text(df, id_col, text_col)
     profile = materialize(docs.mapInArrow(_profile(shingle_size), "doc_id long, n long, sa long, sb long, sig binary"), "profile")
     sets = profile.filter("n > 0 and doc_id is not null")
-    classes = sets.groupBy("sa", "sb").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "n", "sig")).alias("r"))
-    classes = materialize(classes.select("sa", "sb", "rep", "r.n", "r.sig"), "classes")
+    classes = sets.groupBy("sa", "sb").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "n", "sig")).alias("r"), F.count(F.lit(1)).alias("rows"))
+    classes = materialize(classes.select("sa", "sb", "rep", "rows", "r.n", "r.sig"), "classes")
     pairs = materialize(candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold), "pairs")
 
     both = pairs.select("a", "b", "agree").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
@@ -258,15 +258,16 @@ def near_duplicates(
         if not more.isEmpty():
             groups = materialize(components(links.union(more)), "groups")
 
-    named = classes.select("sa", "sb", "rep").join(groups, F.col("rep") == F.col("node"), "left")
-    named = named.select("sa", "sb", F.coalesce("component", "rep").alias("component"))
-    own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    out = profile.select("doc_id", "n", "sa", "sb").join(named, ["sa", "sb"], "left")
+    named = classes.select("sa", "sb", "rep", "rows").join(groups, F.col("rep") == F.col("node"), "left")
+    named = materialize(named.select("sa", "sb", "rows", F.coalesce("component", "rep").alias("component_id")), "named")
+    alone = F.col("doc_id").isNull() | (F.col("n") == 0)
+    linked = hot_join(profile.filter(~alone).select("doc_id", "n", "sa", "sb"), named, ["sa", "sb"], "rows")
+    out = linked.select("doc_id", "n", "component_id").union(profile.filter(alone).select("doc_id", "n", "doc_id"))
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
-        (F.col("doc_id").isNull() | (F.col("doc_id") == own)).alias("kept"),
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 

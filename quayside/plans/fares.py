@@ -89,14 +89,29 @@ FROM (SELECT DISTINCT CONCAT('A', CAST(1 + event_id % 4 AS VARCHAR(2)), '-', CAS
     "gl_accounts": "SELECT n_nationkey AS account_id, n_name AS account_name FROM nation",
 }
 
+#: Adjustment sales with their payments and reads, and a channel map that knows their channel.
+PAYG = {
+    "sale_adjustments": """
+SELECT txn_id AS dw_transaction_id, ship_dtm AS transaction_dtm, CASE WHEN txn_id % 5 < 2 THEN 22 ELSE 20 END AS sale_type_key, CASE line_no WHEN 1 THEN 990951 WHEN 2 THEN 990961 WHEN 3 THEN 990952 WHEN 4 THEN 990962 ELSE 990508 END AS reason_key,
+  part_id % 3 AS media_type_key, CASE WHEN txn_id % 3 > 0 THEN txn_id END AS tap_id, account_id AS transit_account_id, CASE WHEN account_id % 10 > 0 THEN operating_day_key END AS operating_day_key, settlement_day_key, settlement_day_key AS posting_day_key FROM fare_base""",
+    "sale_payments": """
+SELECT txn_id AS dw_transaction_id, ship_dtm AS transaction_dtm, CASE WHEN disc_bp > 500 THEN -cents ELSE cents END AS payment_value FROM fare_base WHERE txn_id % 13 > 0
+UNION ALL SELECT txn_id, CASE WHEN flag = 'N' THEN ship_dtm ELSE order_dtm END, disc_bp FROM fare_base WHERE txn_id % 4 = 1""",
+    "reads": """
+SELECT txn_id AS tap_id, supp_id AS operator_key, part_id AS card_key FROM fare_base WHERE txn_id % 7 > 0
+UNION ALL SELECT txn_id, supp_id, CAST(NULL AS BIGINT) FROM fare_base WHERE txn_id % 11 = 0""",
+    "payg_channel_map": f"""{FARES["txn_channel_map"]}
+UNION ALL SELECT DISTINCT 'UseTxn', 'Open Payment Trips', l_linenumber, 14, 'channel 14', CONCAT('adjusted ', CAST(l_linenumber AS VARCHAR(2))) FROM lineitem WHERE l_linenumber IN (2, 4)""",
+}
+
 
-def with_fares(sql: str) -> str:
-    """``sql`` after all the expressions above; unused ones cost nothing."""
-    return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in FARES.items()) + "\n" + sql
+def with_fares(sql: str, more: dict[str, str] | None = None) -> str:
+    """``sql`` after all the expressions of FARES and ``more``; unused ones cost nothing."""
+    return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in (FARES | (more or {})).items()) + "\n" + sql
 
 
 def fare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = FARES[name]
+    text = (FARES | PAYG)[name]
     if "fare_base" in text:
         text = f"WITH fare_base AS ({FARES['fare_base']}) {text}"
     register(spark, sf_dir, text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quayside.plans.fares import fare, with_fares
+from quayside.plans.fares import PAYG, fare, with_fares
 from quayside.reports import orders, revenue, settlement
 
 REPORTS = {
@@ -22,7 +22,18 @@ def _query(report):
     return lambda spark, sf_dir: report(lambda name: fare(spark, sf_dir, name))
 
 
-QUERIES = {name: _query(report) for name, report in REPORTS.items()}
+#: Reports of PAYG trips whose channel map has the adjustment channel; the map of those
+#: above has not, so no adjustment joins there.
+ADJUSTED = {
+    "edw_farerev_payg_trip_txn_adjusted": revenue.trip_revenue, "farerev_payg_trip_txn_a_v2_adjusted": revenue.trip_revenue_addendum, "farerev_payg_trip_txn_c_v2_adjusted": revenue.trip_revenue_computation,
+}
+
+
+def _adjusted(report):
+    return lambda spark, sf_dir: report(lambda name: fare(spark, sf_dir, "payg_channel_map" if name == "txn_channel_map" else name))
+
+
+QUERIES = {name: _query(report) for name, report in REPORTS.items()} | {name: _adjusted(report) for name, report in ADJUSTED.items()}
 
 SUMMARY = "settlement_day_key, operating_day_key, payment_type_key, txn_channel_display, sales_channel_display"
 JOIN = "FROM payment_summary JOIN txn_channel_map USING (txn_source, sales_channel_key, payment_type_key)"
@@ -127,3 +138,15 @@ FROM (SELECT kpi_id, sum(kpi_value)::BIGINT AS measured, sum(kpi_quantity)::BIGI
     "wsp620_performance": f"SELECT DISTINCT kpi_id, day_key, location_category, kpi_quantity, performance_time_basis {MONTH} AND location_category IN ('D', 'PTT') AND kpi_id NOT LIKE 'A4%'",
 }
 SQL = {name: with_fares(text) for name, text in SQL.items()}
+
+TRIP_AND_ADJUSTMENTS = f"""{TRIP}
+UNION ALL SELECT s.operating_day_key, s.settlement_day_key, s.posting_day_key, s.transaction_dtm, s.dw_transaction_id, s.transit_account_id, NULL, NULL, NULL, NULL, operator_name, bin, sp.payment_value::BIGINT, strptime(s.operating_day_key::VARCHAR, '%Y%m%d')
+FROM sale_adjustments s JOIN sale_payments sp ON sp.dw_transaction_id = s.dw_transaction_id AND sp.transaction_dtm = s.transaction_dtm JOIN media_types mt ON mt.media_type_key = s.media_type_key
+JOIN payg_channel_map m ON m.txn_source = 'UseTxn' AND m.sales_channel_key = 14 AND m.payment_type_key = CASE WHEN s.reason_key IN (990951, 990961) THEN 2 ELSE 4 END JOIN payment_types pt ON pt.payment_type_key = m.payment_type_key
+LEFT JOIN reads rt ON rt.tap_id = s.tap_id LEFT JOIN operators th ON th.operator_key = rt.operator_key LEFT JOIN cards cd ON cd.card_key = rt.card_key
+WHERE s.operating_day_key IS NOT NULL AND s.sale_type_key = 22 AND s.reason_key IN (990951, 990961, 990952, 990962) AND mt.payg_flag = 1"""
+SQL |= {
+    "edw_farerev_payg_trip_txn_adjusted": with_fares(TRIP_AND_ADJUSTMENTS, PAYG),
+    "farerev_payg_trip_txn_a_v2_adjusted": with_fares(_scheduled(TRIP_AND_ADJUSTMENTS, MODE, ADDENDUM, NO_SCHEDULE_A, "Y"), PAYG),
+    "farerev_payg_trip_txn_c_v2_adjusted": with_fares(_scheduled(TRIP_AND_ADJUSTMENTS, MODE, COMPUTATION, NO_SCHEDULE_C, "N"), PAYG),
+}

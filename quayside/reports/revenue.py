@@ -15,6 +15,8 @@ Tables = Callable[[str], DataFrame]
 MAP_KEYS = ["txn_source", "sales_channel_key", "payment_type_key"]
 SUMMARY = ["settlement_day_key", "operating_day_key", "payment_type_key", "txn_channel_display", "sales_channel_display"]
 LATE_SALE, ADJUSTMENT_RIDE = 26, 24
+ADJUSTMENT_SALE, ADJUSTMENT_CHANNEL = 22, 14
+TYPE_2_REASONS, TYPE_4_REASONS = (990951, 990961), (990952, 990962)
 
 
 def zero(*columns: str) -> Column:
@@ -84,7 +86,7 @@ def _extension() -> Column:
     return F.when((F.col("transfer_sequence_nbr") > 0) & (F.col("fare_due") != 0), "Transfer")
 
 
-def trip_revenue(t: Tables) -> DataFrame:
+def tap_revenue(t: Tables) -> DataFrame:
     """Revenue of each tap in cents, summed over its payments; zero sums are left out."""
     late = t("sale_txn").filter(F.col("sale_type_key") == LATE_SALE).select("purse_load_id", F.lit(True).alias("late")).filter("purse_load_id is not null")
     rows = _uses_with_payments(t).filter(_adjustment_rule() & _charged()).join(late, "purse_load_id", "left").join(t("media_types"), "media_type_key")
@@ -96,6 +98,25 @@ def trip_revenue(t: Tables) -> DataFrame:
     return out.select(*(c for c in keys if c not in ("operator_key", "card_key")), "extension_charge_reason", "operator_name", "bin", (-F.col("raw")).alias("fare_revenue"), day("operating_day_key").alias("operating_date"))
 
 
+def adjustment_revenue(t: Tables) -> DataFrame:
+    """Adjustment sales of pay-as-you-go media in cents, a row per payment and read of the
+    tap; their reason says which payment type of the adjustment channel they count to."""
+    to_type = F.when(F.col("reason_key").isin(*TYPE_2_REASONS), 2).otherwise(4)
+    sales = t("sale_adjustments").filter((F.col("sale_type_key") == ADJUSTMENT_SALE) & F.col("operating_day_key").isNotNull() & F.col("reason_key").isin(*TYPE_2_REASONS, *TYPE_4_REASONS))
+    channels = t("txn_channel_map").filter((F.col("txn_source") == "UseTxn") & (F.col("sales_channel_key") == ADJUSTMENT_CHANNEL)).select("payment_type_key")
+    rows = sales.withColumn("payment_type_key", to_type).join(t("media_types").filter("payg_flag = 1").select("media_type_key"), "media_type_key")
+    rows = rows.join(channels, "payment_type_key").join(t("payment_types").select("payment_type_key"), "payment_type_key")
+    rows = rows.join(t("sale_payments"), ["dw_transaction_id", "transaction_dtm"]).join(t("reads"), "tap_id", "left")
+    rows = rows.join(t("operators").select("operator_key", "operator_name"), "operator_key", "left").join(t("cards"), "card_key", "left")
+    kept = ["operating_day_key", "settlement_day_key", "posting_day_key", "transaction_dtm", "dw_transaction_id", "transit_account_id", "operator_name", "bin"]
+    return rows.select(*kept, F.col("payment_value").alias("fare_revenue"), day("operating_day_key").alias("operating_date"))
+
+
+def trip_revenue(t: Tables) -> DataFrame:
+    """Taps and adjustment sales, in cents; adjustments have no trip, rule or extension."""
+    return tap_revenue(t).unionByName(adjustment_revenue(t), allowMissingColumns=True)
+
+
 def addendum(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     """Rows of each report's addendum: operated up to its day, settled within its window.
     A range join to a schedule of a few rows a year; its distinct rows are counted first,

@@ -4,6 +4,8 @@ Every tree sorts the signatures in an order of its own (rotated by ``FIRST`` has
 pairs each document with its neighbours in that order, those of longest common prefix:
 a sparse region is compared at the shallow least depth, a crowded one at whatever depth
 parts it. Candidates that a short sketch doesn't rule out are confirmed on full sets.
+Where more share a region than a document has neighbours, an exact join on rare shingles
+takes up the rest.
 """
 
 from __future__ import annotations
@@ -114,12 +116,17 @@ SCAN = "kind byte, g int, k1 long, k2 long, k3 long, doc long, n long, sketch bi
 
 
 def _scan(least_num: int, least_den: int, edges: bool):
-    """Pair neighbours in sorted rows (g, k1, k2, k3, doc, n, sketch); with ``edges``, also
-    pass on the partition's first and last rows, whose neighbours lie in other tasks."""
+    """Pair neighbours in sorted rows (g, k1, k2, k3, doc, n, sketch), and tell documents
+    whose window is full (kind 3): the outermost neighbour is still of their region. With
+    ``edges``, also pass on the partition's first and last rows, whose neighbours lie in
+    other tasks."""
 
-    def pairs(rows: list[np.ndarray], fresh: int) -> pa.RecordBatch:
+    def pairs(rows: list[np.ndarray], fresh: int) -> Iterator[pa.RecordBatch]:
         g, k1, _, _, doc, n, sketch = rows
         left, right, agree = [], [], []
+        i = np.arange(max(0, fresh - REACH), len(k1) - REACH)
+        i = i[(k1[i] == k1[i + REACH]) & (g[i] == g[i + REACH])]
+        yield batch(3, doc=np.unique(np.concatenate([doc[i], doc[i + REACH]])))
         for step in range(1, REACH + 1):
             i = np.arange(max(0, fresh - step), len(k1) - step)
             j = i + step
@@ -131,7 +138,7 @@ def _scan(least_num: int, least_den: int, edges: bool):
             ok = same >= LEAST_AGREEING
             left.append(doc[i[ok]]), right.append(doc[j[ok]]), agree.append(same[ok])
         a, b, agree = map(np.concatenate, (left, right, agree))
-        return batch(0, doc=np.minimum(a, b), other=np.maximum(a, b), agree=agree.astype(np.int32))
+        yield batch(0, doc=np.minimum(a, b), other=np.maximum(a, b), agree=agree.astype(np.int32))
 
     def batch(kind: int, **cols) -> pa.RecordBatch:
         size = len(next(iter(cols.values())))
@@ -156,7 +163,7 @@ def _scan(least_num: int, least_den: int, edges: bool):
             if carry is not None:
                 fresh = len(carry[1])
                 rows = [np.concatenate([c, x]) for c, x in zip(carry, rows, strict=True)]
-            yield pairs(rows, fresh)
+            yield from pairs(rows, fresh)
             carry = [x[-REACH:] for x in rows]
         if edges and carry is not None:
             yield edge(1, part + 1, carry)
@@ -164,8 +171,10 @@ def _scan(least_num: int, least_den: int, edges: bool):
     return run
 
 
-def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b, agree) with a < b of documents that are neighbours in some tree."""
+def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """(a, b, agree) with a < b of documents that are neighbours in some tree, and
+    (doc_id) of those with a full window in some tree. Two documents of one region that
+    are not neighbours both have one."""
     num, den = threshold
     rows = reps.select("doc_id", "n", "sig").mapInArrow(_forest_rows, "k1 long, k2 long, k3 long, doc long, n long, sketch binary")
     rows = rows.select(F.lit(0).alias("g"), "*")
@@ -176,11 +185,48 @@ def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     ends = found.filter("kind = 1").select("g", "k1", "k2", "k3", "doc", "n", "sketch")
     ends = ends.repartition("g").sortWithinPartitions("g", *order)
     more = ends.mapInArrow(_scan(num, den, False), SCAN)
-    return (
-        found.filter("kind = 0").unionByName(more)
-        .groupBy(F.col("doc").alias("a"), F.col("other").alias("b"))
-        .agg(F.max("agree").alias("agree"))
-    )
+    found = found.unionByName(more)
+    pairs = found.filter("kind = 0").groupBy(F.col("doc").alias("a"), F.col("other").alias("b")).agg(F.max("agree").alias("agree"))
+    return pairs, found.filter("kind = 3").select(F.col("doc").alias("doc_id")).distinct()
+
+
+def _shingle_rows(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets = shingle_sets(batch.column(1), size)
+            counts = np.diff(offsets)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), batch.column(2).take(pa.array(owner)), pa.array(counts[owner]), pa.array(words.signed(values))],
+                names=["doc", "c", "n", "h"],
+            )
+
+    return run
+
+
+def crowded_pairs(texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """(a, b) of all documents of ``texts`` (doc_id, text, c) that may link though their
+    groups ``c`` differ: an exact prefix filter. With shingles ordered from rare to common,
+    texts of similarity num/den share one within the larger text's first n - num/den n + 1
+    and the smaller one's first n - 2 num/(num + den) n + 1. Shingles that only one group
+    has there join nothing."""
+    num, den = threshold
+    rows = materialize(texts.select("doc_id", "text", "c").mapInArrow(_shingle_rows(size), "doc long, c long, n long, h long"), "shingles")
+    counts = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows")), "counts")
+    known = hot_join(rows, counts.withColumn("common", F.col("rows")), ["h"], "rows")
+    ordered = known.groupBy("doc", "c", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
+    probe = F.expr(f"CAST(n - ({num} * n + {den - 1}) DIV {den} + 1 AS INT)")
+    index = F.expr(f"CAST(n - ({2 * num} * n + {num + den - 1}) DIV {num + den} + 1 AS INT)")
+    first = ordered.withColumn("least", index).select("doc", "c", "n", "least", F.posexplode(F.slice("s", F.lit(1), probe)).alias("at", "x"))
+    first = materialize(first.select("doc", "c", "n", F.col("x.h").alias("h"), (F.col("at") < F.col("least")).alias("listed")), "prefixes")
+    mixed = first.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows"))
+    mixed = materialize(mixed.filter("lo <> hi").select("h", "rows"), "mixed")
+    first = materialize(hot_join(first, mixed, ["h"], "rows"), "prefixes")
+    x = first.select("h", F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
+    y = first.filter("listed").select("h", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"))
+    on = (F.col("cx") != F.col("cy")) & (F.struct("ny", "y") < F.struct("nx", "x")) & (den * F.col("ny") >= num * F.col("nx"))
+    both = x.join(y.hint("merge"), "h").filter(on)
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _confirm(size: int, num: int, den: int):
@@ -227,14 +273,17 @@ def near_duplicates(
 
     Documents of equal sets collapse to one before the forest, so copies cost no pairs.
     Of the candidates, each document first confirms three (smallest id, best sketch,
-    smallest hash); then all that still join different groups are confirmed.
+    smallest hash); then all that still join different groups are confirmed. Documents
+    with a full window in some tree are then compared by an exact prefix filter, so a
+    crowd hides no link.
     """
     docs = id_text(df, id_col, text_col)
     profile = materialize(docs.mapInArrow(_profile(shingle_size), "doc_id long, n long, sa long, sb long, sig binary"), "profile")
     sets = profile.filter("n > 0 and doc_id is not null")
     classes = sets.groupBy("sa", "sb").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "n", "sig")).alias("r"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes.select("sa", "sb", "rep", "rows", "r.n", "r.sig"), "classes")
-    pairs = materialize(candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold), "pairs")
+    pairs, full = candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold)
+    pairs, full = materialize(pairs, "pairs"), materialize(full, "full")
 
     both = pairs.select("a", "b", "agree").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     chosen = both.groupBy("a").agg(
@@ -255,6 +304,15 @@ def near_duplicates(
     rest = materialize(rest.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "rest")
     if not rest.isEmpty():
         more = materialize(confirmed(rest, texts, shingle_size, threshold), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            groups = materialize(components(links), "groups")
+    if not full.isEmpty():
+        crowd = docs.join(full.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        crowd = crowd.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")
+        crowd = materialize(crowd.select("doc_id", "text", F.coalesce("component", "doc_id").alias("c")), "crowd")
+        rest = materialize(crowded_pairs(crowd, shingle_size, threshold), "rest")
+        more = materialize(confirmed(rest, crowd.select("doc_id", "text"), shingle_size, threshold), "links")
         if not more.isEmpty():
             groups = materialize(components(links.union(more)), "groups")
 

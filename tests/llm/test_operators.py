@@ -132,6 +132,17 @@ def test_single_links_in_a_crowd_are_found(spark):
     assert got == {k: k if k < 800 else k - 800 for k in range(1000)}
 
 
+def test_links_hardly_nearer_than_the_crowd_are_found(spark):
+    """A crowd 0.77 alike hides links of 0.81 from neighbours in the forest's orders."""
+    prepare(spark)
+    shared = [f"b{k}" for k in range(160)]
+    rows = [(k, shared + [f"u{k}x{j}" for j in range(24)]) for k in range(1000)]
+    rows += [(1000 + k, rows[k][1][:165] + [f"v{k}x{j}" for j in range(19)]) for k in range(100)]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, shingle_size=4).collect()}
+    assert got == {k: k if k < 1000 else k - 1000 for k in range(1100)}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}

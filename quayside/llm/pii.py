@@ -9,10 +9,12 @@ likelihood, on generated sentences; a fit is the same every time.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ ISLAND = re.compile(
 )
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]|\s+")
 LONGEST = 24  # tokens of a segment
-ISLAND_TOKENS = 400  # longer islands are read in such pieces
+ISLAND_TOKENS = 400  # longer islands are scored in such pieces
 HINTS = {
     "email": {"email", "mail", "e", "contact", "write", "reach"},
     "ip": {"ip", "host", "server", "address", "addr", "from"},
@@ -110,15 +112,15 @@ def features(span: str, before: str) -> np.ndarray:
     )
 
 
-def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, str]]]:
-    """Token bounds of an island and its segments (first, behind last token, span): at
-    most LONGEST tokens, from and to a place where no letter or digit goes on, with a
-    digit or a sign of an address inside."""
-    bounds = [start]
-    for m in TOKEN.finditer(text, start, end):
-        bounds.append(m.end())
-    found = []
-    for i in range(len(bounds) - 1):
+def token_bounds(text: str, start: int, end: int) -> list[int]:
+    return [start, *(m.end() for m in TOKEN.finditer(text, start, end))]
+
+
+def segments(text: str, bounds: list[int], lo: int, hi: int) -> Iterator[tuple[int, int, str]]:
+    """Segments (first, behind last token, span) that begin at tokens lo to hi: at most
+    LONGEST tokens, from and to a place where no letter or digit goes on, with a digit or
+    a sign of an address inside."""
+    for i in range(lo, min(hi, len(bounds) - 1)):
         a = bounds[i]
         if (a and text[a - 1].isalnum()) or not (text[a].isalnum() or text[a] in "+("):
             continue
@@ -134,8 +136,13 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
             if not signs and any(c.isalpha() for c in span):
                 continue  # numbers of any kind hold no letters
             if signs or digits >= 7 or (digits >= 4 and span.count(".") == 3):
-                found.append((i, j, span))
-    return bounds, found
+                yield i, j, span
+
+
+def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, str]]]:
+    """Token bounds of an island and all its segments."""
+    bounds = token_bounds(text, start, end)
+    return bounds, list(segments(text, bounds, 0, len(bounds)))
 
 
 def islands(text: str) -> list[tuple[int, int]]:
@@ -151,26 +158,32 @@ class Field:
     def scores(self, f: np.ndarray) -> np.ndarray:
         return f @ self.w.T
 
-    def decode(self, n: int, segments: list[tuple[int, int]], scores: np.ndarray) -> list[tuple[int, int, int]]:
-        """Best segmentation of n tokens: (first, behind last, kind)."""
-        best, came = np.zeros(n + 1), [None] * (n + 1)
-        by_end: dict[int, list[int]] = {}
-        for k, (_, j) in enumerate(segments):
-            by_end.setdefault(j, []).append(k)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for k in by_end.get(j, ()):
-                kind = int(scores[k].argmax())
-                if (s := best[segments[k][0]] + scores[k, kind]) > best[j]:
-                    best[j], came[j] = s, (k, kind)
+    def decode(self, n: int, scored: Iterator[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
+        """Best segmentation of n tokens, (first, behind last, kind), of segments with
+        their best kind and score, by first token."""
+        best, came, done = np.full(n + 1, -np.inf), [None] * (n + 1), 0
+        best[0] = 0.0
+
+        def settle(i: int) -> None:  # no more segments end at i or before
+            nonlocal done
+            while done < i:
+                done += 1
+                if best[done - 1] >= best[done]:
+                    best[done], came[done] = best[done - 1], None
+
+        for i, j, kind, score in scored:
+            settle(i)
+            if (s := best[i] + score) > best[j]:
+                best[j], came[j] = s, (i, kind)
+        settle(n)
         out, j = [], n
         while j:
             if came[j] is None:
                 j -= 1
             else:
-                k, kind = came[j]
-                out.append((*segments[k], kind))
-                j = segments[k][0]
+                i, kind = came[j]
+                out.append((i, j, kind))
+                j = i
         return out[::-1]
 
     def gradient(self, n: int, segments: list[tuple[int, int]], f: np.ndarray, gold: set) -> np.ndarray:
@@ -266,17 +279,30 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> li
     taken = [(a, b) for a, _, b in base]
     out = []
     for start, end in islands(text):
-        if end - start > 40 * ISLAND_TOKENS:  # one run without a break: nothing of ours
-            continue
-        bounds, found = candidates(text, start, end)
-        found = [(i, j, s) for i, j, s in found if not any(a < bounds[j] and bounds[i] < b for a, b in taken)]
-        if found:
-            f = np.array([features(s, text[max(0, bounds[i] - 20) : bounds[i]]) for i, _, s in found])
-            for i, j, kind in field.decode(len(bounds) - 1, [(i, j) for i, j, _ in found], field.scores(f)):
-                out.append((bounds[i], kind, bounds[j]))
+        bounds = token_bounds(text, start, end)
+        for i, j, kind in field.decode(len(bounds) - 1, _scored(text, bounds, taken, field)):
+            out.append((bounds[i], kind, bounds[j]))
     return out
 
 
+def _scored(text: str, bounds: list[int], taken: list[tuple[int, int]], field: Field) -> Iterator[tuple[int, int, int, float]]:
+    """An island's segments that touch none of ``taken`` (sorted by start) with their best
+    kind and its score, by first token; only a piece's segments are held at a time."""
+    behind = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0)
+    starts = [a for a, _ in taken]
+
+    def free(a: int, b: int) -> bool:
+        k = bisect.bisect_left(starts, b)
+        return not k or behind[k - 1] <= a
+
+    for lo in range(0, len(bounds) - 1, ISLAND_TOKENS):
+        found = [(i, j, s) for i, j, s in segments(text, bounds, lo, lo + ISLAND_TOKENS) if free(bounds[i], bounds[j])]
+        if found:
+            scores = field.scores(np.array([features(s, text[max(0, bounds[i] - 20) : bounds[i]]) for i, _, s in found]))
+            for (i, j, _), kind, score in zip(found, scores.argmax(1), scores.max(1), strict=True):
+                yield i, j, int(kind), score
+
+
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{a}:{b}" for a, kind, b in sorted(spans))
 

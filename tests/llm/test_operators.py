@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables, odd rows included."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -218,6 +219,22 @@ def test_pii_field_finds_variants_and_leaves_numbers():
     assert found("the year 2021 had 365 days and 1234567 people, key 45ac953709720d07d9") == []
 
 
+def test_pii_field_reads_islands_of_any_length():
+    field, one = pii.fitted(), "(617) 555-0142"
+    found = lambda t: pii.added_spans(t, pii.base_spans(t), field)
+    for n in (40, 3000):
+        assert found(" ".join([one] * n)) == [(15 * k, 3, 15 * k + 14) for k in range(n)]
+    rng = random.Random(8)
+    for _ in range(20):  # pieces choose what the whole island would
+        text = " ".join(x for x in pii._sentence(rng)[0].split() * 20 if any(c in "0123456789@" for c in x))
+        whole, size = found(text), pii.ISLAND_TOKENS
+        try:
+            pii.ISLAND_TOKENS = 1
+            assert found(text) == whole
+        finally:
+            pii.ISLAND_TOKENS = size
+
+
 def test_ann_recall(spark, sf, odd):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     got = defaultdict(list)

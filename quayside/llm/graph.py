@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import drop_scratch, materialize
+from quayside.llm.common import drop_scratch, hot_join, materialize
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,12 +30,19 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[low]), pa.array(nodes[up[low]])], names=["v", "u"])
 
 
+def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``edges(v, u)`` with ``m``, the least u of their v; and the table of these."""
+    least = materialize(edges.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("rows")), "least")
+    return hot_join(edges, least, ["v"], "rows"), least
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; a component is named by its
     smallest node. Loops and repeated edges are harmless; no edges give no rows.
 
-    Every step is a grouped minimum and an equi-join on a node, so a hub costs one
-    partially aggregated row; nothing is gathered per component or on the driver.
+    Every step is a grouped minimum (partially aggregated before its shuffle) joined back
+    to the edges: a hub's edges stay where they are, see ``hot_join``. Nothing is gathered
+    per component or on the driver. Edges that ``max_rounds`` do not settle raise.
     """
     star = materialize(
         edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
@@ -46,21 +53,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     for _ in range(max_rounds):
         both = star.select("v", "u").union(star.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m"))
-        large = (
-            both.join(least, "v")
-            .filter("u > v")
-            .select(F.col("u").alias("v"), F.least("m", "v").alias("u"))
-            .distinct()
-        )
-        down = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = (
-            large.join(down, "v")
-            .select(F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e"))
-            .select("e.*")
-            .filter("v <> u")
-            .distinct()
-        )
+        reached, least = _with_least(both)
+        large = reached.filter("u > v").select(F.col("u").alias("v"), F.least("m", "v").alias("u")).distinct()
+        large = materialize(large, "large")
+        reached, down = _with_least(large)
+        ends = F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))
+        small = reached.select(F.explode(ends).alias("e")).select("e.*").filter("v <> u").distinct()
         after = materialize(small, "stars")
         # done when every node has one parent and no parent has a parent
         parents = after.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u"))
@@ -69,9 +67,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             parents.join(roots, F.col("u") == F.col("w"), "left_semi").select("v")
         )
         done = open_.isEmpty()
-        drop_scratch(star)
+        drop_scratch(star, least, large, down)
         star = after
         if done:
             break
+    else:
+        raise RuntimeError(f"components: not settled after {max_rounds} rounds")
     nodes = star.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return nodes.union(star.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())

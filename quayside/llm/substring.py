@@ -4,9 +4,15 @@ Seeds are winnowed anchors: of every ``span`` consecutive ``SEED``-word grams th
 least hash, so any repeated window of ``window`` words holds an anchor in both places.
 Documents join on anchors. An anchor is extended both ways by up to window - SEED words
 (clipped at the text's ends): occurrences with one extended context share all windows
-around the anchor, and only the smallest document of each context goes on. What partial
-contexts share is then found window by window; matching windows merge to maximal
-repeats. A window answers to its own least gram, which its words alone decide.
+around the anchor, and only the smallest document of each context goes on. Where one
+anchor has several contexts, every extension of it that makes a whole window is grouped
+with its equals: no pairs are formed, so a passage that many documents share in part
+costs each of them its own windows. Matching windows merge to maximal repeats (start,
+length), which are what is removed. A window answers to its own least gram, which its
+words alone decide.
+
+Equality is that of 64-bit seeds with 64-bit contexts, and of 128-bit windows. A text is
+named by its id and a 64-bit hash, since one id may stand on several texts.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import hot_join, id_text, materialize
+from quayside.llm.common import drop_scratch, hot_join, id_text, materialize
 
 SEED = 20
 TOP = np.uint64(2**64 - 1)
@@ -92,7 +98,7 @@ def _seeds(window: int):
             cuts = pa.array(np.searchsorted(own, np.arange(batch.num_rows + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (words.signed(seed), words.signed(context), (at - lo[own]).astype(np.int32))]
             whole = [pa.array(words.signed(words.spans(t.hashes, lo, hi, base))) for base in (words.GRAM_BASE_A, words.GRAM_BASE_B)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hi - lo), *whole, *lists], names=["doc_id", "n", "wa", "wb", "seeds", "contexts", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hi - lo), *whole, *lists], names=["doc_id", "t", "n", "wa", "wb", "seeds", "contexts", "places"])
 
     return run
 
@@ -108,7 +114,7 @@ def _windows(window: int):
                 continue
             lo = t.first[:-1]
             state = np.zeros(len(t.hashes), np.int8)
-            known, states = batch.column(2), batch.column(3)
+            known, states = batch.column(3), batch.column(4)
             owner = np.repeat(np.arange(batch.num_rows), known.value_lengths().to_numpy())
             state[lo[owner] + known.flatten().to_numpy()] = states.flatten().to_numpy()
             at, anchor = t.own_anchors(window)
@@ -118,79 +124,96 @@ def _windows(window: int):
                     own = t.owner[at]
                     pair = [words.signed(words.spans(t.hashes, at, at + window, b)) for b in (words.GRAM_BASE_A, words.GRAM_BASE_B)] if hashed else [pa.nulls(len(at), pa.int64())] * 2
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) if isinstance(x, np.ndarray) else x for x in pair] + [batch.column(0).take(pa.array(own)), pa.array((at - lo[own]).astype(np.int32))],
-                        names=["wa", "wb", "doc_id", "at"],
+                        [pa.array(x) if isinstance(x, np.ndarray) else x for x in pair] + [batch.column(c).take(pa.array(own)) for c in (0, 2)] + [pa.array((at - lo[own]).astype(np.int32))],
+                        names=["wa", "wb", "doc_id", "t", "at"],
                     )
 
     return run
 
 
-def _keep(window: int):
+def _maximal(window: int):
+    """Merge each text's shared windows that overlap or touch: (start, length) in words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = words.text_bytes(batch.column(1))
-            raw, cuts = data.tobytes(), offsets.tolist()
-            n, removed, sha, kept_text = [], [], [], []
+            cuts, starts, lengths = [0], [], []
             for k in range(batch.num_rows):
-                own = raw[cuts[k] : cuts[k + 1]].split()
-                n.append(len(own))
-                gone = 0
-                if batch.column(3)[k].as_py():
-                    gone, own = len(own), []
-                elif (at := batch.column(2)[k]).is_valid and len(at):
-                    delta = np.zeros(len(own) + 1, np.int64)
-                    at = at.values.to_numpy()
-                    np.add.at(delta, at, 1)
-                    np.add.at(delta, at + window, -1)
-                    keep = np.cumsum(delta)[:-1] <= 0
-                    gone = int((~keep).sum())
-                    own = [w for w, k2 in zip(own, keep.tolist(), strict=True) if k2]
-                removed.append(gone)
-                kept = b" ".join(own)
-                sha.append(hashlib.sha256(kept).hexdigest())
-                kept_text.append(kept)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha), pa.array(kept_text, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
+                at = np.unique(batch.column(2)[k].values.to_numpy())
+                opens = np.flatnonzero(np.diff(at, prepend=at[0] - window - 1) > window)
+                ends = np.append(at[opens[1:] - 1], at[-1]) + window
+                starts.append(at[opens]), lengths.append(ends - at[opens])
+                cuts.append(cuts[-1] + len(opens))
+            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *x]), pa.int32())) for x in (starts, lengths)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "t", "starts", "lengths"])
 
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = 50) -> tuple[DataFrame, DataFrame]:
-    """Of docs(doc_id, text): (doc_id, starts) of the windows that also start in a
-    document of smaller id, and (doc_id) of documents that repeat a smaller one's words
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = words.text_bytes(batch.column(1))
+        raw, cuts = data.tobytes(), offsets.tolist()
+        n, removed, sha, kept_text = [], [], [], []
+        for k in range(batch.num_rows):
+            own = raw[cuts[k] : cuts[k + 1]].split()
+            n.append(len(own))
+            gone = 0
+            if batch.column(4)[k].as_py():
+                gone, own = len(own), []
+            elif (at := batch.column(2)[k]).is_valid:
+                keep = np.ones(len(own), bool)
+                for start, length in zip(at.as_py(), batch.column(3)[k].as_py(), strict=True):
+                    keep[start : start + length] = False
+                gone = int((~keep).sum())
+                own = [w for w, k2 in zip(own, keep.tolist(), strict=True) if k2]
+            removed.append(gone)
+            kept = b" ".join(own)
+            sha.append(hashlib.sha256(kept).hexdigest())
+            kept_text.append(kept)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha), pa.array(kept_text, pa.binary()).cast(pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+        )
+
+
+def maximal_repeats(docs: DataFrame, window: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Of docs(doc_id, text, t), where t is a hash of the text: (doc_id, t, starts,
+    lengths), the maximal runs of words whose every ``window`` words also start in a
+    document of smaller id; and (doc_id, t) of documents that repeat a smaller one's words
     as a whole, which the first table leaves out."""
-    spec = "doc_id long, n long, wa long, wb long, seeds array<long>, contexts array<long>, places array<int>"
+    spec = "doc_id long, t long, n long, wa long, wb long, seeds array<long>, contexts array<long>, places array<int>"
     seeds = materialize(docs.filter("doc_id is not null").mapInArrow(_seeds(window), spec), "seeds")
-    whole = seeds.filter(F.col("n") >= window).select("doc_id", "n", "wa", "wb")
+    whole = seeds.filter(F.col("n") >= window).select("doc_id", "t", "n", "wa", "wb")
     firsts = whole.groupBy("n", "wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
     firsts = materialize(firsts.filter("low < high").drop("high"), "firsts")
     copies = hot_join(whole, firsts, ["n", "wa", "wb"], "rows").filter("doc_id > low")
-    copies = materialize(copies.select("doc_id").distinct(), "copies")
+    copies = materialize(copies.select("doc_id", "t").distinct(), "copies")
 
-    places = seeds.select("doc_id", "seeds", "contexts", "places").join(copies, "doc_id", "left_anti")
-    places = places.select("doc_id", F.explode(F.arrays_zip("seeds", "contexts", "places")).alias("s"))
-    places = places.select(F.col("s.seeds").alias("seed"), F.col("s.contexts").alias("context"), "doc_id", F.col("s.places").alias("place"))
+    places = seeds.select("doc_id", "t", "seeds", "contexts", "places").join(copies, ["doc_id", "t"], "left_anti")
+    places = places.select("doc_id", "t", F.explode(F.arrays_zip("seeds", "contexts", "places")).alias("s"))
+    places = places.select(F.col("s.seeds").alias("seed"), F.col("s.contexts").alias("context"), "doc_id", "t", F.col("s.places").alias("place"))
     by_context = places.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
     by_seed = by_context.groupBy("seed").agg(F.min("low").alias("lo"), F.max("high").alias("hi"), F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("rows"))
-    shared = materialize(by_seed.filter("lo < hi").drop("lo", "hi"), "anchors")
-    hits = materialize(hot_join(places, shared, ["seed"], "rows"), "shared")
-    lows = materialize(hits.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows")), "contexts")
-    hits = hot_join(hits, lows, ["seed", "context"], "rows")
+    anchors = materialize(by_seed.filter("lo < hi").drop("lo", "hi"), "anchors")
+    shared = materialize(hot_join(places, anchors, ["seed"], "rows"), "shared")
+    contexts = materialize(shared.groupBy("seed", "context").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows")), "contexts")
+    hits = hot_join(shared, contexts, ["seed", "context"], "rows")
     state = F.when(F.col("doc_id") > F.col("low"), SHARED).when(F.col("contexts") > 1, OPEN).otherwise(FIRST)
-    hits = hits.select("doc_id", "place", state.cast("byte").alias("state"))
-    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("place", "state")).alias("h"), F.min("state").alias("least"))
-    hits = materialize(hits.filter(F.col("least") < FIRST).select("doc_id", "h.place", "h.state"), "hits")
-
-    rows = docs.join(hits, "doc_id").select("doc_id", "text", "place", "state")
-    rows = materialize(rows.mapInArrow(_windows(window), "wa long, wb long, doc_id long, at int"), "windows")
-    open_ = rows.filter("wa is not null")
+    hits = hits.select("doc_id", "t", "place", state.cast("byte").alias("state"))
+    hits = hits.groupBy("doc_id", "t").agg(F.collect_list(F.struct("place", "state")).alias("h"), F.min("state").alias("least"))
+    hits = materialize(hits.filter(F.col("least") < FIRST).select("doc_id", "t", "h.place", "h.state"), "hits")
+    drop_scratch(seeds, firsts, anchors, shared, contexts)
+
+    rows = docs.join(hits, ["doc_id", "t"]).select("doc_id", "text", "t", "place", "state")
+    windows = materialize(rows.mapInArrow(_windows(window), "wa long, wb long, doc_id long, t long, at int"), "windows")
+    open_ = windows.filter("wa is not null")
     lows = open_.groupBy("wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
     lows = materialize(lows.filter("low < high").drop("high"), "lows")
-    found = hot_join(open_, lows, ["wa", "wb"], "rows").filter("doc_id > low").select("doc_id", "at")
-    found = found.union(rows.filter("wa is null").select("doc_id", "at"))
-    return found.groupBy("doc_id").agg(F.collect_list("at").alias("starts")), copies
+    found = hot_join(open_, lows, ["wa", "wb"], "rows").filter("doc_id > low").select("doc_id", "t", "at")
+    found = found.union(windows.filter("wa is null").select("doc_id", "t", "at")).groupBy("doc_id", "t").agg(F.collect_list("at").alias("at"))
+    repeats = materialize(found.mapInArrow(_maximal(window), "doc_id long, t long, starts array<int>, lengths array<int>"), "repeats")
+    drop_scratch(hits, windows, lows)
+    return repeats, copies
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
@@ -199,13 +222,14 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A word goes if a run of ``window`` consecutive words that covers it also starts in a
     document with a smaller id; kept words are joined by one space. Words are
     ``[^\\x20\\x09-\\x0D]+``, unchanged. A null, empty or short text loses nothing. A null
-    id neither loses words nor makes others lose any; rows repeated under one id don't
-    act on each other. An empty table gives no rows; other columns are ignored.
+    id neither loses words nor makes others lose any; rows repeated under one id, of one
+    text or several, don't act on each other. An empty table gives no rows; other columns
+    are ignored.
     """
     if window < SEED + 1:
         raise ValueError(f"window must be over {SEED} words")
-    docs = id_text(df, id_col, text_col)
-    starts, copies = repeated_windows(docs, window)
-    rows = docs.join(starts, "doc_id", "left").join(copies.select("doc_id", F.lit(True).alias("copy")), "doc_id", "left")
-    rows = rows.select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy"))
-    return rows.mapInArrow(_keep(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    docs = id_text(df, id_col, text_col).withColumn("t", F.xxhash64("text"))
+    repeats, copies = maximal_repeats(docs, window)
+    rows = docs.join(repeats, ["doc_id", "t"], "left").join(copies.withColumn("copy", F.lit(True)), ["doc_id", "t"], "left")
+    rows = rows.select("doc_id", "text", "starts", "lengths", F.coalesce("copy", F.lit(False)).alias("copy"))
+    return rows.mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

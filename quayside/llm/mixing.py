@@ -51,6 +51,13 @@ def poisson(rate: Column, draw: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda acc: acc["k"])
 
 
+def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
+    """What a row draws by: its id, or, without one, the md5 of its text behind a sign that
+    no id has, so that rows without an id are not all drawn and dealt as one."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")) if text_col in df.columns else F.lit("")
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(text)))
+
+
 def mix_sources(
     df: DataFrame,
     weights: dict[str, float] | None = None,
@@ -59,35 +66,42 @@ def mix_sources(
     id_col: str = "doc_id",
     source_col: str = "source",
     size_col: Column | None = None,
+    text_col: str = "text",
 ) -> DataFrame:
     """``df`` with each row repeated by its draw and shuffled over all partitions; three
     columns more: mix_rate, mix_copy (from 1) and mix_key, the md5 the order follows.
+    Columns of ``df`` with these names give way to them, so an output can be mixed again;
+    names beginning with ``__mix_`` are the operator's own.
 
     ``weights`` are target shares of the output by source, 1 where not given; ``total`` is
     the output's size (the input's by default) in units of ``size_col`` (rows by default).
-    A null source is a source of its own, written '' for the draw; a null id draws as ''.
-    Rows repeated under one id draw alike. A source of size or weight 0 gives no rows.
+    A null source is a source of its own, written '' for the draw; a null id draws by its
+    text. Rows repeated under one id draw alike. A source of size or weight 0 gives no
+    rows, nor does an empty table.
     """
     size = F.lit(1) if size_col is None else size_col
-    docs = df.withColumn("__mix_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
-    rates = source_rates(docs.select(F.col("__mix_source").alias("source"), size.alias("__s")), weights, F.col("__s"), total)
-    rates = rates.select(F.col("source").alias("__mix_of"), F.col("rate").alias("mix_rate"), F.col("parts").alias("__mix_parts"))
+    docs = df.withColumns({
+        "__mix_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
+        "__mix_id": row_key(df, id_col, text_col),
+        "__mix_size": size,
+    }).drop("mix_rate", "mix_copy", "mix_key")
+    sizes = docs.select(F.col("__mix_source").alias("source"), "__mix_size")
+    rates = source_rates(sizes, weights, F.col("__mix_size"), total)
+    rates = rates.select(F.col("source").alias("__mix_of"), F.col("rate").alias("__mix_rate"), F.col("parts").alias("__mix_parts"))
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    key, seed = F.col("__mix_id"), F.lit(seed)
     rows = docs.join(rates, F.col("__mix_source") == F.col("__mix_of"))
-    mean = F.col("mix_rate") / F.col("__mix_parts")
-    one = poisson(mean, unit(F.lit(seed), key, F.lit("1")))
-    rows = rows.withColumn(
-        "__mix_n",
-        F.when(F.col("__mix_parts") == 1, one).otherwise(
-            F.aggregate(F.sequence(F.lit(1), F.col("__mix_parts")), F.lit(0), lambda acc, i: acc + poisson(mean, unit(F.lit(seed), key, i.cast("string"))))
-        ),
-    ).filter("__mix_n > 0")
-    rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
-    rows = rows.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), key, F.col("mix_copy").cast("string"))))
-    rows = rows.drop("__mix_source", "__mix_of", "__mix_parts", "__mix_n")
-    return rows.repartition(F.col("mix_key")).sortWithinPartitions("mix_key")
+    mean = F.col("__mix_rate") / F.col("__mix_parts")
+    one = poisson(mean, unit(seed, key, F.lit("1")))
+    parts = F.sequence(F.lit(1), F.col("__mix_parts"))
+    sum_of_parts = F.aggregate(parts, F.lit(0), lambda acc, i: acc + poisson(mean, unit(seed, key, i.cast("string"))))
+    rows = rows.withColumn("__mix_n", F.when(F.col("__mix_parts") == 1, one).otherwise(sum_of_parts)).filter("__mix_n > 0")
+    rows = rows.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
+    rows = rows.withColumn("__mix_key", F.md5(F.concat_ws("|", seed, F.lit("order"), key, F.col("__mix_copy").cast("string"))))
+    rows = rows.drop("__mix_source", "__mix_size", "__mix_id", "__mix_of", "__mix_parts", "__mix_n")
+    rows = rows.repartition(F.col("__mix_key")).sortWithinPartitions("__mix_key")
+    return rows.withColumnsRenamed({"__mix_rate": "mix_rate", "__mix_copy": "mix_copy", "__mix_key": "mix_key"})
 
 
 MIX_WEIGHTS = {"src0": 2.0, "src1": 1.5, "src2": 0.5}
@@ -110,12 +124,12 @@ law AS (
   FROM (SELECT t.source, i, CASE WHEN i = 0 THEN exp(-r.rate / r.parts) ELSE p END AS p FROM terms t JOIN rates r USING (source))),
 draws AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, r.source AS s, r.rate, k.part,
-    ('0x' || substr(md5('mix-1|' || coalesce(d.doc_id::VARCHAR, '') || '|' || k.part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+    ('0x' || substr(md5('mix-1|' || coalesce(d.doc_id::VARCHAR, 'text:' || md5(coalesce(d.text, ''))) || '|' || k.part), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM documents d JOIN rates r ON coalesce(d.source, '') = r.source, LATERAL (SELECT unnest(range(1, r.parts + 1)) AS part) k),
 counts AS (
   SELECT doc_id, text, lang, source, n_chars, rate, sum((SELECT count(*) FROM law WHERE law.source = draws.s AND law.c <= draws.u)) AS n
   FROM draws GROUP BY ALL)
 SELECT doc_id, text, lang, source, n_chars, rate AS mix_rate, copy::INT AS mix_copy,
-  md5('mix-1|order|' || coalesce(doc_id::VARCHAR, '') || '|' || copy) AS mix_key
+  md5('mix-1|order|' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) || '|' || copy) AS mix_key
 FROM counts, LATERAL (SELECT unnest(range(1, n::BIGINT + 1)) AS copy) c
 """

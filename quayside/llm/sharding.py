@@ -37,25 +37,37 @@ def jump_shard(key: Column, shards: int) -> Column:
     return apply(key)
 
 
+def stable_key(id_: Column) -> Column:
+    """A long from 0 to 2**60 - 1 from the md5 of an id; of a null one, of no characters.
+    md5 is in every engine, so a shard can be found without this library."""
+    return F.conv(F.substring(F.md5(F.coalesce(id_.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def shard_documents(df: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    The law is ``key``: doc_id and the shard count alone decide (a null id counts as key
-    0), so equal texts under different ids go where their ids go. size is UTF-8 bytes
-    plus 1 and text_crc32 that of the bytes; a null text has none (1 and 0). slot numbers
-    a shard's rows without gaps from 0: by hashed id within parts of the shard, the parts'
-    sizes summed up. Repeated rows each get a slot. An empty table gives no rows.
+    The law is ``key``: doc_id and the shard count alone decide (null ids are one key), so
+    equal texts under different ids go where their ids go. size is UTF-8 bytes plus 1 and
+    text_crc32 that of the bytes; a null text has none (1 and 0). slot numbers a shard's
+    rows without gaps from 0: by key, then checksum, within parts of the shard, the parts'
+    sizes summed up. Parts are cut by key and text, so one id (or none) on many rows does
+    not make one part. Repeated rows each get a slot. An empty table gives no rows; other
+    columns are ignored.
     """
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0)))
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
-        key.alias("key"),
+        stable_key(F.col(id_col).cast("long")).alias("key"),
     )
     parts = max(1, int(np.ceil(df.count() / shards / SLOTS_PER_TASK)))
-    rows = rows.select("*", jump_shard(F.col("key"), shards).alias("shard"), jump_shard(F.col("key"), shards + 1).alias("grown_shard"), F.pmod(F.shiftright("key", 7), F.lit(parts)).alias("part"))
+    rows = rows.select(
+        "*",
+        jump_shard(F.col("key"), shards).alias("shard"),
+        jump_shard(F.col("key"), shards + 1).alias("grown_shard"),
+        F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(parts)).alias("part"),
+    )
     sizes = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -64,3 +76,28 @@ def shard_documents(df: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     return numbered.join(offsets, ["shard", "part"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("at") + F.col("offset")).alias("slot"), "grown_shard"
     )
+
+
+#: The jump by recursion, the checksum byte by byte. Slots are as with one part, which holds
+#: up to 16 * SLOTS_PER_TASK rows.
+SHARD_SQL = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c FROM range(0, 256) t(b))),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key FROM documents),
+bytes AS (SELECT r, list_transform(regexp_extract_all(hex(raw), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM docs),
+crcs AS (
+  SELECT r, len(b) + 1 AS size, xor(list_reduce(b, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM bytes, crc_table),
+walk AS (
+  SELECT r, n, key::UHUGEINT AS k, -1::BIGINT AS b, 0::BIGINT AS j FROM docs, (VALUES (16), (17)) s(n)
+  UNION ALL
+  SELECT r, n, k2, j, floor((j + 1) * (2147483648.0::DOUBLE / ((k2 // 8589934592)::DOUBLE + 1)))::BIGINT
+  FROM (SELECT *, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM walk WHERE j < n) w),
+shards AS (SELECT r, CAST(max(b) FILTER (WHERE n = 16) AS INT) AS shard, CAST(max(b) FILTER (WHERE n = 17) AS INT) AS grown_shard FROM walk GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY key, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+FROM docs JOIN crcs USING (r) JOIN shards USING (r)
+"""

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import words
+from quayside.llm.common import materialize
 
 PASSAGE = 64  # words
 HIDDEN, ATTENTION = 24, 12
-TRAIN_DOCS = 6_000  # labelled documents that a fit gathers on the driver, at most
-TRAIN_PASSAGES = 48  # of one document while fitting, evenly spread; scoring reads all
+#: Bounds of the sample of labelled documents that a fit gathers on the driver: documents,
+#: and the passages of all of them together (of 132 bytes each). Each one's text is whole.
+TRAIN_DOCS, TRAIN_PASSAGES = 6_000, 400_000
 THRESHOLD = 0.3
 CLASSES = 16
 WORD_FEATURES = 12
@@ -151,26 +153,43 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """A model of P(label = 1 | text) from at most TRAIN_DOCS labelled, not held-out
-    documents (those of least hash). Without labels of both kinds it scores every text by
-    the share of ones (0.5 without any)."""
+def training_bags(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    max_docs: int = TRAIN_DOCS,
+    max_passages: int = TRAIN_PASSAGES,
+) -> DataFrame:
+    """(id, label, bag) of a sample of labelled, not held-out documents in hashed order: as
+    many of the first ``max_docs`` as have ``max_passages`` together; a document that
+    would go beyond is passed over, never cut. An id with several labels has the smallest,
+    one with several texts that of least hash."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_DOCS)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(known), "id").select("id", "text", "label")  # TRAIN_DOCS rows at most
+    known = known.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_docs)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).join(F.broadcast(known), "id")  # max_docs rows
+    rows = rows.groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def encode(batches):
         for batch in batches:
-            x, cuts = passages(batch.column(1))
-            kept = []
-            for k in range(batch.num_rows):
-                own = x[cuts[k] : cuts[k + 1]]
-                kept.append(own[np.unique(np.linspace(0, len(own) - 1, TRAIN_PASSAGES).astype(int))].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(kept, pa.binary())], names=["id", "label", "bag"])
-
-    got = rows.mapInArrow(encode, "id long, label int, bag binary").toArrow().sort_by([("id", "ascending"), ("label", "ascending"), ("bag", "ascending")])
+            x, cuts = passages(batch.column(2))
+            bags = [x[cuts[k] : cuts[k + 1]].tobytes() for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(cuts)), pa.array(bags, pa.binary())], names=["id", "label", "n", "bag"])
+
+    bags = materialize(rows.mapInArrow(encode, "id long, label int, n long, bag binary"), "bags")
+    order = Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # of max_docs rows
+    sizes = bags.select("id", "n", F.xxhash64("id").alias("h")).filter(F.col("n") <= max_passages)
+    chosen = sizes.withColumn("sum", F.sum("n").over(order)).filter(F.col("sum") <= max_passages)
+    return bags.join(F.broadcast(chosen.select("id")), "id").select("id", "label", "bag")
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+    """A model of P(label = 1 | text) from the ``training_bags``. Without labels of both
+    kinds it scores every text by the share of ones (0.5 without any)."""
+    got = training_bags(docs, labels, id_col, text_col, label_col).toArrow().sort_by([("id", "ascending")])
     y = got["label"].to_numpy().astype(float)
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in got["bag"].to_pylist()]
     return Model(y.mean() if len(y) else 0.5).fit(bags, y)

@@ -22,7 +22,7 @@ CANDIDATES = 48
 FAR = 16  # more candidates drawn at random, which tie separate clusters together
 BEAM = 160
 ENTRIES = 16  # nodes of an upper layer from which the next one starts
-BLOCK = 256
+BLOCK, BLOCKS_PER_TASK = 256, 256  # queries searched side by side, and such blocks for one copy of a shard
 INDEX = "shard int, dim int, ids binary, counts binary, vectors binary, sizes binary, links binary"
 
 
@@ -220,8 +220,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
-    """(query_id, rank, vec_id, score) over all shards of ``index``. A shard and the query
-    blocks sent to it meet in one task, the shard first; blocks stream past it."""
+    """(query_id, rank, vec_id, score) over all shards of ``index``. A shard, or a copy of
+    it, and the query blocks sent to it meet in one task, the shard first; blocks stream
+    past it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, graph = None, None
@@ -238,27 +239,33 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM)
                     out = graph.search(ids, q, k, beam)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["query_id", "vec_id", "score"])
 
-    shards = index.select("shard")
+    # a shard asked by many blocks is copied, and each copy takes its share of them
+    copies = max(1, math.ceil(queries.count() / BLOCK / BLOCKS_PER_TASK))
     blocks = queries.select("vec_id", "v").mapInArrow(_blocks, "dim int, ids binary, vectors binary")
-    last = shards.agg(F.max("shard")).first()[0]
-    sent = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(0 if last is None else last))).alias("shard"), "*")
-    both = index.select("*", F.lit(0).alias("kind")).unionByName(sent.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    met = both.repartition("shard").sortWithinPartitions("shard", "kind").drop("kind")
+    last = index.select("shard").agg(F.max("shard")).first()[0]
+    every = F.sequence(F.lit(0), F.lit(0 if last is None else last))
+    sent = blocks.withColumn("copy", F.pmod(F.xxhash64("ids"), F.lit(copies)).cast("int")).select("*", F.explode(every).alias("shard"), F.lit(1).alias("kind"))
+    held = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(0).alias("kind"))
+    met = held.unionByName(sent, allowMissingColumns=True).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind").drop("kind", "copy")
     near = met.mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def nearest_neighbours(df: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50) -> DataFrame:
+def nearest_neighbours(
+    df: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
     """The k nearest found, by cosine in double precision, of each row whose id is
     divisible by ``every`` among all other rows: query_id, rank, vec_id, score.
 
     Nearest first, ties to the smaller id. Vectors null, empty, zero or holding null or
-    non-finite components, and null ids, neither ask nor answer. Equal vectors tie, and
-    rows repeated under one id are one candidate that never answers its own query.
-    Vectors of different lengths raise. Fewer than k candidates: all; none: no rows.
+    non-finite components, and null ids, neither ask nor answer. Equal vectors tie. Of
+    several vectors under one id the smallest, component by component, stands for it, so a
+    repeated row is one candidate and never answers its own query. Vectors of different
+    lengths raise. Fewer than k candidates: all; none: no rows. Other columns are ignored.
+    A shard of at most 2 * BEAM nodes is read whole: the beam would visit nearly all.
     """
-    vectors = clean_vectors(df, id_col, vector_col).dropDuplicates(["vec_id"])
-    index = materialize(build_index(vectors, k), "hnsw")
-    queries = clean_vectors(df, id_col, vector_col).filter(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
-    return search_index(index, queries, k)
+    vectors = clean_vectors(df, id_col, vector_col).groupBy("vec_id").agg(F.min("v").alias("v"))
+    vectors = materialize(vectors, "vectors")
+    index = materialize(build_index(vectors, k, shard_rows), "hnsw")
+    return search_index(index, vectors.filter(F.pmod("vec_id", F.lit(every)) == 0), k)

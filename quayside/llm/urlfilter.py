@@ -11,13 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.common import hot_join, materialize
+
 FOREVER = "9999-01-01"
+LONGEST_HOST = 253  # characters that a host name can have
 
 
 def url_host(url: Column) -> Column:
-    """Lower-case host of a URL without user and port; null where there is none."""
+    """Lower-case host of a URL without user and port; null where there is none, or where
+    it is longer than a host name can be."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1))
-    return F.when(host != "", host)
+    return F.when((host != "") & (F.length(host) <= LONGEST_HOST), host)
 
 
 def host_keys(host: Column) -> Column:
@@ -45,27 +49,40 @@ def filter_captures(captures: DataFrame, entries: DataFrame, horizon: str) -> Da
     A capture is blocked if a list held its host or a parent domain on its day. A null or
     unparsable URL, or a null day, matches nothing. ``horizon`` is a day after the last
     capture; it ends the months that an open interval is dealt to. Repeated captures give
-    repeated rows; an empty list blocks nothing.
+    repeated rows; an empty list blocks nothing, no captures give no rows; other columns
+    are ignored. A key's intervals of one month are one row (a day starts at most one per
+    list); keys, and hosts of a day, that hold much of the captures are joined by
+    broadcast, see ``hot_join``.
     """
     rows = captures.select("page_id", "url", url_host(F.col("url")).alias("host"), F.col("day").alias("fetched_on"))
-    asked = rows.filter("host is not null and fetched_on is not null").select("host", "fetched_on").distinct()
-    asked = asked.select("host", "fetched_on", F.explode(F.array_distinct(host_keys(F.col("host")))).alias("key"))
-    asked = asked.withColumn("month", F.trunc("fetched_on", "month"))
+    idle = F.col("host").isNull() | F.col("fetched_on").isNull()
+    asked = rows.filter(~idle).groupBy("host", "fetched_on").agg(F.count(F.lit(1)).alias("rows"))
+    asked = materialize(asked, "asked")
+    keys = asked.select("host", "fetched_on", F.explode(F.array_distinct(host_keys(F.col("host")))).alias("key"))
+    keys = keys.withColumn("month", F.trunc("fetched_on", "month"))
+
     spans = validity_intervals(entries).withColumn("end", F.least("until", F.lit(horizon).cast("date"))).filter("since < end")
     months = F.sequence(F.trunc("since", "month"), F.trunc(F.date_sub("end", 1), "month"), F.expr("interval 1 month"))
     spans = spans.withColumn("month", F.explode(months))
-    met = asked.join(spans, ["key", "month"]).filter("fetched_on >= since and fetched_on < until")
+    spans = spans.groupBy("key", "month").agg(F.collect_list(F.struct("list", "since", "until")).alias("spans"))
+    counts = keys.groupBy("key", "month").agg(F.count(F.lit(1)).alias("rows"))
+    spans = materialize(spans.join(counts, ["key", "month"]), "spans")
+
+    valid = F.filter("spans", lambda s: (F.col("fetched_on") >= s["since"]) & (F.col("fetched_on") < s["until"]))
+    met = hot_join(keys, spans, ["key", "month"], "rows")
+    met = met.select("host", "fetched_on", "key", F.explode(valid["list"]).alias("list"))
     found = met.groupBy("host", "fetched_on").agg(
         F.countDistinct("list").alias("n_lists"),
         F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "list", "key"))), ",").alias("matches"),
     )
-    out = rows.join(found, ["host", "fetched_on"], "left")
+    found = materialize(asked.join(found, ["host", "fetched_on"], "left"), "found")
+    out = hot_join(rows.filter(~idle), found, ["host", "fetched_on"], "rows").unionByName(rows.filter(idle), allowMissingColumns=True)
     return out.select(
         "page_id", "url", "host", "fetched_on",
         F.coalesce("n_lists", F.lit(0)).cast("long").alias("n_lists"),
         F.coalesce("matches", F.lit("")).alias("matches"),
         F.col("n_lists").isNotNull().alias("blocked"),
-    )
+    )
 
 
 FIRST_DAY, HORIZON = "2023-01-01", "2025-01-01"
@@ -92,8 +109,8 @@ def page_entries(pages: DataFrame) -> DataFrame:
 
 
 URL_SQL = """
-WITH base AS (
-  SELECT page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host FROM pages),
+WITH hosts AS (SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host FROM pages),
+base AS (SELECT page_id, url, CASE WHEN host <> '' AND length(host) <= 253 THEN host END AS host FROM hosts),
 captures AS (SELECT page_id, url, host, (DATE '2023-01-01' + (page_id * 37 % 730)::INT)::DATE AS fetched_on FROM base),
 entries AS (
   SELECT 'list' || (page_id % 4) AS list,

@@ -22,20 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+QUAD = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-MAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+@-")
-#: Where the field looks: words with digits or at-signs, and addresses spelled out.
-ISLAND = re.compile(
-    r"[^\s]*[0-9@][^\s]*(?:[\x20][^\s]*[0-9@][^\s]*)*"
-    r"|[A-Za-z0-9._%+-]+[\x20]?[\[(]?[\x20]?(?:at|AT)[\x20]?[\])]?[\x20]?[A-Za-z0-9-]+[\x20]?[\[(]?[\x20]?(?:dot|DOT)[\x20]?[\])]?[\x20]?[A-Za-z]{2,8}(?:[\x20](?:dot|DOT)[\x20][A-Za-z]{2,8})?"
-)
+#: Where the field looks: words with digits or at-signs, and addresses spelled out. Every
+#: pattern reads a character a bounded number of times, however long its word.
+MARKED = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+")
+AT_WORD = re.compile(r"(?<=[\x20\[(])(?:at|AT)(?=[\x20\])])")
+AT_HOST = re.compile(r"[\x20\])]{1,3}+[A-Za-z0-9-]++[\x20\[(]{1,3}+(?:dot|DOT)[\x20\])]{1,3}+[A-Za-z]{2,8}+(?:\x20(?:dot|DOT)\x20[A-Za-z]{2,8})?")
+LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]|\s+")
-LONGEST = 24  # tokens of a segment
-ISLAND_TOKENS = 400  # longer islands are scored in such pieces
+LONGEST, LONGEST_CHARS = 24, 320  # tokens and characters of a segment, at most
+PIECE_TOKENS = 400  # an island's segments are scored in such pieces, and decoded as a whole
 HINTS = {
     "email": {"email", "mail", "e", "contact", "write", "reach"},
     "ip": {"ip", "host", "server", "address", "addr", "from"},
@@ -52,29 +51,40 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _local_start(text: str, at: int, least: int) -> int:
+    """Where the run of local-part characters that ends before ``at`` begins."""
+    while at > least and text[at - 1] in LOCAL_CHARS:
+        at -= 1
+    return at
+
+
+def _octets(quad: str) -> bool:
+    return all(len(p := part.lstrip("0")) < 4 and int(p or "0") <= 255 for part in quad.split("."))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the four base patterns, leftmost and non-overlapping each;
-    matches that fail their test are dropped."""
-    out = []
+    matches that fail their test are dropped. In time linear in the text: an address is
+    read outwards from its sign, and dotted numbers from where a number begins."""
+    out, least = [], 0
     at = text.find("@")
-    while at >= 0:  # an address lies in one run of its characters
-        lo = at
-        while lo and text[lo - 1] in MAIL_CHARS:
-            lo -= 1
-        hi = EMAIL_RUN.match(text, lo).end()
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text, lo, hi)]
-        at = text.find("@", hi)
-    for m in IP.finditer(text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
-            out.append((m.start(), 1, m.end()))
+    while at >= 0:
+        lo = _local_start(text, at, least)
+        if lo < at and (m := DOMAIN.match(text, at + 1)):
+            out.append((lo, 0, m.end()))
+            least = m.end()
+        else:
+            least = at + 1  # no local part holds the sign
+        at = text.find("@", least)
+    out += [(m.start(), 1, m.end()) for m in QUAD.finditer(text) if _octets(m[0])]
     for m in CARD.finditer(text):
-        digits = re.sub("[^0-9]", "", m[0])
+        digits = m[0].replace(" ", "").replace("-", "")
         if 14 <= len(digits) <= 19 and luhn(digits):
             out.append((m.start(), 2, m.end()))
     at = text.find("+")
     while at >= 0:  # no match holds a second plus sign
         if m := PHONE.match(text, at):
-            if 10 <= sum(c in "0123456789" for c in m[0]) <= 15:
+            if 10 <= sum(map(m[0].count, "0123456789")) <= 15:
                 out.append((at, 3, m.end()))
         at = text.find("+", at + 1)
     return sorted(out)
@@ -118,23 +128,25 @@ def token_bounds(text: str, start: int, end: int) -> list[int]:
 
 def segments(text: str, bounds: list[int], lo: int, hi: int) -> Iterator[tuple[int, int, str]]:
     """Segments (first, behind last token, span) that begin at tokens lo to hi: at most
-    LONGEST tokens, from and to a place where no letter or digit goes on, with a digit or
-    a sign of an address inside."""
+    LONGEST tokens and LONGEST_CHARS characters, from and to a place where no letter or
+    digit goes on, with a digit or a sign of an address inside."""
     for i in range(lo, min(hi, len(bounds) - 1)):
         a = bounds[i]
         if (a and text[a - 1].isalnum()) or not (text[a].isalnum() or text[a] in "+("):
             continue
         for j in range(i + 1, min(len(bounds) - 1, i + LONGEST) + 1):
             b = bounds[j]
+            if b - a > LONGEST_CHARS:
+                break
             if not text[b - 1].isalnum() or (b < len(text) and text[b].isalnum()):
                 continue
             span = text[a:b]
-            digits = sum(c in "0123456789" for c in span)
+            digits = sum(map(span.count, "0123456789"))
             if "\n" in span or digits > 24:
                 break
             signs = "@" in span or re.search(r"(?i)(?<![a-z])at(?![a-z]).*(?<![a-z])dot(?![a-z])", span)
-            if not signs and any(c.isalpha() for c in span):
-                continue  # numbers of any kind hold no letters
+            if not signs and ("+" in span[1:] or any(c.isalpha() for c in span)):
+                continue  # numbers of any kind hold no letters, and a plus sign only in front
             if signs or digits >= 7 or (digits >= 4 and span.count(".") == 3):
                 yield i, j, span
 
@@ -146,7 +158,24 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
 
 
 def islands(text: str) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in ISLAND.finditer(text)]
+    """(start, end) of where the field looks, in order and apart."""
+    found = [m.span() for m in MARKED.finditer(text)]
+    least = 0
+    for m in AT_WORD.finditer(text):
+        if tail := AT_HOST.match(text, m.end()):
+            lo = m.start()
+            while m.start() - lo < 3 and lo > least and text[lo - 1] in "\x20[(":
+                lo -= 1
+            if (start := _local_start(text, lo, least)) < lo:
+                found.append((start, tail.end()))
+        least = m.end()
+    out = []
+    for start, end in sorted(found):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 class Field:
@@ -295,8 +324,8 @@ def _scored(text: str, bounds: list[int], taken: list[tuple[int, int]], field: F
         k = bisect.bisect_left(starts, b)
         return not k or behind[k - 1] <= a
 
-    for lo in range(0, len(bounds) - 1, ISLAND_TOKENS):
-        found = [(i, j, s) for i, j, s in segments(text, bounds, lo, lo + ISLAND_TOKENS) if free(bounds[i], bounds[j])]
+    for lo in range(0, len(bounds) - 1, PIECE_TOKENS):
+        found = [(i, j, s) for i, j, s in segments(text, bounds, lo, lo + PIECE_TOKENS) if free(bounds[i], bounds[j])]
         if found:
             scores = field.scores(np.array([features(s, text[max(0, bounds[i] - 20) : bounds[i]]) for i, _, s in found]))
             for (i, j, _), kind, score in zip(found, scores.argmax(1), scores.max(1), strict=True):
@@ -319,7 +348,7 @@ def pii_spans(text: Column, field: Field) -> Column:
             if any(c in t for c in "@0123456789") or "dot" in t or "DOT" in t:
                 base = base_spans(t)
                 more = added_spans(t, base, field)
-            counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
+            counts = [sum(k == kind for _, k, _ in base) for kind in range(len(KINDS))]
             rows.append({**{f"n_{k}": n for k, n in zip(KINDS, counts, strict=True)}, "base_sha256": hashlib.sha256(written(base).encode()).hexdigest(), "spans": written(base + more)})
         kinds = [(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string())]
         return pa.array(rows, pa.struct(kinds))
@@ -330,8 +359,9 @@ def pii_spans(text: Column, field: Field) -> Column:
 def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of
     the base spans, and spans: those and the field's, as kind:start:end in code points by
-    start, then kind. A null or empty text has none. Repeated rows give repeated results,
-    an empty table none; other columns are ignored.
+    start, then kind. A null or empty text has none. The field's segments hold at most
+    LONGEST tokens and LONGEST_CHARS characters; islands and texts may have any length.
+    Repeated rows give repeated results, an empty table none; other columns are ignored.
     """
     spans = pii_spans(F.col(text_col).cast("string"), fitted())
     return df.select(F.col(id_col).cast("long").alias("doc_id"), spans.alias("s")).select("doc_id", "s.*")

@@ -283,7 +283,7 @@ class Tokenizer:
 
     def _split(self, piece: str, words: dict) -> list:
         own = []
-        for k, part in enumerate(self.cut.split(piece) if self.cut and "<" in piece else [piece]):
+        for k, part in enumerate(self.cut.split(piece) if self.cut else [piece]):
             if k % 2:
                 own.append(self.added[part])
             elif part:

@@ -11,6 +11,7 @@ takes up the rest.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import hot_join, id_text, materialize
+from quayside.llm.common import drop_scratch, hot_join, id_text, materialize, release, scratch_mark
 from quayside.llm.graph import components
 
 FIRST, TREES = 3, 42  # least prefix depth, and trees: together they use each hash once
@@ -171,10 +172,10 @@ def _scan(least_num: int, least_den: int, edges: bool):
     return run
 
 
-def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """(a, b, agree) with a < b of documents that are neighbours in some tree, and
-    (doc_id) of those with a full window in some tree. Two documents of one region that
-    are not neighbours both have one."""
+def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b, agree) with a < b of documents that are neighbours in some tree, (doc_id) of
+    those with a full window in some tree, and the scratch table that both are read from.
+    Two documents of one region that are not neighbours both have a full window."""
     num, den = threshold
     rows = reps.select("doc_id", "n", "sig").mapInArrow(_forest_rows, "k1 long, k2 long, k3 long, doc long, n long, sketch binary")
     rows = rows.select(F.lit(0).alias("g"), "*")
@@ -185,9 +186,9 @@ def candidate_pairs(reps: DataFrame, threshold: tuple[int, int]) -> tuple[DataFr
     ends = found.filter("kind = 1").select("g", "k1", "k2", "k3", "doc", "n", "sketch")
     ends = ends.repartition("g").sortWithinPartitions("g", *order)
     more = ends.mapInArrow(_scan(num, den, False), SCAN)
-    found = found.unionByName(more)
-    pairs = found.filter("kind = 0").groupBy(F.col("doc").alias("a"), F.col("other").alias("b")).agg(F.max("agree").alias("agree"))
-    return pairs, found.filter("kind = 3").select(F.col("doc").alias("doc_id")).distinct()
+    both = found.unionByName(more)
+    pairs = both.filter("kind = 0").groupBy(F.col("doc").alias("a"), F.col("other").alias("b")).agg(F.max("agree").alias("agree"))
+    return pairs, both.filter("kind = 3").select(F.col("doc").alias("doc_id")).distinct(), found
 
 
 def _shingle_rows(size: int):
@@ -196,37 +197,38 @@ def _shingle_rows(size: int):
             values, offsets = shingle_sets(batch.column(1), size)
             counts = np.diff(offsets)
             owner = np.repeat(np.arange(len(counts)), counts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner)), batch.column(2).take(pa.array(owner)), pa.array(counts[owner]), pa.array(words.signed(values))],
-                names=["doc", "c", "n", "h"],
-            )
+            doc, c, t = (batch.column(k).take(pa.array(owner)) for k in (0, 2, 3))
+            yield pa.RecordBatch.from_arrays([doc, c, t, pa.array(counts[owner]), pa.array(words.signed(values))], names=["doc", "c", "t", "n", "h"])
 
     return run
 
 
 def crowded_pairs(texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b) of all documents of ``texts`` (doc_id, text, c) that may link though their
-    groups ``c`` differ: an exact prefix filter. With shingles ordered from rare to common,
+    """(a, b) of all documents of ``texts`` (doc_id, text, c, t), where t is a hash of the
+    text, that may link though their groups ``c`` differ: an exact prefix filter. With shingles ordered from rare to common,
     texts of similarity num/den share one within the larger text's first n - num/den n + 1
     and the smaller one's first n - 2 num/(num + den) n + 1. Shingles that only one group
     has there join nothing."""
     num, den = threshold
-    rows = materialize(texts.select("doc_id", "text", "c").mapInArrow(_shingle_rows(size), "doc long, c long, n long, h long"), "shingles")
+    rows = materialize(texts.select("doc_id", "text", "c", "t").mapInArrow(_shingle_rows(size), "doc long, c long, t long, n long, h long"), "shingles")
     counts = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows")), "counts")
     known = hot_join(rows, counts.withColumn("common", F.col("rows")), ["h"], "rows")
-    ordered = known.groupBy("doc", "c", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
+    ordered = known.groupBy("doc", "c", "t", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
     probe = F.expr(f"CAST(n - ({num} * n + {den - 1}) DIV {den} + 1 AS INT)")
     index = F.expr(f"CAST(n - ({2 * num} * n + {num + den - 1}) DIV {num + den} + 1 AS INT)")
     first = ordered.withColumn("least", index).select("doc", "c", "n", "least", F.posexplode(F.slice("s", F.lit(1), probe)).alias("at", "x"))
-    first = materialize(first.select("doc", "c", "n", F.col("x.h").alias("h"), (F.col("at") < F.col("least")).alias("listed")), "prefixes")
-    mixed = first.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows"))
+    prefixes = materialize(first.select("doc", "c", "n", F.col("x.h").alias("h"), (F.col("at") < F.col("least")).alias("listed")), "prefixes")
+    mixed = prefixes.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows"))
     mixed = materialize(mixed.filter("lo <> hi").select("h", "rows"), "mixed")
-    first = materialize(hot_join(first, mixed, ["h"], "rows"), "prefixes")
+    first = materialize(hot_join(prefixes, mixed, ["h"], "rows"), "prefixes")
+    drop_scratch(rows, counts, prefixes, mixed)
     x = first.select("h", F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
     y = first.filter("listed").select("h", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"))
     on = (F.col("cx") != F.col("cy")) & (F.struct("ny", "y") < F.struct("nx", "x")) & (den * F.col("ny") >= num * F.col("nx"))
     both = x.join(y.hint("merge"), "h").filter(on)
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = materialize(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest")
+    drop_scratch(first)
+    return pairs
 
 
 def _confirm(size: int, num: int, den: int):
@@ -255,6 +257,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[in
     return both.mapInArrow(_confirm(size, *threshold), "a long, b long, ok boolean").filter("ok").select("a", "b")
 
 
+def _one_id(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of ids that have texts of different sets."""
+    several = sets.groupBy("doc_id").agg(F.min(F.struct("sa", "sb", "n")).alias("lo"), F.max(F.struct("sa", "sb", "n")).alias("hi"))
+    several = materialize(several.filter("lo <> hi").select("doc_id"), "several")
+    mine = sets.select("doc_id", "sa", "sb", "n").join(several, "doc_id").join(classes.select("sa", "sb", "n", "rep"), ["sa", "sb", "n"])
+    links = materialize(mine.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "links")
+    drop_scratch(several)
+    return links
+
+
+def _grouped(links: list[DataFrame], before: DataFrame | None = None) -> DataFrame:
+    """Components of all links, as a scratch table; ``before``, if the last of ``links``
+    is empty and changes nothing."""
+    if before is not None:
+        if links[-1].isEmpty():
+            return before
+        drop_scratch(before)
+    mark = scratch_mark()
+    nodes = components(reduce(DataFrame.union, links))
+    groups = materialize(nodes, "groups")
+    release(groups.sparkSession, mark | {groups._scratch_path})
+    return groups
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -275,49 +301,54 @@ def near_duplicates(
     Of the candidates, each document first confirms three (smallest id, best sketch,
     smallest hash); then all that still join different groups are confirmed. Documents
     with a full window in some tree are then compared by an exact prefix filter, so a
-    crowd hides no link.
+    crowd hides no link. Sets are taken for equal when their sizes and two 64-bit sums of
+    mixed shingle hashes are (a chance below 1e-16 among 10**11 sets), and shingles when
+    their 64-bit hashes are. Texts under one id are one document, linked to whatever one of
+    them is; each row reports its own text's set size, and a blank one's component is its
+    own id.
     """
     docs = id_text(df, id_col, text_col)
     profile = materialize(docs.mapInArrow(_profile(shingle_size), "doc_id long, n long, sa long, sb long, sig binary"), "profile")
     sets = profile.filter("n > 0 and doc_id is not null")
-    classes = sets.groupBy("sa", "sb").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "n", "sig")).alias("r"), F.count(F.lit(1)).alias("rows"))
-    classes = materialize(classes.select("sa", "sb", "rep", "rows", "r.n", "r.sig"), "classes")
-    pairs, full = candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold)
+    classes = sets.groupBy("sa", "sb", "n").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"), F.count(F.lit(1)).alias("rows"))
+    classes = materialize(classes, "classes")
+    links = [_one_id(sets, classes)]
+    pairs, full, forest = candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold)
     pairs, full = materialize(pairs, "pairs"), materialize(full, "full")
+    drop_scratch(forest)
 
     both = pairs.select("a", "b", "agree").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     chosen = both.groupBy("a").agg(
         F.min("b").alias("low"), F.max_by("b", F.struct("agree", "b")).alias("best"), F.min_by("b", F.xxhash64("b")).alias("some")
     )
     chosen = chosen.select("a", F.explode(F.array_distinct(F.array("low", "best", "some"))).alias("b"))
-    chosen = chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    chosen = materialize(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "chosen")
     needed = both.select(F.col("a").alias("doc_id")).distinct()
     texts = materialize(docs.join(needed.hint("merge"), "doc_id", "left_semi"), "texts")
 
-    chosen = materialize(chosen, "chosen")
-    links = materialize(confirmed(chosen, texts, shingle_size, threshold), "links")
-    groups = materialize(components(links), "groups")
+    links.append(materialize(confirmed(chosen, texts, shingle_size, threshold), "links"))
+    groups = _grouped(links)
     rest = pairs.join(chosen, ["a", "b"], "left_anti").select("a", "b")
     ga = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     gb = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     rest = rest.join(ga, "a", "left").join(gb, "b", "left")
     rest = materialize(rest.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "rest")
     if not rest.isEmpty():
-        more = materialize(confirmed(rest, texts, shingle_size, threshold), "links")
-        if not more.isEmpty():
-            links = links.union(more)
-            groups = materialize(components(links), "groups")
+        links.append(materialize(confirmed(rest, texts, shingle_size, threshold), "links"))
+        groups = _grouped(links, groups)
+    drop_scratch(texts, pairs, chosen, rest)
     if not full.isEmpty():
-        crowd = docs.join(full.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        crowd = docs.withColumn("t", F.xxhash64("text")).join(full.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "t"])
         crowd = crowd.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")
-        crowd = materialize(crowd.select("doc_id", "text", F.coalesce("component", "doc_id").alias("c")), "crowd")
-        rest = materialize(crowded_pairs(crowd, shingle_size, threshold), "rest")
-        more = materialize(confirmed(rest, crowd.select("doc_id", "text"), shingle_size, threshold), "links")
-        if not more.isEmpty():
-            groups = materialize(components(links.union(more)), "groups")
+        crowd = materialize(crowd.select("doc_id", "text", F.coalesce("component", "doc_id").alias("c"), "t"), "crowd")
+        rest = crowded_pairs(crowd, shingle_size, threshold)
+        links.append(materialize(confirmed(rest, crowd.select("doc_id", "text"), shingle_size, threshold), "links"))
+        groups = _grouped(links, groups)
+        drop_scratch(crowd, rest)
 
     named = classes.select("sa", "sb", "rep", "rows").join(groups, F.col("rep") == F.col("node"), "left")
     named = materialize(named.select("sa", "sb", "rows", F.coalesce("component", "rep").alias("component_id")), "named")
+    drop_scratch(classes, full, groups, *links)
     alone = F.col("doc_id").isNull() | (F.col("n") == 0)
     linked = hot_join(profile.filter(~alone).select("doc_id", "n", "sa", "sb"), named, ["sa", "sb"], "rows")
     out = linked.select("doc_id", "n", "component_id").union(profile.filter(alone).select("doc_id", "n", "doc_id"))

@@ -77,9 +77,35 @@ FROM d LEFT JOIN gone USING (doc_id)
 """
 
 
+NEARDUP_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(CASE WHEN len(w) < 4 THEN w ELSE w[i:i + 3] END, ' ')) AS g
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i) p WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS low FROM documents
+  UNION
+  SELECT b, low FROM reach JOIN ways ON a = doc_id WHERE low < b),
+least AS (SELECT doc_id, min(low) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN n USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ann, op2_bpe, op3_sharding, op4_mixing, op5_pii, op6_neardup, op7_urlfilter, op8_quality, op9_substring, op10_exact)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.MIX_SQL, "op7_urlfilter": urlfilter.URL_SQL, "op9_substring": SUBSTRING_SQL, "op10_exact": EXACT_SQL}
+    return {
+        "op3_sharding": sharding.SHARD_SQL,
+        "op4_mixing": mixing.MIX_SQL,
+        "op6_neardup": NEARDUP_SQL,
+        "op7_urlfilter": urlfilter.URL_SQL,
+        "op9_substring": SUBSTRING_SQL,
+        "op10_exact": EXACT_SQL,
+    }

@@ -205,29 +205,30 @@ def _shingle_rows(size: int):
 
 def crowded_pairs(texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
     """(a, b) of all documents of ``texts`` (doc_id, text, c, t), where t is a hash of the
-    text, that may link though their groups ``c`` differ: an exact prefix filter. With shingles ordered from rare to common,
-    texts of similarity num/den share one within the larger text's first n - num/den n + 1
-    and the smaller one's first n - 2 num/(num + den) n + 1. Shingles that only one group
-    has there join nothing."""
+    text, that may link though their groups ``c`` differ: an exact prefix filter.
+
+    Shingles are ordered: first those that one group alone holds, which no link between
+    groups can rest on, then from rare to common. Texts of similarity num/den share one
+    within the larger text's first n - num/den n + 1 and the smaller one's first
+    n - 2 num/(num + den) n + 1; and of the first that they share, enough are left behind
+    it in both for the overlap that the similarity needs."""
     num, den = threshold
     rows = materialize(texts.select("doc_id", "text", "c", "t").mapInArrow(_shingle_rows(size), "doc long, c long, t long, n long, h long"), "shingles")
-    counts = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows")), "counts")
-    known = hot_join(rows, counts.withColumn("common", F.col("rows")), ["h"], "rows")
-    ordered = known.groupBy("doc", "c", "t", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    counts = materialize(counts.select("h", "rows", F.when(F.col("lo") < F.col("hi"), F.col("rows")).otherwise(0).alias("common")), "counts")
+    ordered = hot_join(rows, counts, ["h"], "rows").groupBy("doc", "c", "t", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
     probe = F.expr(f"CAST(n - ({num} * n + {den - 1}) DIV {den} + 1 AS INT)")
     index = F.expr(f"CAST(n - ({2 * num} * n + {num + den - 1}) DIV {num + den} + 1 AS INT)")
     first = ordered.withColumn("least", index).select("doc", "c", "n", "least", F.posexplode(F.slice("s", F.lit(1), probe)).alias("at", "x"))
-    prefixes = materialize(first.select("doc", "c", "n", F.col("x.h").alias("h"), (F.col("at") < F.col("least")).alias("listed")), "prefixes")
-    mixed = prefixes.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows"))
-    mixed = materialize(mixed.filter("lo <> hi").select("h", "rows"), "mixed")
-    first = materialize(hot_join(prefixes, mixed, ["h"], "rows"), "prefixes")
-    drop_scratch(rows, counts, prefixes, mixed)
-    x = first.select("h", F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
-    y = first.filter("listed").select("h", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"))
+    first = first.filter("x.common > 0").select("x.h", "doc", "c", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") < F.col("least")).alias("listed"))
+    first = materialize(first, "prefixes")
+    x = first.select("h", F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("left").alias("lx"))
+    y = first.filter("listed").select("h", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("left").alias("ly"))
     on = (F.col("cx") != F.col("cy")) & (F.struct("ny", "y") < F.struct("nx", "x")) & (den * F.col("ny") >= num * F.col("nx"))
+    on &= (num + den) * F.least("lx", "ly") >= num * (F.col("nx") + F.col("ny"))
     both = x.join(y.hint("merge"), "h").filter(on)
     pairs = materialize(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest")
-    drop_scratch(first)
+    drop_scratch(rows, counts, first)
     return pairs
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans.adapters import register
+from quayside.plans.vendor_tables import VENDOR
 
 FARES = {
     "fare_base": """
@@ -21,87 +22,70 @@ FROM fare_base""",
     "txn_channel_map": """
 SELECT t.txn_source, t.txn_group, p.payment_type_key, c.sales_channel_key, CONCAT('channel ', CAST(c.sales_channel_key AS VARCHAR(2))) AS sales_channel_display, CONCAT('type ', CAST(p.payment_type_key AS VARCHAR(2))) AS txn_channel_display
 FROM (SELECT DISTINCT CASE l_returnflag WHEN 'A' THEN 'SalesTxn' WHEN 'N' THEN 'UseTxn' ELSE 'RefundTxn' END AS txn_source, CASE l_returnflag WHEN 'A' THEN 'Product Sales' WHEN 'N' THEN 'Open Payment Trips' ELSE 'Direct Refunds Applied' END AS txn_group FROM lineitem) t
-CROSS JOIN (SELECT DISTINCT l_linenumber AS payment_type_key FROM lineitem) p CROSS JOIN (SELECT DISTINCT c_custkey % 5 AS sales_channel_key FROM customer) c""",
-    "reasons": "SELECT s_suppkey AS reason_key, CONCAT('reason ', s_name) AS reason_name, CAST(s_suppkey % 20 AS VARCHAR(4)) AS reason_code FROM supplier WHERE s_suppkey % 5 > 0",
-    "products": "SELECT p_partkey AS fare_prod_key, p_name AS fare_prod_name, p_brand AS rider_class_name, p_size % 3 AS monetary_inst_type_id, p_partkey % 7 AS fare_prod_users_list_key FROM part",
+CROSS JOIN (SELECT DISTINCT l_linenumber AS payment_type_key FROM lineitem) p CROSS JOIN (SELECT DISTINCT c_custkey % 5 AS sales_channel_key FROM customer) c
+UNION ALL SELECT x.txn_source, 'Product Sales', p.payment_type_key, c.sales_channel_key, CONCAT('order channel ', CAST(c.sales_channel_key AS VARCHAR(2))), CONCAT(x.txn_source, ' ', CAST(p.payment_type_key AS VARCHAR(2)))
+FROM (SELECT 'SalesOrder' AS txn_source UNION ALL SELECT 'RefundOrder') x CROSS JOIN (SELECT DISTINCT l_linenumber AS payment_type_key FROM lineitem) p
+CROSS JOIN (SELECT DISTINCT c_custkey % 5 AS sales_channel_key FROM customer WHERE c_custkey % 5 < 4) c WHERE x.txn_source = 'SalesOrder' OR p.payment_type_key < 3
+UNION ALL SELECT DISTINCT 'UseTxn', 'Open Payment Trips', l_linenumber, 14, 'channel 14', CONCAT('adjusted ', CAST(l_linenumber AS VARCHAR(2))) FROM lineitem WHERE l_linenumber IN (2, 4)
+UNION ALL SELECT DISTINCT 'UseTxn', 'Open Payment Trips', l_linenumber, 8, 'channel 8', 'tapped' FROM lineitem WHERE l_linenumber = 2""",
     "users_lists": "SELECT DISTINCT p_partkey % 7 AS fare_prod_users_list_key, CONCAT('list ', CAST(p_partkey % 7 AS VARCHAR(2))) AS fare_prod_users_list_name FROM part WHERE p_partkey % 7 > 1",
-    "operators": "SELECT s_suppkey AS operator_key, CASE WHEN s_suppkey % 4 = 0 THEN 'Subway' ELSE s_name END AS operator_name, s_nationkey % 4 AS travel_mode_id FROM supplier",
     "travel_modes": "SELECT DISTINCT n_nationkey % 4 AS travel_mode_id, CONCAT('mode ', CAST(n_nationkey % 4 AS VARCHAR(2))) AS travel_mode_name FROM nation WHERE n_nationkey % 4 < 3",
-    "payment_types": "SELECT DISTINCT l_linenumber AS payment_type_key, CONCAT('pay ', CAST(l_linenumber AS VARCHAR(2))) AS payment_type_name FROM lineitem WHERE l_linenumber < 7",
     "purses": "SELECT n_nationkey AS purse_sku, CONCAT('purse ', n_name) AS purse_name FROM nation",
     "rider_classes": "SELECT n_nationkey AS rider_class_id, n_name AS rider_class_name FROM nation WHERE n_nationkey < 20",
-    "cards": "SELECT p_partkey AS card_key, CONCAT('4', CAST(p_partkey % 1000 AS VARCHAR(4))) AS bin FROM part",
     "sale_types": "SELECT n_nationkey AS sale_type_key, CONCAT('sale ', n_name) AS sale_type_name FROM nation",
     "chargeback_kinds": "SELECT r_regionkey AS crdb_chgbk_activity_type_id, r_name AS chgbk_activity_type_name FROM region WHERE r_regionkey > 0",
     "calendar": """
 SELECT DISTINCT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, CAST(d AS DATE) AS dtm FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem) x""",
     "schedule": """
-SELECT m * 100 + 28 AS due_day_key, m * 100 + 15 AS comp_operating_day_key, m * 100 + 131 AS comp_max_settlement_day_key, m * 100 + 15 AS adden_max_operating_day_key, m * 100 + 10 AS adden_min_settlement_day_key, m * 100 + 12 AS adden_max_settlement_day_key
+SELECT m * 100 + 28 AS due_day_key, m * 100 + 15 AS comp_operating_day_key, m * 100 + 131 AS comp_max_settlement_day_key, m * 100 + 15 AS adden_max_operating_day_key, m * 100 + 10 AS adden_min_settlement_day_key, m * 100 + 12 AS adden_max_settlement_day_key, m * 100 + 29 AS deposit_due_day_key
 FROM (SELECT DISTINCT year(o_orderdate) * 100 + month(o_orderdate) AS m FROM orders) x""",
     "recovery_txn": """
 SELECT txn_id AS source_table_uk, operating_day_key, settlement_day_key, settlement_day_key AS posting_day_key, account_id % 25 AS rider_class_id, part_id AS fare_prod_key, line_no AS service_type_id, CONCAT('rule ', flag) AS fare_rule_description,
-  CASE WHEN supp_id % 2 = 0 THEN 'tap' ELSE 'trip' END AS recovery_txn_type, CASE WHEN line_no < 6 THEN cents % 500 END AS minimum_fare_charge, account_id % 25 AS stop_point_key, supp_id % 25 AS route_key, ship_dtm AS transaction_dtm
+  CASE WHEN supp_id % 2 = 0 THEN 'tap' ELSE 'trip' END AS recovery_txn_type, CASE WHEN line_no < 6 THEN cents % 500 END AS minimum_fare_charge, account_id % 25 AS stop_point_key, supp_id % 25 AS route_key, ship_dtm AS transaction_dtm,
+  supp_id AS device_id, txn_id * 3 AS tap_id, order_id AS trip_id, CASE WHEN txn_id % 4 = 0 THEN txn_id % 90 END AS incident_id, txn_id % 2 AS supervening_event
 FROM fare_base WHERE flag <> 'A'""",
     "stop_points": "SELECT n_nationkey AS stop_point_key, CONCAT('stop ', n_name) AS stop_point_name FROM nation WHERE n_nationkey % 2 = 0",
     "routes": "SELECT n_nationkey AS route_key, CONCAT('route ', n_name) AS route_name FROM nation",
     "use_txn": """
 SELECT txn_id AS dw_transaction_id, account_id AS transit_account_id, order_id AS patron_trip_id, line_no AS trip_price_count, part_id AS card_key, part_id AS fare_prod_key, supp_id AS operator_key, operating_day_key, settlement_day_key, settlement_day_key AS posting_day_key, ship_dtm AS transaction_dtm,
   line_no - 1 AS transfer_sequence_nbr, CASE WHEN tax_bp > 400 THEN -tax_bp ELSE disc_bp END AS fare_due, CASE WHEN line_no = 1 THEN 24 ELSE 1 END AS ride_type_key, cents % 3 AS value_changed, CASE WHEN disc_bp > 800 THEN disc_bp ELSE 0 END AS uncollectible_amount,
-  CASE WHEN flag = 'N' THEN tax_bp ELSE 0 END AS bankcard_payment_value, part_id % 3 AS media_type_key, 30 + supp_id % 30 AS txn_status_key, CASE WHEN disc_bp > 300 THEN disc_bp END AS pass_cost, CASE WHEN tax_bp > 300 THEN tax_bp END AS benefit_value, CONCAT('R', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr
+  CASE WHEN flag = 'N' THEN tax_bp ELSE 0 END AS bankcard_payment_value, part_id % 3 AS media_type_key, 30 + supp_id % 30 AS txn_status_key, CASE WHEN disc_bp > 300 THEN disc_bp END AS pass_cost, CASE WHEN tax_bp > 300 THEN tax_bp END AS benefit_value, CONCAT('R', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr,
+  CASE WHEN account_id % 2 = 0 THEN 'FARE' ELSE 'PIVOTAL' END AS source, supp_id AS device_id, txn_id * 7 AS transaction_id, CASE WHEN txn_id % 4 > 0 THEN txn_id % 1000 END AS pass_id, operating_day_key AS transit_day_key, order_dtm AS source_inserted_dtm,
+  CASE WHEN txn_id % 20 = 0 THEN order_dtm END AS voided_dtm, CONCAT('S', CAST(part_id AS VARCHAR(12))) AS serial_nbr, txn_id % 3 AS pass_use_count, CASE WHEN txn_id % 5 = 0 THEN disc_bp END AS booking_prepaid_value, CASE WHEN txn_id % 6 = 0 THEN tax_bp END AS merchant_service_fee,
+  flag AS transaction_status_name, supp_id % 50 AS bus_id, txn_id % 4 AS paygo_ride_count, txn_id % 5 AS ride_count, txn_id % 2 AS transfer_flag, CONCAT('T', CAST(part_id AS VARCHAR(12))) AS token_id, part_id * 3 AS pg_card_id, CONCAT('purse ', flag) AS purse_name, supp_id % 12 AS facility_id,
+  txn_id * 3 AS tap_id, cents % 900 AS calculated_fare, CASE WHEN txn_id % 7 = 0 THEN disc_bp END AS one_account_value, CASE WHEN txn_id % 7 = 1 THEN disc_bp END AS restricted_purse_value, CASE WHEN txn_id % 7 = 2 THEN disc_bp END AS refundable_purse_value, CASE WHEN txn_id % 7 = 3 THEN disc_bp END AS discount_applied,
+  CASE WHEN txn_id % 7 = 4 THEN disc_bp END AS post_pay_amount
 FROM fare_base WHERE flag <> 'R'""",
-    "patron_trip": "SELECT o_orderkey AS patron_trip_id, o_orderpriority AS fare_rule_description FROM orders",
+    "patron_trip": """
+SELECT o_orderkey AS patron_trip_id, o_orderpriority AS fare_rule_description, CASE WHEN o_custkey % 2 = 0 THEN 'FARE' ELSE 'PIVOTAL' END AS source FROM orders
+UNION ALL SELECT o_orderkey, 'rule of another source', 'OTHER' FROM orders WHERE o_orderkey % 5 = 0""",
     "trip_payment": """
 SELECT order_id AS patron_trip_id, line_no AS trip_price_count, CASE WHEN txn_id % 2 = 0 THEN txn_id END AS purse_load_id, CASE WHEN txn_id % 3 = 0 THEN txn_id END AS bankcard_payment_id, cents AS bankcard_value, disc_bp AS stored_value, tax_bp AS uncollectible_amount,
-  txn_id % 2 AS is_reversal, CASE WHEN line_no = 1 THEN 1 ELSE 0 END AS je_is_fare_adjustment, CASE WHEN line_no = 1 THEN 131 ELSE 100 END AS journal_entry_type_id, ship_dtm AS transaction_dtm FROM fare_base""",
+  txn_id % 2 AS is_reversal, CASE WHEN line_no = 1 THEN 1 ELSE 0 END AS je_is_fare_adjustment, CASE WHEN line_no = 1 THEN 131 ELSE 100 END AS journal_entry_type_id, ship_dtm AS transaction_dtm,
+  CASE WHEN txn_id % 17 = 0 THEN 'OTHER' WHEN account_id % 2 = 0 THEN 'FARE' ELSE 'PIVOTAL' END AS source FROM fare_base""",
     "sale_txn": """
 SELECT txn_id AS dw_transaction_id, CASE WHEN txn_id % 2 = 0 THEN txn_id END AS purse_load_id, CASE WHEN txn_id % 3 = 0 THEN txn_id END AS bankcard_payment_id, CASE WHEN txn_id % 4 < 2 THEN 26 ELSE 20 END AS sale_type_key, settlement_day_key, operating_day_key, account_id AS transit_account_id,
-  txn_id AS dw_patron_order_line_item_id, CASE WHEN line_no = 2 THEN 990508 ELSE 1 END AS reason_key, disc_bp AS pass_id, cents AS value_changed, tax_bp AS benefit_value, disc_bp AS refundable_purse_value FROM fare_base""",
-    "media_types": "SELECT DISTINCT p_partkey % 3 AS media_type_key, CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END AS payg_flag FROM part",
-    "patron_order": "SELECT o_orderkey AS dw_patron_order_id, o_orderkey AS order_nbr, year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS order_day_key, o_orderdate AS order_dtm, o_custkey AS patron_account_id, o_custkey % 5 AS sales_channel_key, CASE WHEN o_orderstatus = 'F' THEN 'Transfer' ELSE 'Sale' END AS order_type_enum FROM orders",
+  txn_id AS dw_patron_order_line_item_id, CASE WHEN line_no = 2 THEN 990508 ELSE 1 END AS reason_key, disc_bp AS pass_id, cents AS value_changed, tax_bp AS benefit_value, disc_bp AS refundable_purse_value,
+  1 + txn_id % 5 AS bankcard_payment_type_key, CONCAT('Q', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr FROM fare_base""",
     "order_lines": "SELECT order_id AS dw_patron_order_id, txn_id AS dw_patron_order_line_item_id, account_id AS subsystem_account_ref, supp_id AS xfer_to_subsystem_account_ref FROM fare_base",
-    "order_items": """
-SELECT txn_id AS line_item_id, order_id, line_no AS line_sequence, part_id AS fare_prod_key, supp_id AS reason_key, operating_day_key, account_id AS transit_account_id, disc_bp AS discount_amount, cents AS line_item_amount,
-  CASE WHEN line_no = 1 THEN 'Cash Overpayment' WHEN line_no = 2 THEN 'Pass Removal' WHEN line_no = 3 THEN 'Refund Issue Media' WHEN line_no = 4 THEN 'Product Refund' WHEN line_no = 5 THEN 'Value Adjustment' ELSE 'Product Sale' END AS line_item_type,
-  CASE WHEN txn_id % 9 = 0 THEN 'Enroll' END AS enroll_action FROM fare_base""",
-    "order_payments": """
-SELECT txn_id AS line_item_id, txn_id * 2 AS dw_transaction_id, CASE WHEN line_no < 3 THEN 1 ELSE line_no END AS payment_type_key, cents AS payment_amount, cents - disc_bp AS transit_value, CASE WHEN tax_bp > 200 THEN tax_bp END AS benefit_value,
-  CASE WHEN disc_bp > 500 THEN disc_bp END AS pass_cost, CONCAT('R', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr, settlement_day_key FROM fare_base
-UNION ALL SELECT txn_id, txn_id * 2 + 1, 1, -disc_bp, 0, NULL, NULL, 'cash returned', settlement_day_key FROM fare_base WHERE line_no = 1 AND disc_bp > 0""",
-    "clearing": """
-SELECT txn_id AS dw_transaction_id, supp_id AS operator_id, part_id AS fare_prod_key, line_no AS payment_type_key, account_id % 30 AS purse_sku, account_id % 25 AS rider_class_id, supp_id % 25 AS route_key, account_id % 25 AS boarding_stop_key, (account_id + 3) % 25 AS alighting_stop_key,
-  CASE WHEN line_no > 2 THEN disc_bp END AS pass_id, settlement_day_key, cents AS net_value, CASE WHEN tax_bp > 200 THEN tax_bp END AS benefit_value FROM fare_base""",
     "channels": "SELECT DISTINCT c_custkey % 5 AS sales_channel_key, CONCAT('channel ', CAST(c_custkey % 5 AS VARCHAR(2))) AS sales_channel_name FROM customer",
-    "unsettled": """
-SELECT txn_id, order_id AS order_nbr, CASE WHEN flag = 'N' THEN 'OPEN' ELSE 'HELD' END AS settlement_state, settlement_day_key AS posting_day_key, CASE WHEN line_no > 1 THEN ship_dtm END AS ready_for_settlement_dtm, order_dtm AS transaction_dtm, part_id AS fare_prod_key, supp_id AS operator_id, line_no AS payment_type_key,
-  account_id AS transit_account_id, CASE WHEN disc_bp > 0 THEN disc_bp END AS pass_id, CASE WHEN line_no <> 4 THEN cents END AS transit_value, CASE WHEN disc_bp > 200 THEN disc_bp END AS pass_cost, CASE WHEN tax_bp > 100 THEN tax_bp END AS benefit_value, CASE WHEN tax_bp > 500 THEN cents END AS bankcard_payment_value, CASE WHEN txn_id % 7 > 0 THEN supp_id END AS device_id,
-  account_id % 30 AS purse_sku, CASE WHEN line_no = 1 THEN 24 ELSE line_no END AS sale_type_key, supp_id AS reason_key, account_id % 6 AS crdb_chgbk_activity_type_id, CONCAT('R', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr, CASE WHEN tax_bp > 300 THEN disc_bp END AS deposit_value FROM fare_base""",
-    "journal": "SELECT o_orderkey AS voucher, o_orderdate AS accounting_date, CASE WHEN o_orderkey % 3 = 0 THEN 'OTHER' ELSE 'MAIN' END AS ledger_name, CONCAT(o_orderstatus, '|', o_orderpriority, '||', CAST(o_custkey AS VARCHAR(20))) AS description FROM orders",
     "outages": """
 SELECT event_id AS availability_event_id, user_id AS device_id, event_type, CASE WHEN event_id % 4 > 0 THEN ts END AS outage_begin_dtm, ts AS open_dtm, CASE WHEN event_id % 6 > 0 THEN ts + INTERVAL '5' HOUR END AS outage_end_dtm, CASE WHEN event_id % 11 > 0 THEN ts + INTERVAL '9' HOUR END AS close_dtm, event_id % 3 AS excluded FROM events""",
-    "kpi_days": """
-SELECT CONCAT('A', CAST(1 + event_id % 4 AS VARCHAR(2)), '-', CAST(1 + user_id % 9 AS VARCHAR(2))) AS kpi_id, month(ts) AS month_nbr, year(ts) AS year, year(ts) * 10000 + month(ts) * 100 + day(ts) AS day_key, CASE WHEN event_id % 5 < 4 THEN substr('ABCD', CAST(1 + event_id % 5 AS INT), 1) ELSE 'PTT' END AS location_category,
-  CAST(round(value * 100) AS BIGINT) AS kpi_value, event_id % 3 AS kpi_quantity, event_id % 50 AS performance_time_basis, event_id % 7 AS cure_period FROM events""",
-    "kpi_bands": """
-SELECT k.kpi_id, b.band, CASE WHEN b.band = 'A' THEN 0 WHEN b.band = 'B' THEN 4000 ELSE 8000 END AS kpi_minimum, CASE WHEN b.band = 'A' THEN 3999 WHEN b.band = 'B' THEN 7999 ELSE 99999999 END AS kpi_maximum, CASE WHEN b.band = 'A' THEN 1000 WHEN b.band = 'B' THEN 500 ELSE 0 END AS deduction_value
-FROM (SELECT DISTINCT CONCAT('A', CAST(1 + event_id % 4 AS VARCHAR(2)), '-', CAST(1 + user_id % 9 AS VARCHAR(2))) AS kpi_id FROM events) k CROSS JOIN (SELECT 'A' AS band UNION ALL SELECT 'B' UNION ALL SELECT 'C') b""",
-    "gl_summary": "SELECT txn_id AS gl_posting_id, supp_id AS rule_id, line_no AS transaction_category, CASE WHEN txn_id % 3 = 0 THEN -cents ELSE cents END AS amount, ship_dtm AS posted_dtm FROM fare_base",
-    "gl_rules": "SELECT s_suppkey AS rule_id, s_name AS rule_name, CASE WHEN s_suppkey % 2 = 0 THEN 1 END AS negative_amount_flag, s_nationkey AS rule_from_account_id, (s_nationkey + 7) % 25 AS rule_to_account_id FROM supplier",
-    "gl_accounts": "SELECT n_nationkey AS account_id, n_name AS account_name FROM nation",
 }
 
-#: Adjustment sales with their payments and reads, and a channel map that knows their channel.
+FARES |= VENDOR
+#: Adjustment sales with their payments and reads, and a channel map without one of their types.
 PAYG = {
     "sale_adjustments": """
 SELECT txn_id AS dw_transaction_id, ship_dtm AS transaction_dtm, CASE WHEN txn_id % 5 < 2 THEN 22 ELSE 20 END AS sale_type_key, CASE line_no WHEN 1 THEN 990951 WHEN 2 THEN 990961 WHEN 3 THEN 990952 WHEN 4 THEN 990962 ELSE 990508 END AS reason_key,
-  part_id % 3 AS media_type_key, CASE WHEN txn_id % 3 > 0 THEN txn_id END AS tap_id, account_id AS transit_account_id, CASE WHEN account_id % 10 > 0 THEN operating_day_key END AS operating_day_key, settlement_day_key, settlement_day_key AS posting_day_key FROM fare_base""",
+  part_id % 3 AS media_type_key, CASE WHEN txn_id % 3 > 0 THEN txn_id END AS tap_id, account_id AS transit_account_id, supp_id AS device_id, CASE WHEN account_id % 10 > 0 THEN operating_day_key END AS operating_day_key, settlement_day_key, settlement_day_key AS posting_day_key FROM fare_base""",
     "sale_payments": """
-SELECT txn_id AS dw_transaction_id, ship_dtm AS transaction_dtm, CASE WHEN disc_bp > 500 THEN -cents ELSE cents END AS payment_value FROM fare_base WHERE txn_id % 13 > 0
-UNION ALL SELECT txn_id, CASE WHEN flag = 'N' THEN ship_dtm ELSE order_dtm END, disc_bp FROM fare_base WHERE txn_id % 4 = 1""",
+SELECT txn_id AS dw_transaction_id, ship_dtm AS transaction_dtm, CASE WHEN disc_bp > 500 THEN -cents ELSE cents END AS payment_value, CONCAT('P', CAST(txn_id AS VARCHAR(20))) AS retrieval_ref_nbr FROM fare_base WHERE txn_id % 13 > 0
+UNION ALL SELECT txn_id, CASE WHEN flag = 'N' THEN ship_dtm ELSE order_dtm END, disc_bp, 'second' FROM fare_base WHERE txn_id % 4 = 1""",
     "reads": """
 SELECT txn_id AS tap_id, supp_id AS operator_key, part_id AS card_key FROM fare_base WHERE txn_id % 7 > 0
 UNION ALL SELECT txn_id, supp_id, CAST(NULL AS BIGINT) FROM fare_base WHERE txn_id % 11 = 0""",
-    "payg_channel_map": f"""{FARES["txn_channel_map"]}
-UNION ALL SELECT DISTINCT 'UseTxn', 'Open Payment Trips', l_linenumber, 14, 'channel 14', CONCAT('adjusted ', CAST(l_linenumber AS VARCHAR(2))) FROM lineitem WHERE l_linenumber IN (2, 4)""",
+    "payg_channel_map": "SELECT * FROM txn_channel_map WHERE NOT (sales_channel_key = 14 AND payment_type_key = 4)",
 }
 
 
@@ -111,8 +95,10 @@ def with_fares(sql: str, more: dict[str, str] | None = None) -> str:
 
 
 def fare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = (FARES | PAYG)[name]
-    if "fare_base" in text:
-        text = f"WITH fare_base AS ({FARES['fare_base']}) {text}"
+    known = FARES | PAYG
+    text = known[name]
+    for inner in ("txn_channel_map", "fare_base"):
+        if inner in text and inner != name:
+            text = f"WITH {inner} AS ({known[inner]}) {text}"
     register(spark, sf_dir, text)
     return spark.sql(text)

@@ -6,36 +6,20 @@ Dimensions are small, but only Catalyst decides to broadcast them, by their size
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Tables = Callable[[str], DataFrame]
+from quayside.reports.naming import Tables, attach, day, dollars, zero
+
 MAP_KEYS = ["txn_source", "sales_channel_key", "payment_type_key"]
 SUMMARY = ["settlement_day_key", "operating_day_key", "payment_type_key", "txn_channel_display", "sales_channel_display"]
-LATE_SALE, ADJUSTMENT_RIDE = 26, 24
-ADJUSTMENT_SALE, ADJUSTMENT_CHANNEL = 22, 14
+# Fixed values of the feeds: sale and ride types, channels, payment types and reasons.
+LATE_SALE, BANKCARD_SALE, ADJUSTMENT_SALE, ADJUSTMENT_RIDE = 26, 20, 22, 24
+BANKCARD_TYPES = (1, 2, 3)
+TAP_CHANNEL, TAP_PAYMENT_TYPE, ADJUSTMENT_CHANNEL = 8, 2, 14
 TYPE_2_REASONS, TYPE_4_REASONS = (990951, 990961), (990952, 990962)
 
 
-def zero(*columns: str) -> Column:
-    """The sum of columns, nulls as 0."""
-    out = F.lit(0)
-    for c in columns:
-        out = out + F.coalesce(F.col(c), F.lit(0))
-    return out
-
-
-def dollars(cents: Column) -> Column:
-    return cents / 100
-
-
-def day(key: str) -> Column:
-    """A yyyymmdd number as a time without zone."""
-    return F.to_timestamp_ntz(F.col(key).cast("string"), F.lit("yyyyMMdd"))
-
-
 def _component(t: Tables, group: str) -> DataFrame:
     channels = t("txn_channel_map").filter(F.col("txn_group") == group)
     return t("payment_summary").join(channels, MAP_KEYS)
@@ -76,59 +60,92 @@ def _charged() -> Column:
     return (F.col("bankcard_payment_value") != 0) | (F.col("u_uncollectible") != 0) | (F.col("value_changed") != 0)
 
 
-def _uses_with_payments(t: Tables) -> DataFrame:
-    uses = t("use_txn").withColumnRenamed("uncollectible_amount", "u_uncollectible").drop("pass_cost", "benefit_value")
+USE = (
+    "patron_trip_id", "source", "trip_price_count", "dw_transaction_id", "transaction_dtm", "device_id", "transit_account_id", "transfer_sequence_nbr", "operator_key", "card_key", "media_type_key",
+    "ride_type_key", "txn_status_key", "fare_due", "value_changed", "bankcard_payment_value", "retrieval_ref_nbr", "token_id", "operating_day_key", "settlement_day_key", "posting_day_key",
+)
+
+
+def _uses_with_payments(t: Tables, by_source: bool = True) -> DataFrame:
+    """Uses with their trip and its payments of the same price and, where asked, source."""
+    keys = ["patron_trip_id", "source"] if by_source else ["patron_trip_id"]
+    uses = t("use_txn").select(*USE, F.col("uncollectible_amount").alias("u_uncollectible"))
+    trips = t("patron_trip").select(*keys, "fare_rule_description")
     payments = t("trip_payment").withColumnRenamed("transaction_dtm", "paid_dtm")
-    return uses.join(t("patron_trip"), "patron_trip_id").join(payments, ["patron_trip_id", "trip_price_count"])
+    if not by_source:
+        payments = payments.drop("source")
+    return uses.join(trips, keys).join(payments, [*keys, "trip_price_count"])
 
 
 def _extension() -> Column:
     return F.when((F.col("transfer_sequence_nbr") > 0) & (F.col("fare_due") != 0), "Transfer")
 
 
+TRIP = [
+    "txn_channel_display", "computation_type", "operating_date", "transaction_dtm", "posting_date", "settlement_date", "operator_name", "device_id", "dw_transaction_id", "transit_account_id",
+    "patron_trip_id", "tap_id", "fare_rule_description", "transfer_sequence_nbr", "payment_type_name", "bin", "fare_revenue", "extension_charge_reason", "retrieval_ref_nbr", "payment_type_key",
+    "operating_day_key", "settlement_day_key", "posting_day_key",
+]
+
+
+def _trip_columns(rows: DataFrame, **columns: Column) -> DataFrame:
+    """The columns of a trip's revenue; its dates are those of its day keys."""
+    dates = {f"{role}_date": day(f"{role}_day_key") for role in ("operating", "posting", "settlement")}
+    return rows.withColumns({"computation_type": F.lit("B"), **dates, **columns}).select(*TRIP)
+
+
 def tap_revenue(t: Tables) -> DataFrame:
-    """Revenue of each tap in cents, summed over its payments; zero sums are left out."""
-    late = t("sale_txn").filter(F.col("sale_type_key") == LATE_SALE).select("purse_load_id", F.lit(True).alias("late")).filter("purse_load_id is not null")
-    rows = _uses_with_payments(t).filter(_adjustment_rule() & _charged()).join(late, "purse_load_id", "left").join(t("media_types"), "media_type_key")
+    """Revenue of each tap in cents, summed over its payments; zero sums are left out. All
+    taps have one payment type and one channel, looked up once (one row each)."""
+    sales = t("sale_txn")
+    late = sales.filter(F.col("sale_type_key") == LATE_SALE).select("purse_load_id", F.lit(True).alias("late")).filter("purse_load_id is not null")
+    cards = sales.filter((F.col("sale_type_key") == BANKCARD_SALE) & F.col("bankcard_payment_type_key").isin(*BANKCARD_TYPES))
+    cards = cards.select("bankcard_payment_id", F.col("retrieval_ref_nbr").alias("sale_ref_nbr")).filter("bankcard_payment_id is not null")
+    rows = _uses_with_payments(t).filter(_adjustment_rule() & _charged()).join(late, "purse_load_id", "left").join(cards, "bankcard_payment_id", "left")
+    rows = attach(rows, t("media_types"), {"media_type_key": "media_type_key"}, ["payg_flag"], "inner")
     payg = F.col("payg_flag") == 1
-    amount = F.col("bankcard_value") + F.when(F.col("bankcard_payment_id").isNotNull() | payg, F.col("uncollectible_amount")).otherwise(0) + F.when(F.col("late") & payg, F.col("stored_value")).otherwise(0)
-    keys = ["operating_day_key", "settlement_day_key", "posting_day_key", "transaction_dtm", "dw_transaction_id", "transit_account_id", "patron_trip_id", "transfer_sequence_nbr", "operator_key", "card_key", "fare_rule_description"]
+    amount = F.col("bankcard_value") + F.when(F.col("bankcard_payment_id").isNotNull() | payg, F.col("uncollectible_amount")).otherwise(0)
+    amount += F.when(F.col("late") & payg, F.col("stored_value")).otherwise(0)
+    keys = [
+        "operating_day_key", "settlement_day_key", "posting_day_key", "transaction_dtm", "device_id", "dw_transaction_id", "transit_account_id", "patron_trip_id", "transfer_sequence_nbr",
+        "operator_key", "card_key", "fare_rule_description", "sale_ref_nbr",
+    ]
     sums = rows.groupBy(*keys, _extension().alias("extension_charge_reason")).agg(F.sum(amount).alias("raw")).filter("raw <> 0")
-    out = sums.join(t("cards"), "card_key", "left").join(t("operators").select("operator_key", "operator_name"), "operator_key", "left")
-    return out.select(*(c for c in keys if c not in ("operator_key", "card_key")), "extension_charge_reason", "operator_name", "bin", (-F.col("raw")).alias("fare_revenue"), day("operating_day_key").alias("operating_date"))
+    rows = attach(attach(sums, t("cards"), {"card_key": "card_key"}, ["bin"]), t("operators"), {"operator_key": "operator_key"}, ["operator_name"])
+    kind = t("payment_types").filter(F.col("payment_type_key") == TAP_PAYMENT_TYPE).select("payment_type_name", "payment_type_key")
+    channel = (F.col("txn_source") == "UseTxn") & (F.col("sales_channel_key") == TAP_CHANNEL) & (F.col("payment_type_key") == TAP_PAYMENT_TYPE)
+    rows = rows.join(F.broadcast(kind)).join(F.broadcast(t("txn_channel_map").filter(channel).select("txn_channel_display")))
+    return _trip_columns(rows, fare_revenue=-F.col("raw"), tap_id=F.lit(None).cast("long"), retrieval_ref_nbr=F.col("sale_ref_nbr"))
 
 
 def adjustment_revenue(t: Tables) -> DataFrame:
     """Adjustment sales of pay-as-you-go media in cents, a row per payment and read of the
     tap; their reason says which payment type of the adjustment channel they count to."""
-    to_type = F.when(F.col("reason_key").isin(*TYPE_2_REASONS), 2).otherwise(4)
-    sales = t("sale_adjustments").filter((F.col("sale_type_key") == ADJUSTMENT_SALE) & F.col("operating_day_key").isNotNull() & F.col("reason_key").isin(*TYPE_2_REASONS, *TYPE_4_REASONS))
-    channels = t("txn_channel_map").filter((F.col("txn_source") == "UseTxn") & (F.col("sales_channel_key") == ADJUSTMENT_CHANNEL)).select("payment_type_key")
-    rows = sales.withColumn("payment_type_key", to_type).join(t("media_types").filter("payg_flag = 1").select("media_type_key"), "media_type_key")
-    rows = rows.join(channels, "payment_type_key").join(t("payment_types").select("payment_type_key"), "payment_type_key")
+    kind = F.when(F.col("reason_key").isin(*TYPE_2_REASONS), 2).otherwise(4)
+    wanted = (F.col("sale_type_key") == ADJUSTMENT_SALE) & F.col("operating_day_key").isNotNull() & F.col("reason_key").isin(*TYPE_2_REASONS, *TYPE_4_REASONS)
+    rows = t("sale_adjustments").filter(wanted).withColumn("payment_type_key", kind)
+    rows = attach(rows, t("media_types").filter("payg_flag = 1"), {"media_type_key": "media_type_key"}, how="inner")
+    channels = t("txn_channel_map").filter((F.col("txn_source") == "UseTxn") & (F.col("sales_channel_key") == ADJUSTMENT_CHANNEL))
+    rows = attach(rows, channels, {"payment_type_key": "payment_type_key"}, ["txn_channel_display"], "inner")
+    rows = attach(rows, t("payment_types"), {"payment_type_key": "payment_type_key"}, ["payment_type_name"], "inner")
     rows = rows.join(t("sale_payments"), ["dw_transaction_id", "transaction_dtm"]).join(t("reads"), "tap_id", "left")
-    rows = rows.join(t("operators").select("operator_key", "operator_name"), "operator_key", "left").join(t("cards"), "card_key", "left")
-    kept = ["operating_day_key", "settlement_day_key", "posting_day_key", "transaction_dtm", "dw_transaction_id", "transit_account_id", "operator_name", "bin"]
-    return rows.select(*kept, F.col("payment_value").alias("fare_revenue"), day("operating_day_key").alias("operating_date"))
+    rows = attach(attach(rows, t("operators"), {"operator_key": "operator_key"}, ["operator_name"]), t("cards"), {"card_key": "card_key"}, ["bin"])
+    none = {c: F.lit(None).cast("string") for c in ("fare_rule_description", "extension_charge_reason")} | {c: F.lit(None).cast("long") for c in ("patron_trip_id", "transfer_sequence_nbr")}
+    return _trip_columns(rows, fare_revenue=F.col("payment_value"), **none)
 
 
 def trip_revenue(t: Tables) -> DataFrame:
     """Taps and adjustment sales, in cents; adjustments have no trip, rule or extension."""
-    return tap_revenue(t).unionByName(adjustment_revenue(t), allowMissingColumns=True)
+    return tap_revenue(t).unionByName(adjustment_revenue(t))
 
 
 def addendum(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     """Rows of each report's addendum: operated up to its day, settled within its window.
-    A range join to a schedule of a few rows a year; its distinct rows are counted first,
-    and beyond 10,000 the window's days become an equi-join key."""
-    s = schedule.select("due_day_key", "adden_max_operating_day_key", "adden_min_settlement_day_key", "adden_max_settlement_day_key").distinct()
-    inside = (F.col("operating_day_key") <= F.col("adden_max_operating_day_key")) & F.col("settlement_day_key").between(F.col("adden_min_settlement_day_key"), F.col("adden_max_settlement_day_key"))
-    if s.limit(10_001).count() <= 10_000:
-        joined = rows.join(F.broadcast(s), inside)
-    else:
-        days = s.withColumn("__day", F.explode(F.sequence("adden_min_settlement_day_key", "adden_max_settlement_day_key")))
-        joined = rows.join(days, (F.col("settlement_day_key") == F.col("__day")) & inside).drop("__day")
-    return joined.select(F.col("due_day_key").alias("report_due_day_key"), F.lit("Y").alias("addendum"), *rows.columns)
+    The window's days are an equi-join key, so a row meets the reports of its own day."""
+    s = schedule.select("due_day_key", "adden_max_operating_day_key", "adden_min_settlement_day_key", "adden_max_settlement_day_key", "deposit_due_day_key").distinct()
+    days = s.select("due_day_key", "adden_max_operating_day_key", F.explode(F.sequence("adden_min_settlement_day_key", "adden_max_settlement_day_key")).alias("__day"))
+    on = (F.col("settlement_day_key") == F.col("__day")) & (F.col("operating_day_key") <= F.col("adden_max_operating_day_key"))
+    return rows.join(days, on).select(F.col("due_day_key").alias("report_due_day_key"), F.lit("Y").alias("addendum"), *rows.columns)
 
 
 def computation(rows: DataFrame, schedule: DataFrame) -> DataFrame:
@@ -140,7 +157,7 @@ def computation(rows: DataFrame, schedule: DataFrame) -> DataFrame:
 
 def _trip_report(rows: DataFrame) -> DataFrame:
     mode = F.when(F.col("operator_name") == "Subway", "Transit").otherwise(F.col("operator_name"))
-    return rows.withColumns({"transit_mode_name": mode, "fare_revenue": F.round(dollars(F.col("fare_revenue")), 2)}).drop("operator_name")
+    return rows.withColumns({"transit_mode_name": mode, "fare_revenue": F.round(dollars(F.col("fare_revenue")), 2)}).drop("operator_name", "payment_type_key")
 
 
 def trip_revenue_addendum(t: Tables) -> DataFrame:
@@ -154,28 +171,46 @@ def trip_revenue_computation(t: Tables) -> DataFrame:
 def component_b_addendum(t: Tables) -> DataFrame:
     """Open-payment trip revenue with the older sign rules by journal type and status."""
     late = t("sale_txn").filter(F.col("sale_type_key") == LATE_SALE).select("purse_load_id").filter("purse_load_id is not null")
-    rows = _uses_with_payments(t).join(late, "purse_load_id").join(t("cards"), "card_key")
+    rows = attach(_uses_with_payments(t).join(late, "purse_load_id"), t("cards"), {"card_key": "card_key"}, ["bin"], "inner")
     usual, status = F.col("journal_entry_type_id") != 131, F.col("txn_status_key")
-    rule = (usual & (F.col("is_reversal") == 1) & status.isin(36, 59)) | (usual & (F.col("is_reversal") == 0) & ~status.isin(36, 59, 50)) | ((F.col("journal_entry_type_id") == 131) & (F.col("ride_type_key") == ADJUSTMENT_RIDE))
+    reversed_ = usual & (F.col("is_reversal") == 1) & status.isin(36, 59)
+    plain = usual & (F.col("is_reversal") == 0) & ~status.isin(36, 59, 50)
+    adjusted = (F.col("journal_entry_type_id") == 131) & (F.col("ride_type_key") == ADJUSTMENT_RIDE)
     amount = F.col("bankcard_value") + F.when(F.col("bankcard_payment_id").isNotNull(), F.col("uncollectible_amount")).otherwise(0) + F.col("stored_value")
-    return rows.filter(rule & _charged()).select("dw_transaction_id", "transit_account_id", "operating_day_key", "settlement_day_key", "patron_trip_id", "fare_rule_description", "bin", (-amount).alias("fare_revenue"), _extension().alias("extension_charge_reason"), "retrieval_ref_nbr")
+    dates = [F.col(f"{role}_day_key").alias(f"{role}_date") for role in ("operating", "posting", "settlement")]
+    return rows.filter((reversed_ | plain | adjusted) & _charged()).select(
+        "dw_transaction_id", "transit_account_id", *dates, "transaction_dtm", "patron_trip_id", "fare_rule_description", "transfer_sequence_nbr", "bin", (-amount).alias("fare_revenue"),
+        _extension().alias("extension_charge_reason"), "retrieval_ref_nbr",
+    )
 
 
 def late_tap_adjustment(t: Tables) -> DataFrame:
-    sales = t("sale_txn").filter(F.col("sale_type_key") == LATE_SALE).select("purse_load_id", F.col("settlement_day_key").alias("s_settled"), F.col("operating_day_key").alias("s_operated"))
-    rows = _uses_with_payments(t).filter((F.col("value_changed") != 0) & _adjustment_rule()).join(sales, "purse_load_id")
-    rows = rows.join(t("operators").select("operator_key", "travel_mode_id"), "operator_key", "left").join(t("travel_modes"), "travel_mode_id", "left")
-    return rows.select(F.col("s_settled").alias("settlement_day_key"), F.col("s_operated").alias("operating_day_key"), "patron_trip_id", "trip_price_count", "is_reversal", "purse_load_id", dollars(-F.col("stored_value")).alias("uncollectible_amount"), F.col("paid_dtm").alias("transaction_dtm"), "transit_account_id", "travel_mode_name")
+    sales = t("sale_txn").filter(F.col("sale_type_key") == LATE_SALE)
+    sales = sales.select("purse_load_id", F.col("settlement_day_key").alias("s_settled"), F.col("operating_day_key").alias("s_operated"))
+    rows = _uses_with_payments(t, by_source=False).filter((F.col("value_changed") != 0) & _adjustment_rule()).join(sales, "purse_load_id")
+    rows = attach(rows, t("operators"), {"operator_key": "operator_key"}, {"travel_mode_id": "mode"})
+    rows = attach(rows, t("travel_modes"), {"travel_mode_id": "mode"}, ["travel_mode_name"])
+    return rows.select(
+        F.col("s_settled").alias("settlement_day_key"), F.col("s_operated").alias("operating_day_key"), "patron_trip_id", "trip_price_count", "is_reversal", "token_id", "purse_load_id",
+        dollars(-F.col("stored_value")).alias("uncollectible_amount"), F.col("paid_dtm").alias("transaction_dtm"), "transit_account_id", "travel_mode_name",
+    )
 
 
 def recovery(t: Tables) -> DataFrame:
     """Recovery transactions with their three dates and names, in cents."""
     rows = t("recovery_txn")
     for role in ("operating", "posting", "settlement"):
-        rows = rows.join(t("calendar").select(F.col("date_key").alias(f"{role}_day_key"), F.col("dtm").alias(f"{role}_date")), f"{role}_day_key")
-    products = t("products").filter("monetary_inst_type_id = 2").select("fare_prod_key", "fare_prod_name")
-    rows = rows.join(t("stop_points"), "stop_point_key", "left").join(t("routes"), "route_key", "left").join(t("rider_classes"), "rider_class_id", "left").join(products, "fare_prod_key", "left")
-    return rows.select("operating_date", "posting_date", "settlement_date", F.coalesce("stop_point_name", "route_name").alias("location"), F.col("source_table_uk").alias("transaction_id"), "rider_class_name", "fare_prod_name", "fare_rule_description", "recovery_txn_type", F.col("minimum_fare_charge").alias("recovery_calculation_amount"), "operating_day_key", "settlement_day_key")
+        rows = attach(rows, t("calendar"), {"date_key": f"{role}_day_key"}, {"dtm": f"{role}_date"}, "inner")
+    rows = attach(rows, t("service_types"), {"service_type_id": "service_type_id"}, ["service_type_name"])
+    rows = attach(rows, t("stop_points"), {"stop_point_key": "stop_point_key"}, ["stop_point_name"])
+    rows = attach(rows, t("routes"), {"route_key": "route_key"}, ["route_name"])
+    rows = attach(rows, t("rider_classes"), {"rider_class_id": "rider_class_id"}, ["rider_class_name"])
+    rows = attach(rows, t("products").filter("monetary_inst_type_id = 2"), {"fare_prod_key": "fare_prod_key"}, ["fare_prod_name"])
+    return rows.select(
+        F.lit("C").alias("computation_type"), "operating_date", "transaction_dtm", "posting_date", "settlement_date", "service_type_name", F.coalesce("stop_point_name", "route_name").alias("location"),
+        "device_id", F.col("source_table_uk").alias("transaction_id"), "tap_id", "trip_id", "rider_class_name", "fare_prod_name", "fare_rule_description", "recovery_txn_type", "incident_id",
+        "supervening_event", F.col("minimum_fare_charge").alias("recovery_calculation_amount"), "operating_day_key", "settlement_day_key", "posting_day_key",
+    )
 
 
 def _in_dollars(rows: DataFrame) -> DataFrame:

@@ -1,26 +1,48 @@
 """Reports on small tables made by hand."""
 
 from quayside.plans.fares import fare
-from quayside.reports import revenue
+from quayside.reports import revenue, settlement
 
 
 def test_adjustment_sales_count_as_trip_revenue(spark, sf):
     day, other = "2024-01-05 08:00:00", "2024-01-05 09:00:00"
-    sale = "transaction_dtm string, dw_transaction_id long, sale_type_key int, reason_key int, media_type_key long, tap_id long, transit_account_id long, operating_day_key int, settlement_day_key int, posting_day_key int"
+    sale = "transaction_dtm string, dw_transaction_id long, sale_type_key int, reason_key int, media_type_key long, tap_id long, transit_account_id long, operating_day_key int, settlement_day_key int, posting_day_key int, device_id long"
     keys = (20240105, 20240106, 20240106)
     made = {
         "sale_adjustments": ([
-            (day, 1, 22, 990951, 1, 11, 5, *keys), (day, 2, 22, 990962, 1, None, 5, *keys),  # counted: read twice, no tap
-            (day, 3, 20, 990951, 1, 11, 5, *keys), (day, 4, 22, 990508, 1, 11, 5, *keys),  # type, reason
-            (day, 5, 22, 990951, 0, 11, 5, *keys), (other, 6, 22, 990951, 1, 11, 5, *keys), (day, 7, 22, 990951, 1, 11, 5, None, *keys[1:]),  # media, time, day
+            (day, 1, 22, 990951, 1, 11, 5, *keys, 9), (day, 2, 22, 990962, 1, None, 5, *keys, 9),  # counted: read twice, no tap
+            (day, 3, 20, 990951, 1, 11, 5, *keys, 9), (day, 4, 22, 990508, 1, 11, 5, *keys, 9),  # type, reason
+            (day, 5, 22, 990951, 0, 11, 5, *keys, 9), (other, 6, 22, 990951, 1, 11, 5, *keys, 9), (day, 7, 22, 990951, 1, 11, 5, None, *keys[1:], 9),  # media, time, day
         ], sale),
-        "sale_payments": ([(n, day, 100 * n) for n in range(1, 8)] + [(2, day, -7)], "dw_transaction_id long, transaction_dtm string, payment_value long"),
+        "sale_payments": ([(n, day, 100 * n, "r") for n in range(1, 8)] + [(2, day, -7, "r")], "dw_transaction_id long, transaction_dtm string, payment_value long, retrieval_ref_nbr string"),
         "reads": ([(11, 1, 1), (11, 2, None)], "tap_id long, operator_key long, card_key long"),
-        "txn_channel_map": ([("UseTxn", 14, 2), ("UseTxn", 14, 4), ("UseTxn", 8, 2), ("SalesTxn", 14, 2)], "txn_source string, sales_channel_key int, payment_type_key int"),
+        "txn_channel_map": ([("UseTxn", 14, 2, "b"), ("UseTxn", 14, 4, "c"), ("UseTxn", 8, 2, "tap"), ("SalesTxn", 14, 2, "d")], "txn_source string, sales_channel_key int, payment_type_key int, txn_channel_display string"),
     }
     t = lambda name: spark.createDataFrame(*made[name]) if name in made else fare(spark, sf, name)
     taps = revenue.tap_revenue(t).count()
     rows = revenue.trip_revenue(t)
     assert rows.count() == taps + 4
-    got = [(r.dw_transaction_id, r.fare_revenue, r.operator_name is None) for r in rows.filter("patron_trip_id is null").collect()]
-    assert sorted(got) == [(1, 100, False), (1, 100, False), (2, -7, True), (2, 200, True)]
+    got = [(r.dw_transaction_id, r.fare_revenue, r.operator_name is None, r.txn_channel_display) for r in rows.filter("patron_trip_id is null").collect()]
+    assert sorted(got) == [(1, 100, False, "b"), (1, 100, False, "b"), (2, -7, True, "c"), (2, 200, True, "c")]
+
+
+def test_a_rule_without_postings_is_ignored_and_sides_swap(spark, sf):
+    made = {
+        "rule_sets": ([(1, "set")], "cch_rules_set_id int, cch_rules_set_name string"),
+        "gl_rule_map": ([(k, 1, 7) for k in (1, 2, 3)] + [(1, 2, 7)], "rule_id int, cch_rules_set_id int, transaction_category int"),
+        "gl_rules": ([(1, "plain", None, 10, 20, "E"), (2, "negative", 1, 10, 20, "E"), (3, "unused", 0, 10, 20, "E")],
+                     "rule_id int, rule_name string, negative_amount_flag int, rule_from_account_id int, rule_to_account_id int, legal_entity_code string"),
+        "gl_accounts": ([(10, "E", "from", "h"), (20, "E", "to", "h"), (20, "F", "other", "h")], "account_id int, legal_entity_code string, account_name string, account_holder string"),
+        "gl_summary": ([(n, r, 1, 7, a) for n, (r, a) in enumerate([(1, 500), (1, -500), (2, 500), (2, -500), (2, None)])], "gl_posting_id int, rule_id int, cch_rules_set_id int, transaction_category int, amount long"),
+    }
+    none = ("summary_period date", "posted_dtm timestamp", "gl_summary_record_status_key int", "processing_type_id int", "user_ref_1 string", "user_ref_2 string", "user_ref_3 string", "legal_entity_code string")
+
+    def t(name):
+        df = spark.createDataFrame(*made[name]) if name in made else fare(spark, sf, name)
+        return df.selectExpr("*", *(f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in none)) if name == "gl_summary" else df
+
+    got = [(r.apportionment_rule_name, r.absolute_value_amount, r.debit_account_name, r.credit_account_name, r.gl_record_status_name) for r in settlement.ledger_summary(t).orderBy("record_id").collect()]
+    assert got == [
+        ("unused", None, "to", "from", "Ignored-$0"), ("plain", 5.0, "to", "from", None), ("plain", 5.0, "from", "to", None),
+        ("negative", 5.0, "to", "from", None), ("negative", 5.0, "from", "to", None), ("negative", None, "from", "to", None),
+    ]

@@ -7,6 +7,7 @@ each other.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,16 +24,18 @@ def all_equal(left: str, right: str, keys: list[str]) -> Column:
 
 def cdc_fold(cdc: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: ``change_oper`` (latest I or D, else U), ``change_seq`` (the key's
-    last) and each column's latest non-null value at or after that I or D. One shuffle:
-    the window and the aggregate share the keys' partitioning."""
-    by_key = Window.partitionBy(*keys)
-    reset = F.max(F.when(F.col(OPER).isin("I", "D"), F.col(SEQ))).over(by_key)
-    rows = cdc.withColumn("__reset", reset)
-    live = F.col("__reset").isNull() | (F.col(SEQ) >= F.col("__reset"))
+    last) and each column's latest non-null value at or after that I or D. One aggregate,
+    combined before its shuffle: a key's whole log is never in one place. A column's latest
+    value comes with its sequence, and counts unless the I or D is later."""
     columns = [c for c in cdc.columns if c not in keys and c not in META]
-    values = [F.max_by(F.when(F.col(c).isNotNull() & live, F.col(c)), F.when(F.col(c).isNotNull() & live, F.col(SEQ))).alias(c) for c in columns]
-    oper = F.coalesce(F.max_by(F.when(F.col(SEQ) == F.col("__reset"), F.col(OPER)), F.when(F.col(SEQ) == F.col("__reset"), F.col(SEQ))), F.lit("U"))
-    return rows.groupBy(*keys).agg(oper.alias(OPER), F.max(SEQ).alias(SEQ), *values)
+    resets, seq = F.col(OPER).isin("I", "D"), F.col(SEQ)
+    latest = [F.max_by(F.struct(F.col(c).alias("value"), seq.alias("seq")), F.when(F.col(c).isNotNull(), seq)).alias(f"__{c}") for c in columns]
+    rows = cdc.groupBy(*keys).agg(
+        F.max_by(OPER, F.when(resets, seq)).alias("__oper"), F.max(F.when(resets, seq)).alias("__reset"), F.max(SEQ).alias(SEQ), *latest
+    )
+    live = lambda c: F.col("__reset").isNull() | (F.col(f"__{c}.seq") >= F.col("__reset"))
+    oper = F.when(F.col("__reset").isNull(), "U").otherwise(F.col("__oper"))
+    return rows.select(*keys, oper.alias(OPER), SEQ, *(F.when(live(c), F.col(f"__{c}.value")).alias(c) for c in columns))
 
 
 def cdc_apply(target: DataFrame, folded: DataFrame, keys: list[str], keep_old: tuple[str, ...] = ("part_year", "part_month")) -> DataFrame:
@@ -107,6 +110,16 @@ def read_batch(cdc: DataFrame, watermark: str, size: int) -> DataFrame:
     return cdc.filter(F.col(OPER).isin("I", "U", "D") & inside)
 
 
+def accumulate(cdc: DataFrame, watermark: str, max_rows: int, max_bytes: int, size: Column) -> DataFrame:
+    """The next records above the watermark within a budget of rows and of bytes, in order
+    of sequence: up to ``max_rows``, and up to the one whose bytes (``size``) reach
+    ``max_bytes``. The running sum is over the ``max_rows`` first records alone."""
+    rows = cdc.filter(F.col(OPER).isin("I", "U", "D") & (F.col(SEQ) > watermark)).withColumn("__size", size)
+    rows = rows.orderBy(SEQ).limit(max_rows)
+    before = F.sum("__size").over(Window.orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < max_bytes).drop("__size", "__before")
+
+
 def asof_snapshot(files: DataFrame, snapshots: DataFrame, table: str = "table_id") -> DataFrame:
     """Each file's newest strictly older snapshot of its table; files older than all are
     dropped. One sorted pass per table over both, no range join."""
@@ -130,14 +143,16 @@ def stale_files(files: DataFrame, oldest_kept: DataFrame, table: str = "table_id
     return cut.filter(F.col("ts") < F.coalesce("oldest", "newest")).select(table, "file", "ts")
 
 
-def surrogate_index(df: DataFrame, key: str, start: int = 0, buckets: int = 64) -> DataFrame:
-    """``row_index`` without gaps from ``start``: numbered within hash buckets, which are
-    put one behind the other; no task sorts the whole table."""
+def surrogate_index(df: DataFrame, key: str, start: int = 0, rows_per_bucket: int = 200_000) -> DataFrame:
+    """``row_index`` without gaps from ``start``: numbered within hash buckets of about
+    ``rows_per_bucket`` rows, which are put one behind the other; no task sorts the whole
+    table. With one bucket the order is the key's."""
+    buckets = max(1, math.ceil(df.count() / rows_per_bucket))
     rows = df.withColumn("__b", F.pmod(F.xxhash64(key), F.lit(buckets)))
     sizes = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("n"))
     offsets = sizes.select("__b", F.coalesce(F.sum("n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"))
     numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy("__b").orderBy(key)))
-    joined = numbered.join(F.broadcast(offsets), "__b")  # ``buckets`` rows at most
+    joined = numbered.join(offsets, "__b")
     return joined.withColumn("row_index", F.col("__n") + F.col("__o") - 1 + start).drop("__b", "__n", "__o")
 
 

@@ -76,8 +76,7 @@ def stale_file_selection(spark, d):
 
 
 def surrogate_index(spark, d):
-    rows = cdc.surrogate_index(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", start=100)
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row_index").alias("n_index"), F.min("row_index").alias("low"), F.max("row_index").alias("high"))
+    return cdc.surrogate_index(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", start=100, rows_per_bucket=1 << 40)
 
 
 def _patch(spark, d):
@@ -110,7 +109,7 @@ def keyed_lookup_join(spark, d):
 
 
 def key_range_prefilter(spark, d):
-    keys = load(spark, d, "orders").filter("o_orderkey between 200 and 900 and o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    keys = load(spark, d, "orders").filter("o_orderstatus = 'F' and o_orderdate between '1996-01-01' and '1997-06-30'").select(F.col("o_orderkey").alias("l_orderkey"))
     return cdc.key_range_lookup(load(spark, d, "lineitem"), keys, "l_orderkey").select("l_orderkey", "l_linenumber")
 
 
@@ -119,7 +118,8 @@ def topk_after_watermark(spark, d):
 
 
 def cdc_accumulate(spark, d):
-    return cdc.read_batch(load(spark, d, "cdc_log"), "0", 700).groupBy("change_oper").agg(F.count(F.lit(1)).alias("n"), F.max("change_seq").alias("last"))
+    size = F.length("change_seq") + F.coalesce(F.length("status"), F.lit(0))
+    return cdc.accumulate(load(spark, d, "cdc_log"), MIDDLE, 640_000, 10_000, size).select("txn_id", "change_seq", "change_oper")
 
 
 def position_state(spark, d):
@@ -188,19 +188,24 @@ oldest AS (SELECT table_id, min(ts) AS cut FROM landed_files WHERE is_first AND
 SELECT g.table_id, file FROM g JOIN newest USING (table_id) LEFT JOIN oldest USING (table_id) WHERE ts < coalesce(oldest.cut, newest.cut)""",
         "landed_files",
     ),
-    "surrogate_index": "SELECT count(*) AS n, count(*) AS n_index, 100 AS low, 99 + count(*) AS high FROM orders",
+    "surrogate_index": "SELECT o_orderkey, 99 + row_number() OVER (ORDER BY o_orderkey) AS row_index FROM orders",
     "null_safe_update": "SELECT c_custkey, c_name, coalesce(p, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_custkey % 3 > 0 THEN max(o_totalprice) END AS p FROM orders WHERE o_custkey % 10 > 0 GROUP BY 1) ON o_custkey = c_custkey",
     "null_safe_semi": SEMI.format(""),
     "null_safe_anti": SEMI.format("NOT"),
     "keyed_lookup_join": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 300000)",
-    "key_range_prefilter": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey BETWEEN 200 AND 900 AND o_orderstatus = 'F')",
+    "key_range_prefilter": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate BETWEEN '1996-01-01' AND '1997-06-30')",
     "topk_after_watermark": "SELECT event_id, user_id, event_type FROM events WHERE event_id > 250 AND event_type <> 'view' ORDER BY event_id LIMIT 400",
-    "cdc_accumulate": with_adapters("SELECT change_oper, count(*) AS n, max(change_seq) AS last FROM (SELECT * FROM cdc_log WHERE change_seq > '0' ORDER BY change_seq LIMIT 700) GROUP BY 1", "cdc_log"),
+    "cdc_accumulate": with_adapters(
+        f"""SELECT txn_id, change_seq, change_oper FROM (
+  SELECT *, coalesce(sum(length(change_seq) + coalesce(length(status), 0)) OVER (ORDER BY change_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM (SELECT * FROM cdc_log WHERE change_seq > '{MIDDLE}' ORDER BY change_seq LIMIT 640000)) WHERE before < 10000""",
+        "cdc_log",
+    ),
     "position_state": with_adapters("SELECT table_id, arg_max(watermark, run_at) AS watermark, max(run_at) AS run_at FROM status_history GROUP BY 1", "status_history"),
     "source_max_seq": with_adapters("SELECT max(change_seq) AS max_seq FROM cdc_log WHERE (part_year, part_month) = (SELECT max((part_year, part_month)) FROM cdc_log)", "cdc_log"),
     "touched_partitions": """WITH p AS (SELECT year(x) AS y, month(x) AS m, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 50 > 0 THEN o_orderdate END AS x FROM orders) GROUP BY 1, 2),
 l AS (SELECT list(printf('%04d-%02d:%d', y, m, n) ORDER BY y, m, n) FILTER (WHERE y IS NOT NULL) AS ls, count(y) AS n_parts, coalesce(sum(n) FILTER (WHERE y IS NULL), 0)::BIGINT AS null_dates FROM p)
 SELECT n_parts, null_dates, null_dates = 0 AS pruned, array_to_string(ls[1:24], ',') || CASE WHEN len(ls) > 24 THEN ' +' || (len(ls) - 24) || ' more' ELSE '' END AS labels FROM l""",
     "write_reconcile": with_adapters(APPLY + """SELECT count(t.txn_id) AS initial, count(*) FILTER (WHERE t.txn_id IS NULL AND s.change_oper = 'I') AS inserted, count(*) FILTER (WHERE t.txn_id IS NOT NULL AND s.change_oper = 'D') AS dropped,
-  (SELECT count(*) FROM applied) AS actual, true AS ok FROM silver_initial t FULL JOIN folded s ON t.txn_id = s.txn_id""", "cdc_log", "silver_initial"),
+  (SELECT count(*) FROM applied) AS actual, count(t.txn_id) + count(*) FILTER (WHERE t.txn_id IS NULL AND s.change_oper = 'I') - count(*) FILTER (WHERE t.txn_id IS NOT NULL AND s.change_oper = 'D') = (SELECT count(*) FROM applied) AS ok FROM silver_initial t FULL JOIN folded s ON t.txn_id = s.txn_id""", "cdc_log", "silver_initial"),
 }

@@ -4,21 +4,27 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from quayside.functions.scratch import scratch_dir
 from quayside.plans.adapters import load
 from quayside.plans.cdc_queries import KEYS
 from quayside.plans.cdc_queries import SQL as CDC_SQL
 from quayside.streaming.cdc_stream import apply_stream, read_current, start_table
 
-FILES = 3
+FILES, FILES_PER_BATCH = 6, 2
 
 
 def cdc_stream_apply(spark, d):
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     log = load(spark, d, "cdc_log")
-    log.repartitionByRange(FILES, "change_seq").sortWithinPartitions("change_seq").write.parquet(f"{root}/landed")
+    low, high = log.agg(F.min(F.col("change_seq").cast("long")), F.max(F.col("change_seq").cast("long"))).first()
+    step = (high - low) // FILES + 1
+    for k in range(FILES):  # in the order of their sequence, as a feed lands them
+        part = F.col("change_seq").cast("long").between(low + k * step, low + (k + 1) * step - 1)
+        log.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landed")
     start_table(load(spark, d, "silver_initial"), root)
-    apply_stream(spark, f"{root}/landed", log.schema, root, KEYS, files_per_batch=FILES)
+    apply_stream(spark, f"{root}/landed", log.schema, root, KEYS, files_per_batch=FILES_PER_BATCH)
     return read_current(spark, root)
 
 

@@ -10,38 +10,55 @@ SCHEMA = "case_id int, txn_id int, amount long, status string, change_seq string
 KEYS = ["case_id", "txn_id"]
 
 
-def one_by_one(rows, events):
-    state = {k: (v[0], v[1]) for k, v in rows.items()}
-    seqs = {k: v[2] for k, v in rows.items()}
-    for key, amount, status, seq, oper in events:
-        if oper == "I":
-            state[key] = (amount, status)
-        elif oper == "D":
-            state.pop(key, None)
-        elif key in state:
-            old = state[key]
-            state[key] = (old[0] if amount is None else amount, old[1] if status is None else status)
-        seqs[key] = seq
-    return {k: (*v, seqs[k]) for k, v in state.items()}
-
-
-def test_fold_and_apply_equal_the_interpreter_for_any_cuts(spark):
-    rng = random.Random(4)
-    start, batches, expected = [], [[], [], []], {}
-    for case in range(300):
-        keys = [None, 1, 2] if case % 3 == 0 else [1, 2, 3]
-        rows = {k: (rng.choice([None, 5, 6]), rng.choice([None, "a"]), None) for k in keys if rng.random() < 0.5}
-        events = [(rng.choice(keys), rng.choice([None, 1, 2]), rng.choice([None, "x", "y"]), f"{n:04d}", rng.choices("IUD", (3, 5, 2))[0]) for n in range(rng.randint(1, 12))]
+def one_by_one(rows, log):
+    """What a table holds after the log, read one record at a time: {key: (amount, status, seq)}."""
+    held = dict(rows)
+    for key, amount, status, seq, oper in log:
+        if oper == "D":
+            held.pop(key, None)
+        elif oper == "I":
+            held[key] = (amount, status, seq)
+        elif key in held:
+            old = held[key]
+            held[key] = (amount if amount is not None else old[0], status if status is not None else old[1], seq)
+    return held
+
+
+def made_log(rng):
+    """A table and a log over few keys, most of them on one; logs begin with deletes of
+    what is there, and updates come in runs."""
+    hot, others = rng.choice([None, 40]), list(range(rng.randrange(1, 5)))
+    rows = {k: (rng.randrange(3), "kept", None) for k in [hot, *others] if k is not None and k % 2 == 0}
+    log = [(k, None, None, "D") for k in sorted(rows)[: rng.randrange(3)]]
+    while len(log) < rng.randrange(5, 45):
+        key = hot if rng.random() < 0.6 else rng.choice(others)
+        kind = "D" if rng.random() < 0.15 else "I" if rng.random() < 0.3 else "U"
+        for _ in range(rng.randrange(1, 5) if kind == "U" else 1):
+            value = (rng.randrange(9), None) if rng.random() < 0.5 else (None, f"s{rng.randrange(9)}")
+            log.append((key, None, None, kind) if kind == "D" else (key, *value, kind))
+    return rows, [(k, amount, status, f"{100 + 7 * n:08d}", kind) for n, (k, amount, status, kind) in enumerate(log)]
+
+
+def test_any_cut_equals_one_batch_equals_the_interpreter(spark):
+    rng = random.Random(20)
+    start, logs, want = [], [], {}
+    for case in range(120):
+        rows, log = made_log(rng)
         start += [(case, k, *v) for k, v in rows.items()]
-        cuts = sorted(rng.randint(0, len(events)) for _ in range(2))
-        for n, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(events)], strict=True)):
-            batches[n] += [(case, *e) for e in events[lo:hi]]
-        expected |= {(case, k): v for k, v in one_by_one(rows, events).items()}
+        logs.append(log)
+        want |= {(case, k): v for k, v in one_by_one(rows, log).items()}
     table = spark.createDataFrame(start, "case_id int, txn_id int, amount long, status string, change_seq string")
-    for batch in batches:
-        table = cdc_apply(table, cdc_fold(spark.createDataFrame(batch, SCHEMA), KEYS), KEYS)
-    got = {(r.case_id, r.txn_id): (r.amount, r.status, r.change_seq) for r in table.collect()}
-    assert got == expected
+
+    def applied(parts):
+        """All cases' logs in as many batches as ``parts`` cuts them; the second batch comes twice."""
+        out = table
+        for n in (0, 1, 1, *range(2, parts)) if parts > 1 else (0,):
+            rows = [(case, *e) for case, log in enumerate(logs) for e in log[n * len(log) // parts : (n + 1) * len(log) // parts]]
+            out = cdc_apply(out, cdc_fold(spark.createDataFrame(rows, SCHEMA), KEYS), KEYS)
+        return {(r.case_id, r.txn_id): (r.amount, r.status, r.change_seq) for r in out.collect()}
+
+    assert applied(1) == want
+    assert applied(4) == want
 
 
 def test_documented_operation_mixes(spark):
@@ -64,5 +81,11 @@ def test_null_keys_match_and_right_values_win(spark):
 
 
 def test_surrogates_have_no_gaps(spark):
-    rows = surrogate_index(spark.range(1000), "id", start=7).select("row_index").collect()
+    rows = surrogate_index(spark.range(1000), "id", start=7, rows_per_bucket=90).select("row_index").collect()
     assert sorted(r[0] for r in rows) == list(range(7, 1007))
+
+
+def test_a_hot_key_is_folded_like_any_other(spark):
+    log = spark.range(5000).selectExpr("if(id % 3 = 0, 1, int(id)) as case_id", "0 as txn_id", "id as amount", "if(id = 3, 's', null) as status", "lpad(string(id), 8, '0') as change_seq", "if(id = 6, 'D', 'U') as change_oper")
+    hot = cdc_fold(log, KEYS).filter("case_id = 1").first()
+    assert (hot.change_oper, hot.amount, hot.status, hot.change_seq) == ("D", 4998, None, "00004998")

@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a folder of our own."""
+    """spark.checkpoint.dir. Where it is unset, a local session gets a folder of its own; on
+    a cluster that is an error, since no local folder is shared."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = getattr(scratch_dir, "own", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         scratch_dir.own = root
     return root.rstrip("/")
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: its plan ends there."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.sources.feeds import materialize_report
-from quayside.sources.files import delete, exists, list_files
+from quayside.sources.files import child_dirs, delete, exists, list_files, rename, total_bytes
 
 
 def column_min_max(df: DataFrame, column: str, condition: str | None = None) -> DataFrame:
@@ -16,6 +17,25 @@ def column_min_max(df: DataFrame, column: str, condition: str | None = None) ->
     return rows.agg(F.min(column).alias("low"), F.max(column).alias("high"))
 
 
+def stats_min_max(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row (low, high) of a parquet dataset's column from the files' statistics alone:
+    the scan reads footers, no rows. Of a path partition, from the folders' names, as
+    strings. Null if all values are."""
+    parts = [p.split("=", 1)[1] for f in list_files(spark, path) for p in f.split("/")[:-1] if p.startswith(f"{column}=")]
+    if parts:
+        return spark.createDataFrame([(min(parts), max(parts))], "low string, high string")
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = spark.read.parquet(path).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        return spark.createDataFrame(found.collect(), found.schema)  # one row
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).distinct()
 
@@ -59,16 +79,28 @@ def path_partitions(paths: DataFrame, column: str = "path") -> DataFrame:
     return paths.withColumn("parts", F.regexp_extract_all(column, F.lit("([^/=]+=[^/]*)(?=/)"), 1))
 
 
-def data_dictionary(spark, datasets: dict[str, str], descriptions: DataFrame | None = None) -> DataFrame:
-    """One row per dataset column: dataset, ordinal, column, type, is_partition, files,
-    and remarks where ``descriptions(dataset, column, remarks)`` has them."""
+def datasets_below(spark: SparkSession, path: str, group: str = "") -> Iterator[tuple[str, str, str]]:
+    """(group, name, path) of every dataset below a folder: a folder without folders, or
+    with path partitions, that holds parquet files. The group is the path in between."""
+    below = child_dirs(spark, path)
+    if below and not any("=" in name for name in below):
+        for name in below:
+            yield from datasets_below(spark, f"{path}/{name}", f"{group}/{path.rsplit('/', 1)[1]}" if group else "/")
+    elif list_files(spark, path):
+        yield "/".join(group.split("/")[2:]), path.rsplit("/", 1)[1], path
+
+
+def data_dictionary(spark: SparkSession, root: str, descriptions: DataFrame | None = None) -> DataFrame:
+    """One row per column of every dataset below ``root``: group, dataset, path, size_mb
+    (whole), n_files, ordinal, column, type, is_partition, and remarks where
+    ``descriptions(dataset, column, remarks)`` has them."""
     rows = []
-    for name, path in datasets.items():
-        df = spark.read.parquet(path)
+    for group, name, path in datasets_below(spark, root.rstrip("/")):
         files = list_files(spark, path)
-        inside = {p.split("=")[0] for f in files for p in f[len(path) :].split("/") if "=" in p}
-        rows += [(name, k, f.name, f.dataType.simpleString(), f.name in inside, len(files)) for k, f in enumerate(df.schema)]
-    out = spark.createDataFrame(rows, "dataset string, ordinal int, column string, type string, is_partition boolean, n_files int")
+        inside = {p.split("=")[0] for f in files for p in f[f.index(name) :].split("/") if "=" in p}
+        size = total_bytes(spark, path) >> 20
+        rows += [(group, name, path, size, len(files), k, f.name, f.dataType.simpleString(), f.name in inside) for k, f in enumerate(spark.read.parquet(path).schema)]
+    out = spark.createDataFrame(rows, "group string, dataset string, path string, size_mb long, n_files int, ordinal int, column string, type string, is_partition boolean")
     if descriptions is None:
         return out.withColumn("remarks", F.lit(None).cast("string"))
     return column_descriptions(out, descriptions)
@@ -124,14 +156,25 @@ def cast_column_rewrite(spark, path: str, to: str, column: str, type_: str) -> N
     df.withColumn(column, F.col(column).cast(type_)).write.mode("overwrite").parquet(to)
 
 
-def guarded_swap(spark, live: str, backfill: str, backup: str) -> int:
+def guarded_swap(spark: SparkSession, live: str, backfill: str, backup: str) -> int:
     """Keep the live data as ``backup`` and put the backfill in its place; an empty
-    backfill is refused. Returns the rows now live."""
-    n = spark.read.parquet(backfill).count()
+    backfill is refused. The new data are written whole beside the live ones first, then
+    two renames swap them; if the second fails, the first is undone. Returns the rows now
+    live."""
+    rows = spark.read.parquet(backfill)
+    n = rows.count()
     if not n:
         raise ValueError(f"the backfill {backfill} is empty")
-    if exists(spark, live):
-        spark.read.parquet(live).write.mode("overwrite").parquet(backup)
-        delete(spark, live)
-    spark.read.parquet(backfill).write.mode("overwrite").parquet(live)
+    staged = f"{live.rstrip('/')}.staged"
+    rows.write.mode("overwrite").parquet(staged)
+    had = exists(spark, live)
+    if had:
+        delete(spark, backup)
+        rename(spark, live, backup)
+    try:
+        rename(spark, staged, live)
+    except OSError:
+        if had:
+            rename(spark, backup, live)
+        raise
     return n

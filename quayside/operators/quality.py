@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.functions.scratch import saved
+
 
 def count_reconcile(data: DataFrame, announced: DataFrame, key: str = "job_id") -> DataFrame:
     """Rows per job against announced counts, jobs of either side alone included."""
@@ -14,23 +16,33 @@ def count_reconcile(data: DataFrame, announced: DataFrame, key: str = "job_id")
 
 
 def column_set_check(rows: DataFrame, json_col: str, expected: list[str]) -> DataFrame:
-    """(column, issue, n_rows): keys in the data that the schema lacks, and the reverse."""
+    """(column, issue, n_rows): keys in the data that the schema lacks, and the reverse; the
+    data are read once."""
     want = F.array(*map(F.lit, expected))
     keys = F.coalesce(F.json_object_keys(json_col), F.array())
-    extra = rows.select(F.explode(F.array_except(keys, want)).alias("column"), F.lit("extra").alias("issue"))
-    missing = rows.select(F.explode(F.array_except(want, keys)).alias("column"), F.lit("missing").alias("issue"))
-    return extra.union(missing).groupBy("column", "issue").agg(F.count(F.lit(1)).alias("n_rows"))
+    told = lambda names, issue: F.transform(names, lambda c: F.struct(c.alias("column"), F.lit(issue).alias("issue")))
+    issues = F.concat(told(F.array_except(keys, want), "extra"), told(F.array_except(want, keys), "missing"))
+    return rows.select(F.explode(issues).alias("i")).groupBy("i.column", "i.issue").agg(F.count(F.lit(1)).alias("n_rows"))
+
 
+def json_page_check(rows: DataFrame, json_col: str, page: str, order: str, numbers: list[str], objects: list[str], known: list[str]) -> DataFrame:
+    """(column, issue, first_page) of each page's first record (by ``order``): columns that
+    are not ``known``, numbers that are none, and objects that are scalars; null is always
+    fine. Each is told once, with its first page."""
+    first = rows.groupBy(page).agg(F.min_by(json_col, order).alias(json_col))
 
-def json_page_check(rows: DataFrame, json_col: str, page: str, numbers: list[str], objects: list[str]) -> DataFrame:
-    """(column, issue, first_page): numbers that are none, and objects that are scalars;
-    null is always fine. Each is told once, with its first page."""
     def value(c: str) -> Column:
         return F.get_json_object(json_col, f"$.{c}")
 
-    bad = [F.when(value(c).isNotNull() & F.expr(f"try_cast(get_json_object({json_col}, '$.{c}') as double) is null"), F.struct(F.lit(c).alias("column"), F.lit("not_number").alias("issue"))) for c in numbers]
-    bad += [F.when(value(c).isNotNull() & ~value(c).rlike(r"^\s*[\[{]"), F.struct(F.lit(c).alias("column"), F.lit("not_json").alias("issue"))) for c in objects]
-    found = rows.select(page, F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull())).alias("b"))
+    def told(bad: Column, c: str, issue: str) -> Column:
+        return F.when(bad, F.struct(F.lit(c).alias("column"), F.lit(issue).alias("issue")))
+
+    bad = [told(value(c).isNotNull() & value(c).try_cast("double").isNull(), c, "not_number") for c in numbers]
+    bad += [told(value(c).isNotNull() & ~value(c).rlike(r"^\s*[\[{]"), c, "not_json") for c in objects]
+    extra = F.array_except(F.coalesce(F.json_object_keys(json_col), F.array()), F.array(*map(F.lit, known)))
+    extra = F.transform(extra, lambda c: F.struct(c.alias("column"), F.lit("extra").alias("issue")))
+    issues = F.concat(F.filter(F.array(*bad), lambda x: x.isNotNull()), extra)
+    found = first.select(page, F.explode(issues).alias("b"))
     return found.groupBy("b.column", "b.issue").agg(F.min(page).alias("first_page"))
 
 
@@ -59,12 +71,20 @@ def load_invariants(history: DataFrame, dated: str | None = None) -> DataFrame:
     return history.agg(F.count_if(loads).alias("n_loads"), undated.alias("n_undated")).withColumn("ok", F.expr("n_loads > 0 and n_undated = 0"))
 
 
-def cdc_invariants(cdc: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of counts that must all be 0."""
+def cdc_invariants(cdc: DataFrame, keys: list[str], date: str | None = None, required: tuple[str, ...] = ()) -> DataFrame:
+    """One row of counts that must all be 0: records without sequence, key or known
+    operation, inserts without a date (of tables that are kept by date), and required
+    columns that the records lack."""
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    return cdc.agg(F.count_if(F.col("change_seq").isNull()).alias("null_seq"), F.count_if(null_key).alias("null_key"), F.count_if(~F.col("change_oper").isin("I", "U", "D", "L", "B")).alias("unknown_oper"))
+    undated = F.count_if((F.col("change_oper") == "I") & F.col(date).isNull()) if date else F.lit(0).cast("long")
+    absent = len({*keys, *required} - set(cdc.columns))
+    return cdc.agg(
+        F.count_if(F.col("change_seq").isNull()).alias("null_seq"), F.count_if(null_key).alias("null_key"),
+        F.count_if(F.col("change_oper").isNull() | ~F.col("change_oper").isin("I", "U", "D", "L", "B")).alias("unknown_oper"),
+        undated.alias("undated_inserts"), F.lit(absent).cast("long").alias("absent_columns"),
+    )
 
 
 def partition_stability(cdc: DataFrame, keys: list[str], date: str) -> DataFrame:
@@ -104,15 +124,59 @@ def boundary_drop(rows: DataFrame, ts: str) -> DataFrame:
     return rows.join(F.broadcast(last), F.col(ts) < F.col("__last")).drop("__last")  # one row
 
 
-def range_batches(jobs: DataFrame, above: int, target: int, key: str = "job_id", size: str = "data_count", span: int = 1_000_000) -> DataFrame:
-    """Jobs above the watermark in order, cut where the running size passes a multiple of
-    the target (a set form of closing a batch once it is full). Running sums are taken
-    within ranges of ids and put one behind the other."""
+def _first_beyond(points: DataFrame, asked: DataFrame, span: int) -> DataFrame:
+    """For each asked value (columns id, v) the least point (column p) above it; points are
+    met in buckets of ``span``, and beyond a bucket by the least point of the next one that
+    has any, so no task sees them all."""
+    bucket = lambda c: F.floor(F.col(c) / span)
+    points, asked = points.withColumn("k", bucket("p")), asked.withColumn("k", bucket("v"))
+    here = asked.join(points, "k", "left").groupBy("id", "v", "k").agg(F.min(F.when(F.col("p") > F.col("v"), F.col("p"))).alias("near"))
+    least = points.groupBy("k").agg(F.min("p").alias("low"))  # a row a bucket
+    later = least.select("k", F.min("low").over(Window.orderBy("k").rowsBetween(1, Window.unboundedFollowing)).alias("later"))
+    filled = here.join(later, "k", "left").withColumn("p", F.coalesce("near", "later"))
+    lost = filled.filter("p is null").select("id", "v", "k")  # in a bucket that has no point
+    after = lost.join(least.withColumnRenamed("k", "kk"), F.col("kk") > F.col("k"), "left").groupBy("id", "v").agg(F.min("low").alias("p"))
+    return filled.filter("p is not null").select("id", "v", "p").union(after.select("id", "v", "p"))
+
+
+def range_batches(jobs: DataFrame, above: int, target: int, key: str = "job_id", size: str = "data_count", span: int = 1_000_000, rounds: int = 40) -> DataFrame:
+    """Jobs above the watermark in order, each with the batch it is asked for in: a batch
+    closes with the job that brings its size beyond the target, and the next one starts at
+    zero. Running sums are taken within ranges of ids and put one behind the other; from
+    every job's sum the job that would close a batch after it is found, and the closing
+    jobs are reached from the start by jumps that double, so nothing is read in turn."""
     rows = jobs.filter(F.col(key) > above).withColumn("__r", F.floor(F.col(key) / span))
     sums = rows.groupBy("__r").agg(F.sum(size).alias("s"))
     offset = sums.select("__r", F.coalesce(F.sum("s").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"))
     run = F.sum(size).over(Window.partitionBy("__r").orderBy(key)) + F.col("o")
-    return rows.join(offset, "__r").select(key, size, run.alias("running")).withColumn("batch_no", F.floor((F.col("running") - 1) / target))
+    rows = saved(rows.join(offset, "__r").select(key, size, run.alias("running")), "running")
+    points = rows.filter(F.col(size) > 0).select(F.col("running").alias("p")).distinct()
+    starts = points.select(F.col("p").alias("id")).union(rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("id")))
+    jump = _first_beyond(points, starts.withColumn("v", F.col("id") + target), max(target, 1)).filter("p is not null")
+    jump = saved(jump.select("id", "p"), "jump")
+    reached = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("id"))
+    for _ in range(rounds):  # each doubles how far a jump goes: 2**40 batches at most
+        more = reached.join(jump, "id").select(F.col("p").alias("id"))
+        if more.isEmpty():
+            break
+        reached = saved(reached.union(more).distinct(), "reached")
+        jump = saved(jump.alias("a").join(jump.alias("b"), F.col("a.p") == F.col("b.id")).select("a.id", "b.p"), "jump")
+    closes = reached.filter("id > 0").select(F.col("id").alias("closed"))
+    numbered = closes.withColumn("n", F.row_number().over(Window.orderBy("closed")))  # a row a batch
+    spans = numbered.select(F.coalesce(F.lag("closed").over(Window.orderBy("closed")), F.lit(-1)).alias("after"), "closed", F.col("n") - 1)
+    return _numbered(rows, spans.toDF("after", "closed", "batch_no"), key, size, target)
+
+
+def _numbered(rows: DataFrame, spans: DataFrame, key: str, size: str, target: int) -> DataFrame:
+    """Each job's batch: the first whose closing sum is not below the job's own; jobs behind
+    the last closing one are an open batch. Met by the target's multiples that a batch covers."""
+    last = spans.agg(F.coalesce(F.max("closed"), F.lit(-1)).alias("last"), F.coalesce(F.max("batch_no") + 1, F.lit(0)).alias("open"))  # one row
+    steps = spans.withColumn("k", F.explode(F.sequence(F.floor(F.greatest("after", F.lit(0)) / target), F.floor(F.col("closed") / target))))
+    inside = rows.withColumn("k", F.floor(F.col("running") / target)).join(F.broadcast(last))
+    on = [F.col("r.k") == F.col("s.k"), F.col("r.running") > F.col("s.after"), F.col("r.running") <= F.col("s.closed")]
+    met = inside.alias("r").join(steps.alias("s"), on[0] & on[1] & on[2], "left")
+    batch = F.coalesce("s.batch_no", F.when(F.col("running") > F.col("last"), F.col("open")))
+    return met.select(key, size, "running", batch.cast("long").alias("batch_no"))
 
 
 def backlog(jobs: DataFrame, ingested: int, page_limit: int = 10_000, key: str = "job_id", size: str = "data_count") -> DataFrame:
@@ -154,19 +218,26 @@ def lag_seconds(newer: str, older: str) -> Column:
 
 
 def progress(history: DataFrame, key: str = "table_id") -> DataFrame:
-    """Each run against the one before it of the same table: rows added and per second,
-    watermark's advance, days of data per hour of work, and how long catching up takes."""
+    """Each run against the one before it of the same table. Throughput is by the time the
+    run worked (``run_s``): rows a second, days of data an hour, and the seconds of work left
+    to catch up. Keeping up is by the time since the run before: the watermark's advance over
+    it, and how long catching up takes while the source moves on, null if it never will."""
     w = Window.partitionBy(key).orderBy("run_at")
     rows = history.withColumns({f"p_{c}": F.lag(c).over(w) for c in ("run_at", "row_count", "watermark_at")}).filter("p_run_at is not null")
-    rows = rows.withColumns({"took": lag_seconds("run_at", "p_run_at"), "advance": lag_seconds("watermark_at", "p_watermark_at"), "rows_added": F.expr("row_count - p_row_count")})
-    timed = F.col("took") > 0
     rows = rows.withColumns({
-        "rows_per_second": F.when(timed, F.round(F.col("rows_added") / F.col("took"), 2)),
-        "data_days_per_hour": F.when(timed, F.round(F.col("advance") / 86400.0 / (F.col("took") / 3600.0), 3)),
-        "catchup_ratio": F.when(timed, F.round(F.col("advance") / F.col("took"), 3)),
-    })
-    wall = F.when(F.col("lag_s") <= 0, F.lit(0.0)).when(F.col("catchup_ratio") > 1, F.round(F.col("lag_s") / (F.col("catchup_ratio") - 1), 1))
-    return rows.select(key, "run_at", "rows_added", "took", "advance", "rows_per_second", "data_days_per_hour", "catchup_ratio", wall.alias("catchup_s"))
+        "took": lag_seconds("run_at", "p_run_at"), "advance": lag_seconds("watermark_at", "p_watermark_at"), "rows_added": F.expr("row_count - p_row_count"),
+    })
+    worked, timed, caught = F.col("run_s") > 0, F.col("took") > 0, F.col("lag_s") <= 0
+    advance, took, run_s, lag = (F.col(c).cast("double") for c in ("advance", "took", "run_s", "lag_s"))
+    gaining = timed & (F.col("advance") > F.col("took"))
+    work_left = F.when(caught, 0).when(worked & (F.col("advance") > 0), F.floor(lag / (advance / run_s)))
+    wall_left = F.when(caught, 0).when(gaining, F.floor(lag / ((advance - took) / took)))
+    projected = F.when(~caught & gaining, F.expr("timestampadd(SECOND, cast(catchup_wall_s as int), run_at)"))
+    return rows.withColumn("catchup_wall_s", wall_left.cast("long")).select(
+        key, "run_at", F.col("run_s").alias("run_duration_s"), "rows_added", "took", "advance", F.when(worked, F.round(F.col("rows_added") / run_s, 2)).alias("rows_per_second"),
+        F.when(worked, F.round((advance / 86400.0) / (run_s / 3600.0), 3)).alias("data_days_per_hour"), F.when(timed, F.round(advance / took, 3)).alias("catchup_ratio"),
+        work_left.cast("long").alias("catchup_processing_s"), "catchup_wall_s", projected.alias("projected_caught_up"),
+    )
 
 
 def latest_status(history: DataFrame, key: str = "table_id") -> DataFrame:
@@ -174,12 +245,35 @@ def latest_status(history: DataFrame, key: str = "table_id") -> DataFrame:
     return history.groupBy(key).agg(F.max_by(F.struct(*columns), "run_at").alias("s")).select(key, "s.*")
 
 
+def is_behind(lag_hours: int = 4) -> Column:
+    """Has a table not caught up, by the signals that its feed gives (null: no such signal)?
+    A full budget, an open feed or waiting jobs say so; nothing pending and room in the
+    budget say it has; else its sequences' lag decides. The clock's lag never does."""
+    says = lambda c, value: F.coalesce(F.col(c) == value, F.lit(False))
+    behind = says("budget_nearly_full", True) | says("budget_full", True) | says("caught_up", False) | F.coalesce(F.col("jobs_lag") > 0, F.lit(False))
+    done = says("pending", 0) & says("budget_nearly_full", False)
+    return F.when(behind, True).when(done, False).otherwise(F.coalesce(F.col("lag_s") > lag_hours * 3600, F.lit(False)))
+
+
 def table_state(latest: DataFrame, now: str, stale_hours: int = 24, lag_hours: int = 4) -> DataFrame:
-    """STALE (no record, or none for a day), BEHIND (not caught up, or lagging) or OK."""
+    """STALE (no record, or none for a day), BEHIND (see ``is_behind``) or OK."""
     age = F.expr(f"timestampdiff(SECOND, run_at, timestamp_ntz'{now}')")
-    behind = (~F.col("caught_up")) | (F.col("lag_s") > lag_hours * 3600)
-    state = F.when(F.col("run_at").isNull() | (age > stale_hours * 3600), "STALE").when(behind, "BEHIND").otherwise("OK")
-    return latest.withColumns({"age_s": age, "state": state})
+    stale = F.col("run_at").isNull() | (age > stale_hours * 3600)
+    return latest.withColumns({"age_s": age, "state": F.when(stale, "STALE").when(is_behind(lag_hours), "BEHIND").otherwise("OK")})
+
+
+def feed_status(latest: DataFrame, upstream: DataFrame, now: str, feed: str = "feed") -> DataFrame:
+    """Per feed: tables, rows, watermark, the upstream's newest sequence, how far the feed is
+    behind it, how long its newest event is ago, and how many of its tables say that they are
+    behind, have a full budget, or wait for jobs."""
+    rows = latest.groupBy(feed).agg(
+        F.count(F.lit(1)).alias("n_tables"), F.sum("row_count").alias("row_count"), F.max("watermark").alias("watermark"), F.max("watermark_at").alias("__at"), F.max("lag_s").alias("lag_s"),
+        F.count_if(is_behind()).alias("n_behind"), F.count_if(F.coalesce(F.col("budget_nearly_full"), F.lit(False))).alias("n_nearly_full"),
+        F.count_if(F.coalesce(F.col("jobs_lag") > 0, F.lit(False))).alias("n_waiting"),
+    )
+    newest = upstream.groupBy(feed).agg(F.max("watermark").alias("upstream_max"), F.max("watermark_at").alias("__newest"))
+    rows = rows.join(newest, feed, "left").withColumn("__now", F.lit(now).cast("timestamp_ntz"))
+    return rows.withColumns({"seq_lag_s": lag_seconds("__newest", "__at"), "clock_lag_s": lag_seconds("__now", "__at")}).drop("__at", "__newest", "__now")
 
 
 def state_summary(states: DataFrame, expected: DataFrame, group: str = "feed", key: str = "table_id") -> DataFrame:
@@ -191,12 +285,15 @@ def state_summary(states: DataFrame, expected: DataFrame, group: str = "feed", k
 
 
 def duration_text(seconds: Column) -> Column:
-    """s below 90 s, m below 90 min, h below 48 h, else d."""
+    """Seconds below 90 s, minutes below 90 min, else hours with one decimal below 48 h, or
+    days; of either sign, '?' if unknown."""
+    s = F.abs(seconds).cast("double")
     return (
-        F.when(seconds < 90, F.concat(seconds.cast("long").cast("string"), F.lit("s")))
-        .when(seconds < 5400, F.concat(F.floor(seconds / 60).cast("string"), F.lit("m")))
-        .when(seconds < 172800, F.concat(F.floor(seconds / 3600).cast("string"), F.lit("h")))
-        .otherwise(F.concat(F.floor(seconds / 86400).cast("string"), F.lit("d")))
+        F.when(seconds.isNull(), "?")
+        .when(s < 90, F.format_string("%.0fs", s))
+        .when(s < 5400, F.format_string("%.0fm", F.bround(s / 60)))
+        .when(s < 172800, F.format_string("%.1fh", s / 3600))
+        .otherwise(F.format_string("%.1fd", s / 86400))
     )
 
 

@@ -27,7 +27,9 @@ UNION ALL SELECT DISTINCT user_id + 1000000 AS job_id, CAST(3 AS BIGINT) AS data
     "status_history": """
 SELECT user_id AS table_id, CASE WHEN user_id % 3 = 0 THEN 'api' ELSE 'cdc' END AS feed, CAST(ts AS DATE) AS run_day, max(ts) AS run_at,
   count(*) AS row_count, lpad(CAST(max(event_id) AS VARCHAR(20)), 20, '0') AS watermark, max(ts) AS watermark_at,
-  CAST(floor(sum(value)) AS BIGINT) % 20000 AS lag_s, max(event_id) % 4 = 0 AS caught_up
+  CAST(floor(sum(value)) AS BIGINT) % 20000 AS lag_s, CASE WHEN user_id % 3 = 0 THEN max(event_id) % 4 > 0 END AS caught_up, count(*) * 41 + 7 AS run_s,
+  CASE WHEN user_id % 3 = 1 THEN max(event_id) % 9 = 0 END AS budget_nearly_full, CASE WHEN user_id % 3 = 2 THEN max(event_id) % 8 = 0 END AS budget_full,
+  CASE WHEN user_id % 5 = 0 THEN max(event_id) % 3 END AS jobs_lag, CASE WHEN user_id % 3 = 1 THEN max(event_id) % 2 END AS pending
 FROM events GROUP BY user_id, CAST(ts AS DATE)""",
 }
 

@@ -41,12 +41,12 @@ def column_set_check(spark, d):
 
 
 def _pages(spark, d):
-    odd = F.when(F.col("event_id") % 10 == 0, F.lit('{"k": "x", "tags": 3}')).when(F.col("event_id") % 10 == 1, F.lit('{"k": null, "tags": [1, 2]}')).otherwise(F.col("props"))
-    return load(spark, d, "events").select((F.floor(F.col("event_id") / 100)).alias("page"), odd.alias("record"))
+    odd = F.when(F.col("event_id") % 100 == 0, F.when(F.col("event_id") % 300 == 0, F.lit('{"k": "x", "tags": 3}')).otherwise(F.lit('{"k": null, "tags": [1, 2], "new": 1}'))).otherwise(F.col("props"))
+    return load(spark, d, "events").select((F.floor(F.col("event_id") / 100)).alias("page"), "event_id", odd.alias("record"))
 
 
 def json_page_check(spark, d):
-    return quality.json_page_check(_pages(spark, d), "record", "page", ["k"], ["tags"])
+    return quality.json_page_check(_pages(spark, d), "record", "page", "event_id", ["k"], ["tags"], ["k", "tags"])
 
 
 def _strings(spark, d):
@@ -72,7 +72,11 @@ def load_invariants(spark, d):
 
 
 def cdc_invariants(spark, d):
-    return quality.cdc_invariants(load(spark, d, "cdc_log").withColumn("change_seq", F.expr("case when txn_id % 40 > 0 then change_seq end")), ["txn_id"])
+    log = load(spark, d, "cdc_log").withColumns({
+        "change_seq": F.expr("case when txn_id % 40 > 0 then change_seq end"), "key": F.expr("case when txn_id % 30 > 0 then txn_id end"),
+        "change_oper": F.expr("case when txn_id % 20 = 1 then 'X' else change_oper end"), "day": F.expr("case when txn_id % 3 > 0 then change_ts end"),
+    })
+    return quality.cdc_invariants(log, ["key"], "day", required=("amount", "gone"))
 
 
 def partition_stability(spark, d):
@@ -104,7 +108,7 @@ def boundary_drop(spark, d):
 
 
 def job_range_batches(spark, d):
-    return quality.range_batches(_counts(spark, d), 20, 500, span=50)
+    return quality.range_batches(_counts(spark, d), 20, 60, span=50)
 
 
 def backlog(spark, d):
@@ -159,8 +163,8 @@ def state_note(spark, d):
 
 
 def feed_status(spark, d):
-    rows = quality.latest_status(load(spark, d, "status_history"))
-    return rows.groupBy("feed").agg(F.count(F.lit(1)).alias("n_tables"), F.sum("row_count").alias("row_count"), F.max("watermark").alias("watermark"), F.max("lag_s").alias("lag_s"), F.count_if(~F.col("caught_up")).alias("n_open"))
+    rows = load(spark, d, "status_history")
+    return quality.feed_status(quality.latest_status(rows.filter("table_id % 4 > 0")), rows, NOW)
 
 
 # ---- layout and catalog
@@ -170,7 +174,11 @@ def column_min_max(spark, d):
 
 
 def stats_min_max(spark, d):
-    return load(spark, d, "lineitem").agg(F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"), F.count("l_orderkey").alias("n"))
+    path = _folder(spark)
+    rows = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    feeds.partitioned_write(rows, path, ("l_returnflag",), rows_per_file=5000)
+    out = [layout.stats_min_max(spark, path, c).select(F.lit(c).alias("column"), F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high")) for c in rows.columns]
+    return out[0].union(out[1]).union(out[2])
 
 
 def distinct_values(spark, d):
@@ -178,7 +186,11 @@ def distinct_values(spark, d):
 
 
 def _ranges(spark, d):
-    return load(spark, d, "events").groupBy(F.col("event_type").alias("unit"), F.concat(F.lit("f"), (F.col("user_id") % 16).cast("string")).alias("file")).agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+    """Key ranges of real files: events written by type, sixteen files a type at most."""
+    path = _folder(spark)
+    rows = load(spark, d, "events").select(F.col("event_type").alias("unit"), (F.col("user_id") % 16).alias("deal"), "event_id")
+    rows.repartition("unit", "deal").write.partitionBy("unit", "deal").parquet(path)
+    return layout.file_key_ranges(spark.read.parquet(path), "event_id", ("unit",))
 
 
 def file_key_ranges(spark, d):
@@ -203,7 +215,9 @@ def recluster(spark, d):
 
 
 def dataset_size_profile(spark, d):
-    return layout.size_profile(load(spark, d, "lineitem")).select("n_rows", "n_files", (F.col("rows_per_mb") >= 1000).alias("floored"))
+    path = _folder(spark)
+    load(spark, d, "lineitem").repartition("l_linenumber").write.partitionBy("l_linenumber").parquet(path)
+    return layout.size_profile(spark.read.parquet(path)).select("n_rows", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
 def path_partitions(spark, d):
@@ -212,8 +226,13 @@ def path_partitions(spark, d):
 
 
 def data_dictionary(spark, d):
-    remarks = load(spark, d, "region").select(F.lit("nation").alias("dataset"), F.lit("n_name").alias("column"), F.lit("a name").alias("remarks")).limit(1)
-    return layout.data_dictionary(spark, {t: f"{d}/{t}.parquet" for t in ("region", "nation", "orders")}, remarks).select("dataset", "ordinal", "column", "type", "is_partition", "remarks")
+    path = _folder(spark)
+    for place, table in (("geo/small", "region"), ("geo/small", "nation"), ("sales", "customer")):
+        load(spark, d, table).coalesce(1).write.parquet(f"{path}/{place}/{table}")
+    load(spark, d, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(f"{path}/sales/orders")
+    remarks = load(spark, d, "region").select(F.lit("nation").alias("dataset"), F.lit("n_name").alias("column"), F.concat(F.lit("a name of "), F.col("r_name")).alias("remarks"))
+    out = layout.data_dictionary(spark, path, remarks)
+    return out.select("group", "dataset", "n_files", "ordinal", "column", "type", "is_partition", "remarks")
 
 
 def register_views(spark, d):
@@ -247,8 +266,23 @@ def _descriptors(spark, d):
     )
 
 
+def _written(rows, path, key):
+    """Documents as files, one a key, as a vendor delivers them."""
+    rows.repartition(key).write.partitionBy(key).text(path)
+    return path
+
+
+def _vendor_documents(spark, d):
+    """A document a table, with its columns listed under dataInfo, read back."""
+    column = F.struct("ordinal", "name", "type", "precision", "scale", F.col("key_pos").alias("primaryKeyPos"))
+    docs = _descriptors(spark, d).groupBy("table").agg(F.collect_list(column).alias("columns"))
+    text = F.to_json(F.struct(F.struct(F.col("table").alias("sourceTable"), "columns").alias("dataInfo")))
+    path = _written(docs.select(text.alias("value"), F.regexp_replace("table", "[^A-Za-z0-9]", "_").alias("t")), _folder(spark), "t")
+    return schema.dfm_descriptors(spark, path)
+
+
 def dfm_schema(spark, d):
-    return schema.dfm_schema(_descriptors(spark, d))
+    return schema.dfm_schema(_vendor_documents(spark, d))
 
 
 def precision_pin(spark, d):
@@ -259,12 +293,23 @@ def precision_pin(spark, d):
 
 def afc_schema(spark, d):
     kind = F.expr("element_at(array('bigint','integer','character varying','timestamp with time zone'), cast(p_partkey % 4 + 1 as int))")
-    return schema.api_schema(load(spark, d, "part").select(F.col("p_brand").alias("table"), F.col("p_partkey").alias("column"), kind.alias("data_type")))
+    columns = load(spark, d, "part").select(F.col("p_brand").alias("table"), F.struct(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column_name"), kind.alias("data_type")).alias("c"))
+    docs = columns.groupBy("table").agg(F.collect_list("c").alias("table_infos"))
+    text = F.to_json(F.struct(F.col("table").alias("table_name"), "table_infos"))
+    path = _written(docs.select(text.alias("value"), F.regexp_replace("table", "[^A-Za-z0-9]", "_").alias("t")), _folder(spark), "t")
+    return schema.api_schema(schema.api_infos(spark, path))
 
 
 def _properties(spark, d):
+    """The properties of one OpenAPI document about all tables."""
     kind = F.expr("element_at(array('string','boolean','number','array','object',cast(null as string)), cast(p_partkey % 6 + 1 as int))")
-    return load(spark, d, "part").select(F.col("p_brand").alias("table"), F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column"), kind.alias("type"))
+    parts = load(spark, d, "part").select(F.col("p_brand").alias("table"), F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column"), F.struct(kind.alias("type")).alias("p"))
+    tables = parts.groupBy("table").agg(F.map_from_entries(F.collect_list(F.struct("column", "p"))).alias("properties"))
+    schemas = tables.agg(F.map_from_entries(F.collect_list(F.struct("table", F.struct("properties")))).alias("schemas"))
+    path = _folder(spark)
+    schemas.select(F.to_json(F.struct(F.struct("schemas").alias("components"))).alias("value")).coalesce(1).write.text(path)
+    names = [r.table for r in tables.select("table").collect()]  # a row a table
+    return schema.openapi_properties(spark, path, names)
 
 
 def openapi_schema(spark, d):
@@ -347,8 +392,11 @@ def restricted_split_load(spark, d):
 
 def json_cols_load(spark, d):
     path = _folder(spark)
-    load(spark, d, "events").select(F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "props": '), F.col("props"), F.lit("}")).alias("value")).write.text(path)
-    return feeds.json_cols_load(spark, path, {"event_id": "bigint", "props": "string"}, ["props"])
+    number = F.when(F.col("event_id") % 5 == 0, F.lit('"n/a"')).when(F.col("event_id") % 2 == 0, F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    hour = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd HH:00:00"), F.lit('"'))
+    parts = [F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "user_id": '), number, F.lit(', "hour": '), hour, F.lit(', "props": '), F.col("props"), F.lit("}")]
+    load(spark, d, "events").select(F.concat(*parts).alias("value")).write.text(path)
+    return feeds.json_cols_load(spark, path, {"event_id": "bigint", "user_id": "bigint", "hour": "string", "props": "string"}, ["props"], "hour")
 
 
 def union_by_name_scan(spark, d):
@@ -368,7 +416,7 @@ def latest_snapshot_scan(spark, d):
 def silver_scan(spark, d):
     path = _folder(spark)
     load(spark, d, "silver_initial").write.partitionBy("part_year", "part_month").parquet(path)
-    return spark.read.parquet(path).filter("part_month = 3").select("txn_id", "amount", "part_month")
+    return spark.read.parquet(path).select("txn_id", "amount", "part_year", "part_month")
 
 
 def partitioned_write(spark, d):
@@ -411,12 +459,14 @@ def guarded_swap(spark, d):
     return spark.read.parquet(live).withColumns({"n_live": F.lit(n), "n_backup": F.lit(spark.read.parquet(old).count())})
 
 
-STATE_SQL = f"""latest AS (SELECT table_id, arg_max(feed, run_at) AS feed, max(run_at) AS run_at, arg_max(row_count, run_at) AS row_count, arg_max(watermark, run_at) AS watermark, arg_max(lag_s, run_at) AS lag_s, arg_max(caught_up, run_at) AS caught_up FROM status_history GROUP BY 1),
-states AS (SELECT *, date_diff('second', run_at, TIMESTAMP '{NOW}') - CASE WHEN microsecond(run_at) % 1000000 > 0 AND run_at < TIMESTAMP '{NOW}' THEN 0 ELSE 0 END AS age0 FROM latest),
+LATEST = ", ".join(["max(run_at) AS run_at", *(f"arg_max({c}, run_at) AS {c}" for c in ("row_count", "watermark", "watermark_at", "lag_s"))])
+LATEST += ", " + ", ".join(f"arg_max_null({c}, run_at) AS {c}" for c in ("caught_up", "budget_nearly_full", "budget_full", "jobs_lag", "pending"))
+BEHIND = """CASE WHEN budget_nearly_full OR budget_full OR NOT caught_up OR jobs_lag > 0 THEN true WHEN pending = 0 AND NOT budget_nearly_full THEN false ELSE lag_s > 14400 END"""
+STATE_SQL = f"""latest AS (SELECT table_id, {LATEST} FROM status_history GROUP BY 1),
 aged AS (SELECT *, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(run_at)) // 1000000 AS age_s FROM latest),
-stated AS (SELECT *, CASE WHEN age_s > 72 * 3600 THEN 'STALE' WHEN NOT caught_up OR lag_s > 14400 THEN 'BEHIND' ELSE 'OK' END AS state FROM aged)
+stated AS (SELECT *, CASE WHEN age_s > 72 * 3600 THEN 'STALE' WHEN {BEHIND} THEN 'BEHIND' ELSE 'OK' END AS state FROM aged)
 """
-DUR = "CASE WHEN {0} < 90 THEN {0} || 's' WHEN {0} < 5400 THEN ({0} // 60) || 'm' WHEN {0} < 172800 THEN ({0} // 3600) || 'h' ELSE ({0} // 86400) || 'd' END"
+DUR = """CASE WHEN abs({0}) < 90 THEN printf('%.0fs', abs({0})::DOUBLE) WHEN abs({0}) < 5400 THEN printf('%.0fm', abs({0}) / 60::DOUBLE) WHEN abs({0}) < 172800 THEN printf('%.1fh', abs({0}) / 3600::DOUBLE) ELSE printf('%.1fd', abs({0}) / 86400::DOUBLE) END"""
 DESC = """d AS (SELECT p_brand AS "table", p_partkey::INT AS ordinal, 'col_' || p_partkey AS "column",
   ['REAL4','REAL8','BOOLEAN','DATE','DATETIME','TIME','INT4','NUMERIC','NUMERIC','STRING'][p_partkey % 10 + 1] AS vtype, (p_size % 30 + 1)::INT AS precision, (CASE WHEN p_partkey % 20 < 10 THEN 0 ELSE 2 END)::INT AS scale, CASE WHEN p_size < 8 THEN p_partkey ELSE 0 END AS key_pos FROM part),
 s AS (SELECT "table", ordinal, "column", CASE vtype WHEN 'REAL4' THEN 'float' WHEN 'REAL8' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date' WHEN 'DATETIME' THEN 'timestamp_ntz' WHEN 'TIME' THEN 'string' WHEN 'INT4' THEN 'bigint'
@@ -431,53 +481,86 @@ SQL = {
 SELECT job_id, n_rows, data_count, CASE WHEN data_count IS NULL THEN 'missing_in_counts' WHEN n_rows IS NULL THEN 'missing_in_data' WHEN n_rows <> data_count THEN 'different' ELSE 'ok' END AS status FROM s FULL JOIN api_counts USING (job_id)""", "api_counts"),
     "column_set_check": """WITH k AS (SELECT json_keys(props) AS ks FROM events)
 SELECT "column", issue, count(*) AS n_rows FROM (SELECT unnest(list_filter(ks, lambda x: x NOT IN ('k', 'v'))) AS "column", 'extra' AS issue FROM k UNION ALL SELECT unnest(list_filter(['k', 'v'], lambda x: NOT list_contains(ks, x))), 'missing' FROM k) GROUP BY ALL""",
-    "json_page_check": """WITH p AS (SELECT event_id // 100 AS page, CASE WHEN event_id % 10 = 0 THEN '{"k": "x", "tags": 3}' WHEN event_id % 10 = 1 THEN '{"k": null, "tags": [1, 2]}' ELSE props END AS r FROM events)
-SELECT "column", issue, min(page) AS first_page FROM (SELECT page, 'k' AS "column", 'not_number' AS issue FROM p WHERE json_extract_string(r, '$.k') IS NOT NULL AND try_cast(json_extract_string(r, '$.k') AS DOUBLE) IS NULL
-UNION ALL SELECT page, 'tags', 'not_json' FROM p WHERE json_type(r, '$.tags') NOT IN ('ARRAY', 'OBJECT', 'NULL')) GROUP BY ALL""",
+    "json_page_check": """WITH p AS (
+  SELECT event_id // 100 AS page, arg_min(CASE WHEN event_id % 300 = 0 THEN '{"k": "x", "tags": 3}' WHEN event_id % 100 = 0 THEN '{"k": null, "tags": [1, 2], "new": 1}' ELSE props END, event_id) AS r FROM events GROUP BY 1)
+SELECT "column", issue, min(page) AS first_page FROM (
+  SELECT page, 'k' AS "column", 'not_number' AS issue FROM p WHERE json_extract_string(r, '$.k') IS NOT NULL AND try_cast(json_extract_string(r, '$.k') AS DOUBLE) IS NULL
+  UNION ALL SELECT page, 'tags', 'not_json' FROM p WHERE json_type(r, '$.tags') NOT IN ('ARRAY', 'OBJECT', 'NULL')
+  UNION ALL SELECT page, c, 'extra' FROM (SELECT page, unnest(json_keys(r)) AS c FROM p) WHERE c NOT IN ('k', 'tags')) GROUP BY ALL""",
     "numeric_coerce": STRINGS + " SELECT o_orderkey, try_cast(a AS DOUBLE) AS a, try_cast(b AS DOUBLE) AS b FROM x",
     "coercion_warnings": STRINGS + """ SELECT "column", count(*) AS n_bad FROM (SELECT 'a' AS "column", a AS v FROM x UNION ALL SELECT 'b', b FROM x) WHERE v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL GROUP BY 1""",
     "json_serialize": "SELECT n_nationkey, '[' || n_nationkey || ',' || n_regionkey || ']' AS pair, n_name FROM nation",
     "load_invariants": "SELECT count(*) AS n_loads, count(*) FILTER (WHERE o_orderkey % 100 = 0) AS n_undated, count(*) > 0 AND count(*) FILTER (WHERE o_orderkey % 100 = 0) = 0 AS ok FROM orders",
-    "cdc_invariants": "SELECT count(*) FILTER (WHERE user_id % 40 = 0) AS null_seq, 0 AS null_key, 0 AS unknown_oper FROM events",
+    "cdc_invariants": with_adapters(
+        """SELECT count(*) FILTER (WHERE txn_id % 40 = 0) AS null_seq, count(*) FILTER (WHERE txn_id % 30 = 0) AS null_key, count(*) FILTER (WHERE txn_id % 20 = 1) AS unknown_oper,
+  count(*) FILTER (WHERE txn_id % 20 <> 1 AND change_oper = 'I' AND txn_id % 3 = 0) AS undated_inserts, 1 AS absent_columns FROM cdc_log""",
+        "cdc_log",
+    ),
     "partition_stability": "SELECT user_id AS txn_id, count(DISTINCT CAST(ts AS DATE)) AS n_dates FROM events WHERE user_id % 2 = 0 GROUP BY 1 HAVING count(DISTINCT CAST(ts AS DATE)) > 1",
     "table_health": f"SELECT * FROM (SELECT table_id, concat_ws(',', CASE WHEN a.max_id < b.max_id THEN 'max_id_fell' END, CASE WHEN a.min_id > b.min_id THEN 'min_id_rose' END, CASE WHEN a.n_rows < b.n_rows THEN 'rows_fell' END, CASE WHEN a.n_bytes < 0.75 * b.n_bytes THEN 'bytes_fell' END, CASE WHEN a.n_files < b.n_files THEN 'files_fell' END) AS issues FROM ({HEALTH.format('2024-02-01')}) b JOIN ({HEALTH.format('2024-01-20')}) a USING (table_id)) WHERE issues <> ''",
     "pii_drop": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "high_watermark": "SELECT greatest(max(event_id), 5) AS watermark FROM events",
     "boundary_drop": "SELECT event_id FROM events WHERE date_trunc('hour', ts) < (SELECT max(date_trunc('hour', ts)) FROM events)",
-    "job_range_batches": with_adapters("SELECT job_id, data_count, sum(data_count) OVER (ORDER BY job_id)::BIGINT AS running, ((sum(data_count) OVER (ORDER BY job_id) - 1) // 500)::BIGINT AS batch_no FROM api_counts WHERE job_id > 20", "api_counts"),
+    "job_range_batches": with_adapters(
+        """+ j AS (SELECT job_id, data_count, row_number() OVER (ORDER BY job_id) AS i, sum(data_count) OVER (ORDER BY job_id)::BIGINT AS running FROM api_counts WHERE job_id > 20),
+walk AS (SELECT i, job_id, data_count, running, 0 AS batch_no, data_count AS held FROM j WHERE i = 1
+  UNION ALL SELECT j.i, j.job_id, j.data_count, j.running, w.batch_no + (w.held > 60)::INT, CASE WHEN w.held > 60 THEN j.data_count ELSE w.held + j.data_count END FROM walk w JOIN j ON j.i = w.i + 1)
+SELECT job_id, data_count, running, batch_no::BIGINT AS batch_no FROM walk""",
+        "api_counts",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
     "backlog": with_adapters("SELECT count(*) FILTER (WHERE job_id > 90) AS jobs_lag, coalesce(sum(data_count) FILTER (WHERE job_id > 90), 0)::BIGINT AS rows_lag, max(job_id) AS latest, count(*) >= 10000 AS truncated, count(*) FILTER (WHERE job_id > 90) > 1 AS rerun_soon FROM api_counts", "api_counts"),
     "row_capped_run": "SELECT event_id, ts, (SELECT count(*) FROM events) > 700 AS capped FROM events ORDER BY ts, event_id LIMIT 700",
     "out_of_order_pages": "SELECT * FROM (SELECT event_type, page, low, max(high) OVER (PARTITION BY event_type ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT event_type, user_id // 10 AS page, min(ts) AS low, max(ts) AS high FROM events GROUP BY ALL)) WHERE low < before",
     "seq_to_timestamp": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN date_trunc('second', o_orderdate) END AS at FROM orders",
     "ms_to_timestamp": "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123 * 1000) AS at FROM orders",
     "lag_seconds": "SELECT l_orderkey, l_linenumber, trunc((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000000)::BIGINT AS lag FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
-    "progress": with_adapters("""+ w AS (SELECT *, lag(run_at) OVER v AS pr, lag(row_count) OVER v AS pc, lag(watermark_at) OVER v AS pw FROM status_history WINDOW v AS (PARTITION BY table_id ORDER BY run_at)),
+    "progress": with_adapters(
+        """+ w AS (SELECT *, lag(run_at) OVER v AS pr, lag(row_count) OVER v AS pc, lag(watermark_at) OVER v AS pw FROM status_history WINDOW v AS (PARTITION BY table_id ORDER BY run_at)),
 x AS (SELECT *, row_count - pc AS rows_added, (epoch_us(run_at) - epoch_us(pr)) // 1000000 AS took, (epoch_us(watermark_at) - epoch_us(pw)) // 1000000 AS advance FROM w WHERE pr IS NOT NULL),
-y AS (SELECT *, CASE WHEN took > 0 THEN round(rows_added / took, 2) END AS rows_per_second, CASE WHEN took > 0 THEN round(advance / 86400.0::DOUBLE / (took / 3600.0::DOUBLE), 3) END AS data_days_per_hour, CASE WHEN took > 0 THEN round(advance / took, 3) END AS catchup_ratio FROM x)
-SELECT table_id, run_at, rows_added, took, advance, rows_per_second, data_days_per_hour, catchup_ratio, CASE WHEN lag_s <= 0 THEN 0.0 WHEN catchup_ratio > 1 THEN round(lag_s / (catchup_ratio - 1), 1) END AS catchup_s FROM y""", "status_history"),
+y AS (SELECT *, CASE WHEN lag_s <= 0 THEN 0 WHEN took > 0 AND advance > took THEN floor(lag_s / ((advance - took) / took)) END::BIGINT AS wall FROM x)
+SELECT table_id, run_at, run_s AS run_duration_s, rows_added, took, advance, round(rows_added / run_s, 2) AS rows_per_second, round(advance / 86400.0::DOUBLE / (run_s / 3600.0::DOUBLE), 3) AS data_days_per_hour,
+  CASE WHEN took > 0 THEN round(advance / took, 3) END AS catchup_ratio, CASE WHEN lag_s <= 0 THEN 0 WHEN advance > 0 THEN floor(lag_s / (advance / run_s)) END::BIGINT AS catchup_processing_s,
+  wall AS catchup_wall_s, CASE WHEN lag_s > 0 THEN run_at + to_seconds(wall) END AS projected_caught_up FROM y""",
+        "status_history",
+    ),
     "table_state": with_adapters("+" + STATE_SQL + "SELECT table_id, age_s, state FROM stated", "status_history"),
     "state_summary": with_adapters("+" + STATE_SQL + """, e AS (SELECT DISTINCT table_id, feed FROM status_history), a AS (SELECT * FROM e UNION ALL SELECT table_id + 100000, feed FROM e WHERE table_id % 10 = 0)
 SELECT a.feed, count(*) FILTER (WHERE coalesce(state, 'STALE') = 'STALE') AS stale, count(*) FILTER (WHERE state = 'BEHIND') AS behind, count(*) FILTER (WHERE state = 'OK') AS ok FROM a LEFT JOIN stated s ON a.table_id = s.table_id GROUP BY 1""", "status_history"),
-    "state_note": with_adapters("+" + STATE_SQL + f"SELECT table_id, concat_ws('; ', state, row_count || ' rows', CASE WHEN lag_s > 0 THEN 'lag ' || {DUR.format('lag_s')} END, 'seen ' || {DUR.format('age_s')} || ' ago') AS note FROM stated", "status_history"),
-    "feed_status": with_adapters("+" + STATE_SQL + "SELECT feed, count(*) AS n_tables, sum(row_count)::BIGINT AS row_count, max(watermark) AS watermark, max(lag_s) AS lag_s, count(*) FILTER (WHERE NOT caught_up) AS n_open FROM latest GROUP BY 1", "status_history"),
+    "state_note": with_adapters(
+        "+" + STATE_SQL + f"SELECT table_id, concat_ws('; ', state, format('{{:,}}', row_count) || ' rows', CASE WHEN lag_s > 0 THEN 'lag ' || {DUR.format('lag_s')} END, 'seen ' || {DUR.format('age_s')} || ' ago') AS note FROM stated",
+        "status_history",
+    ),
+    "feed_status": with_adapters(
+        f"""+ latest AS (SELECT table_id, arg_max(feed, run_at) AS feed, {LATEST} FROM status_history WHERE table_id % 4 > 0 GROUP BY 1),
+up AS (SELECT feed, max(watermark) AS upstream_max, max(watermark_at) AS newest FROM status_history GROUP BY 1)
+SELECT feed, count(*) AS n_tables, sum(row_count)::BIGINT AS row_count, max(watermark) AS watermark, max(lag_s) AS lag_s, count(*) FILTER (WHERE {BEHIND}) AS n_behind,
+  count(*) FILTER (WHERE budget_nearly_full) AS n_nearly_full, count(*) FILTER (WHERE jobs_lag > 0) AS n_waiting, any_value(upstream_max) AS upstream_max,
+  trunc((epoch_us(any_value(newest)) - epoch_us(max(watermark_at))) / 1000000)::BIGINT AS seq_lag_s, trunc((epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(watermark_at))) / 1000000)::BIGINT AS clock_lag_s
+FROM latest JOIN up USING (feed) GROUP BY 1""",
+        "status_history",
+    ),
     "column_min_max": "SELECT min(l_shipdate) AS low, max(l_shipdate) AS high FROM lineitem WHERE l_quantity > 10",
-    "stats_min_max": "SELECT min(l_orderkey) AS low, max(l_orderkey) AS high, count(l_orderkey) AS n FROM lineitem",
+    "stats_min_max": """SELECT 'l_orderkey' AS "column", min(l_orderkey)::VARCHAR AS low, max(l_orderkey)::VARCHAR AS high FROM lineitem
+UNION ALL SELECT 'l_linenumber', min(l_linenumber)::VARCHAR, max(l_linenumber)::VARCHAR FROM lineitem UNION ALL SELECT 'l_returnflag', min(l_returnflag), max(l_returnflag) FROM lineitem""",
     "distinct_values": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
     "file_key_ranges": "SELECT 'orders.parquet' AS file, min(o_orderkey) AS low, max(o_orderkey) AS high, count(*) AS n_rows FROM orders",
     "overlapping_files": f"WITH {RANGES} SELECT * FROM o",
     "recluster_plan": f"WITH {RANGES} SELECT *, greatest(4, ceil(2 * sqrt(n_files)))::BIGINT AS threshold, overlap >= greatest(4, ceil(2 * sqrt(n_files))) AS recluster FROM o",
     "recluster": "SELECT 0 AS overlap, count(*) AS n_rows FROM orders",
-    "dataset_size_profile": "SELECT count(*) AS n_rows, 1 AS n_files, true AS floored FROM lineitem",
+    "dataset_size_profile": "SELECT count(*) AS n_rows, count(DISTINCT l_linenumber) AS n_files, count(*) > 0 AS has_bytes FROM lineitem",
     "path_partitions": "SELECT o_orderkey, 'year=' || year(o_orderdate) || ',month=' || month(o_orderdate) AS parts FROM orders",
-    "data_dictionary": """SELECT * FROM (VALUES ('region', 0, 'r_regionkey', 'int'), ('region', 1, 'r_name', 'string'), ('nation', 0, 'n_nationkey', 'int'), ('nation', 1, 'n_name', 'string'), ('nation', 2, 'n_regionkey', 'int'),
-('orders', 0, 'o_orderkey', 'bigint'), ('orders', 1, 'o_custkey', 'bigint'), ('orders', 2, 'o_orderstatus', 'string'), ('orders', 3, 'o_totalprice', 'double'), ('orders', 4, 'o_orderdate', 'timestamp_ntz'), ('orders', 5, 'o_orderpriority', 'string')) v(dataset, ordinal, "column", type),
-LATERAL (SELECT false AS is_partition, CASE WHEN "column" = 'n_name' THEN 'a name' END AS remarks) x""",
+    "data_dictionary": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey', 'int'), ('geo/small', 'region', 1, 'r_name', 'string'), ('geo/small', 'nation', 0, 'n_nationkey', 'int'), ('geo/small', 'nation', 1, 'n_name', 'string'),
+  ('geo/small', 'nation', 2, 'n_regionkey', 'int'), ('sales', 'customer', 0, 'c_custkey', 'bigint'), ('sales', 'customer', 1, 'c_name', 'string'), ('sales', 'customer', 2, 'c_nationkey', 'int'),
+  ('sales', 'customer', 3, 'c_acctbal', 'double'), ('sales', 'customer', 4, 'c_mktsegment', 'string'), ('sales', 'orders', 0, 'o_orderkey', 'bigint'), ('sales', 'orders', 1, 'o_custkey', 'bigint'),
+  ('sales', 'orders', 2, 'o_totalprice', 'double'), ('sales', 'orders', 3, 'o_orderdate', 'timestamp_ntz'), ('sales', 'orders', 4, 'o_orderpriority', 'string'), ('sales', 'orders', 5, 'o_orderstatus', 'string')) v("group", dataset, ordinal, "column", type))
+SELECT *, CASE dataset WHEN 'orders' THEN (SELECT count(DISTINCT o_orderstatus) FROM orders) ELSE 1 END AS n_files, "column" = 'o_orderstatus' AS is_partition,
+  CASE WHEN "column" = 'n_name' THEN 'a name of ' || (SELECT min(r_name) FROM region) END AS remarks FROM c""",
     "column_descriptions": "SELECT p_brand AS dataset, p_partkey::VARCHAR AS \"column\", CASE WHEN p_partkey % 3 = 0 THEN p_type END AS remarks FROM part",
     "register_reports": "SELECT l_returnflag, count(*) AS n, 1 AS n_failed FROM lineitem GROUP BY 1",
     "register_views": "SELECT n_nationkey, n_name, 1 AS n_failed FROM nation",
     "dfm_schema": f"WITH {DESC} SELECT * FROM s",
     "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 THEN 19 ELSE precision END AS precision, CASE WHEN ordinal % 3 = 0 THEN 0 ELSE scale END AS scale FROM d',
-    "afc_schema": """SELECT p_brand AS "table", p_partkey AS "column", ['bigint','int','string','timestamp_ntz'][p_partkey % 4 + 1] AS type, p_partkey % 4 = 3 AS is_timestamp FROM part""",
+    "afc_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['bigint','int','string','timestamp_ntz'][p_partkey % 4 + 1] AS type, p_partkey % 4 = 3 AS is_timestamp FROM part""",
     "openapi_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['string','boolean','double','string','string','string'][p_partkey % 6 + 1] AS type, p_partkey % 6 IN (3, 4) AS is_json FROM part WHERE p_partkey % 7 <> 0 OR p_partkey IN (14, 28)""",
     "schema_compat_check": f"""WITH {DESC}, e AS (SELECT "table", "column", CASE WHEN ordinal % 11 = 0 THEN 'string' ELSE type END AS actual FROM s WHERE ordinal % 9 > 0), x AS (SELECT "table", "column", type AS expected FROM s WHERE ordinal % 8 > 0)
 SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS NULL THEN 'extra' WHEN actual IS NULL THEN 'missing' WHEN actual <> expected THEN 'mismatch' END AS issue FROM e FULL JOIN x USING ("table", "column")) WHERE issue IS NOT NULL AND NOT (issue = 'extra' AND "column" = 'col_16')""",
@@ -490,10 +573,11 @@ SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS
     "append_table_write": "SELECT n_nationkey, 2 AS n FROM nation",
     "static_table_overwrite": "SELECT n_nationkey, 8 AS job_id FROM nation",
     "restricted_split_load": "SELECT DISTINCT o_custkey, o_orderstatus AS secret, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders",
-    "json_cols_load": "SELECT event_id, props FROM events",
+    "json_cols_load": """SELECT event_id, CASE WHEN event_id % 5 > 0 THEN user_id END AS user_id, strftime(ts, '%Y-%m-%d %H:00:00') AS hour, props FROM events
+WHERE date_trunc('hour', ts) < (SELECT max(date_trunc('hour', ts)) FROM events)""",
     "union_by_name_scan": "SELECT s_suppkey, NULL AS s_name, 1 AS part_no FROM supplier UNION ALL SELECT s_suppkey, s_name, 2 FROM supplier",
     "latest_snapshot_scan": "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_suppkey % 2 = 0",
-    "silver_scan": with_adapters("SELECT txn_id, amount, part_month FROM silver_initial WHERE part_month = 3", "silver_initial"),
+    "silver_scan": with_adapters("SELECT txn_id, amount, part_year, part_month FROM silver_initial", "silver_initial"),
     "partitioned_write": "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS s FROM orders GROUP BY 1",
     "materialize_report": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1",
     "incremental_export": "SELECT o_orderkey, try_cast(o_orderpriority[1] AS INT) AS o_orderpriority, try_cast(o_orderstatus AS INT) AS o_orderstatus FROM orders WHERE o_orderkey > 900",

@@ -63,10 +63,18 @@ def restricted_split(df: DataFrame, secret: str, key: str) -> tuple[DataFrame, D
     return df.drop(secret), df.select(key, secret).distinct()
 
 
-def json_cols_load(spark: SparkSession, paths, types: dict[str, str], json_columns: list[str]) -> DataFrame:
-    """JSON records whose arrays and objects stay text as they were written."""
-    schema = ", ".join(f"`{c}` {'string' if c in json_columns else t}" for c, t in types.items())
-    return spark.read.schema(schema).json(paths)
+def json_cols_load(spark: SparkSession, paths, types: dict[str, str], json_columns: list[str], time: str | None = None) -> DataFrame:
+    """JSON records whose arrays and objects stay text as they were written. Numbers that
+    come as text are read as numbers, what is none becomes null. With ``time``, the records
+    of the latest time are withheld: more of that time may follow, and the next run, which
+    starts above what is kept, reads them whole."""
+    schema = ", ".join(f"`{c}` string" for c in types)
+    rows = spark.read.schema(schema).json(paths)
+    rows = rows.withColumns({c: F.expr(f"try_cast(`{c}` as {t})") for c, t in types.items() if c not in json_columns and t != "string"})
+    if time is None:
+        return rows
+    last = rows.agg(F.max(time).alias("__last"))  # one row
+    return rows.join(F.broadcast(last), F.col(time) < F.col("__last")).drop("__last")
 
 
 def union_by_name_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -80,9 +88,15 @@ def latest_snapshot_scan(spark: SparkSession, path: str, part: str = "snapshot")
     return spark.read.option("basePath", path).parquet(f"{path}/{newest}")
 
 
-def partitioned_write(df: DataFrame, path: str, parts: tuple[str, ...], rows_per_file: int = 5_000_000, salt: int = 8) -> None:
-    """Partitioned parquet; a partition's rows go to at most ``salt`` tasks."""
-    spread = df.repartition(*parts, F.pmod(F.xxhash64(*[c for c in df.columns if c not in parts]), F.lit(salt)))
+def partitioned_write(df: DataFrame, path: str, parts: tuple[str, ...], rows_per_file: int = 5_000_000) -> None:
+    """Partitioned parquet in files of about ``rows_per_file`` rows: a partition of n rows is
+    written by n / rows_per_file tasks, so a large one is not one task's and a small one is
+    one file."""
+    sizes = df.groupBy(*parts).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__tasks"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in parts]
+    rows = df.alias("d").join(sizes.alias("s"), reduce(lambda a, b: a & b, same)).select("d.*", "__tasks")
+    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c not in parts]), F.col("__tasks"))
+    spread = rows.withColumn("__task", deal).repartition(*parts, "__task").drop("__tasks", "__task")
     spread.write.mode("overwrite").partitionBy(*parts).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 

@@ -18,6 +18,21 @@ def delete(spark, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def total_bytes(spark, path: str, suffix: str = ".parquet") -> int:
+    fs, p = _fs(spark, path)
+    size, walk = 0, fs.listFiles(p, True)
+    while walk.hasNext():
+        f = walk.next()
+        size += f.getLen() if f.getPath().getName().endswith(suffix) else 0
+    return size
+
+
 def list_files(spark, path: str, suffix: str = ".parquet") -> list[str]:
     """Paths (without scheme) of all files below ``path``."""
     fs, p = _fs(spark, path)

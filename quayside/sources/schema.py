@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,33 @@ def vendor_type(name: Column, type_: Column, precision: Column, scale: Column) -
     return out.when(type_.contains("INT"), "bigint").when(type_ == "NUMERIC", numeric).otherwise("string")
 
 
+def dfm_descriptors(spark: SparkSession, paths) -> DataFrame:
+    """(table, ordinal, name, type, precision, scale, key_pos) of vendor documents, a JSON
+    file a table that lists its columns under dataInfo."""
+    column = "struct<ordinal:int,name:string,type:string,precision:int,scale:int,primaryKeyPos:int>"
+    docs = spark.read.schema(f"dataInfo struct<sourceTable:string,columns:array<{column}>>").option("multiLine", True).json(paths)
+    rows = docs.select(F.col("dataInfo.sourceTable").alias("table"), F.explode("dataInfo.columns").alias("c"))
+    return rows.select("table", "c.ordinal", "c.name", "c.type", "c.precision", "c.scale", F.col("c.primaryKeyPos").alias("key_pos"))
+
+
+def api_infos(spark: SparkSession, paths) -> DataFrame:
+    """(table, column, data_type) of answers about tables, a JSON file a table."""
+    docs = spark.read.schema("table_name string, table_infos array<struct<column_name:string,data_type:string>>").option("multiLine", True).json(paths)
+    return docs.select(F.col("table_name").alias("table"), F.explode("table_infos").alias("c")).select("table", F.col("c.column_name").alias("column"), "c.data_type")
+
+
+def openapi_properties(spark: SparkSession, path: str, tables: list[str]) -> DataFrame:
+    """(table, column, type) of an OpenAPI document's component schemas; type is null where
+    a property has none. A table that the document lacks is an error."""
+    schemas = "components struct<schemas:map<string,struct<properties:map<string,struct<type:string>>>>>"
+    docs = spark.read.schema(schemas).option("multiLine", True).json(path)
+    found = docs.select(F.explode("components.schemas").alias("table", "s")).filter(F.col("table").isin(*tables))
+    known = {r.table for r in found.select("table").distinct().collect()}  # a row a table
+    if missing := sorted(set(tables) - known):
+        raise ValueError(f"the document has no schema of {', '.join(missing)}")
+    return found.select("table", F.explode("s.properties").alias("column", "p")).select("table", "column", F.col("p.type").alias("type"))
+
+
 def dfm_schema(descriptors: DataFrame) -> DataFrame:
     """(table, ordinal, column, type) from (table, ordinal, name, type, precision, scale)."""
     kind = vendor_type(F.col("name"), F.col("type"), F.col("precision"), F.col("scale"))

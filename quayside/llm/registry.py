@@ -1,4 +1,4 @@
-"""The subpackage's queries: the ten operators with production parameters."""
+"""The subpackage's queries: the operators with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import ann, bpe, exact, mixing, neardup, pii, quality, sharding, substring, urlfilter
+from quayside.llm import ann, bpe, divergence, exact, htmltext, mixing, neardup, pii, quality, sharding, substring, urlfilter, whitening
 from quayside.llm.common import documents, prepare
 
 TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +59,18 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(_read(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_read(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
 g AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-length(text), doc_id)) AS keep_id FROM t GROUP BY norm)
@@ -97,7 +109,11 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ann, op2_bpe, op3_sharding, op4_mixing, op5_pii, op6_neardup, op7_urlfilter, op8_quality, op9_substring, op10_exact)}
+    found = (
+        op1_ann, op2_bpe, op3_sharding, op4_mixing, op5_pii, op6_neardup, op7_urlfilter, op8_quality, op9_substring, op10_exact,
+        op11_html, op12_whitening, op13_divergence,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -108,4 +124,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_urlfilter": urlfilter.URL_SQL,
         "op9_substring": SUBSTRING_SQL,
         "op10_exact": EXACT_SQL,
+        "op11_html": htmltext.PAGES_SQL,
+        "op13_divergence": divergence.DIVERGENCE_SQL,
     }

@@ -62,11 +62,16 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and each text's first word (n+1 values)."""
-    inside = ~SPACE[data]
+    return runs(~SPACE[data], offsets)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are ``inside``, cut where texts end, and
+    each text's first run (n+1 values)."""
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
-    heads = offsets[:-1][offsets[:-1] < len(data)]
+    heads = offsets[:-1][offsets[:-1] < len(inside)]
     opens[heads] |= inside[heads]
     tails = offsets[1:][offsets[1:] > 0] - 1
     closes[tails] |= inside[tails]

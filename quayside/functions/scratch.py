@@ -1,12 +1,25 @@
-"""The shared folder for tables that a job writes and reads again."""
+"""The shared folder for tables that a job writes and reads again.
+
+Who deletes them: a table made within a ``scratch_scope`` is deleted when that scope ends, so
+a caller that has written its result leaves nothing. Without a scope it stays until the
+folder is cleared, since a returned frame may still read it.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.sources.files import delete
+
+#: The tables of the innermost scope; threads and other contexts have scopes of their own.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir. Where it is unset, a local session gets a folder of its own; on
@@ -20,8 +33,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: its plan ends there."""
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, the scratch tables made within; yields their paths."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
+def saved(df: DataFrame, name: str, scope: list[str] | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: its plan ends there. It
+    belongs to ``scope``, or else to the innermost one."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    owner = _SCOPE.get() if scope is None else scope
+    if owner is not None:
+        owner.append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table

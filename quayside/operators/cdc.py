@@ -7,12 +7,13 @@ each other.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.carry import running
+
 SEQ, OPER = "change_seq", "change_oper"
 META = (SEQ, OPER, "change_ts")
 
@@ -113,26 +114,25 @@ def read_batch(cdc: DataFrame, watermark: str, size: int) -> DataFrame:
 def accumulate(cdc: DataFrame, watermark: str, max_rows: int, max_bytes: int, size: Column) -> DataFrame:
     """The next records above the watermark within a budget of rows and of bytes, in order
     of sequence: up to ``max_rows``, and up to the one whose bytes (``size``) reach
-    ``max_bytes``. The running sum is over the ``max_rows`` first records alone."""
+    ``max_bytes``."""
     rows = cdc.filter(F.col(OPER).isin("I", "U", "D") & (F.col(SEQ) > watermark)).withColumn("__size", size)
     rows = rows.orderBy(SEQ).limit(max_rows)
-    before = F.sum("__size").over(Window.orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < max_bytes).drop("__size", "__before")
+    rows = running(rows, [SEQ], {"__before": ("sum", F.col("__size"))}, before=True)
+    return rows.filter(F.coalesce("__before", F.lit(0)) < max_bytes).drop("__size", "__before")
 
 
 def asof_snapshot(files: DataFrame, snapshots: DataFrame, table: str = "table_id") -> DataFrame:
     """Each file's newest strictly older snapshot of its table; files older than all are
-    dropped. One sorted pass per table over both, no range join."""
-    f = files.select(table, "file", "ts", F.lit(None).cast("timestamp_ntz").alias("snapshot"), F.lit(0).alias("kind"))
-    s = snapshots.select(table, F.lit(None).cast("long").alias("file"), "ts", F.col("ts").alias("snapshot"), F.lit(1).alias("kind"))
-    order = Window.partitionBy(table).orderBy("ts", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    out = f.union(s).withColumn("snapshot", F.last("snapshot", ignorenulls=True).over(order))
-    return out.filter("kind = 0 and snapshot is not null").drop("kind")
+    dropped. One pass over both in order of time, no range join; a table's files may be many."""
+    f = files.select(table, "file", "ts", F.lit(None).cast("timestamp_ntz").alias("taken"), F.lit(0).alias("kind"))
+    s = snapshots.select(table, F.lit(None).cast("long").alias("file"), "ts", F.col("ts").alias("taken"), F.lit(1).alias("kind"))
+    out = running(f.union(s), ["ts", "kind", "file"], {"snapshot": ("last", F.col("taken"))}, by=(table,))
+    return out.filter("kind = 0 and snapshot is not null").select(table, "file", "ts", "snapshot")
 
 
 def load_groups(files: DataFrame, table: str = "table_id") -> DataFrame:
     """Number of the load that a file belongs to: a first part opens a new one."""
-    return files.withColumn("load_no", F.sum(F.col("is_first").cast("int")).over(Window.partitionBy(table).orderBy("ts", "file")))
+    return running(files, ["ts", "file"], {"load_no": ("sum", F.col("is_first").cast("int"))}, by=(table,))
 
 
 def stale_files(files: DataFrame, oldest_kept: DataFrame, table: str = "table_id") -> DataFrame:
@@ -143,17 +143,10 @@ def stale_files(files: DataFrame, oldest_kept: DataFrame, table: str = "table_id
     return cut.filter(F.col("ts") < F.coalesce("oldest", "newest")).select(table, "file", "ts")
 
 
-def surrogate_index(df: DataFrame, key: str, start: int = 0, rows_per_bucket: int = 200_000) -> DataFrame:
-    """``row_index`` without gaps from ``start``: numbered within hash buckets of about
-    ``rows_per_bucket`` rows, which are put one behind the other; no task sorts the whole
-    table. With one bucket the order is the key's."""
-    buckets = max(1, math.ceil(df.count() / rows_per_bucket))
-    rows = df.withColumn("__b", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    sizes = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("n"))
-    offsets = sizes.select("__b", F.coalesce(F.sum("n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"))
-    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy("__b").orderBy(key)))
-    joined = numbered.join(offsets, "__b")
-    return joined.withColumn("row_index", F.col("__n") + F.col("__o") - 1 + start).drop("__b", "__n", "__o")
+def surrogate_index(df: DataFrame, key: str, start: int = 0) -> DataFrame:
+    """``row_index`` without gaps from ``start``, in order of the unique ``key``; no task
+    numbers more than a range of keys."""
+    return running(df, [key], {"row_index": ("sum", F.lit(1))}).withColumn("row_index", F.col("row_index") + (start - 1))
 
 
 def null_safe_update(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.carry import running
 from quayside.sources.feeds import materialize_report
 from quayside.sources.files import child_dirs, delete, exists, list_files, rename, total_bytes
 
@@ -49,8 +50,7 @@ def file_key_ranges(df: DataFrame, key: str, parts: tuple[str, ...] = ()) -> Dat
 def overlapping_files(ranges: DataFrame, unit: str) -> DataFrame:
     """Per unit: files, and those whose range starts within an earlier one's; null if a
     file has no range."""
-    w = Window.partitionBy(unit).orderBy("low", "file").rowsBetween(Window.unboundedPreceding, -1)
-    seen = ranges.withColumn("before", F.max("high").over(w))
+    seen = running(ranges, ["low", "file"], {"before": ("max", F.col("high"))}, by=(unit,), before=True)
     none = F.max(F.col("low").isNull().cast("int")) == 1
     return seen.groupBy(unit).agg(F.count(F.lit(1)).alias("n_files"), F.when(~none, F.count_if(F.col("low") <= F.col("before"))).alias("overlap"))
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.scratch import saved
+from quayside.operators.carry import running
+from quayside.sources.files import delete
 
 
 def count_reconcile(data: DataFrame, announced: DataFrame, key: str = "job_id") -> DataFrame:
@@ -124,59 +126,38 @@ def boundary_drop(rows: DataFrame, ts: str) -> DataFrame:
     return rows.join(F.broadcast(last), F.col(ts) < F.col("__last")).drop("__last")  # one row
 
 
-def _first_beyond(points: DataFrame, asked: DataFrame, span: int) -> DataFrame:
-    """For each asked value (columns id, v) the least point (column p) above it; points are
-    met in buckets of ``span``, and beyond a bucket by the least point of the next one that
-    has any, so no task sees them all."""
-    bucket = lambda c: F.floor(F.col(c) / span)
-    points, asked = points.withColumn("k", bucket("p")), asked.withColumn("k", bucket("v"))
-    here = asked.join(points, "k", "left").groupBy("id", "v", "k").agg(F.min(F.when(F.col("p") > F.col("v"), F.col("p"))).alias("near"))
-    least = points.groupBy("k").agg(F.min("p").alias("low"))  # a row a bucket
-    later = least.select("k", F.min("low").over(Window.orderBy("k").rowsBetween(1, Window.unboundedFollowing)).alias("later"))
-    filled = here.join(later, "k", "left").withColumn("p", F.coalesce("near", "later"))
-    lost = filled.filter("p is null").select("id", "v", "k")  # in a bucket that has no point
-    after = lost.join(least.withColumnRenamed("k", "kk"), F.col("kk") > F.col("k"), "left").groupBy("id", "v").agg(F.min("low").alias("p"))
-    return filled.filter("p is not null").select("id", "v", "p").union(after.select("id", "v", "p"))
-
-
-def range_batches(jobs: DataFrame, above: int, target: int, key: str = "job_id", size: str = "data_count", span: int = 1_000_000, rounds: int = 40) -> DataFrame:
+def range_batches(jobs: DataFrame, above: int, target: int, key: str = "job_id", size: str = "data_count", rounds: int = 40) -> DataFrame:
     """Jobs above the watermark in order, each with the batch it is asked for in: a batch
     closes with the job that brings its size beyond the target, and the next one starts at
-    zero. Running sums are taken within ranges of ids and put one behind the other; from
-    every job's sum the job that would close a batch after it is found, and the closing
-    jobs are reached from the start by jumps that double, so nothing is read in turn."""
-    rows = jobs.filter(F.col(key) > above).withColumn("__r", F.floor(F.col(key) / span))
-    sums = rows.groupBy("__r").agg(F.sum(size).alias("s"))
-    offset = sums.select("__r", F.coalesce(F.sum("s").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"))
-    run = F.sum(size).over(Window.partitionBy("__r").orderBy(key)) + F.col("o")
-    rows = saved(rows.join(offset, "__r").select(key, size, run.alias("running")), "running")
+    zero. From every job's running sum the job that would close a batch after it is found, in
+    one pass over both in order; the closing jobs are reached from the start by jumps that
+    double, so nothing is read in turn; and a job's batch is how many closed before it."""
+    spark, number = jobs.sparkSession, lambda v: F.lit(v).cast("long")
+    rows = running(jobs.filter(F.col(key) > above).select(key, size), [key], {"running": ("sum", F.col(size))})
     points = rows.filter(F.col(size) > 0).select(F.col("running").alias("p")).distinct()
-    starts = points.select(F.col("p").alias("id")).union(rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("id")))
-    jump = _first_beyond(points, starts.withColumn("v", F.col("id") + target), max(target, 1)).filter("p is not null")
-    jump = saved(jump.select("id", "p"), "jump")
-    reached = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("id"))
-    for _ in range(rounds):  # each doubles how far a jump goes: 2**40 batches at most
-        more = reached.join(jump, "id").select(F.col("p").alias("id"))
-        if more.isEmpty():
-            break
-        reached = saved(reached.union(more).distinct(), "reached")
-        jump = saved(jump.alias("a").join(jump.alias("b"), F.col("a.p") == F.col("b.id")).select("a.id", "b.p"), "jump")
-    closes = reached.filter("id > 0").select(F.col("id").alias("closed"))
-    numbered = closes.withColumn("n", F.row_number().over(Window.orderBy("closed")))  # a row a batch
-    spans = numbered.select(F.coalesce(F.lag("closed").over(Window.orderBy("closed")), F.lit(-1)).alias("after"), "closed", F.col("n") - 1)
-    return _numbered(rows, spans.toDF("after", "closed", "batch_no"), key, size, target)
-
-
-def _numbered(rows: DataFrame, spans: DataFrame, key: str, size: str, target: int) -> DataFrame:
-    """Each job's batch: the first whose closing sum is not below the job's own; jobs behind
-    the last closing one are an open batch. Met by the target's multiples that a batch covers."""
-    last = spans.agg(F.coalesce(F.max("closed"), F.lit(-1)).alias("last"), F.coalesce(F.max("batch_no") + 1, F.lit(0)).alias("open"))  # one row
-    steps = spans.withColumn("k", F.explode(F.sequence(F.floor(F.greatest("after", F.lit(0)) / target), F.floor(F.col("closed") / target))))
-    inside = rows.withColumn("k", F.floor(F.col("running") / target)).join(F.broadcast(last))
-    on = [F.col("r.k") == F.col("s.k"), F.col("r.running") > F.col("s.after"), F.col("r.running") <= F.col("s.closed")]
-    met = inside.alias("r").join(steps.alias("s"), on[0] & on[1] & on[2], "left")
-    batch = F.coalesce("s.batch_no", F.when(F.col("running") > F.col("last"), F.col("open")))
-    return met.select(key, size, "running", batch.cast("long").alias("batch_no"))
+    start = spark.range(1).select(number(0).alias("p"))
+    asked = points.union(start).select(F.col("p").alias("id"), (F.col("p") + target).alias("at"), number(None).alias("p"), F.lit(0).alias("kind"))
+    met = asked.union(points.select(number(None), "p", "p", F.lit(1))).withColumn("down", -F.col("at"))
+    # from the largest sum down, the last point passed is the least one above what is asked
+    jump = running(met, ["down", "kind", "id"], {"next": ("last", F.col("p"))}).filter("kind = 0 and next is not null")
+    own: list[str] = []  # scratch tables that the result does not read
+    try:
+        jump, reached = saved(jump.select("id", F.col("next").alias("p")), "jump", own), start.select(F.col("p").alias("id"))
+        for _ in range(rounds):  # each doubles how far a jump goes: 2**40 batches at most
+            more = reached.join(jump, "id").select(F.col("p").alias("id"))
+            if more.isEmpty():
+                break
+            reached = saved(reached.union(more).distinct(), "reached", own)
+            jump = saved(jump.alias("a").join(jump.alias("b"), F.col("a.p") == F.col("b.id")).select("a.id", "b.p"), "jump", own)
+        else:
+            raise RuntimeError(f"more than 2**{rounds} batches")
+        closes = reached.filter("id > 0").select(number(None).alias(key), number(None).alias(size), F.col("id").alias("running"), F.lit(1).alias("closes"))
+        asked_for = rows.select(F.col(key).cast("long").alias(key), F.col(size).cast("long").alias(size), "running", F.lit(0).alias("closes"))
+        out = running(asked_for.union(closes), ["running", "closes", key], {"batch_no": ("sum", F.col("closes"))})
+    finally:
+        for path in own:
+            delete(spark, path)
+    return out.filter("closes = 0").select(key, size, "running", "batch_no")
 
 
 def backlog(jobs: DataFrame, ingested: int, page_limit: int = 10_000, key: str = "job_id", size: str = "data_count") -> DataFrame:
@@ -196,8 +177,8 @@ def row_capped_run(rows: DataFrame, ts: str, tie: str, limit: int) -> DataFrame:
 def out_of_order_pages(rows: DataFrame, feed: str, page: str, ts: str) -> DataFrame:
     """Pages of a feed whose first time precedes an earlier page's last."""
     pages = rows.groupBy(feed, page).agg(F.min(ts).alias("low"), F.max(ts).alias("high"))
-    before = F.max("high").over(Window.partitionBy(feed).orderBy(page).rowsBetween(Window.unboundedPreceding, -1))
-    return pages.withColumn("before", before).filter("low < before").select(feed, page, "low", "before")
+    pages = running(pages, [page], {"before": ("max", F.col("high"))}, by=(feed,), before=True)
+    return pages.filter("low < before").select(feed, page, "low", "before")
 
 
 # ---- freshness -------------------------------------------------------------------

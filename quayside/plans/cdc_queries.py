@@ -76,7 +76,7 @@ def stale_file_selection(spark, d):
 
 
 def surrogate_index(spark, d):
-    return cdc.surrogate_index(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", start=100, rows_per_bucket=1 << 40)
+    return cdc.surrogate_index(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", start=100)
 
 
 def _patch(spark, d):

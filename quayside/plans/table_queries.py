@@ -108,7 +108,7 @@ def boundary_drop(spark, d):
 
 
 def job_range_batches(spark, d):
-    return quality.range_batches(_counts(spark, d), 20, 60, span=50)
+    return quality.range_batches(_counts(spark, d), 20, 60)
 
 
 def backlog(spark, d):

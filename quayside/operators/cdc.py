@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.operators.carry import running
@@ -39,14 +39,21 @@ def cdc_fold(cdc: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, oper.alias(OPER), SEQ, *(F.when(live(c), F.col(f"__{c}.value")).alias(c) for c in columns))
 
 
-def cdc_apply(target: DataFrame, folded: DataFrame, keys: list[str], keep_old: tuple[str, ...] = ("part_year", "part_month")) -> DataFrame:
+def cdc_apply(
+    target: DataFrame, folded: DataFrame, keys: list[str], keep_old: tuple[str, ...] = ("part_year", "part_month"), only_newer: bool = False, seen: Observation | None = None
+) -> DataFrame:
     """The target after one folded batch: D removes, I replaces or inserts, U patches a
     match; an unmatched U or D does nothing. ``change_seq`` comes from the batch;
     ``keep_old`` columns change only to non-null values; columns that the batch lacks
-    keep theirs (null in new rows)."""
+    keep theirs (null in new rows). With ``only_newer``, an action whose sequence is not
+    beyond the one that the row holds does nothing. ``seen`` is told, while the result is
+    written, how many rows there were and how many were inserted, dropped, updated and moved
+    to another value of ``keep_old``."""
     t = target.withColumn("__t", F.lit(True)).alias("t")
     s = folded.withColumn("__s", F.lit(True)).alias("s")
     old, new, oper = F.col("__t").isNotNull(), F.col("__s").isNotNull(), F.col(f"s.{OPER}")
+    if only_newer:
+        new = new & (F.col(f"t.{SEQ}").isNull() | (F.col(f"s.{SEQ}") > F.col(f"t.{SEQ}")))
     keep = F.when(~new, True).when(oper == "D", False).when(oper == "I", True).otherwise(old)
 
     def value(c: str) -> Column:
@@ -58,9 +65,19 @@ def cdc_apply(target: DataFrame, folded: DataFrame, keys: list[str], keep_old: t
         if c == SEQ:
             return F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
         patch = F.coalesce(f"s.{c}", f"t.{c}")
+        if only_newer:
+            patch = F.when(new, patch).otherwise(F.col(f"t.{c}"))
         return patch if c in keep_old else F.when(new & (oper == "I"), F.col(f"s.{c}")).otherwise(patch)
 
-    joined = t.join(s, all_equal("t", "s", keys), "full_outer").filter(keep)
+    joined = t.join(s, all_equal("t", "s", keys), "full_outer")
+    if seen is not None:
+        stays = old & new & (oper != "D")
+        moves = reduce(lambda a, b: a | b, (F.coalesce(F.col(f"s.{c}") != F.col(f"t.{c}"), F.lit(False)) for c in keep_old if c in target.columns and c in folded.columns), F.lit(False))
+        joined = joined.observe(
+            seen, F.count_if(old).alias("initial"), F.count_if(~old & (oper == "I")).alias("inserted"), F.count_if(old & new & (oper == "D")).alias("dropped"),
+            F.count_if(stays).alias("updated"), F.count_if(stays & moves).alias("moved"),
+        )
+    joined = joined.filter(keep)
     return joined.select(*(value(c).alias(c) for c in target.columns))
 
 

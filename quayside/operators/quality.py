@@ -89,6 +89,31 @@ def cdc_invariants(cdc: DataFrame, keys: list[str], date: str | None = None, req
     )
 
 
+def assert_load(history: DataFrame, dated: str | None = None) -> None:
+    """Raise unless ``load_invariants`` hold."""
+    found = load_invariants(history, dated).first()
+    if not found["ok"]:
+        raise ValueError(f"the snapshot can't be loaded: {found['n_loads']} load rows, {found['n_undated']} of them without a date")
+
+
+def assert_cdc(cdc: DataFrame, keys: list[str], date: str | None = None, required: tuple[str, ...] = ()) -> None:
+    """Raise if any of ``cdc_invariants`` is broken."""
+    absent = sorted({*keys, *required} - set(cdc.columns))
+    if absent:
+        raise ValueError(f"the change records lack the columns {', '.join(absent)}")
+    broken = {k: n for k, n in cdc_invariants(cdc, keys, date, required).first().asDict().items() if n}
+    if broken:
+        raise ValueError("broken change records: " + ", ".join(f"{k} {n}" for k, n in broken.items()))
+
+
+def assert_stable(cdc: DataFrame, keys: list[str], date: str) -> None:
+    """Raise if a key's date takes more than one value, for tables whose rows may not move."""
+    moving = partition_stability(cdc, keys, date)
+    some = moving.limit(5).collect()
+    if some:
+        raise ValueError(f"{moving.count()} keys with more than one {date}, such as {[tuple(r[k] for k in keys) for r in some]}")
+
+
 def partition_stability(cdc: DataFrame, keys: list[str], date: str) -> DataFrame:
     """Keys whose date takes more than one value in a batch."""
     return cdc.groupBy(*keys).agg(F.countDistinct(date).alias("n_dates")).filter("n_dates > 1")

@@ -1,117 +1,58 @@
-"""The change log as a stream of files, folded and applied batch by batch.
-
-The current state is kept in parts (year and month of the rows' date), each a folder of its
-own per batch that changed it. A batch rewrites the parts that its rows touch and no other,
-then writes a manifest: the folder of every part. Readers follow the newest whole manifest,
-so a batch that runs again after a failure replaces nothing that is being read. Folders that
-the newest manifests no longer name are deleted.
-"""
+"""The change log as a stream of files, folded and merged batch by batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.cdc import SEQ, all_equal, cdc_apply, cdc_fold
-from quayside.sources.files import child_dirs, delete, exists
-
-PARTS = ["part_year", "part_month"]
-MANIFEST = "part_year int, part_month int, folder string"
-KEEP = 2  # manifests whose folders stay for readers
-
-
-def _batches(spark: SparkSession, root: str) -> list[int]:
-    """Committed batches, newest first; -1 is the full load."""
-    if not exists(spark, f"{root}/manifests"):
-        return []
-    names = [n for n in child_dirs(spark, f"{root}/manifests") if exists(spark, f"{root}/manifests/{n}/_SUCCESS")]
-    return sorted((int(n.split("=")[1]) for n in names), reverse=True)
-
-
-def _manifest(spark: SparkSession, root: str, batch: int) -> dict[tuple, str]:
-    """The folder of each part: a row for every month that has data."""
-    rows = spark.read.schema(MANIFEST).parquet(f"{root}/manifests/batch={batch}").collect()
-    return {(r.part_year, r.part_month): r.folder for r in rows}
-
-
-def _write(spark: SparkSession, rows: DataFrame, root: str, batch: int, parts: dict[tuple, str]) -> None:
-    """Write ``rows`` as the batch's folders and a manifest of these and ``parts``."""
-    folder = f"batch={batch}"
-    named = rows.withColumns({f"__{c}": F.col(c) for c in PARTS})
-    named.write.mode("overwrite").partitionBy(*(f"__{c}" for c in PARTS)).parquet(f"{root}/data/{folder}")
-    written = {}
-    for year in child_dirs(spark, f"{root}/data/{folder}"):
-        for month in child_dirs(spark, f"{root}/data/{folder}/{year}"):
-            value = [None if "HIVE_DEFAULT" in x else int(x.split("=")[1]) for x in (year, month)]
-            written[tuple(value)] = f"{folder}/{year}/{month}"
-    lines = [(*part, place) for part, place in (parts | written).items()]
-    spark.createDataFrame(lines, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifests/{folder}")
-
-
-def _read(spark: SparkSession, root: str, schema, folders: list[str]) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{root}/data/{f}" for f in folders))
+from quayside.functions.scratch import saved, scratch_scope
+from quayside.operators.cdc import OPER, SEQ
+from quayside.operators.quality import assert_cdc
+from quayside.streaming.state_table import KEEP, batches, merge, read_current, start_table
 
+__all__ = ["KEEP", "apply_batch", "apply_stream", "read_current", "redelivered", "start_table"]
 
-def _schema(spark: SparkSession, root: str):
-    return spark.read.parquet(f"{root}/empty").schema
 
+def apply_batch(spark: SparkSession, rows: DataFrame, root: str, keys: list[str], batch: int, key_nulls: bool = True) -> dict | None:
+    """Check one batch and merge it (see ``merge``); a batch that breaks the invariants of a
+    change log raises and changes nothing. Keys may be null unless ``key_nulls`` is off."""
+    rows = rows.filter(F.col(OPER).isNull() | ~F.col(OPER).isin("B", "L"))  # images before a change, loads
+    assert_cdc(rows, [] if key_nulls else keys)
+    return merge(spark, rows, root, keys, batch)
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, _schema(spark, root), sorted(_manifest(spark, root, _batches(spark, root)[0]).values()))
 
+def without_redelivered(stream: DataFrame, horizon: str) -> DataFrame:
+    """Records of a stream of files that did not land before, by sequence and operation: what
+    landed within ``horizon`` is remembered in the checkpoint. Time is that of landing, so a
+    record is never late, however old its sequence is."""
+    landed = stream.select("*", F.col("_metadata.file_modification_time").alias("__landed"))
+    return landed.withWatermark("__landed", horizon).dropDuplicatesWithinWatermark([SEQ, OPER]).drop("__landed")
 
-def start_table(target: DataFrame, root: str) -> None:
-    """The first manifest, from a full load."""
-    target.limit(0).write.mode("overwrite").parquet(f"{root}/empty")
-    _write(target.sparkSession, target, root, -1, {})
 
-
-def _expire(spark: SparkSession, root: str) -> None:
-    batches = _batches(spark, root)
-    used = {f for b in batches[:KEEP] for f in _manifest(spark, root, b).values()}
-    for batch in batches[KEEP:]:
-        delete(spark, f"{root}/manifests/batch={batch}")
-    for name in child_dirs(spark, f"{root}/data"):
-        if not any(f.startswith(f"{name}/") for f in used):
-            delete(spark, f"{root}/data/{name}")
-            continue
-        for year in child_dirs(spark, f"{root}/data/{name}"):
-            for month in child_dirs(spark, f"{root}/data/{name}/{year}"):
-                if f"{name}/{year}/{month}" not in used:
-                    delete(spark, f"{root}/data/{name}/{year}/{month}")
-
-
-def apply_batch(spark: SparkSession, rows: DataFrame, root: str, keys: list[str], batch: int) -> None:
-    """Fold and apply one batch, unless it is committed already. A key's rows are taken to
-    stay in their part; a batch with a row of unknown part touches all parts. Per key, a
-    fold that is not newer than what the table holds is passed over."""
-    done = _batches(spark, root)
-    if batch in done:
-        return
-    parts = _manifest(spark, root, done[0])
-    folded = cdc_fold(rows, keys)
-    touched = {tuple(r) for r in folded.select(*PARTS).distinct().collect()}  # a row a month
-    if not touched:
-        return
-    if any(None in p for p in touched):
-        touched = set(parts)
-    before = _read(spark, root, _schema(spark, root), sorted(parts[p] for p in touched if p in parts))
-    held = before.select(*keys, F.col(SEQ).alias("__held")).alias("t")
-    newer = folded.alias("s").join(held, all_equal("s", "t", keys), "left").filter(F.col("__held").isNull() | (F.col(f"s.{SEQ}") > F.col("__held")))
-    newer = newer.select(*(f"s.{c}" for c in folded.columns))
-    _write(spark, cdc_apply(before, newer, keys), root, batch, {p: f for p, f in parts.items() if p not in touched})
-    _expire(spark, root)
-
-
-def apply_stream(spark: SparkSession, source: str, schema, root: str, keys: list[str], files_per_batch: int = 4) -> int:
+def apply_stream(spark: SparkSession, source: str, schema, root: str, keys: list[str], files_per_batch: int = 4, horizon: str = "30 days") -> int:
     """Apply all files landed in ``source`` since the last run, then stop; returns the
     newest committed batch. Batches come in the order in which files landed; one that is
-    committed already is skipped, so a repeat changes nothing, and records of a low
-    sequence that land late still apply to keys that hold nothing newer."""
+    committed already is skipped, and a file that lands again under another name changes
+    nothing, so a repeat changes nothing; records of a low sequence that land late still
+    apply to keys that hold nothing newer."""
+    setting, empty = "spark.sql.streaming.noDataMicroBatches.enabled", spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = stream.writeStream.foreachBatch(lambda rows, batch: apply_batch(spark, rows, root, keys, batch))
-    query = query.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        with scratch_scope(spark):  # read once: what follows looks at the rows more than once
+            apply_batch(spark, saved(rows, "landed"), root, keys, batch)
+
+    writer = without_redelivered(stream, horizon).writeStream.foreachBatch(apply)
+    spark.conf.set(setting, "false")  # old keys go with the next data
+    try:
+        query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(setting, empty)
     query.awaitTermination()
-    return _batches(spark, root)[0]
+    apply_stream.progress = list(query.recentProgress)
+    return batches(spark, root)[0]
+
+
+def redelivered(progress: list) -> int:
+    """Records that a run's stream left out because they had landed before."""
+    return sum(int(state["customMetrics"].get("numDroppedDuplicateRows", 0)) for p in progress for state in p["stateOperators"])

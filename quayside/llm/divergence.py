@@ -200,10 +200,10 @@ def source_divergence(
     sums = partial.filter("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     both = F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))
     pairs = sums.select("lang", "part", F.inline(both), "value").select("lang", "source", "part", "item", "value")
-    rows = pairs.unionByName(partial.filter("part = 'term'"))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")))
+    rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
+    terms = partial.filter("part = 'term'").withColumn("rank", rank).filter(F.col("rank") <= top_terms)  # cut before the shuffle, too
     drop_scratch(kept, groups, langs)
-    return ranked.filter((F.col("part") == "pair") | (F.col("rank") <= top_terms))
+    return pairs.withColumn("rank", rank).unionByName(terms)
 
 
 DIVERGENCE_SQL = r"""

@@ -203,10 +203,12 @@ def touched_partitions(batch: DataFrame, date: str = "edw_inserted_dtm", cap: in
     return out.select("n_parts", "null_dates", (F.col("null_dates") == 0).alias("pruned"), F.concat(F.array_join(F.slice("labels", 1, cap), ","), more).alias("labels"))
 
 
-def fold_counts(target: DataFrame, folded: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: initial, inserted and dropped rows, so that initial - dropped + inserted is
-    what the applied table must hold."""
-    t, s = target.withColumn("__t", F.lit(1)).alias("t"), folded.withColumn("__s", F.lit(1)).alias("s")
-    j = t.join(s, all_equal("t", "s", keys), "full_outer")
-    old, oper = F.col("__t").isNotNull(), F.col(OPER) if OPER not in target.columns else F.col(f"s.{OPER}")
-    return j.agg(F.count_if(old).alias("initial"), F.count_if(~old & (oper == "I")).alias("inserted"), F.count_if(old & (oper == "D")).alias("dropped"))
+def write_applied(target: DataFrame, folded: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Write the target after a folded batch to ``path``; one row: rows read, inserted and
+    dropped, as seen while writing, the rows in the files (from their footers), and whether
+    initial - dropped + inserted is what they hold."""
+    seen, spark = Observation(), target.sparkSession
+    cdc_apply(target, folded, keys, seen=seen).write.mode("overwrite").parquet(path)
+    counts = [seen.get[c] or 0 for c in ("initial", "inserted", "dropped")]
+    row = (*counts, spark.read.schema(target.schema).parquet(path).count())
+    return spark.createDataFrame([row], "initial long, inserted long, dropped long, actual long").withColumn("ok", F.expr("initial - dropped + inserted = actual"))

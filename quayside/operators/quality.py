@@ -227,13 +227,19 @@ def progress(history: DataFrame, key: str = "table_id") -> DataFrame:
     """Each run against the one before it of the same table. Throughput is by the time the
     run worked (``run_s``): rows a second, days of data an hour, and the seconds of work left
     to catch up. Keeping up is by the time since the run before: the watermark's advance over
-    it, and how long catching up takes while the source moves on, null if it never will."""
+    it, and how long catching up takes while the source moves on, null if it never will.
+    Where the run before measured something else, another ``snapshot`` or time column
+    (``time_column``, where the history has them), nothing but the run's duration is told."""
     w = Window.partitionBy(key).orderBy("run_at")
-    rows = history.withColumns({f"p_{c}": F.lag(c).over(w) for c in ("run_at", "row_count", "watermark_at")}).filter("p_run_at is not null")
+    told = [c for c in ("snapshot", "time_column") if c in history.columns]
+    rows = history.withColumns({f"p_{c}": F.lag(c).over(w) for c in ("run_at", "row_count", "watermark_at", *told)}).filter("p_run_at is not null")
+    for c in told:
+        rows = rows.withColumns({p: F.when(F.col(c).eqNullSafe(F.col(f"p_{c}")), F.col(p)) for p in ("p_run_at", "p_row_count", "p_watermark_at")})
     rows = rows.withColumns({
         "took": lag_seconds("run_at", "p_run_at"), "advance": lag_seconds("watermark_at", "p_watermark_at"), "rows_added": F.expr("row_count - p_row_count"),
     })
-    worked, timed, caught = F.col("run_s") > 0, F.col("took") > 0, F.col("lag_s") <= 0
+    known = F.col("advance").isNotNull()
+    worked, timed, caught = F.col("run_s") > 0, F.col("took") > 0, known & (F.col("lag_s") <= 0)
     advance, took, run_s, lag = (F.col(c).cast("double") for c in ("advance", "took", "run_s", "lag_s"))
     gaining = timed & (F.col("advance") > F.col("took"))
     work_left = F.when(caught, 0).when(worked & (F.col("advance") > 0), F.floor(lag / (advance / run_s)))
@@ -246,6 +252,16 @@ def progress(history: DataFrame, key: str = "table_id") -> DataFrame:
     )
 
 
+def rows_catchup(history: DataFrame, key: str = "table_id") -> DataFrame:
+    """Of a feed without event times, each run's rows a second since the one before and the
+    seconds of work that its waiting rows (``rows_lag``) still take: 0 if none wait, null if
+    none were added."""
+    before = F.lag("row_count").over(Window.partitionBy(key).orderBy("run_at"))
+    rate = F.when(F.col("run_s") > 0, F.round((F.col("row_count") - before) / F.col("run_s"), 2))
+    left = F.when(F.col("rows_per_second") > 0, F.floor(F.col("rows_lag") / F.col("rows_per_second"))).when(F.col("rows_lag") == 0, 0)
+    return history.withColumn("rows_per_second", rate).select(key, "run_at", "rows_lag", "rows_per_second", left.cast("long").alias("catchup_processing_s"))
+
+
 def latest_status(history: DataFrame, key: str = "table_id") -> DataFrame:
     columns = [c for c in history.columns if c != key]
     return history.groupBy(key).agg(F.max_by(F.struct(*columns), "run_at").alias("s")).select(key, "s.*")

@@ -122,11 +122,6 @@ def cdc_accumulate(spark, d):
     return cdc.accumulate(load(spark, d, "cdc_log"), MIDDLE, 640_000, 10_000, size).select("txn_id", "change_seq", "change_oper")
 
 
-def position_state(spark, d):
-    rows = load(spark, d, "status_history")
-    return rows.groupBy("table_id").agg(F.max_by("watermark", "run_at").alias("watermark"), F.max("run_at").alias("run_at"))
-
-
 def source_max_seq(spark, d):
     log = load(spark, d, "cdc_log")
     newest = log.agg(F.max(F.struct("part_year", "part_month"))).first()[0]
@@ -139,18 +134,11 @@ def touched_partitions(spark, d):
     return cdc.touched_partitions(rows)
 
 
-def write_reconcile(spark, d):
-    target, folded = load(spark, d, "silver_initial"), _folded(spark, d)
-    counts = cdc.fold_counts(target, folded, KEYS)
-    actual = cdc.cdc_apply(target, folded, KEYS).agg(F.count(F.lit(1)).alias("actual"))
-    return counts.join(F.broadcast(actual)).select("initial", "inserted", "dropped", "actual", (F.expr("initial - dropped + inserted") == F.col("actual")).alias("ok"))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         cdc_fold, cdc_apply, cdc_apply_last_op, silver_rebuild, cdc_batch_ceiling, cdc_read_batch, cdc_asof_snapshot, snapshot_load_groups, stale_file_selection, surrogate_index, null_safe_update,
-        null_safe_semi, null_safe_anti, keyed_lookup_join, key_range_prefilter, topk_after_watermark, cdc_accumulate, position_state, source_max_seq, touched_partitions, write_reconcile,
+        null_safe_semi, null_safe_anti, keyed_lookup_join, key_range_prefilter, topk_after_watermark, cdc_accumulate, source_max_seq, touched_partitions,
     )
 }
 
@@ -158,6 +146,7 @@ NULLABLE = "k.k IS NOT DISTINCT FROM e.k"
 SEMI = """WITH e AS (SELECT event_id, CASE WHEN user_id % 9 > 0 THEN user_id END AS k FROM events), m AS (SELECT DISTINCT CASE WHEN o_custkey % 8 > 0 THEN o_custkey END AS k FROM orders WHERE o_custkey % 4 = 0)
 SELECT event_id, k FROM e WHERE {} EXISTS (SELECT 1 FROM m WHERE m.k IS NOT DISTINCT FROM e.k)"""
 
+#: Of these, ``write_reconcile`` is a query of the job's.
 SQL = {
     "cdc_fold": with_adapters(FOLD + "SELECT * FROM folded", "cdc_log"),
     "cdc_apply": with_adapters(APPLY + "SELECT * FROM applied", "cdc_log", "silver_initial"),
@@ -201,7 +190,6 @@ SELECT g.table_id, file FROM g JOIN newest USING (table_id) LEFT JOIN oldest USI
   FROM (SELECT * FROM cdc_log WHERE change_seq > '{MIDDLE}' ORDER BY change_seq LIMIT 640000)) WHERE before < 10000""",
         "cdc_log",
     ),
-    "position_state": with_adapters("SELECT table_id, arg_max(watermark, run_at) AS watermark, max(run_at) AS run_at FROM status_history GROUP BY 1", "status_history"),
     "source_max_seq": with_adapters("SELECT max(change_seq) AS max_seq FROM cdc_log WHERE (part_year, part_month) = (SELECT max((part_year, part_month)) FROM cdc_log)", "cdc_log"),
     "touched_partitions": """WITH p AS (SELECT year(x) AS y, month(x) AS m, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 50 > 0 THEN o_orderdate END AS x FROM orders) GROUP BY 1, 2),
 l AS (SELECT list(printf('%04d-%02d:%d', y, m, n) ORDER BY y, m, n) FILTER (WHERE y IS NOT NULL) AS ls, count(y) AS n_parts, coalesce(sum(n) FILTER (WHERE y IS NULL), 0)::BIGINT AS null_dates FROM p)

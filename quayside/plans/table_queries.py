@@ -83,15 +83,6 @@ def partition_stability(spark, d):
     return quality.partition_stability(load(spark, d, "cdc_log").withColumn("day", F.expr("case when txn_id % 2 = 0 then cast(change_ts as date) end")), ["txn_id"], "day")
 
 
-def _health(spark, d, to: str):
-    rows = load(spark, d, "events").filter(f"ts < timestamp_ntz'{to}'")
-    return rows.groupBy((F.col("user_id") % 20).alias("table_id")).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_type").alias("n_files"), F.sum(F.length("props")).alias("n_bytes"), F.min("user_id").alias("min_id"), F.max("event_id").alias("max_id"))
-
-
-def table_health(spark, d):
-    return quality.table_health(_health(spark, d, "2024-02-01"), _health(spark, d, "2024-01-20"))
-
-
 def pii_drop(spark, d):
     return quality.drop_private(load(spark, d, "customer"), ["c_name", "c_acctbal"], allowed=("c_acctbal",))
 
@@ -497,7 +488,6 @@ SELECT "column", issue, min(page) AS first_page FROM (
         "cdc_log",
     ),
     "partition_stability": "SELECT user_id AS txn_id, count(DISTINCT CAST(ts AS DATE)) AS n_dates FROM events WHERE user_id % 2 = 0 GROUP BY 1 HAVING count(DISTINCT CAST(ts AS DATE)) > 1",
-    "table_health": f"SELECT * FROM (SELECT table_id, concat_ws(',', CASE WHEN a.max_id < b.max_id THEN 'max_id_fell' END, CASE WHEN a.min_id > b.min_id THEN 'min_id_rose' END, CASE WHEN a.n_rows < b.n_rows THEN 'rows_fell' END, CASE WHEN a.n_bytes < 0.75 * b.n_bytes THEN 'bytes_fell' END, CASE WHEN a.n_files < b.n_files THEN 'files_fell' END) AS issues FROM ({HEALTH.format('2024-02-01')}) b JOIN ({HEALTH.format('2024-01-20')}) a USING (table_id)) WHERE issues <> ''",
     "pii_drop": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "high_watermark": "SELECT greatest(max(event_id), 5) AS watermark FROM events",
     "boundary_drop": "SELECT event_id FROM events WHERE date_trunc('hour', ts) < (SELECT max(date_trunc('hour', ts)) FROM events)",

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quayside.functions.scratch import saved
 from quayside.operators.carry import running
 from quayside.sources.feeds import materialize_report
-from quayside.sources.files import child_dirs, delete, exists, list_files, rename, total_bytes
+from quayside.sources.files import child_dirs, delete, exists, list_files, list_uris, rename, total_bytes
+from quayside.sources.footers import footer_statistics
 
 
 def column_min_max(df: DataFrame, column: str, condition: str | None = None) -> DataFrame:
@@ -19,22 +24,21 @@ def column_min_max(df: DataFrame, column: str, condition: str | None = None) ->
 
 
 def stats_min_max(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """One row (low, high) of a parquet dataset's column from the files' statistics alone:
-    the scan reads footers, no rows. Of a path partition, from the folders' names, as
-    strings. Null if all values are."""
-    parts = [p.split("=", 1)[1] for f in list_files(spark, path) for p in f.split("/")[:-1] if p.startswith(f"{column}=")]
+    """One row (low, high) of a parquet dataset's column from the footers of its files, which
+    tasks read; only files whose footers don't tell, or tell a text that may be cut, are read
+    for rows. Of a path partition, from the folders' names, as strings. Null if all values are."""
+    files = list_uris(spark, path)
+    parts = [p.split("=", 1)[1] for f in files for p in f.split("/")[:-1] if p.startswith(f"{column}=")]
     if parts:
         return spark.createDataFrame([(min(parts), max(parts))], "low string, high string")
-    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        found = spark.read.parquet(path).agg(F.min(column).alias("low"), F.max(column).alias("high"))
-        return spark.createDataFrame(found.collect(), found.schema)  # one row
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    kind = spark.read.parquet(path).schema[column].dataType
+    told = footer_statistics(spark, files, column, kind)
+    known = told.agg(F.min(F.when(F.col("known"), F.col("low"))).alias("low"), F.max(F.when(F.col("known"), F.col("high"))).alias("high"), F.collect_list(F.when(~F.col("known"), F.col("file"))).alias("files")).first()
+    found = spark.createDataFrame([(known.low, known.high)], T.StructType([T.StructField(c, kind) for c in ("low", "high")]))
+    if not known.files:
+        return found
+    read = spark.read.parquet(*known.files).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return found.unionByName(read).agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -67,11 +71,40 @@ def recluster(df: DataFrame, key: str, path: str, bytes_total: int, file_bytes:
     df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def size_profile(df: DataFrame) -> DataFrame:
-    """One row: rows, files, bytes and rows per MB (1000 at least)."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    out = files.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.sum("b").alias("n_bytes"))
-    return out.withColumn("rows_per_mb", F.greatest(F.lit(1000), F.floor(F.col("n_rows") / (F.col("n_bytes") / 1048576.0))))
+def recluster_units(spark: SparkSession, path: str, key: str, parts: tuple[str, ...], file_bytes: int = 32 << 20) -> DataFrame:
+    """Rewrite, in place, the partitions of a dataset whose files overlap too much (see
+    ``recluster_plan``), sorted by ``key`` in files of about ``file_bytes``; all others keep
+    their files. Returns a row a partition: its columns, n_files, overlap, recluster, and
+    n_files_after and overlap_after."""
+    unit = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in parts))
+
+    def overlaps() -> DataFrame:
+        ranges = file_key_ranges(spark.read.parquet(path), key, parts)
+        named = ranges.withColumn("unit", unit)
+        return overlapping_files(named, "unit").join(named.select("unit", *parts).distinct(), "unit")
+
+    before = saved(recluster_plan(overlaps()), "plan")
+    chosen = before.filter("recluster").select(*parts)
+    if not chosen.isEmpty():
+        rows = spark.read.parquet(path)
+        same = reduce(lambda a, b: a & b, (F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in parts))
+        rows = rows.alias("r").join(F.broadcast(chosen.alias("c")), same, "left_semi")  # a row a partition
+        size = rows.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).groupBy("f").agg(F.max("b").alias("b")).agg(F.sum("b")).first()[0]
+        dealt = rows.repartitionByRange(max(1, math.ceil(size / file_bytes)), *parts, key).sortWithinPartitions(*parts, key)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*parts).parquet(path)
+        spark.catalog.refreshByPath(path)
+    after = saved(overlaps().select("unit", F.col("n_files").alias("n_files_after"), F.col("overlap").alias("overlap_after")), "after")
+    return before.join(after, "unit").select(*parts, "n_files", "overlap", "recluster", "n_files_after", "overlap_after")
+
+
+def size_profile(spark: SparkSession, path: str) -> DataFrame:
+    """One row: rows, files, bytes and rows per MB (1000 at least) of a parquet dataset, from
+    its footers, read by tasks."""
+    files = list_uris(spark, path)
+    first = spark.read.parquet(path).schema[0]
+    told = footer_statistics(spark, files, first.name, first.dataType)
+    out = told.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"))
+    return out.withColumn("rows_per_mb", F.greatest(F.lit(1000).cast("long"), F.coalesce(F.floor(F.col("n_rows") / (F.col("n_bytes") / 1048576.0)), F.lit(0))))
 
 
 def path_partitions(paths: DataFrame, column: str = "path") -> DataFrame:
@@ -124,6 +157,48 @@ def register_views(spark, datasets: dict[str, str]) -> list[tuple[str, str]]:
     return failed
 
 
+def dataset_records(spark: SparkSession, root: str, descriptions: DataFrame | None = None) -> DataFrame:
+    """A nested record per dataset below ``root``: group, name, path, size_mb (whole),
+    child_files (names, sorted) and schema (name, type, is_partition, description of each
+    column). Files are listed by Spark, in parallel for many folders; a dataset is the folder
+    above the first path partition, or that of the file."""
+    root = root.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select("path", "length")
+    place = F.regexp_replace("path", "/[^/]*$", "")
+    files = files.withColumn("at", F.regexp_replace(place, "/[^/=]+=.*$", ""))
+    rows = files.groupBy("at").agg(F.floor(F.sum("length") / (1 << 20)).alias("size_mb"), F.array_sort(F.collect_list("path")).alias("child_files"))
+    below = F.regexp_replace("at", "^.*?" + re.escape(re.sub("^[a-z]+:/*", "", root)) + "/?", "")
+    rows = saved(rows.select(F.regexp_replace(below, "/?[^/]*$", "").alias("group"), F.regexp_extract("at", "[^/]*$", 0).alias("name"), F.col("at").alias("path"), "size_mb", "child_files"), "datasets")
+    columns = []
+    for path, file in rows.select("path", F.col("child_files")[0]).collect():  # a row a dataset: schemas are the driver's
+        inside = {p.split("=")[0] for p in file[len(path) :].split("/") if "=" in p}
+        columns += [(path, k, f.name, f.dataType.simpleString(), f.name in inside) for k, f in enumerate(spark.read.parquet(path).schema)]
+    known = spark.createDataFrame(columns, "path string, ordinal int, column string, type string, is_partition boolean")
+    known = known.withColumn("dataset", F.regexp_extract("path", "[^/]*$", 0))
+    known = known.withColumn("remarks", F.lit(None).cast("string")) if descriptions is None else column_descriptions(known, descriptions)
+    field = F.struct("ordinal", F.col("column").alias("name"), "type", "is_partition", F.col("remarks").alias("description"))
+    schema = known.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(field)), lambda f: f.dropFields("ordinal")).alias("schema"))
+    return rows.join(schema, "path").select("group", "name", "path", "size_mb", "child_files", "schema")
+
+
+def register_schemas(spark: SparkSession, datasets: dict[str, dict[str, str]]) -> list[tuple[str, str]]:
+    """A database per schema and in it a view per dataset, lower case, dots as underscores,
+    of an explicit list of columns: those the dataset has now, so that later files don't
+    change the view. Returns the views that failed, which hide no others."""
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    failed = []
+    for database, views in datasets.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database.lower())}")
+        for name, path in views.items():
+            try:
+                columns = ", ".join(quoted(c) for c in spark.read.parquet(path).columns)
+                view = f"{quoted(database.lower())}.{quoted(name.lower().replace('.', '_'))}"
+                spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.{quoted(path)}")
+            except Exception as error:  # one bad dataset must not hide the others
+                failed.append((f"{database}.{name}", str(error).splitlines()[0]))
+    return failed
+
+
 def register_reports(spark, folder: str, materialized: dict, views: dict) -> list[tuple[str, str]]:
     """Register reports under their names, in order: first those to be written (each as
     parquet below ``folder``), then views. A report is a function of the session, so it

@@ -6,14 +6,17 @@ Those that write and read files do so in the session's shared scratch folder.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.scratch import scratch_dir
 from quayside.operators import layout, quality
 from quayside.plans.adapters import load, with_adapters
-from quayside.sources import feeds, schema
+from quayside.sources import export, feeds, schema
+from quayside.sources.files import list_uris
 
 NOW = "2024-02-01 00:00:00"
 
@@ -166,10 +169,10 @@ def column_min_max(spark, d):
 
 def stats_min_max(spark, d):
     path = _folder(spark)
-    rows = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    rows = load(spark, d, "lineitem").select("l_orderkey", F.lpad(F.col("l_orderkey").cast("string"), 20, "0").alias("seq"), F.rpad("l_linestatus", 80, "x").alias("long_text"), "l_returnflag")
     feeds.partitioned_write(rows, path, ("l_returnflag",), rows_per_file=5000)
     out = [layout.stats_min_max(spark, path, c).select(F.lit(c).alias("column"), F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high")) for c in rows.columns]
-    return out[0].union(out[1]).union(out[2])
+    return reduce(DataFrame.union, out)
 
 
 def distinct_values(spark, d):
@@ -198,17 +201,27 @@ def recluster_plan(spark, d):
 
 
 def recluster(spark, d):
-    path = _folder(spark)
-    layout.recluster(load(spark, d, "orders").repartition(8), "o_orderkey", path, 8 << 20, 1 << 20)
-    ranges = layout.file_key_ranges(spark.read.parquet(path), "o_orderkey").withColumn("unit", F.lit("all"))
-    rows = layout.overlapping_files(ranges, "unit").join(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")))
-    return rows.select("overlap", "n_rows")
+    """Orders by status in six files each: those of one status by ranges of keys, which stay
+    as they are, the others dealt in turn."""
+    path, orders = _folder(spark), load(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    deal = F.when(F.col("o_orderstatus") == "P", F.floor(F.col("o_orderkey") * 6 / (top + 1))).otherwise(F.col("o_orderkey") % 6)
+    orders.withColumn("deal", deal.cast("int")).repartition("o_orderstatus", "deal").sortWithinPartitions("o_orderkey").write.partitionBy("o_orderstatus", "deal").parquet(f"{path}/dealt")
+    for k in range(6):
+        spark.read.parquet(f"{path}/dealt").filter(F.col("deal") == k).drop("deal").coalesce(1).write.mode("append").partitionBy("o_orderstatus").parquet(f"{path}/table")
+    before = {f for f in list_uris(spark, f"{path}/table") if "o_orderstatus=P" in f}
+    done = layout.recluster_units(spark, f"{path}/table", "o_orderkey", ("o_orderstatus",))
+    kept = before == {f for f in list_uris(spark, f"{path}/table") if "o_orderstatus=P" in f}
+    sums = spark.read.parquet(f"{path}/table").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+    return done.join(sums, "o_orderstatus").select("o_orderstatus", "n_files", "overlap", "recluster", "overlap_after", "n_rows", "keys", F.lit(kept).alias("others_kept"))
 
 
 def dataset_size_profile(spark, d):
     path = _folder(spark)
     load(spark, d, "lineitem").repartition("l_linenumber").write.partitionBy("l_linenumber").parquet(path)
-    return layout.size_profile(spark.read.parquet(path)).select("n_rows", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
+    size = layout.size_profile(spark, path)
+    per_mb = F.col("rows_per_mb") == F.greatest(F.lit(1000), F.floor(F.col("n_rows") * 1048576.0 / F.col("n_bytes")))
+    return size.select("n_rows", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"), per_mb.alias("per_mb"))
 
 
 def path_partitions(spark, d):
@@ -226,6 +239,28 @@ def data_dictionary(spark, d):
     return out.select("group", "dataset", "n_files", "ordinal", "column", "type", "is_partition", "remarks")
 
 
+def dataset_records(spark, d):
+    path = _folder(spark)
+    for place, table in (("geo/small", "region"), ("geo/small", "nation"), ("sales", "customer")):
+        load(spark, d, table).coalesce(1).write.parquet(f"{path}/{place}/{table}")
+    load(spark, d, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(f"{path}/sales/orders")
+    remarks = load(spark, d, "region").select(F.lit("nation").alias("dataset"), F.lit("n_name").alias("column"), F.concat(F.lit("a name of "), F.col("r_name")).alias("remarks"))
+    out = layout.dataset_records(spark, path, remarks)
+    told = F.array_join(F.transform("schema", lambda f: F.concat_ws(":", f["name"], f["type"], f["is_partition"].cast("string"), f["description"])), ",")
+    return out.select("group", "name", F.size("child_files").alias("n_files"), told.alias("columns"))
+
+
+def register_schemas(spark, d):
+    """A view keeps its columns when the dataset gets files with more."""
+    path = _folder(spark)
+    load(spark, d, "nation").select("n_nationkey", "n_name").write.parquet(path)
+    failed = layout.register_schemas(spark, {"Geo": {"Fare.Nation": path, "Gone": f"{path}-gone"}, "Sales": {"Orders": f"{d}/orders.parquet"}})
+    load(spark, d, "nation").withColumn("n_more", F.lit(1)).write.mode("append").parquet(path)
+    spark.catalog.refreshByPath(path)
+    count = spark.sql("select count(*) as n_orders from sales.orders")
+    return spark.sql("select * from geo.fare_nation").distinct().crossJoin(F.broadcast(count)).withColumn("n_failed", F.lit(len(failed)))  # one row
+
+
 def register_views(spark, d):
     failed = layout.register_views(spark, {"Fare.Nation": f"{d}/nation.parquet", "Fare.Gone": f"{d}/gone.parquet"})
     return spark.sql("select n_nationkey, n_name from fare_nation").withColumn("n_failed", F.lit(len(failed)))
@@ -423,8 +458,12 @@ def materialize_report(spark, d):
 
 
 def incremental_export(spark, d):
-    rows = load(spark, d, "orders").withColumn("o_orderpriority", F.substring("o_orderpriority", 1, 1))
-    return feeds.incremental_export(rows, "o_orderkey", 900, {"o_orderpriority": "int", "o_orderstatus": "int"}, private=("o_custkey",)).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    """Two runs, the first when the table held less, and then all rows of the export."""
+    to, rows = _folder(spark), load(spark, d, "orders").withColumn("o_orderpriority", F.substring("o_orderpriority", 1, 1))
+    casts = {"o_orderpriority": "int", "o_orderstatus": "int"}
+    for held in (rows.filter("o_orderkey <= 900"), rows, rows):  # the third finds nothing new
+        export.export_run(held, to, "o_orderkey", casts, private=("o_custkey",), batch_rows=4000)
+    return export.read_export(spark, to).select("o_orderkey", "o_orderpriority", "o_orderstatus", "run", "batch")
 
 
 def drop_columns_rewrite(spark, d):
@@ -531,13 +570,21 @@ FROM latest JOIN up USING (feed) GROUP BY 1""",
     ),
     "column_min_max": "SELECT min(l_shipdate) AS low, max(l_shipdate) AS high FROM lineitem WHERE l_quantity > 10",
     "stats_min_max": """SELECT 'l_orderkey' AS "column", min(l_orderkey)::VARCHAR AS low, max(l_orderkey)::VARCHAR AS high FROM lineitem
-UNION ALL SELECT 'l_linenumber', min(l_linenumber)::VARCHAR, max(l_linenumber)::VARCHAR FROM lineitem UNION ALL SELECT 'l_returnflag', min(l_returnflag), max(l_returnflag) FROM lineitem""",
+UNION ALL SELECT 'seq', min(lpad(l_orderkey::VARCHAR, 20, '0')), max(lpad(l_orderkey::VARCHAR, 20, '0')) FROM lineitem
+UNION ALL SELECT 'long_text', min(rpad(l_linestatus, 80, 'x')), max(rpad(l_linestatus, 80, 'x')) FROM lineitem
+UNION ALL SELECT 'l_returnflag', min(l_returnflag), max(l_returnflag) FROM lineitem""",
     "distinct_values": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
     "file_key_ranges": "SELECT 'orders.parquet' AS file, min(o_orderkey) AS low, max(o_orderkey) AS high, count(*) AS n_rows FROM orders",
     "overlapping_files": f"WITH {RANGES} SELECT * FROM o",
     "recluster_plan": f"WITH {RANGES} SELECT *, greatest(4, ceil(2 * sqrt(n_files)))::BIGINT AS threshold, overlap >= greatest(4, ceil(2 * sqrt(n_files))) AS recluster FROM o",
-    "recluster": "SELECT 0 AS overlap, count(*) AS n_rows FROM orders",
-    "dataset_size_profile": "SELECT count(*) AS n_rows, count(DISTINCT l_linenumber) AS n_files, count(*) > 0 AS has_bytes FROM lineitem",
+    "recluster": """WITH t AS (SELECT o_orderstatus, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN floor(o_orderkey * 6 / (max(o_orderkey) OVER () + 1)) ELSE o_orderkey % 6 END AS deal FROM orders),
+f AS (SELECT o_orderstatus, deal, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM t GROUP BY 1, 2),
+b AS (SELECT *, max(hi) OVER (PARTITION BY o_orderstatus ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM f),
+o AS (SELECT o_orderstatus, count(*) AS n_files, count(*) FILTER (WHERE lo <= before) AS overlap FROM b GROUP BY 1),
+p AS (SELECT *, overlap >= greatest(4, ceil(2 * sqrt(n_files))) AS recluster FROM o)
+SELECT o_orderstatus, n_files, overlap, recluster, CASE WHEN recluster THEN 0 ELSE overlap END AS overlap_after, n_rows, keys, true AS others_kept FROM p
+JOIN (SELECT o_orderstatus, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1) USING (o_orderstatus)""",
+    "dataset_size_profile": "SELECT count(*) AS n_rows, count(DISTINCT l_linenumber) AS n_files, count(*) > 0 AS has_bytes, true AS per_mb FROM lineitem",
     "path_partitions": "SELECT o_orderkey, 'year=' || year(o_orderdate) || ',month=' || month(o_orderdate) AS parts FROM orders",
     "data_dictionary": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey', 'int'), ('geo/small', 'region', 1, 'r_name', 'string'), ('geo/small', 'nation', 0, 'n_nationkey', 'int'), ('geo/small', 'nation', 1, 'n_name', 'string'),
   ('geo/small', 'nation', 2, 'n_regionkey', 'int'), ('sales', 'customer', 0, 'c_custkey', 'bigint'), ('sales', 'customer', 1, 'c_name', 'string'), ('sales', 'customer', 2, 'c_nationkey', 'int'),
@@ -547,6 +594,13 @@ SELECT *, CASE dataset WHEN 'orders' THEN (SELECT count(DISTINCT o_orderstatus)
   CASE WHEN "column" = 'n_name' THEN 'a name of ' || (SELECT min(r_name) FROM region) END AS remarks FROM c""",
     "column_descriptions": "SELECT p_brand AS dataset, p_partkey::VARCHAR AS \"column\", CASE WHEN p_partkey % 3 = 0 THEN p_type END AS remarks FROM part",
     "register_reports": "SELECT l_returnflag, count(*) AS n, 1 AS n_failed FROM lineitem GROUP BY 1",
+    "dataset_records": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey:int:false'), ('geo/small', 'region', 1, 'r_name:string:false'), ('geo/small', 'nation', 0, 'n_nationkey:int:false'),
+  ('geo/small', 'nation', 1, (SELECT 'n_name:string:false:' || min('a name of ' || r_name) FROM region)), ('geo/small', 'nation', 2, 'n_regionkey:int:false'),
+  ('sales', 'customer', 0, 'c_custkey:bigint:false'), ('sales', 'customer', 1, 'c_name:string:false'), ('sales', 'customer', 2, 'c_nationkey:int:false'), ('sales', 'customer', 3, 'c_acctbal:double:false'), ('sales', 'customer', 4, 'c_mktsegment:string:false'),
+  ('sales', 'orders', 0, 'o_orderkey:bigint:false'), ('sales', 'orders', 1, 'o_custkey:bigint:false'), ('sales', 'orders', 2, 'o_totalprice:double:false'), ('sales', 'orders', 3, 'o_orderdate:timestamp_ntz:false'), ('sales', 'orders', 4, 'o_orderpriority:string:false'),
+  ('sales', 'orders', 5, 'o_orderstatus:string:true')) x("group", name, k, told))
+SELECT "group", name, CASE WHEN name = 'orders' THEN (SELECT count(DISTINCT o_orderstatus) FROM orders) ELSE 1 END AS n_files, string_agg(told, ',' ORDER BY k) AS columns FROM c GROUP BY 1, 2""",
+    "register_schemas": "SELECT n_nationkey, n_name, (SELECT count(*) FROM orders) AS n_orders, 1 AS n_failed FROM nation",
     "register_views": "SELECT n_nationkey, n_name, 1 AS n_failed FROM nation",
     "dfm_schema": f"WITH {DESC} SELECT * FROM s",
     "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 THEN 19 ELSE precision END AS precision, CASE WHEN ordinal % 3 = 0 THEN 0 ELSE scale END AS scale FROM d',
@@ -570,7 +624,8 @@ WHERE date_trunc('hour', ts) < (SELECT max(date_trunc('hour', ts)) FROM events)"
     "silver_scan": with_adapters("SELECT txn_id, amount, part_year, part_month FROM silver_initial", "silver_initial"),
     "partitioned_write": "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS s FROM orders GROUP BY 1",
     "materialize_report": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1",
-    "incremental_export": "SELECT o_orderkey, try_cast(o_orderpriority[1] AS INT) AS o_orderpriority, try_cast(o_orderstatus AS INT) AS o_orderstatus FROM orders WHERE o_orderkey > 900",
+    "incremental_export": """SELECT o_orderkey, try_cast(o_orderpriority[1] AS INT) AS o_orderpriority, try_cast(o_orderstatus AS INT) AS o_orderstatus, (o_orderkey > 900)::INT AS run,
+  ((row_number() OVER (PARTITION BY o_orderkey > 900 ORDER BY o_orderkey) - 1) // 4000)::INT AS batch FROM orders""",
     "drop_columns_rewrite": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "cast_column_rewrite": "SELECT p_partkey, p_size::VARCHAR AS p_size FROM part",
     "guarded_swap": "SELECT s_suppkey, s_name, count(*) OVER () AS n_live, (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) AS n_backup FROM supplier",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.sources.files import child_dirs
+from quayside.sources.footers import first_lines
 
 
 def snapshot_csv_load(spark: SparkSession, paths, schema: T.StructType, start: str) -> DataFrame:
@@ -20,9 +21,9 @@ def snapshot_csv_load(spark: SparkSession, paths, schema: T.StructType, start: s
 
 def cdc_csv_load(spark: SparkSession, paths: list[str], types: dict[str, str]) -> DataFrame:
     """Change files, read once per distinct header line (schema version) and united by
-    name; columns that ``types`` doesn't name are strings. A bad file fails the load."""
-    lines = spark.read.option("wholetext", False).text(paths).select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"))
-    heads = lines.withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", F.struct("at", "n")).alias("head"))
+    name; columns that ``types`` doesn't name are strings. Tasks find the header lines in the
+    files' first bytes. A bad file fails the load."""
+    heads = first_lines(spark, paths).filter(F.col("head").isNotNull())
     versions = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()  # one row per schema version
     parts = []
     for version in sorted(versions, key=lambda r: r["head"]):

@@ -44,6 +44,17 @@ def list_files(spark, path: str, suffix: str = ".parquet") -> list[str]:
     return sorted(found)
 
 
+def list_uris(spark, path: str, suffix: str = ".parquet") -> list[str]:
+    """Full names, with scheme, of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    found, walk = [], fs.listFiles(p, True)
+    while walk.hasNext():
+        f = walk.next().getPath().toString()
+        if f.endswith(suffix):
+            found.append(f.replace("file:/", "file:///", 1) if f.startswith("file:/") and not f.startswith("file:///") else f)
+    return sorted(found)
+
+
 def child_dirs(spark, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())

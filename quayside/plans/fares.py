@@ -3,10 +3,14 @@ Spark and the SQL oracle read."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.functions.scratch import scratch_dir
 from quayside.plans.adapters import register
 from quayside.plans.vendor_tables import VENDOR
+from quayside.sources.files import exists
 
 FARES = {
     "fare_base": """
@@ -70,7 +74,10 @@ SELECT txn_id AS dw_transaction_id, CASE WHEN txn_id % 2 = 0 THEN txn_id END AS
     "order_lines": "SELECT order_id AS dw_patron_order_id, txn_id AS dw_patron_order_line_item_id, account_id AS subsystem_account_ref, supp_id AS xfer_to_subsystem_account_ref FROM fare_base",
     "channels": "SELECT DISTINCT c_custkey % 5 AS sales_channel_key, CONCAT('channel ', CAST(c_custkey % 5 AS VARCHAR(2))) AS sales_channel_name FROM customer",
     "outages": """
-SELECT event_id AS availability_event_id, user_id AS device_id, event_type, CASE WHEN event_id % 4 > 0 THEN ts END AS outage_begin_dtm, ts AS open_dtm, CASE WHEN event_id % 6 > 0 THEN ts + INTERVAL '5' HOUR END AS outage_end_dtm, CASE WHEN event_id % 11 > 0 THEN ts + INTERVAL '9' HOUR END AS close_dtm, event_id % 3 AS excluded FROM events""",
+SELECT event_id AS availability_event_id, user_id AS device_id, event_type, CASE WHEN event_id % 4 > 0 THEN ts END AS outage_begin_dtm, ts AS open_dtm, CASE WHEN event_id % 6 > 0 THEN ts + INTERVAL '5' HOUR END AS outage_end_dtm, CASE WHEN event_id % 11 > 0 THEN ts + INTERVAL '9' HOUR END AS close_dtm, event_id % 3 AS excluded,
+  CONCAT('operator ', CAST(user_id % 5 AS VARCHAR(2))) AS operator_name, CASE WHEN user_id % 7 > 0 THEN CONCAT('facility ', CAST(user_id % 7 AS VARCHAR(2))) END AS facility_name, CASE WHEN user_id % 3 > 0 THEN user_id % 40 END AS bus_id,
+  event_id % 5 AS failure_level, CONCAT('fault ', event_type) AS fault_description, CASE WHEN event_id % 8 > 0 THEN event_id % 8 END AS root_cause_id, substr('ABCD', CAST(1 + event_id % 4 AS INT), 1) AS location_category,
+  CASE WHEN event_id % 9 > 0 THEN ts + INTERVAL '30' HOUR END AS deadline_dtm FROM events""",
 }
 
 FARES |= VENDOR
@@ -94,11 +101,20 @@ def with_fares(sql: str, more: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in (FARES | (more or {})).items()) + "\n" + sql
 
 
+_MADE: dict[tuple[str, str, str], str] = {}
+
+
 def fare(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    known = FARES | PAYG
-    text = known[name]
-    for inner in ("txn_channel_map", "fare_base"):
-        if inner in text and inner != name:
-            text = f"WITH {inner} AS ({known[inner]}) {text}"
-    register(spark, sf_dir, text)
-    return spark.sql(text)
+    """A fact or dimension, written once a session to the shared folder, as a vendor's table
+    would lie there: reports read its files, only the columns and rows they need."""
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _MADE or not exists(spark, _MADE[at]):
+        text = (FARES | PAYG)[name]
+        for inner in ("txn_channel_map", "fare_base"):
+            if inner in text and inner != name:
+                fare(spark, sf_dir, inner).createOrReplaceTempView(inner)
+        register(spark, sf_dir, text)
+        path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        spark.sql(text).write.option("compression", "zstd").parquet(path)
+        _MADE[at] = path
+    return spark.read.parquet(_MADE[at])

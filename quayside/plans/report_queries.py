@@ -285,9 +285,9 @@ SQL = {
     "wc700_comp_b": f"SELECT {SUMMARY}, sum(coalesce(payment_value, 0))::BIGINT / 100 AS total_fare_revenue {JOIN} WHERE txn_group = 'Open Payment Trips' GROUP BY {SUMMARY}",
     "wc700_comp_c": "SELECT settlement_day_key, operating_day_key, c.rider_class_name, fare_prod_name, service_type_id, fare_rule_description, recovery_txn_type, sum(minimum_fare_charge)::BIGINT / 100 AS recovery_calculation_amount FROM recovery_txn LEFT JOIN rider_classes c USING (rider_class_id) LEFT JOIN products p USING (fare_prod_key) WHERE monetary_inst_type_id = 2 AND minimum_fare_charge IS NOT NULL GROUP BY ALL",
     "wc700_comp_d": f"SELECT {SUMMARY}, reason_name, sum(payment_value)::BIGINT / 100 AS refund_value {JOIN} LEFT JOIN reasons USING (reason_key) WHERE txn_group = 'Direct Refunds Applied' GROUP BY {SUMMARY}, reason_name",
-    "wo118": """SELECT order_day_key, order_dtm, order_nbr, patron_account_id, subsystem_account_ref AS source_transit_account, xfer_to_subsystem_account_ref AS target_transit_account, pass_id, value_changed / 100 AS stored_value, refundable_purse_value / 100 AS refundable_purse_value, benefit_value / 100 AS benefit_value, sales_channel_name
-FROM patron_order JOIN order_lines USING (dw_patron_order_id) JOIN sale_txn USING (dw_patron_order_line_item_id) JOIN channels USING (sales_channel_key) WHERE order_type_enum = 'Transfer' AND sale_txn.reason_key = 990508""",
-    "wsp630": """SELECT * FROM (SELECT availability_event_id, device_id, event_type, coalesce(outage_begin_dtm, open_dtm) AS outage_begin, coalesce(outage_end_dtm, close_dtm) AS outage_end, CASE WHEN excluded = 1 THEN 'Yes' ELSE 'No' END AS event_excluded FROM outages)
+    "wo118": """SELECT 'WO118' AS report, order_day_key, order_dtm, order_nbr, patron_account_id, subsystem_account_ref AS source_transit_account, xfer_to_subsystem_account_ref AS target_transit_account, pass_id, value_changed / 100 AS stored_value, refundable_purse_value / 100 AS refundable_purse_value, benefit_value / 100 AS benefit_value, sales_channel_name
+FROM patron_order JOIN order_lines USING (dw_patron_order_id) JOIN sale_txn USING (dw_patron_order_line_item_id) JOIN channels USING (sales_channel_key) JOIN order_type_dimension USING (patron_order_type_key) WHERE order_type_enum = 'Transfer' AND sale_txn.reason_key = 990508""",
+    "wsp630": """SELECT * FROM (SELECT operator_name, facility_name, bus_id, failure_level, fault_description, root_cause_id, location_category, deadline_dtm, availability_event_id, device_id, event_type, coalesce(outage_begin_dtm, open_dtm) AS outage_begin, coalesce(outage_end_dtm, close_dtm) AS outage_end, CASE WHEN excluded = 1 THEN 'Yes' ELSE 'No' END AS event_excluded FROM outages)
 WHERE outage_end >= TIMESTAMP '2024-01-10 00:00:00' AND outage_begin <= TIMESTAMP '2024-01-20 23:59:59'""",
     "comp_a_txn_a": _scheduled(PRODUCT_SALES, SALE_DOLLARS, ADDENDUM, NO_SCHEDULE_A, "Y"),
     "comp_a_txn_c": _scheduled(PRODUCT_SALES, SALE_DOLLARS, COMPUTATION, NO_SCHEDULE_C, "N"),

@@ -312,9 +312,17 @@ def dfm_schema(spark, d):
 
 
 def precision_pin(spark, d):
-    rows = _descriptors(spark, d)
-    pins = rows.filter("ordinal % 3 = 0").select("table", F.lower("name").alias("name"), F.lit(19).alias("precision"), F.lit(0).alias("scale"))
-    return schema.precision_pin(rows, pins).select("table", "ordinal", "precision", "scale")
+    rows = _vendor_documents(spark, d)
+    pins = rows.filter("ordinal % 3 = 0 and precision % 2 = 0").select(F.upper("name").alias("name"), "type", "scale", F.col("precision").alias("drift_precision"), F.lit(19).alias("archive_precision"))
+    off = rows.filter("ordinal % 3 = 1").select("name", "type", "scale", (F.col("precision") + 1).alias("drift_precision"), F.lit(21).alias("archive_precision"))  # of another precision
+    return schema.precision_pin(rows, pins.union(off)).select("table", "ordinal", "precision", "scale")
+
+
+def type_drift(spark, d):
+    """The documents of two deliveries; the second has other precisions in part."""
+    first = _vendor_documents(spark, d)
+    second = first.withColumn("precision", F.when(F.col("ordinal") % 4 == 0, F.col("precision") + 3).otherwise(F.col("precision")))
+    return schema.type_drift(first.union(second))
 
 
 def afc_schema(spark, d):
@@ -346,7 +354,7 @@ def openapi_schema(spark, d):
 
 def schema_compat_check(spark, d):
     rows = schema.dfm_schema(_descriptors(spark, d))
-    existing = rows.filter("ordinal % 9 > 0").withColumn("type", F.when(F.col("ordinal") % 11 == 0, "string").otherwise(F.col("type")))
+    existing = rows.filter("ordinal % 9 > 0").withColumn("type", F.when(F.col("ordinal") % 11 == 0, "varchar(20)").otherwise(F.col("type")))
     return schema.schema_compat(existing, rows.filter("ordinal % 8 > 0"), private=("col_16",))
 
 
@@ -358,6 +366,12 @@ def key_discovery(spark, d):
     return schema.key_discovery(_descriptors(spark, d).withColumn("key_pos", F.when(F.col("key_pos") > 0, F.col("ordinal")).otherwise(0)))
 
 
+def key_issues(spark, d):
+    rows = _descriptors(spark, d).withColumn("key_pos", F.when(F.col("table") == "Brand#11", 0).otherwise(F.col("key_pos")))
+    columns = rows.filter("ordinal % 5 > 0").select("table", F.col("name").alias("column"))
+    return schema.key_issues(rows, columns)
+
+
 # ---- sources and sinks: what is written is read back
 
 def snapshot_csv_load(spark, d):
@@ -504,7 +518,6 @@ s AS (SELECT "table", ordinal, "column", CASE vtype WHEN 'REAL4' THEN 'float' WH
 """
 RANGES = "r AS (SELECT event_type AS unit, 'f' || (user_id % 16) AS file, min(event_id) AS low, max(event_id) AS high FROM events GROUP BY ALL), o AS (SELECT unit, count(*) AS n_files, count(*) FILTER (WHERE low <= before) AS overlap FROM (SELECT *, max(high) OVER (PARTITION BY unit ORDER BY low, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r) GROUP BY unit)"
 STRINGS = "WITH x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE (o_orderkey * 3)::VARCHAR END AS a, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS b FROM orders)"
-HEALTH = "SELECT user_id % 20 AS table_id, count(*) AS n_rows, count(DISTINCT event_type) AS n_files, sum(length(props)) AS n_bytes, min(user_id) AS min_id, max(event_id) AS max_id FROM events WHERE ts < TIMESTAMP '{}' GROUP BY 1"
 
 SQL = {
     "count_reconcile": with_adapters("""+ s AS (SELECT user_id AS job_id, count(*) AS n_rows FROM events GROUP BY 1)
@@ -603,13 +616,21 @@ SELECT "group", name, CASE WHEN name = 'orders' THEN (SELECT count(DISTINCT o_or
     "register_schemas": "SELECT n_nationkey, n_name, (SELECT count(*) FROM orders) AS n_orders, 1 AS n_failed FROM nation",
     "register_views": "SELECT n_nationkey, n_name, 1 AS n_failed FROM nation",
     "dfm_schema": f"WITH {DESC} SELECT * FROM s",
-    "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 THEN 19 ELSE precision END AS precision, CASE WHEN ordinal % 3 = 0 THEN 0 ELSE scale END AS scale FROM d',
+    "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 AND precision % 2 = 0 THEN 19 ELSE precision END AS precision, scale FROM d',
+    "type_drift": f"""WITH {DESC}, d2 AS (SELECT "table", ordinal, "column", vtype, CASE WHEN ordinal % 4 = 0 THEN precision + 3 ELSE precision END AS precision, scale, key_pos FROM d),
+s2 AS (SELECT "table", "column", CASE WHEN vtype = 'NUMERIC' THEN CASE WHEN scale = 0 AND precision < 19 THEN 'bigint' ELSE 'decimal(' || precision || ',' || scale || ')' END END AS type FROM d2 WHERE vtype = 'NUMERIC'),
+b AS (SELECT s."table", s."column", s.type AS t1, s2.type AS t2 FROM s JOIN s2 ON s."table" = s2."table" AND s."column" = s2."column")
+SELECT "table", "column", least(t1, t2) || ' | ' || greatest(t1, t2) AS types FROM b WHERE t1 <> t2""",
     "afc_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['bigint','int','string','timestamp_ntz'][p_partkey % 4 + 1] AS type, p_partkey % 4 = 3 AS is_timestamp FROM part""",
     "openapi_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['string','boolean','double','string','string','string'][p_partkey % 6 + 1] AS type, p_partkey % 6 IN (3, 4) AS is_json FROM part WHERE p_partkey % 7 <> 0 OR p_partkey IN (14, 28)""",
-    "schema_compat_check": f"""WITH {DESC}, e AS (SELECT "table", "column", CASE WHEN ordinal % 11 = 0 THEN 'string' ELSE type END AS actual FROM s WHERE ordinal % 9 > 0), x AS (SELECT "table", "column", type AS expected FROM s WHERE ordinal % 8 > 0)
-SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS NULL THEN 'extra' WHEN actual IS NULL THEN 'missing' WHEN actual <> expected THEN 'mismatch' END AS issue FROM e FULL JOIN x USING ("table", "column")) WHERE issue IS NOT NULL AND NOT (issue = 'extra' AND "column" = 'col_16')""",
+    "schema_compat_check": f"""WITH {DESC}, e AS (SELECT "table", "column", CASE WHEN ordinal % 11 = 0 THEN 'varchar(20)' ELSE type END AS actual FROM s WHERE ordinal % 9 > 0), x AS (SELECT "table", "column", type AS expected FROM s WHERE ordinal % 8 > 0)
+SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS NULL THEN 'extra' WHEN actual IS NULL THEN 'missing' WHEN replace(actual, 'varchar(20)', 'string') <> expected THEN 'mismatch' END AS issue FROM e FULL JOIN x USING ("table", "column")) WHERE issue IS NOT NULL AND NOT (issue = 'extra' AND "column" = 'col_16')""",
     "export_type_map": f"""WITH {DESC} SELECT "table", ordinal, CASE WHEN type LIKE 'timestamp%' THEN 'timestamp' WHEN type = 'bigint' THEN 'bigint' WHEN type IN ('float', 'double') THEN 'double' WHEN type = 'boolean' THEN 'bool' WHEN type = 'date' THEN 'date' ELSE 'text' END AS export_type FROM s""",
     "key_discovery": f"""WITH {DESC} SELECT "table", string_agg("column", ',' ORDER BY key_pos) AS keys FROM d WHERE key_pos > 0 GROUP BY 1""",
+    "key_issues": """WITH k AS (SELECT p_brand AS "table", 'col_' || p_partkey AS "column", p_partkey, CASE WHEN p_brand <> 'Brand#11' AND p_size < 8 THEN p_size ELSE 0 END AS pos FROM part)
+SELECT "table", 'no_keys' AS issue, '' AS told FROM k GROUP BY 1 HAVING max(pos) = 0
+UNION ALL SELECT "table", 'repeated_position', pos || ': ' || string_agg("column", ',' ORDER BY "column") FROM k WHERE pos > 0 GROUP BY "table", pos HAVING count(*) > 1
+UNION ALL SELECT "table", 'absent_key', "column" FROM k WHERE pos > 0 AND p_partkey % 5 = 0""",
     "snapshot_csv_load": "SELECT c_custkey, c_name, 'L' AS change_oper, NULL AS change_seq, 2024 AS part_year, 3 AS part_month FROM customer",
     "cdc_csv_load": with_adapters("SELECT txn_id, change_seq, change_oper, amount, CASE WHEN txn_id % 2 = 1 THEN status END AS status, year(change_ts)::INT AS part_year, month(change_ts)::INT AS part_month FROM cdc_log", "cdc_log"),
     "history_archive_write": with_adapters("SELECT 's1' AS snapshot, part_year, part_month, count(*) AS n FROM cdc_log GROUP BY ALL", "cdc_log"),

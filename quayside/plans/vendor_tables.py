@@ -72,9 +72,10 @@ SELECT s.source, y.order_type_name, y.order_type_enum, CASE WHEN y.order_type_na
 FROM (SELECT 'FARE' AS source UNION ALL SELECT 'PIVOTAL') s CROSS JOIN (
   SELECT 'Refund' AS order_type_name, 'Refund' AS order_type_enum UNION ALL SELECT 'Partial refund', 'Refund' UNION ALL SELECT 'Sale', 'Sale'
   UNION ALL SELECT 'Correction', 'TravelCorrection' UNION ALL SELECT 'Transfer', 'Transfer') y""",
+    "order_type_dimension": "SELECT 1 AS patron_order_type_key, 'Transfer' AS order_type_enum UNION ALL SELECT 2, 'Sale'",
     "patron_order": f"""
 SELECT o_orderkey AS dw_patron_order_id, o_orderkey AS order_nbr, {DATE_KEY.format('o_orderdate')} AS order_day_key, o_orderdate AS order_dtm, o_custkey AS patron_account_id,
-  o_custkey % 5 AS sales_channel_key, CASE WHEN o_orderstatus = 'F' THEN 'Transfer' ELSE 'Sale' END AS order_type_enum, {SOURCE.format('o_custkey')} AS source,
+  o_custkey % 5 AS sales_channel_key, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'P' THEN 3 ELSE 2 END AS patron_order_type_key, {SOURCE.format('o_custkey')} AS source,
   CASE o_orderkey % 5 WHEN 0 THEN 'Refund' WHEN 1 THEN 'Partial refund' WHEN 2 THEN 'Sale' WHEN 3 THEN 'Correction' ELSE 'Transfer' END AS order_type,
   CONCAT('desk ', CAST(o_custkey % 9 AS VARCHAR(2))) AS order_origin, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey % 90 + 1 END AS device_key, CONCAT('O', CAST(o_orderkey AS VARCHAR(20))) AS retrieval_ref_nbr,
   CASE WHEN o_orderkey % 6 > 0 THEN o_orderkey % 9 END AS line_item_count, o_orderkey % 7000 AS order_total_product_value, o_orderkey % 700 AS order_total_deposit_value,

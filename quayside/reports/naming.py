@@ -23,6 +23,13 @@ def attach(rows: DataFrame, side: DataFrame, on: dict[str, str | Column], take:
     return rows.join(side, reduce(lambda a, b: a & b, same), how).drop(*keys)
 
 
+def only_row(rows: DataFrame) -> DataFrame:
+    """The one row that ``rows`` has, if any; more raise. An aggregate, so it may be broadcast."""
+    one = rows.agg(*(F.first(c).alias(c) for c in rows.columns), F.count(F.lit(1)).alias("__n"))
+    single = F.when(F.col("__n") > 1, F.raise_error(F.lit("a look-up of one row found several")).cast("boolean")).otherwise(F.col("__n") == 1)
+    return one.filter(single).drop("__n")
+
+
 def prefixed(rows: DataFrame, prefix: str) -> DataFrame:
     """``rows`` with ``prefix`` before every column's name."""
     return rows.select(*(F.col(c).alias(prefix + c) for c in rows.columns))

@@ -138,8 +138,8 @@ def _account_label() -> Column:
 
 
 def order_detail(t: Tables) -> DataFrame:
-    """Orders with their lines and the lines' payments (columns o_, l_ and p_), all names,
-    and what the whole order paid, summed once per order. Only orders of types that are
+    """Orders with their lines and the lines' payments (columns o_, l_ and p_) and all
+    names. Only orders of types that are
     reported, without refunds of one source that nobody approved."""
     o, l, p = prefixed(t("patron_order"), "o_"), prefixed(t("order_line_item"), "l_"), prefixed(t("order_payment"), "p_")
     rows = attach(o, t("order_types"), {"source": "o_source", "order_type_name": "o_order_type"}, {"order_type_enum": "type_enum", "include_on_reports_flag": "reported", "send_to_cch_flag": "sent"})
@@ -147,8 +147,6 @@ def order_detail(t: Tables) -> DataFrame:
     refund = (F.col("o_order_type") == "Refund") & (F.col("o_source") == "PIVOTAL")
     approved = (F.col("o_review_approved_rejected") == "Approved") & (zero("o_refund_is_opt_out") == 0)
     rows = rows.filter(~refund | approved)
-    paid = p.groupBy("p_dw_patron_order_id").agg(F.sum("p_payment_amount").alias("cr_db_amount"))
-    rows = attach(rows, paid, {"p_dw_patron_order_id": "o_dw_patron_order_id"}, ["cr_db_amount"])
     rows = rows.join(l, F.col("o_dw_patron_order_id") == F.col("l_dw_patron_order_id"), "left")
     same_line = (F.col("l_dw_patron_order_line_item_id") == F.col("p_dw_patron_order_line_item_id")) & (F.col("l_dw_patron_order_id") == F.col("p_dw_patron_order_id"))
     rows = rows.join(p, same_line, "left")

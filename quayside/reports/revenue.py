@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.reports.naming import Tables, attach, day, dollars, zero
+from quayside.reports.naming import Tables, attach, day, dollars, only_row, zero
 
 MAP_KEYS = ["txn_source", "sales_channel_key", "payment_type_key"]
 SUMMARY = ["settlement_day_key", "operating_day_key", "payment_type_key", "txn_channel_display", "sales_channel_display"]
@@ -114,7 +114,7 @@ def tap_revenue(t: Tables) -> DataFrame:
     rows = attach(attach(sums, t("cards"), {"card_key": "card_key"}, ["bin"]), t("operators"), {"operator_key": "operator_key"}, ["operator_name"])
     kind = t("payment_types").filter(F.col("payment_type_key") == TAP_PAYMENT_TYPE).select("payment_type_name", "payment_type_key")
     channel = (F.col("txn_source") == "UseTxn") & (F.col("sales_channel_key") == TAP_CHANNEL) & (F.col("payment_type_key") == TAP_PAYMENT_TYPE)
-    rows = rows.join(F.broadcast(kind)).join(F.broadcast(t("txn_channel_map").filter(channel).select("txn_channel_display")))
+    rows = rows.join(F.broadcast(only_row(kind))).join(F.broadcast(only_row(t("txn_channel_map").filter(channel).select("txn_channel_display"))))
     return _trip_columns(rows, fare_revenue=-F.col("raw"), tap_id=F.lit(None).cast("long"), retrieval_ref_nbr=F.col("sale_ref_nbr"))
 
 
@@ -143,7 +143,9 @@ def addendum(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     """Rows of each report's addendum: operated up to its day, settled within its window.
     The window's days are an equi-join key, so a row meets the reports of its own day."""
     s = schedule.select("due_day_key", "adden_max_operating_day_key", "adden_min_settlement_day_key", "adden_max_settlement_day_key", "deposit_due_day_key").distinct()
+    s = s.filter("adden_min_settlement_day_key <= adden_max_settlement_day_key")  # a sequence would run backwards
     days = s.select("due_day_key", "adden_max_operating_day_key", F.explode(F.sequence("adden_min_settlement_day_key", "adden_max_settlement_day_key")).alias("__day"))
+    days = days.filter("__day % 100 between 1 and 31 and __day div 100 % 100 between 1 and 12")  # keys of days, across years too
     on = (F.col("settlement_day_key") == F.col("__day")) & (F.col("operating_day_key") <= F.col("adden_max_operating_day_key"))
     return rows.join(days, on).select(F.col("due_day_key").alias("report_due_day_key"), F.lit("Y").alias("addendum"), *rows.columns)
 

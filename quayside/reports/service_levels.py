@@ -21,7 +21,10 @@ def outages_in(t: Tables, start: str = "2024-01-10 00:00:00", end: str = "2024-0
     stamp = lambda x: F.lit(x).cast("timestamp_ntz")
     excluded = F.when(F.col("excluded") == 1, "Yes").otherwise("No")
     rows = t("outages").filter((over >= stamp(start)) & (begin <= stamp(end)))
-    return rows.select("availability_event_id", "device_id", "event_type", begin.alias("outage_begin"), over.alias("outage_end"), excluded.alias("event_excluded"))
+    return rows.select(
+        "operator_name", "facility_name", "availability_event_id", "event_type", "bus_id", "device_id", begin.alias("outage_begin"), over.alias("outage_end"), excluded.alias("event_excluded"),
+        "failure_level", "fault_description", "root_cause_id", "location_category", "deadline_dtm",
+    )
 
 
 def _in_month(t: Tables, rows: DataFrame, month: str, year: int, take: dict[str, str]) -> DataFrame:

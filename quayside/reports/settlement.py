@@ -140,11 +140,11 @@ def processed_taps(t: Tables) -> DataFrame:
 
 
 def product_transfers(t: Tables) -> DataFrame:
-    orders = t("patron_order").filter("order_type_enum = 'Transfer'")
+    orders = attach(t("patron_order"), t("order_type_dimension").filter("order_type_enum = 'Transfer'"), {"patron_order_type_key": "patron_order_type_key"}, how="inner")
     sales = t("sale_txn").filter(F.col("reason_key") == TRANSFER_REASON)
     rows = orders.join(t("order_lines"), "dw_patron_order_id").join(sales, "dw_patron_order_line_item_id").join(t("channels"), "sales_channel_key")
     return rows.select(
-        "order_day_key", "order_dtm", "order_nbr", "patron_account_id", F.col("subsystem_account_ref").alias("source_transit_account"),
+        F.lit("WO118").alias("report"), "order_day_key", "order_dtm", "order_nbr", "patron_account_id", F.col("subsystem_account_ref").alias("source_transit_account"),
         F.col("xfer_to_subsystem_account_ref").alias("target_transit_account"), "pass_id", dollars(F.col("value_changed")).alias("stored_value"),
         dollars(F.col("refundable_purse_value")).alias("refundable_purse_value"), dollars(F.col("benefit_value")).alias("benefit_value"), "sales_channel_name",
     )

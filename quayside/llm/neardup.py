@@ -10,6 +10,7 @@ takes up the rest.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import drop_scratch, hot_join, id_text, materialize, release, scratch_mark
+from quayside.llm.common import drop_scratch, hot_join, id_text, materialize, scratch_scope
 from quayside.llm.graph import components
 
 FIRST, TREES = 3, 42  # least prefix depth, and trees: together they use each hash once
@@ -32,6 +33,7 @@ MUL = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint6
 XOR = _RNG.integers(0, 2**64, HASHES, dtype=np.uint64)
 #: A pair of similarity 0.8 agrees in 101 of 126 hashes on average, with deviation 4.5.
 LEAST_AGREEING = 68
+BITS = 4  # longs of 64 bits that sum up a set of the prefix filter
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,22 +213,33 @@ def crowded_pairs(texts: DataFrame, size: int, threshold: tuple[int, int]) -> Da
     groups can rest on, then from rare to common. Texts of similarity num/den share one
     within the larger text's first n - num/den n + 1 and the smaller one's first
     n - 2 num/(num + den) n + 1; and of the first that they share, enough are left behind
-    it in both for the overlap that the similarity needs."""
+    it in both for the overlap that the similarity needs. Sets meet in bands of their size,
+    which at most num/den of a size spans, so a shingle's list is cut by size; what one set
+    has of hash bits that the other lacks bounds their overlap before a pair is written. A
+    list that is still long is dealt anew by Spark's handling of skewed merge joins."""
     num, den = threshold
     rows = materialize(texts.select("doc_id", "text", "c", "t").mapInArrow(_shingle_rows(size), "doc long, c long, t long, n long, h long"), "shingles")
     counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     counts = materialize(counts.select("h", "rows", F.when(F.col("lo") < F.col("hi"), F.col("rows")).otherwise(0).alias("common")), "counts")
-    ordered = hot_join(rows, counts, ["h"], "rows").groupBy("doc", "c", "t", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"))
+    bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))")
+    bits = [F.coalesce(F.bit_or(F.when(F.shiftrightunsigned("h", 62) == k, bit)), F.lit(0).cast("long")).alias(f"b{k}") for k in range(BITS)]
+    ordered = hot_join(rows, counts, ["h"], "rows").groupBy("doc", "c", "t", "n").agg(F.array_sort(F.collect_list(F.struct("common", "h"))).alias("s"), *bits)
+    band = lambda n: F.floor(F.log(n.cast("double")) / (math.log(den / num) or 1.0)).cast("int")
+    ordered = ordered.withColumns({"band": band(F.col("n")), "low": band(F.expr(f"({num} * n + {den - 1}) DIV {den}"))})
     probe = F.expr(f"CAST(n - ({num} * n + {den - 1}) DIV {den} + 1 AS INT)")
     index = F.expr(f"CAST(n - ({2 * num} * n + {num + den - 1}) DIV {num + den} + 1 AS INT)")
-    first = ordered.withColumn("least", index).select("doc", "c", "n", "least", F.posexplode(F.slice("s", F.lit(1), probe)).alias("at", "x"))
-    first = first.filter("x.common > 0").select("x.h", "doc", "c", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") < F.col("least")).alias("listed"))
+    signs = [f"b{k}" for k in range(BITS)]
+    first = ordered.withColumn("least", index).select("doc", "c", "n", "least", "band", "low", *signs, F.posexplode(F.slice("s", F.lit(1), probe)).alias("at", "x"))
+    first = first.filter("x.common > 0").select("x.h", "band", "low", *signs, "doc", "c", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") < F.col("least")).alias("listed"))
     first = materialize(first, "prefixes")
-    x = first.select("h", F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("left").alias("lx"))
-    y = first.filter("listed").select("h", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("left").alias("ly"))
+    bands = F.explode(F.sequence("low", "band")).alias("band")  # of sizes from num/den n to n
+    x = first.select("h", bands, F.col("doc").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("left").alias("lx"), *(F.col(b).alias(f"x{b}") for b in signs))
+    y = first.filter("listed").select("h", "band", F.col("doc").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("left").alias("ly"), *(F.col(b).alias(f"y{b}") for b in signs))
     on = (F.col("cx") != F.col("cy")) & (F.struct("ny", "y") < F.struct("nx", "x")) & (den * F.col("ny") >= num * F.col("nx"))
     on &= (num + den) * F.least("lx", "ly") >= num * (F.col("nx") + F.col("ny"))
-    both = x.join(y.hint("merge"), "h").filter(on)
+    lacks = lambda a, b: reduce(lambda p, q: p + q, (F.bit_count(F.col(f"{a}{s}").bitwiseAND(F.bitwise_not(f"{b}{s}"))) for s in signs))
+    on &= (num + den) * F.least(F.col("nx") - lacks("x", "y"), F.col("ny") - lacks("y", "x")) >= num * (F.col("nx") + F.col("ny"))
+    both = x.join(y.hint("merge"), ["h", "band"]).filter(on)
     pairs = materialize(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest")
     drop_scratch(rows, counts, first)
     return pairs
@@ -275,10 +288,9 @@ def _grouped(links: list[DataFrame], before: DataFrame | None = None) -> DataFra
         if links[-1].isEmpty():
             return before
         drop_scratch(before)
-    mark = scratch_mark()
-    nodes = components(reduce(DataFrame.union, links))
-    groups = materialize(nodes, "groups")
-    release(groups.sparkSession, mark | {groups._scratch_path})
+    mine: list[str] = []
+    with scratch_scope(links[0].sparkSession):
+        groups = materialize(components(reduce(DataFrame.union, links)), "groups", mine)
     return groups
 
 

@@ -183,6 +183,10 @@ def maximal_repeats(docs: DataFrame, window: int = 50) -> tuple[DataFrame, DataF
     as a whole, which the first table leaves out."""
     spec = "doc_id long, t long, n long, wa long, wb long, seeds array<long>, contexts array<long>, places array<int>"
     seeds = materialize(docs.filter("doc_id is not null").mapInArrow(_seeds(window), spec), "seeds")
+    again = not seeds.groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    if again:  # rows repeated under one id are one document: its places are listed once
+        every, seeds = seeds, materialize(seeds.dropDuplicates(["doc_id", "t"]), "seeds")
+        drop_scratch(every)
     whole = seeds.filter(F.col("n") >= window).select("doc_id", "t", "n", "wa", "wb")
     firsts = whole.groupBy("n", "wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))
     firsts = materialize(firsts.filter("low < high").drop("high"), "firsts")
@@ -205,6 +209,7 @@ def maximal_repeats(docs: DataFrame, window: int = 50) -> tuple[DataFrame, DataF
     drop_scratch(seeds, firsts, anchors, shared, contexts)
 
     rows = docs.join(hits, ["doc_id", "t"]).select("doc_id", "text", "t", "place", "state")
+    rows = rows.dropDuplicates(["doc_id", "t"]) if again else rows
     windows = materialize(rows.mapInArrow(_windows(window), "wa long, wb long, doc_id long, t long, at int"), "windows")
     open_ = windows.filter("wa is not null")
     lows = open_.groupBy("wa", "wb").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("rows"))

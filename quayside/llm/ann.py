@@ -43,8 +43,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, exactly: its largest entry is then between a half and
+    one, so that squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(1, keepdims=True)  # no overflow in the norm
+    x = _scaled(x)
     return (x / np.sqrt((x * x).sum(1, keepdims=True))).astype(np.float32)
 
 
@@ -172,7 +178,7 @@ class Graph:
         row = np.repeat(np.arange(len(q)), found.shape[1])
         node = found.ravel()
         row, node = row[node < n], node[node < n]
-        a, b = queries[row], self.vectors[node]
+        a, b = _scaled(queries)[row], _scaled(self.vectors)[node]
         score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
         counts = self.counts[node]
         pick = np.repeat(np.arange(len(node)), counts)

@@ -18,10 +18,12 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROWS, WIDE = 8192, 192  # words side by side; longer ones are merged one by one
+from quayside.llm.common import ship
+
+ROWS, WIDE = 8192, 192  # words side by side; longer ones go one by one
 CACHE_WORDS = 300_000  # pieces a worker remembers; then it starts afresh
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = regex.compile(rf"[^{WHITE}]+")
@@ -54,6 +56,7 @@ class Tokenizer:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
+        self.cut_start = regex.compile("[" + "".join(sorted({regex.escape(t[0]) for t in self.added})) + "]") if self.added else None
         self.names = {i: s for s, i in (self.vocab | self.added).items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         n = len(self.vocab)
@@ -136,6 +139,7 @@ class Tokenizer:
             for c in text[: -len(self.suffix)] if end else text:
                 node = below.setdefault(node << 8 | to_byte[c], len(below) + 1)
             (final if end else plain)[node] = t
+        self.below = below
         keys = np.fromiter(below, np.int64, len(below))
         order = np.argsort(keys)
         self.trie_keys, self.trie_nodes = keys[order], np.fromiter(below.values(), np.int64, len(below))[order]
@@ -173,6 +177,22 @@ class Tokenizer:
                 row, size, start, at, node, tokens, best, best_end = (x[live] for x in (row, size, start, at, node, tokens, best, best_end))
         return out
 
+    def greedy_word(self, word: bytes) -> np.ndarray:
+        """The same for one long word."""
+        below, size, at, out = self.below, len(word), 0, []
+        while at < size:
+            node, best, end = 0, -1, at + 1
+            for k in range(at, size):
+                node = below.get(node << 8 | word[k], -1)
+                if node < 0:
+                    break
+                token = int((self.final if k + 1 == size else self.plain)[node])
+                if token >= 0:
+                    best, end = token, k + 1
+            out.append(best)
+            at = end
+        return np.array(out, np.int64)
+
     def merge_rows(self, text: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Exact merging of rows of bytes, always the lowest rank and leftmost first: one
         merge in each row at a time."""
@@ -242,7 +262,8 @@ class Tokenizer:
         lens = np.fromiter(map(len, words), np.int64, len(words))
         out: list[list[int]] = [[]] * len(words)
         for k in np.flatnonzero(lens > WIDE).tolist():
-            out[k] = self.merge(words[k])
+            ids = self.greedy_word(words[k])
+            out[k] = ids.tolist() if self.verified(ids[None, :])[0] else self.merge(words[k])
         order = np.argsort(lens, kind="stable")
         order = order[lens[order] <= WIDE]
         for lo in range(0, len(order), ROWS):
@@ -283,7 +304,7 @@ class Tokenizer:
 
     def _split(self, piece: str, words: dict) -> list:
         own = []
-        for k, part in enumerate(self.cut.split(piece) if self.cut else [piece]):
+        for k, part in enumerate(self.cut.split(piece) if self.cut and self.cut_start.search(piece) else [piece]):
             if k % 2:
                 own.append(self.added[part])
             elif part:
@@ -329,6 +350,8 @@ def _texts(column: pa.Array) -> list[str]:
 def encode(text: Column, path: str) -> Column:
     """Token ids of a text column; null counts as empty, which has no ids."""
 
+    ship(SparkSession.active())
+
     @F.arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
         return pa.array(load(path).encode(_texts(column)), pa.list_(pa.int32()))
@@ -339,6 +362,8 @@ def encode(text: Column, path: str) -> Column:
 def decode(ids: Column, path: str) -> Column:
     """Text of token ids; null gives null."""
 
+    ship(SparkSession.active())
+
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         t = load(path)
@@ -351,6 +376,8 @@ def token_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row's whole text; a null text
     counts as empty. Repeated rows give repeated results, an empty table none."""
 
+    ship(df.sparkSession)
+
     @F.arrow_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
     def run(column: pa.Array) -> pa.Array:
         n, ids, decoded = [], [], []

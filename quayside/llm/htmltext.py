@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import ship
+
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math meter nobr output picture progress q ruby rb rt rp s samp small source span strike strong sub sup time track tt u var wbr".split())
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup: it ends at their own end tag.
@@ -187,6 +189,8 @@ LABELLED = (
     (("article p", 2, 0, 1), ("footer", 6, 0, 0)),
     (("article p", 3, 0, 1),),
     (("p", 40, 0, 1),),
+    (("body", 1, 0, 0),),
+    (("p", 3, 0, 0),),
     (("h1", 4, 0, 1), ("p", 25, 1, 1)),
     (("nav ul li", 2, 2, 0), ("article h1", 5, 0, 1), ("article p", 12, 0, 1)),
     (("div", 22, 0, 0), ("div", 3, 0, 0), ("article h1", 7, 0, 1), ("article p", 50, 0, 1), ("article p", 4, 4, 1), ("article p", 16, 0, 1), ("div", 35, 0, 0), ("p", 70, 0, 0)),
@@ -194,6 +198,11 @@ LABELLED = (
     (("div", 5, 5, 0), ("article p", 6, 6, 1), ("article ul li", 9, 2, 1), ("article ul li", 1, 0, 1), ("article dl dd", 20, 0, 1), ("article div.ad", 40, 0, 0), ("article p", 15, 6, 1), ("article nav ul li", 4, 4, 0), ("article nav ul li", 2, 0, 0)),
     (("div.banner", 7, 0, 0), ("article h1", 3, 0, 1), ("footer", 5, 1, 0)),
     (("table tr td", 2, 2, 0), ("table tr td", 2, 2, 0), ("table tr td", 110, 3, 1), ("table tr td p", 66, 0, 1), ("table tr td", 4, 3, 0), ("p", 7, 1, 0)),
+    (("nav ul li", 2, 2, 0), ("div.banner p", 44, 6, 0), ("h1", 5, 0, 1), ("p", 60, 8, 1), ("p", 35, 4, 1), ("p", 3, 0, 1), ("p", 42, 0, 1), ("aside p", 50, 7, 0), ("footer p", 60, 9, 0), ("div.comments p", 45, 5, 0), ("form", 40, 4, 0)),
+    (("header p", 40, 5, 0), ("div.notice", 35, 4, 0), ("p", 50, 0, 1), ("p", 38, 5, 1), ("p", 12, 0, 1), ("p", 47, 2, 1), ("div.sidebar p", 41, 6, 0), ("div.newsletter", 36, 0, 0), ("footer", 70, 8, 0)),
+    (("article h1", 3, 0, 1), ("article p", 30, 6, 1), ("article h2", 2, 0, 1), ("article p", 20, 3, 1), ("article p", 2, 1, 1), ("article p", 12, 2, 1), ("article aside p", 20, 3, 0), ("article div.related p", 14, 6, 0), ("article form", 9, 1, 0)),
+    (("article p", 25, 5, 1), ("article p", 8, 2, 1), ("article p", 1, 1, 1), ("article p", 14, 4, 1), ("article div.ad", 20, 4, 0), ("article p", 6, 1, 1), ("article footer", 10, 5, 0)),
+    (("div.nav", 8, 8, 0), ("main h1", 2, 1, 1), ("main p", 18, 3, 1), ("main nav ul li", 5, 3, 0), ("main div.sponsored", 24, 4, 0), ("main p", 9, 5, 1), ("main p", 40, 20, 1), ("main section.comments p", 30, 6, 0), ("main dl dd", 4, 1, 1), ("footer", 9, 4, 0)),
     (("noscript", 8, 0, 0), ("div.modal p", 24, 1, 0), ("p", 85, 0, 1), ("p", 14, 0, 1), ("p", 58, 9, 1), ("p", 10, 0, 0)),
 )
 
@@ -233,17 +242,24 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 9) -> tuple | float:
 
 
 def labelled_blocks(pages=LABELLED) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of labelled pages, and of the pages that a rule makes of them: cut
+    off after any block, and with the longer blocks longer still where their place tells what
+    they are."""
     rows, labels = [], []
     for page in pages:
-        blocks = []
-        for path, words, linked, label in page:
+        places = []
+        for path, *_ in page:
             place = Place()
             for step in path.split():
                 name, _, kind = step.partition(".")
                 place = enter(place, name, f'class="{kind}"' if kind else "")
-            blocks.append(Block("", words, linked, place))
-            labels.append(label)
-        rows.append(features(blocks))
+            places.append(place)
+        for times in (1, 2, 6):
+            grown = [times if words > 8 and (p.outside or p.against or p.inside) else 1 for (_, words, _, _), p in zip(page, places, strict=True)]
+            blocks = [Block("", words * g, linked * g, p) for (_, words, linked, _), g, p in zip(page, grown, places, strict=True)]
+            for end in range(1, len(page) + 1):
+                rows.append(features(blocks[:end]))
+                labels += [label for *_, label in page[:end]]
     return np.concatenate(rows), np.array(labels, float)
 
 
@@ -280,6 +296,7 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows give rows each; an empty table gives none. Other columns are ignored.
     """
     tree = article_tree()
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

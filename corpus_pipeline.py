@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import bpe, exact, mixing, neardup, quality
-from quayside.llm.common import documents, prepare, release, scratch_dir, scratch_mark
-from quayside.llm.registry import TOKENIZER
+from quayside.llm.common import documents, prepare, scratch_dir, scratch_scope
+from quayside.llm.registry import TOKENIZER, public_tokenizers
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        mark = scratch_mark()
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        release(spark, mark)  # what the stage itself wrote on the way
+        with scratch_scope(spark):  # what the stage itself writes on the way
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs

@@ -5,90 +5,56 @@ from __future__ import annotations
 import glob
 import os
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.scratch import saved, scratch_dir, scratch_scope
+from quayside.sources.files import delete
+
+__all__ = ["documents", "drop_scratch", "hot_join", "id_text", "materialize", "prepare", "scratch_dir", "scratch_scope", "ship"]
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 PACKAGE = "quayside"
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application: a worker on another
-    machine has no checkout of ours."""
+    machine has no checkout of ours. Every operator does so before it uses them."""
     context = spark.sparkContext
-    if getattr(_ship, "done", None) == context.applicationId:
+    if getattr(ship, "done", None) == context.applicationId:
         return
     path = f"{tempfile.mkdtemp(prefix='spark-')}/{PACKAGE}.zip"
     with zipfile.ZipFile(path, "w") as file:
         for name in sorted(glob.glob(f"{ROOT}/{PACKAGE}/**/*.py", recursive=True)):
             file.write(name, os.path.relpath(name, ROOT))
     context.addPyFile(path)
-    _ship.done = context.applicationId
+    ship.done = context.applicationId
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches (texts vary from nothing to megabytes), shuffle files dropped
-    when their query ends, and this package on every worker."""
+    """Settings of a session for texts that vary from nothing to megabytes: small Arrow
+    batches, and shuffle files dropped when their query ends; they stay set. Operators are
+    right without them; queries and pipelines set them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8388608")
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    _ship(spark)
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names. Where none is named, a local session gets
-    one of its own; on a cluster that is an error, since no local folder is shared."""
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = getattr(scratch_dir, "own", None)
-        if root is None:
-            root = scratch_dir.own = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return root.rstrip("/")
-
-
-#: Folders of the scratch tables that this process has written and not yet deleted.
-_TABLES: dict[str, None] = {}
+    ship(spark)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _TABLES[path] = None
-    df.write.option("compression", "zstd").parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._scratch_path = path
-    return table
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    _TABLES.pop(path, None)
+def materialize(df: DataFrame, name: str, scope: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage ends here. The table
+    belongs to ``scope`` or the innermost ``scratch_scope`` and goes with it; without one it
+    stays, since a frame that an operator returns may still read it."""
+    ship(df.sparkSession)
+    return saved(df, name, scope)
 
 
 def drop_scratch(*tables: DataFrame) -> None:
     """Delete scratch tables (results of ``materialize``) that nothing will read again."""
     for table in tables:
-        _delete(table.sparkSession, table._scratch_path)
-
-
-def scratch_mark() -> set[str]:
-    """The scratch tables there are now, for ``release``."""
-    return set(_TABLES)
-
-
-def release(spark: SparkSession, mark: set[str]) -> None:
-    """Delete the scratch tables made since ``mark``. For callers that have written what
-    they wanted: a frame that an operator returned may still read its tables."""
-    for path in [p for p in _TABLES if p not in mark]:
-        _delete(spark, path)
+        delete(table.sparkSession, table._scratch_path)
 
 
 #: A key of more than one in HOT_SHARE rows is joined by broadcast: there are fewer such keys.
@@ -117,6 +83,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only what the operators read: a long id and the text, null as empty."""
+    ship(df.sparkSession)
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import words
-from quayside.llm.common import materialize
+from quayside.llm.common import materialize, ship
 
 PASSAGE = 64  # words
 HIDDEN, ATTENTION = 24, 12
@@ -198,6 +198,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def quality_score(text: Column, model: Model) -> Column:
     """Score from 0 to 1 of a text column; a null text scores as an empty one."""
 
+    ship(SparkSession.active())
+
     @F.arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
         if not len(column):

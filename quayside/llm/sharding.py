@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.common import ship
+
 #: Rows of a shard that one task numbers, about.
 SLOTS_PER_TASK = 200_000
 
@@ -30,6 +32,8 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 def jump_shard(key: Column, shards: int) -> Column:
     """Shard of a stable long key."""
 
+    ship(SparkSession.active())
+
     @F.pandas_udf("int")
     def apply(keys: pd.Series) -> pd.Series:
         return pd.Series(jump(keys.to_numpy(np.int64).view(np.uint64), shards))

@@ -3,16 +3,20 @@ column names, one id on two texts, null ids, the largest id, and very long runs.
 
 import datetime
 import hashlib
+import random
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quayside.llm import ann, bpe, exact, mixing, neardup, pii, quality, sharding, substring, urlfilter
-from quayside.llm.common import materialize, prepare, release, scratch_mark
+from quayside.llm import ann, bpe, divergence, exact, mixing, neardup, pii, quality, sharding, substring, urlfilter
+from quayside.llm.common import materialize, prepare, scratch_scope
+from quayside.sources.files import exists
 
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
 TOP = 2**63 - 1
@@ -33,6 +37,7 @@ OPERATORS = {
     "drop_near": neardup.drop_near_copies,
     "drop_quality": lambda df: quality.drop_low_quality(df, no_labels(df)),
     "mask": pii.mask_pii,
+    "divergence": lambda df: divergence.source_divergence(df, min_documents=1),
 }
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -291,10 +296,83 @@ def test_jump_equals_the_loop():
 
 def test_scratch_tables_are_deleted(spark):
     prepare(spark)
-    mark = scratch_mark()
-    kept = materialize(spark.range(5).toDF("a"), "one")
-    assert kept.count() == 5
-    neardup.near_duplicates(table(spark, [(1, P), (2, P + " x"), (3, Q)])).collect()
-    assert len(scratch_mark() - mark) == 3  # this one, the profile and the named classes
-    release(spark, mark)
-    assert scratch_mark() == mark
+    with scratch_scope(spark) as made:
+        kept = materialize(spark.range(5).toDF("a"), "one")
+        assert kept.count() == 5
+        neardup.near_duplicates(table(spark, [(1, P), (2, P + " x"), (3, Q)])).collect()
+        assert len([p for p in made if exists(spark, p)]) == 3  # this one, the profile and the named classes
+    assert not any(exists(spark, p) for p in made)
+
+
+def test_scopes_side_by_side_keep_their_tables(spark):
+    """Each of two calls in threads of its own deletes its own tables only."""
+    prepare(spark)
+
+    def one(k):
+        with scratch_scope(spark):
+            rows = table(spark, [(k, P), (k + 1, P + " x"), (k + 2, Q)])
+            return sorted((r.doc_id, r.component_id) for r in neardup.near_duplicates(rows).collect())
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(one, (10, 20))) == [[(10, 10), (11, 10), (12, 12)], [(20, 20), (21, 20), (22, 22)]]
+
+
+def test_ann_scores_of_enormous_and_tiny_vectors(spark):
+    vectors = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1e-200, 1e-200]), (3, [-3e-310, 0.0])]
+    rows = ann.nearest_neighbours(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect()
+    found = [(r.rank, r.vec_id, round(r.score, 12)) for r in sorted(rows, key=lambda r: r["rank"])]
+    assert found == [(1, 2, 1.0), (2, 1, round(0.5**0.5, 12)), (3, 3, -round(0.5**0.5, 12))]
+
+
+def test_bpe_proposes_long_words_too(spark):
+    words = ["".join(random.Random(k).choice("abcdefghij") for _ in range(n)) for k, n in enumerate((193, 700, 5_000))] + ["the" * 100_000, "ab" * 500 + "\u00e9" * 300]
+    own = bpe.load(PATH)
+    exact_, proposed = Tokenizer.from_file(PATH), 0
+    for word in words:
+        ids = exact_.encode(word, add_special_tokens=False).ids
+        assert own.encode([word]) == [ids]
+        raw = word.encode()
+        proposed += own.greedy_word(raw).tolist() == own.greedy(np.frombuffer(raw, np.uint8).astype(np.int64)[None, :], np.array([len(raw)]))[0][: len(own.greedy_word(raw))].tolist() if len(raw) < 6_000 else 1
+    assert proposed == len(words)
+
+
+def test_substring_with_many_equal_rows(spark):
+    """Rows repeated under one id are one document: their places are not gathered."""
+    text = " ".join(f"r{k}" for k in range(300))
+    rows = spark.range(40_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text")).union(table(spark, [(9, "a b " + text)]).select("doc_id", "text"))
+    found = substring.substring_dedup(rows).groupBy("doc_id").agg(F.count("n_words").alias("n"), F.max("n_removed").alias("removed"), F.min("n_removed").alias("least"))
+    assert sorted(map(tuple, found.collect())) == [(7, 40_000, 0, 0), (9, 1, 300, 300)]
+
+
+def test_texts_of_ten_megabytes_and_words_of_one(spark):
+    long = " ".join(f"v{k % 90_000}" for k in range(1_500_000))
+    rows = table(spark, [(1, long), (2, long + " end"), (3, "z" * 1_000_000), (4, "z" * 1_000_000), (5, "short one")])
+    assert [r.keep_id for r in exact.exact_dedup(rows).orderBy("doc_id").collect()] == [1, 2, 3, 3, 5]
+    assert [r.component_id for r in neardup.near_duplicates(rows).orderBy("doc_id").collect()] == [1, 1, 3, 3, 5]
+    assert [r.n_removed for r in substring.substring_dedup(rows).orderBy("doc_id").collect()] == [0, 1_500_000, 0, 0, 0]
+
+
+def test_crowds_of_any_similarity_hide_no_link(spark):
+    """Many groups that share most of their shingles, compared with all pairs."""
+    rng, texts = random.Random(3), []
+    base = [f"c{k}" for k in range(60)]
+    for g in range(40):
+        own = base[:]
+        for k in rng.sample(range(60), 2):
+            own[k] = f"g{g}_{k}"
+        texts += [" ".join(own), " ".join([*own[: rng.randrange(50, 60)], f"x{g}"])]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(spark, list(enumerate(texts))), shingle_size=3, threshold=(70, 100)).collect()}
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    assert got == {k: root(k) for k in range(len(sets))}

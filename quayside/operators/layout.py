@@ -15,7 +15,7 @@ from quayside.functions.scratch import saved
 from quayside.operators.carry import running
 from quayside.sources.feeds import materialize_report
 from quayside.sources.files import child_dirs, delete, exists, list_files, list_uris, rename, total_bytes
-from quayside.sources.footers import footer_statistics
+from quayside.sources.footers import footer_statistics, rewrite_without
 
 
 def column_min_max(df: DataFrame, column: str, condition: str | None = None) -> DataFrame:
@@ -226,6 +226,16 @@ def drop_columns_rewrite(spark, path: str, to: str, columns: list[str]) -> bool:
     return True
 
 
+def drop_columns_in_place(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Take columns out of a dataset file by file; returns (file, rewritten, n_rows) of all
+    files, once they are done."""
+    if any(f"/{c}=" in f for f in list_uris(spark, path) for c in columns):
+        raise ValueError("a path partition is no column of the files")
+    done = saved(rewrite_without(spark, list_uris(spark, path), columns), "rewritten")
+    spark.catalog.refreshByPath(path)
+    return done
+
+
 def cast_column_rewrite(spark, path: str, to: str, column: str, type_: str) -> None:
     df = spark.read.parquet(path)
     df.withColumn(column, F.col(column).cast(type_)).write.mode("overwrite").parquet(to)

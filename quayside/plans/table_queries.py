@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.scratch import scratch_dir
-from quayside.operators import layout, quality
+from quayside.operators import layout, quality, versions
 from quayside.plans.adapters import load, with_adapters
 from quayside.sources import export, feeds, schema
 from quayside.sources.files import list_uris
@@ -487,6 +487,28 @@ def drop_columns_rewrite(spark, d):
     return spark.read.parquet(b).select("*")
 
 
+def drop_columns_in_place(spark, d):
+    """Customers in files with and without the column; how many files changed is told too."""
+    path, rows = _folder(spark), load(spark, d, "customer").repartition(3, "c_custkey")
+    rows.filter("c_custkey % 2 = 0").write.parquet(f"{path}/even=1")
+    rows.filter("c_custkey % 2 = 1").drop("c_name").write.parquet(f"{path}/even=0")
+    done = layout.drop_columns_in_place(spark, path, ["c_name"])
+    right = done.agg(F.count_if(F.col("rewritten") != F.col("file").contains("even=1")).alias("wrong"), F.sum("n_rows").alias("n_rows"))
+    return feeds.union_by_name_scan(spark, path).crossJoin(F.broadcast(right))  # one row
+
+
+def versioned_swap(spark, d):
+    """Two versions, a refused empty one, and what is live then."""
+    root, rows = _folder(spark), load(spark, d, "supplier")
+    versions.publish(rows.filter("s_suppkey % 2 = 0"), root)
+    versions.publish(rows, root)
+    try:
+        versions.publish(rows.filter("s_suppkey < 0"), root)
+    except ValueError:
+        return versions.read_live(spark, root).withColumn("version", F.lit(versions.live_version(spark, root)))
+    raise AssertionError("an empty version was published")
+
+
 def cast_column_rewrite(spark, d):
     a, b = _folder(spark), _folder(spark)
     load(spark, d, "part").select("p_partkey", "p_size").write.parquet(a)
@@ -648,6 +670,8 @@ WHERE date_trunc('hour', ts) < (SELECT max(date_trunc('hour', ts)) FROM events)"
     "incremental_export": """SELECT o_orderkey, try_cast(o_orderpriority[1] AS INT) AS o_orderpriority, try_cast(o_orderstatus AS INT) AS o_orderstatus, (o_orderkey > 900)::INT AS run,
   ((row_number() OVER (PARTITION BY o_orderkey > 900 ORDER BY o_orderkey) - 1) // 4000)::INT AS batch FROM orders""",
     "drop_columns_rewrite": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "drop_columns_in_place": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, (c_custkey % 2 = 0)::INT AS even, 0 AS wrong, (SELECT count(*) FROM customer) AS n_rows FROM customer",
+    "versioned_swap": "SELECT *, 1 AS version FROM supplier",
     "cast_column_rewrite": "SELECT p_partkey, p_size::VARCHAR AS p_size FROM part",
     "guarded_swap": "SELECT s_suppkey, s_name, count(*) OVER () AS n_live, (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) AS n_backup FROM supplier",
 }

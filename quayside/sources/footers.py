@@ -3,6 +3,7 @@ parquet footers, and first lines. Only the bytes needed are read."""
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -16,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 #: A text statistic from this length on may be a cut one: its file is read instead.
 LONGEST_STATISTIC = 64
 HEAD_BYTES = 64 << 10
+ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
 
 
 def _open(name: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -85,3 +87,46 @@ def first_lines(spark: SparkSession, files: list[str], most: int = HEAD_BYTES) -
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.string())], names=["file", "head"])
 
     return named(spark, files).mapInArrow(run, "file string, head string")
+
+
+def _told(metadata: dict | None, gone: set[str]) -> dict | None:
+    """A footer's key-value metadata, with the columns out of the schema that Spark keeps there."""
+    if not metadata or ROW_METADATA not in metadata:
+        return metadata
+    schema = json.loads(metadata[ROW_METADATA])
+    schema["fields"] = [f for f in schema["fields"] if f["name"] not in gone]
+    return metadata | {ROW_METADATA: json.dumps(schema).encode()}
+
+
+def rewrite_without(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
+    """(file, rewritten, n_rows): take columns out of those parquet files that have any of
+    them, each in its own place; files without stay as they are. A task writes a file whole
+    beside the old one, a group of rows at a time, and then moves it there, so no file is ever
+    half done, and one that is rewritten again is passed over."""
+    gone = set(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name in batch.column(0).to_pylist():
+                system, path = _open(name)
+                with system.open_input_file(path) as source:
+                    file = pq.ParquetFile(source)
+                    kept = [f.name for f in file.schema_arrow if f.name not in gone]
+                    rows.append((name, len(kept) < len(file.schema_arrow), file.metadata.num_rows))
+                    if not rows[-1][1]:
+                        continue
+                    folder, _, base = path.rpartition("/")
+                    beside = f"{folder}/.{base}.rewrite"  # hidden from readers
+                    schema = pa.schema([file.schema_arrow.field(c) for c in kept], _told(file.schema_arrow.metadata, gone))
+                    with system.open_output_stream(beside) as out, pq.ParquetWriter(out, schema, compression="zstd") as writer:
+                        for g in range(file.num_row_groups):
+                            writer.write_table(file.read_row_group(g, columns=kept).select(kept))
+                system.move(beside, path)
+                checksum = f"{folder}/.{base}.crc"  # of the old bytes, on a local file system
+                if system.get_file_info(checksum).type != pyarrow.fs.FileType.NotFound:
+                    system.delete_file(checksum)
+            cols = list(zip(*rows, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.int64()), strict=True)], names=["file", "rewritten", "n_rows"])
+
+    return named(spark, files).mapInArrow(run, "file string, rewritten boolean, n_rows long")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import layout
+from quayside.operators import layout, versions
 from quayside.sources import export, feeds, footers
 from quayside.sources.files import exists, list_uris
 
@@ -90,3 +90,31 @@ def test_change_files_of_several_versions(spark, tmp_path):
         file.write("k,change_ts,v\n2,2024-02-02 00:00:00,9\n")
     rows = feeds.cdc_csv_load(spark, [f"file://{tmp_path}/a.csv", f"file://{tmp_path}/b.csv.gz"], {"k": "int", "change_ts": "timestamp_ntz", "v": "int"})
     assert sorted((r.k, r.v, r.part_month) for r in rows.collect()) == [(1, None, 1), (2, 9, 2)]
+
+
+def test_columns_go_from_the_files_that_have_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 2)], "k int, secret string, v int").coalesce(1).write.mode("append").parquet(f"{path}/p=1")
+    spark.createDataFrame([(2, 5)], "k int, v int").coalesce(1).write.mode("append").parquet(f"{path}/p=2")
+    kept = next(f for f in list_uris(spark, path) if "p=2" in f)
+    when = (tmp_path / "t" / "p=2" / kept.rsplit("/", 1)[1]).stat().st_mtime_ns
+    done = {("p=1" in r.file): (r.rewritten, r.n_rows) for r in layout.drop_columns_in_place(spark, path, ["secret", "none"]).collect()}
+    assert done == {True: (True, 1), False: (False, 1)}
+    assert (tmp_path / "t" / "p=2" / kept.rsplit("/", 1)[1]).stat().st_mtime_ns == when
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    assert sorted(rows.columns) == ["k", "p", "v"] and sorted((r.k, r.v, r.p) for r in rows.collect()) == [(1, 2, 1), (2, 5, 2)]
+    assert not any(r.rewritten for r in layout.drop_columns_in_place(spark, path, ["secret"]).collect())
+    with pytest.raises(ValueError, match="path partition"):
+        layout.drop_columns_in_place(spark, path, ["p"])
+
+
+def test_versions_are_swapped_by_a_pointer(spark, tmp_path):
+    root = str(tmp_path)
+    assert [versions.publish(spark.range(n), root) for n in (3, 4, 5)] == [0, 1, 2]
+    assert versions.read_live(spark, root).count() == 5 and not exists(spark, f"{root}/versions/version=0")
+    with pytest.raises(ValueError, match="is empty"):
+        versions.publish(spark.range(0), root)
+    assert versions.read_live(spark, root).count() == 5
+    assert versions.roll_back(spark, root) == 1 and versions.read_live(spark, root).count() == 4
+    with pytest.raises(ValueError, match="no version to go back to"):
+        versions.roll_back(spark, root)

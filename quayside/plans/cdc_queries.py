@@ -143,7 +143,8 @@ QUERIES = {
 }
 
 NULLABLE = "k.k IS NOT DISTINCT FROM e.k"
-SEMI = """WITH e AS (SELECT event_id, CASE WHEN user_id % 9 > 0 THEN user_id END AS k FROM events), m AS (SELECT DISTINCT CASE WHEN o_custkey % 8 > 0 THEN o_custkey END AS k FROM orders WHERE o_custkey % 4 = 0)
+SEMI = """WITH e AS (SELECT event_id, CASE WHEN user_id % 9 > 0 THEN user_id END AS k FROM events), m AS (SELECT DISTINCT CASE WHEN o_custkey % 8 > 0 THEN o_custkey END AS k FROM orders
+  WHERE o_custkey % 4 = 0)
 SELECT event_id, k FROM e WHERE {} EXISTS (SELECT 1 FROM m WHERE m.k IS NOT DISTINCT FROM e.k)"""
 
 #: Of these, ``write_reconcile`` is a query of the job's.
@@ -178,7 +179,8 @@ SELECT g.table_id, file FROM g JOIN newest USING (table_id) LEFT JOIN oldest USI
         "landed_files",
     ),
     "surrogate_index": "SELECT o_orderkey, 99 + row_number() OVER (ORDER BY o_orderkey) AS row_index FROM orders",
-    "null_safe_update": "SELECT c_custkey, c_name, coalesce(p, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_custkey % 3 > 0 THEN max(o_totalprice) END AS p FROM orders WHERE o_custkey % 10 > 0 GROUP BY 1) ON o_custkey = c_custkey",
+    "null_safe_update": """SELECT c_custkey, c_name, coalesce(p, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_custkey % 3 > 0 THEN max(o_totalprice) END AS p FROM orders
+  WHERE o_custkey % 10 > 0 GROUP BY 1) ON o_custkey = c_custkey""",
     "null_safe_semi": SEMI.format(""),
     "null_safe_anti": SEMI.format("NOT"),
     "keyed_lookup_join": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 300000)",
@@ -195,5 +197,6 @@ SELECT g.table_id, file FROM g JOIN newest USING (table_id) LEFT JOIN oldest USI
 l AS (SELECT list(printf('%04d-%02d:%d', y, m, n) ORDER BY y, m, n) FILTER (WHERE y IS NOT NULL) AS ls, count(y) AS n_parts, coalesce(sum(n) FILTER (WHERE y IS NULL), 0)::BIGINT AS null_dates FROM p)
 SELECT n_parts, null_dates, null_dates = 0 AS pruned, array_to_string(ls[1:24], ',') || CASE WHEN len(ls) > 24 THEN ' +' || (len(ls) - 24) || ' more' ELSE '' END AS labels FROM l""",
     "write_reconcile": with_adapters(APPLY + """SELECT count(t.txn_id) AS initial, count(*) FILTER (WHERE t.txn_id IS NULL AND s.change_oper = 'I') AS inserted, count(*) FILTER (WHERE t.txn_id IS NOT NULL AND s.change_oper = 'D') AS dropped,
-  (SELECT count(*) FROM applied) AS actual, count(t.txn_id) + count(*) FILTER (WHERE t.txn_id IS NULL AND s.change_oper = 'I') - count(*) FILTER (WHERE t.txn_id IS NOT NULL AND s.change_oper = 'D') = (SELECT count(*) FROM applied) AS ok FROM silver_initial t FULL JOIN folded s ON t.txn_id = s.txn_id""", "cdc_log", "silver_initial"),
+  (SELECT count(*) FROM applied) AS actual, count(t.txn_id) + count(*) FILTER (WHERE t.txn_id IS NULL AND s.change_oper = 'I') - count(*) FILTER (WHERE t.txn_id IS NOT NULL AND
+  s.change_oper = 'D') = (SELECT count(*) FROM applied) AS ok FROM silver_initial t FULL JOIN folded s ON t.txn_id = s.txn_id""", "cdc_log", "silver_initial"),
 }

@@ -96,8 +96,10 @@ DEALT = f"+ dealt AS (SELECT *, (row_number() OVER (ORDER BY change_seq) - 1) //
 STATES = DEALT + ",".join(_after(b) for b in range(1, BATCHES + 1)) + ",\n" + f"""held AS (SELECT 0 AS batch, txn_id FROM silver_initial UNION ALL {" UNION ALL ".join(f"SELECT {b}, txn_id FROM after{b}" for b in range(1, BATCHES + 1))}),
 sizes AS (SELECT batch, count(*) AS n, min(txn_id) AS lo, max(txn_id) AS hi FROM held GROUP BY 1),
 gained AS (SELECT a.batch, count(*) FILTER (WHERE b.txn_id IS NULL) AS inserted FROM held a LEFT JOIN held b ON b.batch = a.batch - 1 AND b.txn_id = a.txn_id WHERE a.batch > 0 GROUP BY 1),
-lost AS (SELECT b.batch + 1 AS batch, count(*) FILTER (WHERE a.txn_id IS NULL) AS dropped FROM held b LEFT JOIN held a ON a.batch = b.batch + 1 AND b.txn_id = a.txn_id WHERE b.batch < {BATCHES} GROUP BY 1),
-kept AS (SELECT a.batch, count(*) AS updated FROM held a JOIN held b ON b.batch = a.batch - 1 AND b.txn_id = a.txn_id WHERE EXISTS (SELECT 1 FROM dealt c WHERE c.batch = a.batch AND c.txn_id = a.txn_id) GROUP BY 1),
+lost AS (SELECT b.batch + 1 AS batch, count(*) FILTER (WHERE a.txn_id IS NULL) AS dropped FROM held b LEFT JOIN held a ON a.batch = b.batch + 1 AND b.txn_id = a.txn_id WHERE
+  b.batch < {BATCHES} GROUP BY 1),
+kept AS (SELECT a.batch, count(*) AS updated FROM held a JOIN held b ON b.batch = a.batch - 1 AND b.txn_id = a.txn_id WHERE EXISTS (SELECT 1 FROM dealt c WHERE c.batch = a.batch
+  AND c.txn_id = a.txn_id) GROUP BY 1),
 runs AS (SELECT batch, count(*) AS records, max(change_seq) AS watermark FROM dealt GROUP BY 1),
 size AS (SELECT (count(*) + {BATCHES - 1}) // {BATCHES} AS budget, max(change_seq) AS newest FROM cdc_log)
 """
@@ -107,8 +109,10 @@ SQL = {
     "cdc_stream_apply": CDC_SQL["cdc_apply"],
     "position_state": with_adapters("SELECT 'txn' AS table_id, 's1' AS snapshot, max(change_seq) AS watermark, (count(*) + budget - 1) // budget AS run FROM cdc_log, (SELECT (count(*) + 2) // 3 AS budget FROM cdc_log) GROUP BY budget", "cdc_log"),
     "job_status": with_adapters(
-        STATES + """SELECT 'txn' AS table_id, batch - 1 AS run, 's1' AS snapshot, batch = 1 AS rebuilt, records, watermark, newest AS upstream_max, n AS row_count, coalesce(inserted, 0) AS inserted, coalesce(dropped, 0) AS dropped, coalesce(updated, 0) AS updated,
-  records >= budget AS budget_full, CASE WHEN records >= budget THEN 30 ELSE 14400 END::BIGINT AS next_run_s FROM runs JOIN sizes USING (batch) LEFT JOIN gained USING (batch) LEFT JOIN lost USING (batch) LEFT JOIN kept USING (batch), size
+        STATES + """SELECT 'txn' AS table_id, batch - 1 AS run, 's1' AS snapshot, batch = 1 AS rebuilt, records, watermark, newest AS upstream_max, n AS row_count, coalesce(inserted, 0) AS inserted,
+  coalesce(dropped, 0) AS dropped, coalesce(updated, 0) AS updated,
+  records >= budget AS budget_full, CASE WHEN records >= budget THEN 30 ELSE 14400 END::BIGINT AS next_run_s FROM runs JOIN sizes USING (batch) LEFT JOIN gained USING (batch) LEFT
+  JOIN lost USING (batch) LEFT JOIN kept USING (batch), size
 UNION ALL SELECT 'txn', batch, 's1', false, 0, watermark, newest, n, 0, 0, 0, false, 43200 FROM runs JOIN sizes USING (batch), size WHERE batch = 3 AND records >= budget""",
         "cdc_log", "silver_initial",
     ),
@@ -119,7 +123,8 @@ UNION ALL SELECT 'txn', 0, true FROM runs, size WHERE batch = 3 AND records >= b
     ),
     "table_health": with_adapters(
         STATES + """SELECT 'txn' AS table_id, b.n AS rows_before, a.n AS n_rows, b.hi AS max_before, a.hi AS max_id,
-  concat_ws(',', CASE WHEN a.hi < b.hi THEN 'max_id_fell' END, CASE WHEN a.lo > b.lo THEN 'min_id_rose' END, CASE WHEN a.n < b.n THEN 'rows_fell' END) AS issues FROM sizes a, sizes b WHERE a.batch = 3 AND b.batch = 2""",
+  concat_ws(',', CASE WHEN a.hi < b.hi THEN 'max_id_fell' END, CASE WHEN a.lo > b.lo THEN 'min_id_rose' END, CASE WHEN a.n < b.n THEN 'rows_fell' END) AS issues FROM sizes a, sizes
+  b WHERE a.batch = 3 AND b.batch = 2""",
         "cdc_log", "silver_initial",
     ),
     "write_reconcile": CDC_SQL["write_reconcile"],

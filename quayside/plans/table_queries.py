@@ -534,20 +534,27 @@ stated AS (SELECT *, CASE WHEN age_s > 72 * 3600 THEN 'STALE' WHEN {BEHIND} THEN
 """
 DUR = """CASE WHEN abs({0}) < 90 THEN printf('%.0fs', abs({0})::DOUBLE) WHEN abs({0}) < 5400 THEN printf('%.0fm', abs({0}) / 60::DOUBLE) WHEN abs({0}) < 172800 THEN printf('%.1fh', abs({0}) / 3600::DOUBLE) ELSE printf('%.1fd', abs({0}) / 86400::DOUBLE) END"""
 DESC = """d AS (SELECT p_brand AS "table", p_partkey::INT AS ordinal, 'col_' || p_partkey AS "column",
-  ['REAL4','REAL8','BOOLEAN','DATE','DATETIME','TIME','INT4','NUMERIC','NUMERIC','STRING'][p_partkey % 10 + 1] AS vtype, (p_size % 30 + 1)::INT AS precision, (CASE WHEN p_partkey % 20 < 10 THEN 0 ELSE 2 END)::INT AS scale, CASE WHEN p_size < 8 THEN p_partkey ELSE 0 END AS key_pos FROM part),
-s AS (SELECT "table", ordinal, "column", CASE vtype WHEN 'REAL4' THEN 'float' WHEN 'REAL8' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date' WHEN 'DATETIME' THEN 'timestamp_ntz' WHEN 'TIME' THEN 'string' WHEN 'INT4' THEN 'bigint'
+  ['REAL4','REAL8','BOOLEAN','DATE','DATETIME','TIME','INT4','NUMERIC','NUMERIC','STRING'][p_partkey % 10 + 1] AS vtype, (p_size % 30 + 1)::INT AS precision, (CASE WHEN p_partkey %
+  20 < 10 THEN 0 ELSE 2 END)::INT AS scale, CASE WHEN p_size < 8 THEN p_partkey ELSE 0 END AS key_pos FROM part),
+s AS (SELECT "table", ordinal, "column", CASE vtype WHEN 'REAL4' THEN 'float' WHEN 'REAL8' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date' WHEN 'DATETIME' THEN
+  'timestamp_ntz' WHEN 'TIME' THEN 'string' WHEN 'INT4' THEN 'bigint'
   WHEN 'NUMERIC' THEN CASE WHEN scale = 0 AND precision < 19 THEN 'bigint' ELSE 'decimal(' || precision || ',' || scale || ')' END ELSE 'string' END AS type FROM d)
 """
-RANGES = "r AS (SELECT event_type AS unit, 'f' || (user_id % 16) AS file, min(event_id) AS low, max(event_id) AS high FROM events GROUP BY ALL), o AS (SELECT unit, count(*) AS n_files, count(*) FILTER (WHERE low <= before) AS overlap FROM (SELECT *, max(high) OVER (PARTITION BY unit ORDER BY low, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r) GROUP BY unit)"
+RANGES = """r AS (SELECT event_type AS unit, 'f' || (user_id % 16) AS file, min(event_id) AS low, max(event_id) AS high FROM events GROUP BY ALL), o AS (SELECT unit, count(*) AS n_files,
+  count(*) FILTER (WHERE low <= before) AS overlap FROM (SELECT *, max(high) OVER (PARTITION BY unit ORDER BY low, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM r) GROUP BY unit)"""
 STRINGS = "WITH x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE (o_orderkey * 3)::VARCHAR END AS a, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS b FROM orders)"
 
 SQL = {
     "count_reconcile": with_adapters("""+ s AS (SELECT user_id AS job_id, count(*) AS n_rows FROM events GROUP BY 1)
-SELECT job_id, n_rows, data_count, CASE WHEN data_count IS NULL THEN 'missing_in_counts' WHEN n_rows IS NULL THEN 'missing_in_data' WHEN n_rows <> data_count THEN 'different' ELSE 'ok' END AS status FROM s FULL JOIN api_counts USING (job_id)""", "api_counts"),
+SELECT job_id, n_rows, data_count, CASE WHEN data_count IS NULL THEN 'missing_in_counts' WHEN n_rows IS NULL THEN 'missing_in_data' WHEN n_rows <> data_count THEN 'different' ELSE
+  'ok' END AS status FROM s FULL JOIN api_counts USING (job_id)""", "api_counts"),
     "column_set_check": """WITH k AS (SELECT json_keys(props) AS ks FROM events)
-SELECT "column", issue, count(*) AS n_rows FROM (SELECT unnest(list_filter(ks, lambda x: x NOT IN ('k', 'v'))) AS "column", 'extra' AS issue FROM k UNION ALL SELECT unnest(list_filter(['k', 'v'], lambda x: NOT list_contains(ks, x))), 'missing' FROM k) GROUP BY ALL""",
+SELECT "column", issue, count(*) AS n_rows FROM (SELECT unnest(list_filter(ks, lambda x: x NOT IN ('k', 'v'))) AS "column", 'extra' AS issue FROM k UNION ALL SELECT
+  unnest(list_filter(['k', 'v'], lambda x: NOT list_contains(ks, x))), 'missing' FROM k) GROUP BY ALL""",
     "json_page_check": """WITH p AS (
-  SELECT event_id // 100 AS page, arg_min(CASE WHEN event_id % 300 = 0 THEN '{"k": "x", "tags": 3}' WHEN event_id % 100 = 0 THEN '{"k": null, "tags": [1, 2], "new": 1}' ELSE props END, event_id) AS r FROM events GROUP BY 1)
+  SELECT event_id // 100 AS page, arg_min(CASE WHEN event_id % 300 = 0 THEN '{"k": "x", "tags": 3}' WHEN event_id % 100 = 0 THEN '{"k": null, "tags": [1, 2], "new": 1}' ELSE props
+  END, event_id) AS r FROM events GROUP BY 1)
 SELECT "column", issue, min(page) AS first_page FROM (
   SELECT page, 'k' AS "column", 'not_number' AS issue FROM p WHERE json_extract_string(r, '$.k') IS NOT NULL AND try_cast(json_extract_string(r, '$.k') AS DOUBLE) IS NULL
   UNION ALL SELECT page, 'tags', 'not_json' FROM p WHERE json_type(r, '$.tags') NOT IN ('ARRAY', 'OBJECT', 'NULL')
@@ -574,7 +581,8 @@ SELECT job_id, data_count, running, batch_no::BIGINT AS batch_no FROM walk""",
     ).replace("WITH ", "WITH RECURSIVE ", 1),
     "backlog": with_adapters("SELECT count(*) FILTER (WHERE job_id > 90) AS jobs_lag, coalesce(sum(data_count) FILTER (WHERE job_id > 90), 0)::BIGINT AS rows_lag, max(job_id) AS latest, count(*) >= 10000 AS truncated, count(*) FILTER (WHERE job_id > 90) > 1 AS rerun_soon FROM api_counts", "api_counts"),
     "row_capped_run": "SELECT event_id, ts, (SELECT count(*) FROM events) > 700 AS capped FROM events ORDER BY ts, event_id LIMIT 700",
-    "out_of_order_pages": "SELECT * FROM (SELECT event_type, page, low, max(high) OVER (PARTITION BY event_type ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT event_type, user_id // 10 AS page, min(ts) AS low, max(ts) AS high FROM events GROUP BY ALL)) WHERE low < before",
+    "out_of_order_pages": """SELECT * FROM (SELECT event_type, page, low, max(high) OVER (PARTITION BY event_type ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT
+  event_type, user_id // 10 AS page, min(ts) AS low, max(ts) AS high FROM events GROUP BY ALL)) WHERE low < before""",
     "seq_to_timestamp": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN date_trunc('second', o_orderdate) END AS at FROM orders",
     "ms_to_timestamp": "SELECT o_orderkey, make_timestamp(o_orderkey * 86400123 * 1000) AS at FROM orders",
     "lag_seconds": "SELECT l_orderkey, l_linenumber, trunc((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000000)::BIGINT AS lag FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
@@ -582,14 +590,16 @@ SELECT job_id, data_count, running, batch_no::BIGINT AS batch_no FROM walk""",
         """+ w AS (SELECT *, lag(run_at) OVER v AS pr, lag(row_count) OVER v AS pc, lag(watermark_at) OVER v AS pw FROM status_history WINDOW v AS (PARTITION BY table_id ORDER BY run_at)),
 x AS (SELECT *, row_count - pc AS rows_added, (epoch_us(run_at) - epoch_us(pr)) // 1000000 AS took, (epoch_us(watermark_at) - epoch_us(pw)) // 1000000 AS advance FROM w WHERE pr IS NOT NULL),
 y AS (SELECT *, CASE WHEN lag_s <= 0 THEN 0 WHEN took > 0 AND advance > took THEN floor(lag_s / ((advance - took) / took)) END::BIGINT AS wall FROM x)
-SELECT table_id, run_at, run_s AS run_duration_s, rows_added, took, advance, round(rows_added / run_s, 2) AS rows_per_second, round(advance / 86400.0::DOUBLE / (run_s / 3600.0::DOUBLE), 3) AS data_days_per_hour,
+SELECT table_id, run_at, run_s AS run_duration_s, rows_added, took, advance, round(rows_added / run_s, 2) AS rows_per_second, round(advance / 86400.0::DOUBLE / (run_s /
+  3600.0::DOUBLE), 3) AS data_days_per_hour,
   CASE WHEN took > 0 THEN round(advance / took, 3) END AS catchup_ratio, CASE WHEN lag_s <= 0 THEN 0 WHEN advance > 0 THEN floor(lag_s / (advance / run_s)) END::BIGINT AS catchup_processing_s,
   wall AS catchup_wall_s, CASE WHEN lag_s > 0 THEN run_at + to_seconds(wall) END AS projected_caught_up FROM y""",
         "status_history",
     ),
     "table_state": with_adapters("+" + STATE_SQL + "SELECT table_id, age_s, state FROM stated", "status_history"),
     "state_summary": with_adapters("+" + STATE_SQL + """, e AS (SELECT DISTINCT table_id, feed FROM status_history), a AS (SELECT * FROM e UNION ALL SELECT table_id + 100000, feed FROM e WHERE table_id % 10 = 0)
-SELECT a.feed, count(*) FILTER (WHERE coalesce(state, 'STALE') = 'STALE') AS stale, count(*) FILTER (WHERE state = 'BEHIND') AS behind, count(*) FILTER (WHERE state = 'OK') AS ok FROM a LEFT JOIN stated s ON a.table_id = s.table_id GROUP BY 1""", "status_history"),
+SELECT a.feed, count(*) FILTER (WHERE coalesce(state, 'STALE') = 'STALE') AS stale, count(*) FILTER (WHERE state = 'BEHIND') AS behind, count(*) FILTER (WHERE state = 'OK') AS ok
+  FROM a LEFT JOIN stated s ON a.table_id = s.table_id GROUP BY 1""", "status_history"),
     "state_note": with_adapters(
         "+" + STATE_SQL + f"SELECT table_id, concat_ws('; ', state, format('{{:,}}', row_count) || ' rows', CASE WHEN lag_s > 0 THEN 'lag ' || {DUR.format('lag_s')} END, 'seen ' || {DUR.format('age_s')} || ' ago') AS note FROM stated",
         "status_history",
@@ -621,18 +631,23 @@ SELECT o_orderstatus, n_files, overlap, recluster, CASE WHEN recluster THEN 0 EL
 JOIN (SELECT o_orderstatus, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1) USING (o_orderstatus)""",
     "dataset_size_profile": "SELECT count(*) AS n_rows, count(DISTINCT l_linenumber) AS n_files, count(*) > 0 AS has_bytes, true AS per_mb FROM lineitem",
     "path_partitions": "SELECT o_orderkey, 'year=' || year(o_orderdate) || ',month=' || month(o_orderdate) AS parts FROM orders",
-    "data_dictionary": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey', 'int'), ('geo/small', 'region', 1, 'r_name', 'string'), ('geo/small', 'nation', 0, 'n_nationkey', 'int'), ('geo/small', 'nation', 1, 'n_name', 'string'),
+    "data_dictionary": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey', 'int'), ('geo/small', 'region', 1, 'r_name', 'string'), ('geo/small', 'nation', 0, 'n_nationkey', 'int'),
+  ('geo/small', 'nation', 1, 'n_name', 'string'),
   ('geo/small', 'nation', 2, 'n_regionkey', 'int'), ('sales', 'customer', 0, 'c_custkey', 'bigint'), ('sales', 'customer', 1, 'c_name', 'string'), ('sales', 'customer', 2, 'c_nationkey', 'int'),
   ('sales', 'customer', 3, 'c_acctbal', 'double'), ('sales', 'customer', 4, 'c_mktsegment', 'string'), ('sales', 'orders', 0, 'o_orderkey', 'bigint'), ('sales', 'orders', 1, 'o_custkey', 'bigint'),
-  ('sales', 'orders', 2, 'o_totalprice', 'double'), ('sales', 'orders', 3, 'o_orderdate', 'timestamp_ntz'), ('sales', 'orders', 4, 'o_orderpriority', 'string'), ('sales', 'orders', 5, 'o_orderstatus', 'string')) v("group", dataset, ordinal, "column", type))
+  ('sales', 'orders', 2, 'o_totalprice', 'double'), ('sales', 'orders', 3, 'o_orderdate', 'timestamp_ntz'), ('sales', 'orders', 4, 'o_orderpriority', 'string'), ('sales', 'orders',
+  5, 'o_orderstatus', 'string')) v("group", dataset, ordinal, "column", type))
 SELECT *, CASE dataset WHEN 'orders' THEN (SELECT count(DISTINCT o_orderstatus) FROM orders) ELSE 1 END AS n_files, "column" = 'o_orderstatus' AS is_partition,
   CASE WHEN "column" = 'n_name' THEN 'a name of ' || (SELECT min(r_name) FROM region) END AS remarks FROM c""",
     "column_descriptions": "SELECT p_brand AS dataset, p_partkey::VARCHAR AS \"column\", CASE WHEN p_partkey % 3 = 0 THEN p_type END AS remarks FROM part",
     "register_reports": "SELECT l_returnflag, count(*) AS n, 1 AS n_failed FROM lineitem GROUP BY 1",
-    "dataset_records": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey:int:false'), ('geo/small', 'region', 1, 'r_name:string:false'), ('geo/small', 'nation', 0, 'n_nationkey:int:false'),
+    "dataset_records": """WITH c AS (SELECT * FROM (VALUES ('geo/small', 'region', 0, 'r_regionkey:int:false'), ('geo/small', 'region', 1, 'r_name:string:false'), ('geo/small', 'nation', 0,
+  'n_nationkey:int:false'),
   ('geo/small', 'nation', 1, (SELECT 'n_name:string:false:' || min('a name of ' || r_name) FROM region)), ('geo/small', 'nation', 2, 'n_regionkey:int:false'),
-  ('sales', 'customer', 0, 'c_custkey:bigint:false'), ('sales', 'customer', 1, 'c_name:string:false'), ('sales', 'customer', 2, 'c_nationkey:int:false'), ('sales', 'customer', 3, 'c_acctbal:double:false'), ('sales', 'customer', 4, 'c_mktsegment:string:false'),
-  ('sales', 'orders', 0, 'o_orderkey:bigint:false'), ('sales', 'orders', 1, 'o_custkey:bigint:false'), ('sales', 'orders', 2, 'o_totalprice:double:false'), ('sales', 'orders', 3, 'o_orderdate:timestamp_ntz:false'), ('sales', 'orders', 4, 'o_orderpriority:string:false'),
+  ('sales', 'customer', 0, 'c_custkey:bigint:false'), ('sales', 'customer', 1, 'c_name:string:false'), ('sales', 'customer', 2, 'c_nationkey:int:false'), ('sales', 'customer', 3,
+  'c_acctbal:double:false'), ('sales', 'customer', 4, 'c_mktsegment:string:false'),
+  ('sales', 'orders', 0, 'o_orderkey:bigint:false'), ('sales', 'orders', 1, 'o_custkey:bigint:false'), ('sales', 'orders', 2, 'o_totalprice:double:false'), ('sales', 'orders', 3,
+  'o_orderdate:timestamp_ntz:false'), ('sales', 'orders', 4, 'o_orderpriority:string:false'),
   ('sales', 'orders', 5, 'o_orderstatus:string:true')) x("group", name, k, told))
 SELECT "group", name, CASE WHEN name = 'orders' THEN (SELECT count(DISTINCT o_orderstatus) FROM orders) ELSE 1 END AS n_files, string_agg(told, ',' ORDER BY k) AS columns FROM c GROUP BY 1, 2""",
     "register_schemas": "SELECT n_nationkey, n_name, (SELECT count(*) FROM orders) AS n_orders, 1 AS n_failed FROM nation",
@@ -640,14 +655,19 @@ SELECT "group", name, CASE WHEN name = 'orders' THEN (SELECT count(DISTINCT o_or
     "dfm_schema": f"WITH {DESC} SELECT * FROM s",
     "precision_pin": f'WITH {DESC} SELECT "table", ordinal, CASE WHEN ordinal % 3 = 0 AND precision % 2 = 0 THEN 19 ELSE precision END AS precision, scale FROM d',
     "type_drift": f"""WITH {DESC}, d2 AS (SELECT "table", ordinal, "column", vtype, CASE WHEN ordinal % 4 = 0 THEN precision + 3 ELSE precision END AS precision, scale, key_pos FROM d),
-s2 AS (SELECT "table", "column", CASE WHEN vtype = 'NUMERIC' THEN CASE WHEN scale = 0 AND precision < 19 THEN 'bigint' ELSE 'decimal(' || precision || ',' || scale || ')' END END AS type FROM d2 WHERE vtype = 'NUMERIC'),
+s2 AS (SELECT "table", "column", CASE WHEN vtype = 'NUMERIC' THEN CASE WHEN scale = 0 AND precision < 19 THEN 'bigint' ELSE 'decimal(' || precision || ',' || scale || ')' END END
+  AS type FROM d2 WHERE vtype = 'NUMERIC'),
 b AS (SELECT s."table", s."column", s.type AS t1, s2.type AS t2 FROM s JOIN s2 ON s."table" = s2."table" AND s."column" = s2."column")
 SELECT "table", "column", least(t1, t2) || ' | ' || greatest(t1, t2) AS types FROM b WHERE t1 <> t2""",
     "afc_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['bigint','int','string','timestamp_ntz'][p_partkey % 4 + 1] AS type, p_partkey % 4 = 3 AS is_timestamp FROM part""",
-    "openapi_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['string','boolean','double','string','string','string'][p_partkey % 6 + 1] AS type, p_partkey % 6 IN (3, 4) AS is_json FROM part WHERE p_partkey % 7 <> 0 OR p_partkey IN (14, 28)""",
-    "schema_compat_check": f"""WITH {DESC}, e AS (SELECT "table", "column", CASE WHEN ordinal % 11 = 0 THEN 'varchar(20)' ELSE type END AS actual FROM s WHERE ordinal % 9 > 0), x AS (SELECT "table", "column", type AS expected FROM s WHERE ordinal % 8 > 0)
-SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS NULL THEN 'extra' WHEN actual IS NULL THEN 'missing' WHEN replace(actual, 'varchar(20)', 'string') <> expected THEN 'mismatch' END AS issue FROM e FULL JOIN x USING ("table", "column")) WHERE issue IS NOT NULL AND NOT (issue = 'extra' AND "column" = 'col_16')""",
-    "export_type_map": f"""WITH {DESC} SELECT "table", ordinal, CASE WHEN type LIKE 'timestamp%' THEN 'timestamp' WHEN type = 'bigint' THEN 'bigint' WHEN type IN ('float', 'double') THEN 'double' WHEN type = 'boolean' THEN 'bool' WHEN type = 'date' THEN 'date' ELSE 'text' END AS export_type FROM s""",
+    "openapi_schema": """SELECT p_brand AS "table", 'c' || p_partkey AS "column", ['string','boolean','double','string','string','string'][p_partkey % 6 + 1] AS type, p_partkey % 6 IN (3, 4) AS is_json
+  FROM part WHERE p_partkey % 7 <> 0 OR p_partkey IN (14, 28)""",
+    "schema_compat_check": f"""WITH {DESC}, e AS (SELECT "table", "column", CASE WHEN ordinal % 11 = 0 THEN 'varchar(20)' ELSE type END AS actual FROM s WHERE ordinal % 9 > 0), x AS (SELECT "table", "column",
+  type AS expected FROM s WHERE ordinal % 8 > 0)
+SELECT * FROM (SELECT "table", "column", actual, expected, CASE WHEN expected IS NULL THEN 'extra' WHEN actual IS NULL THEN 'missing' WHEN replace(actual, 'varchar(20)', 'string')
+  <> expected THEN 'mismatch' END AS issue FROM e FULL JOIN x USING ("table", "column")) WHERE issue IS NOT NULL AND NOT (issue = 'extra' AND "column" = 'col_16')""",
+    "export_type_map": f"""WITH {DESC} SELECT "table", ordinal, CASE WHEN type LIKE 'timestamp%' THEN 'timestamp' WHEN type = 'bigint' THEN 'bigint' WHEN type IN ('float', 'double') THEN 'double' WHEN type =
+  'boolean' THEN 'bool' WHEN type = 'date' THEN 'date' ELSE 'text' END AS export_type FROM s""",
     "key_discovery": f"""WITH {DESC} SELECT "table", string_agg("column", ',' ORDER BY key_pos) AS keys FROM d WHERE key_pos > 0 GROUP BY 1""",
     "key_issues": """WITH k AS (SELECT p_brand AS "table", 'col_' || p_partkey AS "column", p_partkey, CASE WHEN p_brand <> 'Brand#11' AND p_size < 8 THEN p_size ELSE 0 END AS pos FROM part)
 SELECT "table", 'no_keys' AS issue, '' AS told FROM k GROUP BY 1 HAVING max(pos) = 0

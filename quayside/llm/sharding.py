@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import ship
+from quayside.operators.carry import running
 
-#: Rows of a shard that one task numbers, about.
-SLOTS_PER_TASK = 200_000
+#: Of rows that are alike, those that are written out together.
+COPIES_PER_TASK = 200_000
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -53,37 +54,30 @@ def shard_documents(df: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     The law is ``key``: doc_id and the shard count alone decide (null ids are one key), so
     equal texts under different ids go where their ids go. size is UTF-8 bytes plus 1 and
     text_crc32 that of the bytes; a null text has none (1 and 0). slot numbers a shard's
-    rows without gaps from 0: by key, then checksum, within parts of the shard, the parts'
-    sizes summed up. Parts are cut by key and text, so one id (or none) on many rows does
-    not make one part. Repeated rows each get a slot. An empty table gives no rows; other
-    columns are ignored.
+    rows without gaps from 0, by key, id, checksum and size, at any size of the table by
+    running sums from range to range. Rows alike in all of these are counted before they are
+    dealt, and each get a slot. An empty table gives no rows; other columns are ignored.
     """
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    order = ["key", "doc_id", "text_crc32", "size"]
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
         stable_key(F.col(id_col).cast("long")).alias("key"),
     )
-    parts = max(1, int(np.ceil(df.count() / shards / SLOTS_PER_TASK)))
-    rows = rows.select(
-        "*",
-        jump_shard(F.col("key"), shards).alias("shard"),
-        jump_shard(F.col("key"), shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(parts)).alias("part"),
-    )
-    sizes = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("shard", "part").orderBy("key", "doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("at", F.row_number().over(within) - 1)
-    return numbered.join(offsets, ["shard", "part"]).select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("at") + F.col("offset")).alias("slot"), "grown_shard"
-    )
-
-
-#: The jump by recursion, the checksum byte by byte. Slots are as with one part, which holds
-#: up to 16 * SLOTS_PER_TASK rows.
+    alike = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("copies"))
+    alike = alike.select("*", jump_shard(F.col("key"), shards).alias("shard"), jump_shard(F.col("key"), shards + 1).alias("grown_shard"))
+    summed = running(alike, order, {"upto": ("sum", F.col("copies"))}, by=("shard",))
+    # many copies are written out by several tasks
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES_PER_TASK))).alias("chunk")
+    low = F.col("upto") - F.col("copies") + F.col("chunk") * COPIES_PER_TASK
+    spread = summed.select("*", chunk).repartition("key", "text_crc32", "chunk")
+    slots = F.explode(F.sequence(low, F.least(low + COPIES_PER_TASK, F.col("upto")) - 1)).alias("slot")
+    return spread.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", slots, "grown_shard")
+
+
+#: The jump by recursion, the checksum byte by byte.
 SHARD_SQL = """
 WITH RECURSIVE crc_table AS (
   SELECT list(c ORDER BY b) AS crc FROM (

@@ -96,6 +96,13 @@ def test_rows_without_an_id_are_drawn_and_dealt_apart(spark):
     assert sorted(r.slot for r in shards.collect()) == list(range(400))
 
 
+def test_many_equal_rows_get_a_slot_each(spark):
+    rows = spark.range(450_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")).union(table(spark, [(3, "x")]).select("doc_id", "text"))
+    found = sharding.shard_documents(rows).groupBy("doc_id").agg(F.count("slot").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.countDistinct("slot").alias("slots"))
+    equal, own = sorted(map(tuple, found.collect()), key=lambda r: -r[1])
+    assert equal == (None, 450_000, 0, 449_999, 450_000) and own[:2] == (3, 1)
+
+
 def test_the_largest_id_is_an_id(spark):
     df = table(spark, [(TOP, "a b"), (TOP, "a b"), (None, "c"), (TOP, "c"), (None, "d")])
     got = sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact.exact_dedup(df).collect())

@@ -75,14 +75,15 @@ def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     symbol = np.isin(last, np.frombuffer(b"$%&*#@|", np.uint8))
     for x in (shouting, (n_upper > 0), n_letters == 0, n_letters < lens, last == 33, last == 46, last == 44, symbol, repeat, near, lens == 1, lens > 14):
         cols.append(mean(x))
-    # byte classes between each passage's first word and the next passage
+    # byte classes from each passage's first word to the next passage; a text's first passage
+    # begins with the text, so that no text tells on another
     heads = np.flatnonzero(np.diff(passage, prepend=-1))
-    tally = np.zeros((len(out), CLASSES))
-    region = np.zeros(len(data), np.int64)
-    region[starts[heads[1:]]] = np.diff(passage[heads])
-    region = np.cumsum(region) + passage[0]
-    flat = np.bincount(region * CLASSES + BYTE_CLASS[data], minlength=len(out) * CLASSES)
-    tally[:] = flat[: len(out) * CLASSES].reshape(-1, CLASSES)
+    opens = np.zeros(len(out), np.int64)
+    opens[passage[heads]] = starts[heads]
+    opens[cuts[:-1]] = offsets[:-1]
+    region = np.repeat(np.arange(len(out)), np.diff(np.append(opens, len(data))))
+    tally = np.bincount(region * CLASSES + BYTE_CLASS[data], minlength=len(out) * CLASSES).reshape(-1, CLASSES).astype(np.float64)
+    tally[n == 0] = 0
     tally /= np.maximum(tally.sum(1, keepdims=True), 1)
     out[:, :FEATURES - 1] = np.column_stack([*cols, tally])
     out[:, -1] = (n > 0)

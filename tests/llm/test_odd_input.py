@@ -3,12 +3,15 @@ column names, one id on two texts, null ids, the largest id, and very long runs.
 
 import datetime
 import hashlib
+import math
 import random
+import re
 import time
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -253,6 +256,47 @@ def small_model():
     return model, bags, np.concatenate(bags), np.array([0, 1, 4, 6])
 
 
+def plain_features(text):
+    """The features of a text's passages, one word at a time."""
+    raw = text.encode()
+    found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    if not found:
+        return [[0.0] * quality.FEATURES]
+    all_words, rows = [raw[a:b] for a, b in found], []
+    for lo in range(0, len(found), quality.PASSAGE):
+        words = all_words[lo : lo + quality.PASSAGE]
+        lens, n = [len(w) for w in words], len(words)
+        mean = sum(lens) / n
+        row = [math.log1p(n) / 4, mean / 8, math.sqrt(max(0.0, sum(x * x for x in lens) / n - mean**2)) / 8, len(set(words)) / n]
+        upper = [sum(65 <= c <= 90 for c in w) for w in words]
+        letters = [sum(65 <= c <= 90 or 97 <= c <= 122 or c >= 128 for c in w) for w in words]
+        at = range(lo, lo + n)
+        flags = [
+            [u >= 2 and u == k for u, k in zip(upper, letters, strict=True)], [u > 0 for u in upper], [k == 0 for k in letters], [k < x for k, x in zip(letters, lens, strict=True)],
+            *([w[-1] == c for w in words] for c in (33, 46, 44)), [w[-1:] in (b"$", b"%", b"&", b"*", b"#", b"@", b"|") for w in words],
+            [k > 0 and all_words[k] == all_words[k - 1] for k in at], [any(k >= g and all_words[k] == all_words[k - g] for g in (2, 3, 4, 5, 6, 8, 11, 12)) for k in at],
+            [x == 1 for x in lens], [x > 14 for x in lens],
+        ]
+        row += [sum(f) / n for f in flags]
+        end = found[lo + n][0] if lo + n < len(found) else len(raw)
+        tally = [0] * quality.CLASSES
+        for c in raw[0 if lo == 0 else found[lo][0] : end]:
+            tally[quality.BYTE_CLASS[c]] += 1
+        rows.append(row + [x / sum(tally) for x in tally] + [1.0])
+    return rows
+
+
+def test_quality_features_equal_loops():
+    """Each text alone, and none tells on another in the batch."""
+    rng = random.Random(12)
+    words = ["The", "cat", "SAT", "a", "b1", "!!", "no.", "yes,", "end!", "#1$", "extraordinarily-long", "\u00e9t\u00e9", "cat", "cat"]
+    texts = ["", " \n", "\n\n one", "x", *(rng.choice(["", " ", "\t\n"]) + rng.choice([" ", "\n", "  "]).join(rng.choice(words) for _ in range(n)) + rng.choice(["", " \n "]) for n in (3, 63, 64, 65, 200, 128))]
+    got, cuts = quality.passages(pa.array([*texts, None]))
+    want = [plain_features(t) for t in [*texts, ""]]
+    assert np.diff(cuts).tolist() == [len(w) for w in want]
+    assert np.allclose(got, np.array([row for w in want for row in w]), atol=1e-6)
+
+
 def test_quality_forward_pass_equals_loops():
     model, bags, x, cuts = small_model()
     assert np.allclose(model.forward(x, cuts)[0], [loop_forward(model, b) for b in bags])

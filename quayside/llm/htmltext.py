@@ -179,31 +179,93 @@ def page_blocks(page: str) -> list[Block]:
 
 #: Labelled blocks: pages of (enclosing elements, words, words in links, article?).
 LABELLED = (
-    (("nav ul li", 1, 1, 0), ("nav ul li", 2, 2, 0), ("div.ad", 9, 0, 0), ("article h1", 8, 0, 1), ("article p", 60, 0, 1), ("article p", 1, 0, 1), ("article p", 5, 0, 1), ("article p", 120, 4, 1), ("footer", 14, 0, 0)),
-    (("header h1", 3, 3, 0), ("header p", 12, 0, 0), ("header nav", 5, 5, 0), ("div.cookie-notice p", 25, 1, 0), ("main h1", 6, 0, 1), ("main p", 45, 2, 1), ("main h2", 2, 0, 1), ("main ul li", 7, 0, 1), ("main ul li", 4, 0, 1), ("main aside p", 30, 0, 0), ("main p", 80, 0, 1), ("footer p", 40, 6, 0)),
-    (("div.menu a", 4, 4, 0), ("div.content h1", 5, 0, 1), ("div.content p", 33, 0, 1), ("div.content div.ad", 11, 0, 0), ("div.content p", 28, 8, 1), ("div.content blockquote p", 19, 0, 1), ("div.content div.share", 3, 3, 0), ("div.sidebar p", 35, 4, 0), ("div.sidebar ul li", 3, 3, 0), ("div.footer", 22, 3, 0)),
-    (("body", 3, 3, 0), ("body", 2, 2, 0), ("h1", 6, 0, 1), ("p", 52, 0, 1), ("p", 9, 0, 1), ("p", 64, 3, 1), ("p", 31, 0, 1), ("ul li", 2, 2, 0), ("ul li", 3, 3, 0), ("p", 5, 2, 0)),
-    (("ul li", 1, 1, 0), ("ul li", 1, 1, 0), ("h2", 7, 0, 1), ("div", 90, 2, 1), ("div", 41, 0, 1), ("h3", 2, 0, 1), ("div", 70, 0, 1), ("div", 4, 4, 0), ("div", 6, 3, 0), ("div", 8, 1, 0)),
-    (("nav", 6, 6, 0), ("article header h1", 9, 0, 1), ("article header p", 4, 1, 1), ("article p", 75, 1, 1), ("article p", 3, 3, 1), ("article figure figcaption", 10, 0, 1), ("article table tr td", 2, 0, 1), ("article table tr td", 1, 0, 1), ("article footer p", 12, 2, 0), ("section.comments h2", 2, 0, 0), ("section.comments div.comment p", 48, 0, 0), ("section.comments article p", 21, 0, 0), ("section.comments form", 5, 0, 0)),
-    (("div.post h2", 4, 0, 1), ("div.post p", 40, 0, 1), ("div.post ul li", 3, 3, 0), ("div.post ul li", 4, 4, 0), ("div.post ul li", 3, 3, 0), ("div.post p", 37, 0, 1), ("div.post form", 9, 0, 0), ("div.related ul li", 6, 6, 0), ("div.related p", 26, 0, 0), ("div.newsletter p", 18, 0, 0)),
-    (("article p", 2, 0, 1), ("footer", 6, 0, 0)),
+    (
+        ("nav ul li", 1, 1, 0), ("nav ul li", 2, 2, 0), ("div.ad", 9, 0, 0), ("article h1", 8, 0, 1), ("article p", 60, 0, 1), ("article p", 1, 0, 1),
+        ("article p", 5, 0, 1), ("article p", 120, 4, 1), ("footer", 14, 0, 0),
+    ),
+    (
+        ("header h1", 3, 3, 0), ("header p", 12, 0, 0), ("header nav", 5, 5, 0), ("div.cookie-notice p", 25, 1, 0), ("main h1", 6, 0, 1),
+        ("main p", 45, 2, 1), ("main h2", 2, 0, 1), ("main ul li", 7, 0, 1), ("main ul li", 4, 0, 1), ("main aside p", 30, 0, 0), ("main p", 80, 0, 1),
+        ("footer p", 40, 6, 0),
+    ),
+    (
+        ("div.menu a", 4, 4, 0), ("div.content h1", 5, 0, 1), ("div.content p", 33, 0, 1), ("div.content div.ad", 11, 0, 0),
+        ("div.content p", 28, 8, 1), ("div.content blockquote p", 19, 0, 1), ("div.content div.share", 3, 3, 0), ("div.sidebar p", 35, 4, 0),
+        ("div.sidebar ul li", 3, 3, 0), ("div.footer", 22, 3, 0),
+    ),
+    (
+        ("body", 3, 3, 0), ("body", 2, 2, 0), ("h1", 6, 0, 1), ("p", 52, 0, 1), ("p", 9, 0, 1), ("p", 64, 3, 1), ("p", 31, 0, 1), ("ul li", 2, 2, 0),
+        ("ul li", 3, 3, 0), ("p", 5, 2, 0),
+    ),
+    (
+        ("ul li", 1, 1, 0), ("ul li", 1, 1, 0), ("h2", 7, 0, 1), ("div", 90, 2, 1), ("div", 41, 0, 1), ("h3", 2, 0, 1), ("div", 70, 0, 1),
+        ("div", 4, 4, 0), ("div", 6, 3, 0), ("div", 8, 1, 0),
+    ),
+    (
+        ("nav", 6, 6, 0), ("article header h1", 9, 0, 1), ("article header p", 4, 1, 1), ("article p", 75, 1, 1), ("article p", 3, 3, 1),
+        ("article figure figcaption", 10, 0, 1), ("article table tr td", 2, 0, 1), ("article table tr td", 1, 0, 1), ("article footer p", 12, 2, 0),
+        ("section.comments h2", 2, 0, 0), ("section.comments div.comment p", 48, 0, 0), ("section.comments article p", 21, 0, 0),
+        ("section.comments form", 5, 0, 0),
+    ),
+    (
+        ("div.post h2", 4, 0, 1), ("div.post p", 40, 0, 1), ("div.post ul li", 3, 3, 0), ("div.post ul li", 4, 4, 0), ("div.post ul li", 3, 3, 0),
+        ("div.post p", 37, 0, 1), ("div.post form", 9, 0, 0), ("div.related ul li", 6, 6, 0), ("div.related p", 26, 0, 0),
+        ("div.newsletter p", 18, 0, 0),
+    ),
+    (
+        ("article p", 2, 0, 1), ("footer", 6, 0, 0),
+    ),
     (("article p", 3, 0, 1),),
     (("p", 40, 0, 1),),
     (("body", 1, 0, 0),),
     (("p", 3, 0, 0),),
-    (("h1", 4, 0, 1), ("p", 25, 1, 1)),
-    (("nav ul li", 2, 2, 0), ("article h1", 5, 0, 1), ("article p", 12, 0, 1)),
-    (("div", 22, 0, 0), ("div", 3, 0, 0), ("article h1", 7, 0, 1), ("article p", 50, 0, 1), ("article p", 4, 4, 1), ("article p", 16, 0, 1), ("div", 35, 0, 0), ("p", 70, 0, 0)),
-    (("p", 3, 0, 0), ("main p", 9, 0, 1), ("main p", 2, 0, 1), ("main pre", 30, 0, 1), ("p", 12, 0, 0), ("div", 2, 2, 0)),
-    (("div", 5, 5, 0), ("article p", 6, 6, 1), ("article ul li", 9, 2, 1), ("article ul li", 1, 0, 1), ("article dl dd", 20, 0, 1), ("article div.ad", 40, 0, 0), ("article p", 15, 6, 1), ("article nav ul li", 4, 4, 0), ("article nav ul li", 2, 0, 0)),
-    (("div.banner", 7, 0, 0), ("article h1", 3, 0, 1), ("footer", 5, 1, 0)),
-    (("table tr td", 2, 2, 0), ("table tr td", 2, 2, 0), ("table tr td", 110, 3, 1), ("table tr td p", 66, 0, 1), ("table tr td", 4, 3, 0), ("p", 7, 1, 0)),
-    (("nav ul li", 2, 2, 0), ("div.banner p", 44, 6, 0), ("h1", 5, 0, 1), ("p", 60, 8, 1), ("p", 35, 4, 1), ("p", 3, 0, 1), ("p", 42, 0, 1), ("aside p", 50, 7, 0), ("footer p", 60, 9, 0), ("div.comments p", 45, 5, 0), ("form", 40, 4, 0)),
-    (("header p", 40, 5, 0), ("div.notice", 35, 4, 0), ("p", 50, 0, 1), ("p", 38, 5, 1), ("p", 12, 0, 1), ("p", 47, 2, 1), ("div.sidebar p", 41, 6, 0), ("div.newsletter", 36, 0, 0), ("footer", 70, 8, 0)),
-    (("article h1", 3, 0, 1), ("article p", 30, 6, 1), ("article h2", 2, 0, 1), ("article p", 20, 3, 1), ("article p", 2, 1, 1), ("article p", 12, 2, 1), ("article aside p", 20, 3, 0), ("article div.related p", 14, 6, 0), ("article form", 9, 1, 0)),
-    (("article p", 25, 5, 1), ("article p", 8, 2, 1), ("article p", 1, 1, 1), ("article p", 14, 4, 1), ("article div.ad", 20, 4, 0), ("article p", 6, 1, 1), ("article footer", 10, 5, 0)),
-    (("div.nav", 8, 8, 0), ("main h1", 2, 1, 1), ("main p", 18, 3, 1), ("main nav ul li", 5, 3, 0), ("main div.sponsored", 24, 4, 0), ("main p", 9, 5, 1), ("main p", 40, 20, 1), ("main section.comments p", 30, 6, 0), ("main dl dd", 4, 1, 1), ("footer", 9, 4, 0)),
-    (("noscript", 8, 0, 0), ("div.modal p", 24, 1, 0), ("p", 85, 0, 1), ("p", 14, 0, 1), ("p", 58, 9, 1), ("p", 10, 0, 0)),
+    (
+        ("h1", 4, 0, 1), ("p", 25, 1, 1),
+    ),
+    (
+        ("nav ul li", 2, 2, 0), ("article h1", 5, 0, 1), ("article p", 12, 0, 1),
+    ),
+    (
+        ("div", 22, 0, 0), ("div", 3, 0, 0), ("article h1", 7, 0, 1), ("article p", 50, 0, 1), ("article p", 4, 4, 1), ("article p", 16, 0, 1),
+        ("div", 35, 0, 0), ("p", 70, 0, 0),
+    ),
+    (
+        ("p", 3, 0, 0), ("main p", 9, 0, 1), ("main p", 2, 0, 1), ("main pre", 30, 0, 1), ("p", 12, 0, 0), ("div", 2, 2, 0),
+    ),
+    (
+        ("div", 5, 5, 0), ("article p", 6, 6, 1), ("article ul li", 9, 2, 1), ("article ul li", 1, 0, 1), ("article dl dd", 20, 0, 1),
+        ("article div.ad", 40, 0, 0), ("article p", 15, 6, 1), ("article nav ul li", 4, 4, 0), ("article nav ul li", 2, 0, 0),
+    ),
+    (
+        ("div.banner", 7, 0, 0), ("article h1", 3, 0, 1), ("footer", 5, 1, 0),
+    ),
+    (
+        ("table tr td", 2, 2, 0), ("table tr td", 2, 2, 0), ("table tr td", 110, 3, 1), ("table tr td p", 66, 0, 1), ("table tr td", 4, 3, 0),
+        ("p", 7, 1, 0),
+    ),
+    (
+        ("nav ul li", 2, 2, 0), ("div.banner p", 44, 6, 0), ("h1", 5, 0, 1), ("p", 60, 8, 1), ("p", 35, 4, 1), ("p", 3, 0, 1), ("p", 42, 0, 1),
+        ("aside p", 50, 7, 0), ("footer p", 60, 9, 0), ("div.comments p", 45, 5, 0), ("form", 40, 4, 0),
+    ),
+    (
+        ("header p", 40, 5, 0), ("div.notice", 35, 4, 0), ("p", 50, 0, 1), ("p", 38, 5, 1), ("p", 12, 0, 1), ("p", 47, 2, 1),
+        ("div.sidebar p", 41, 6, 0), ("div.newsletter", 36, 0, 0), ("footer", 70, 8, 0),
+    ),
+    (
+        ("article h1", 3, 0, 1), ("article p", 30, 6, 1), ("article h2", 2, 0, 1), ("article p", 20, 3, 1), ("article p", 2, 1, 1),
+        ("article p", 12, 2, 1), ("article aside p", 20, 3, 0), ("article div.related p", 14, 6, 0), ("article form", 9, 1, 0),
+    ),
+    (
+        ("article p", 25, 5, 1), ("article p", 8, 2, 1), ("article p", 1, 1, 1), ("article p", 14, 4, 1), ("article div.ad", 20, 4, 0),
+        ("article p", 6, 1, 1), ("article footer", 10, 5, 0),
+    ),
+    (
+        ("div.nav", 8, 8, 0), ("main h1", 2, 1, 1), ("main p", 18, 3, 1), ("main nav ul li", 5, 3, 0), ("main div.sponsored", 24, 4, 0),
+        ("main p", 9, 5, 1), ("main p", 40, 20, 1), ("main section.comments p", 30, 6, 0), ("main dl dd", 4, 1, 1), ("footer", 9, 4, 0),
+    ),
+    (
+        ("noscript", 8, 0, 0), ("div.modal p", 24, 1, 0), ("p", 85, 0, 1), ("p", 14, 0, 1), ("p", 58, 9, 1), ("p", 10, 0, 0),
+    ),
 )
 
 

@@ -61,16 +61,17 @@ def drop_scratch(*tables: DataFrame) -> None:
 HOT_SHARE = 4096
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int | None = None) -> DataFrame:
     """Inner join to ``right``, which holds each key once and, as ``rows``, how many rows
     of ``left`` (or of a table that ``left`` is part of) have it; that column is dropped.
 
     Keys of more than a ``HOT_SHARE``-th of all these rows are fewer than ``HOT_SHARE``
     at any size, so they are broadcast and their rows stay where they are; only the
-    others are dealt by key. Null keys match nothing. ``right`` is read three times
-    and ``left`` twice: pass tables, not long plans.
+    others are dealt by key. Null keys match nothing. ``right`` is read three times (twice
+    if ``total``, the sum of ``rows``, is known) and ``left`` twice: pass tables, not long
+    plans.
     """
-    total = right.agg(F.sum(rows)).first()[0] or 0
+    total = right.agg(F.sum(rows)).first()[0] or 0 if total is None else total
     hot = F.broadcast(right.filter(F.col(rows) * HOT_SHARE > total).drop(rows))
     cold = right.filter(F.col(rows) * HOT_SHARE <= total).drop(rows)
     rest = left.join(hot, keys, "left_anti").join(cold.hint("merge"), keys)

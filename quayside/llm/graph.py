@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.llm.common import drop_scratch, hot_join, materialize
@@ -30,10 +30,13 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[low]), pa.array(nodes[up[low]])], names=["v", "u"])
 
 
-def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``edges(v, u)`` with ``m``, the least u of their v; and the table of these."""
-    least = materialize(edges.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("rows")), "least")
-    return hot_join(edges, least, ["v"], "rows"), least
+def _least(edges: DataFrame) -> tuple[DataFrame, int, int]:
+    """The least u and the rows of each v of ``edges(v, u)``; and, seen while that is written,
+    the sum of rows and how many v are above their least u and have other rows."""
+    seen = Observation()
+    least = edges.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("rows"))
+    least = materialize(least.observe(seen, F.sum("rows").alias("rows"), F.count_if((F.col("m") < F.col("v")) & (F.col("rows") > 1)).alias("open")), "least")
+    return least, seen.get.get("rows") or 0, seen.get.get("open") or 0
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -53,24 +56,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     for _ in range(max_rounds):
         both = star.select("v", "u").union(star.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        reached, least = _with_least(both)
+        least, rows, open_ = _least(both)
+        if not open_:  # every node with a smaller neighbour has that one alone: stars
+            drop_scratch(least)
+            break
+        reached = hot_join(both, least, ["v"], "rows", rows)
         large = reached.filter("u > v").select(F.col("u").alias("v"), F.least("m", "v").alias("u")).distinct()
         large = materialize(large, "large")
-        reached, down = _with_least(large)
+        down, rows, _ = _least(large)
+        reached = hot_join(large, down, ["v"], "rows", rows)
         ends = F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))
         small = reached.select(F.explode(ends).alias("e")).select("e.*").filter("v <> u").distinct()
         after = materialize(small, "stars")
-        # done when every node has one parent and no parent has a parent
-        parents = after.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("u"))
-        roots = parents.select(F.col("v").alias("w"))
-        open_ = parents.filter("n > 1").select("v").union(
-            parents.join(roots, F.col("u") == F.col("w"), "left_semi").select("v")
-        )
-        done = open_.isEmpty()
         drop_scratch(star, least, large, down)
         star = after
-        if done:
-            break
     else:
         raise RuntimeError(f"components: not settled after {max_rounds} rounds")
     nodes = star.select(F.col("v").alias("node"), F.col("u").alias("component"))

@@ -17,7 +17,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.llm import words
@@ -271,23 +271,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: tuple[in
     return both.mapInArrow(_confirm(size, *threshold), "a long, b long, ok boolean").filter("ok").select("a", "b")
 
 
-def _one_id(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b) between the classes of ids that have texts of different sets."""
+def _one_id(sets: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the classes of ids that have texts of different sets; None if
+    there are no such ids."""
     several = sets.groupBy("doc_id").agg(F.min(F.struct("sa", "sb", "n")).alias("lo"), F.max(F.struct("sa", "sb", "n")).alias("hi"))
-    several = materialize(several.filter("lo <> hi").select("doc_id"), "several")
+    seen = Observation()
+    several = materialize(several.filter("lo <> hi").select("doc_id").observe(seen, F.count(F.lit(1)).alias("n")), "several")
+    if not seen.get.get("n"):
+        drop_scratch(several)
+        return None
     mine = sets.select("doc_id", "sa", "sb", "n").join(several, "doc_id").join(classes.select("sa", "sb", "n", "rep"), ["sa", "sb", "n"])
     links = materialize(mine.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "links")
     drop_scratch(several)
     return links
 
 
-def _grouped(links: list[DataFrame], before: DataFrame | None = None) -> DataFrame:
-    """Components of all links, as a scratch table; ``before``, if the last of ``links``
-    is empty and changes nothing."""
-    if before is not None:
-        if links[-1].isEmpty():
-            return before
-        drop_scratch(before)
+def _grouped(links: list[DataFrame]) -> DataFrame:
+    """Components of all links, as a scratch table."""
     mine: list[str] = []
     with scratch_scope(links[0].sparkSession):
         groups = materialize(components(reduce(DataFrame.union, links)), "groups", mine)
@@ -325,7 +325,8 @@ def near_duplicates(
     sets = profile.filter("n > 0 and doc_id is not null")
     classes = sets.groupBy("sa", "sb", "n").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"), F.count(F.lit(1)).alias("rows"))
     classes = materialize(classes, "classes")
-    links = [_one_id(sets, classes)]
+    one_id = _one_id(sets, classes)
+    links = [] if one_id is None else [one_id]
     pairs, full, forest = candidate_pairs(classes.select(F.col("rep").alias("doc_id"), "n", "sig"), threshold)
     pairs, full = materialize(pairs, "pairs"), materialize(full, "full")
     drop_scratch(forest)
@@ -346,9 +347,9 @@ def near_duplicates(
     gb = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     rest = rest.join(ga, "a", "left").join(gb, "b", "left")
     rest = materialize(rest.filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "rest")
+    first = len(links)
     if not rest.isEmpty():
         links.append(materialize(confirmed(rest, texts, shingle_size, threshold), "links"))
-        groups = _grouped(links, groups)
     drop_scratch(texts, pairs, chosen, rest)
     if not full.isEmpty():
         crowd = docs.withColumn("t", F.xxhash64("text")).join(full.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "t"])
@@ -356,9 +357,12 @@ def near_duplicates(
         crowd = materialize(crowd.select("doc_id", "text", F.coalesce("component", "doc_id").alias("c"), "t"), "crowd")
         rest = crowded_pairs(crowd, shingle_size, threshold)
         links.append(materialize(confirmed(rest, crowd.select("doc_id", "text"), shingle_size, threshold), "links"))
-        groups = _grouped(links, groups)
         drop_scratch(crowd, rest)
 
+    if any(not new.isEmpty() for new in links[first:]):
+        drop_scratch(groups)
+        groups = _grouped(links)
+
     named = classes.select("sa", "sb", "rep", "rows").join(groups, F.col("rep") == F.col("node"), "left")
     named = materialize(named.select("sa", "sb", "rows", F.coalesce("component", "rep").alias("component_id")), "named")
     drop_scratch(classes, full, groups, *links)

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from quayside.functions.scratch import saved, scratch_scope
 from quayside.operators.cdc import OPER, SEQ
 from quayside.operators.quality import assert_cdc
+from quayside.streaming.runs import commit, committed
 from quayside.streaming.state_table import KEEP, batches, merge, read_current, start_table
 
-__all__ = ["KEEP", "apply_batch", "apply_stream", "read_current", "redelivered", "start_table"]
+__all__ = ["KEEP", "apply_batch", "apply_stream", "read_current", "start_table", "stream_runs"]
+
+STREAM_RUN = "run long, batch long, landed long, redelivered long"
 
 
 def apply_batch(spark: SparkSession, rows: DataFrame, root: str, keys: list[str], batch: int, key_nulls: bool = True) -> dict | None:
@@ -49,10 +52,17 @@ def apply_stream(spark: SparkSession, source: str, schema, root: str, keys: list
     finally:
         spark.conf.set(setting, empty)
     query.awaitTermination()
-    apply_stream.progress = list(query.recentProgress)
-    return batches(spark, root)[0]
+    newest, progress = batches(spark, root)[0], query.recentProgress
+    landed = sum(p["numInputRows"] for p in progress)
+    again = sum(int(state["customMetrics"].get("numDroppedDuplicateRows", 0)) for p in progress for state in p["stateOperators"])
+    done = committed(spark, f"{root}/stream")
+    run = done[0] + 1 if done else 0
+    commit(spark, f"{root}/stream", run, (run, newest, landed, again), STREAM_RUN)
+    return newest
 
 
-def redelivered(progress: list) -> int:
-    """Records that a run's stream left out because they had landed before."""
-    return sum(int(state["customMetrics"].get("numDroppedDuplicateRows", 0)) for p in progress for state in p["stateOperators"])
+def stream_runs(spark: SparkSession, root: str) -> DataFrame:
+    """A row a run: run, newest batch, records landed, and those left out since they had
+    landed before."""
+    done = committed(spark, f"{root}/stream")
+    return spark.read.schema(STREAM_RUN).parquet(*(f"{root}/stream/run={n}" for n in done)) if done else spark.createDataFrame([], STREAM_RUN)

@@ -306,16 +306,27 @@ def state_summary(states: DataFrame, expected: DataFrame, group: str = "feed", k
     return counts.orderBy(F.desc("stale"), F.desc("behind"), group)
 
 
+def _tenths(value: Column) -> Column:
+    """A double >= 0 in tenths, rounded as C's printf rounds it: by its binary value (1.15 lies
+    below the tie, and is 1.1), ties to even. Java's own formatting rounds the shortest decimal.
+    The distance from the tie is exact, as the value is split in two halves."""
+    down = F.floor(value * 10)
+    high = value.cast("float").cast("double")
+    above = (high * 20 - (2 * down + 1)) + (value - high) * 20
+    return down + F.when(above > 0, 1).when(above == 0, down % 2).otherwise(0)
+
+
 def duration_text(seconds: Column) -> Column:
     """Seconds below 90 s, minutes below 90 min, else hours with one decimal below 48 h, or
     days; of either sign, '?' if unknown."""
     s = F.abs(seconds).cast("double")
+    decimal = lambda value, unit: F.format_string(f"%d.%d{unit}", F.floor(_tenths(value) / 10), _tenths(value) % 10)
     return (
         F.when(seconds.isNull(), "?")
         .when(s < 90, F.format_string("%.0fs", s))
         .when(s < 5400, F.format_string("%.0fm", F.bround(s / 60)))
-        .when(s < 172800, F.format_string("%.1fh", s / 3600))
-        .otherwise(F.format_string("%.1fd", s / 86400))
+        .when(s < 172800, decimal(s / 3600, "h"))
+        .otherwise(decimal(s / 86400, "d"))
     )
 
 

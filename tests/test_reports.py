@@ -46,3 +46,10 @@ def test_a_rule_without_postings_is_ignored_and_sides_swap(spark, sf):
         ("unused", None, "to", "from", "Ignored-$0"), ("plain", 5.0, "to", "from", None), ("plain", 5.0, "from", "to", None),
         ("negative", 5.0, "to", "from", None), ("negative", 5.0, "from", "to", None), ("negative", None, "from", "to", None),
     ]
+
+
+def test_a_table_that_only_maps_rows_is_read_where_its_source_lies(spark, sf):
+    source = fare(spark, sf, "fare_base").inputFiles()
+    rows = settlement.unsettled_device_cash(lambda name: fare(spark, sf, name))
+    assert rows.inputFiles() == source
+    assert fare(spark, sf, "cards").inputFiles() == spark.read.parquet(f"{sf}/part.parquet").inputFiles()

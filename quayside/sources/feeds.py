@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +103,19 @@ def partitioned_write(df: DataFrame, path: str, parts: tuple[str, ...], rows_per
     spread.write.mode("overwrite").partitionBy(*parts).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession, writers: int = 16) -> Iterator[None]:
+    """Writes by partition within keep the rows' order: a task holds open files of as many
+    partitions, instead of sorting its rows by partition in memory; beyond, it does sort."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(writers))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def materialize_report(df: DataFrame, path: str, view: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.parquet(path)

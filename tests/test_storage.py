@@ -118,3 +118,13 @@ def test_versions_are_swapped_by_a_pointer(spark, tmp_path):
     assert versions.roll_back(spark, root) == 1 and versions.read_live(spark, root).count() == 4
     with pytest.raises(ValueError, match="no version to go back to"):
         versions.roll_back(spark, root)
+
+
+def test_a_partition_is_written_by_one_task_without_a_sort(spark, tmp_path):
+    setting, before = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(1000).withColumn("part", F.col("id") % 7).coalesce(1)
+    with feeds.unsorted_writes(spark):
+        assert spark.conf.get(setting) == "16"
+        rows.write.partitionBy("part").parquet(f"{tmp_path}/t")
+    assert spark.conf.get(setting) == before
+    assert len(list_uris(spark, f"{tmp_path}/t")) == 7 and spark.read.parquet(f"{tmp_path}/t").count() == 1000

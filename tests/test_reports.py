@@ -1,7 +1,7 @@
 """Reports on small tables made by hand."""
 
 from quayside.plans.fares import fare
-from quayside.reports import revenue, settlement
+from quayside.reports import orders, revenue, settlement
 
 
 def test_adjustment_sales_count_as_trip_revenue(spark, sf):
@@ -53,3 +53,13 @@ def test_a_table_that_only_maps_rows_is_read_where_its_source_lies(spark, sf):
     rows = settlement.unsettled_device_cash(lambda name: fare(spark, sf, name))
     assert rows.inputFiles() == source
     assert fare(spark, sf, "cards").inputFiles() == spark.read.parquet(f"{sf}/part.parquet").inputFiles()
+
+
+def test_clearing_transactions_of_equal_or_missing_keys_meet_their_uses(spark, sf):
+    rows = fare(spark, sf, "clearing").limit(1).drop("transaction_id", "fare_prod_key", "transaction_category")
+    keys = spark.createDataFrame([(1, 5, 1), (1, 5, 1), (1, None, 1), (2, 5, 1), (None, None, 1), (1, 5, 99)], "transaction_id long, fare_prod_key long, transaction_category int")
+    uses = spark.createDataFrame([(1, 70), (1, 71), (None, 72), (3, 73)], "transaction_id long, pass_id long")
+    made = {"clearing": rows.crossJoin(keys), "use_txn": uses}
+    t = lambda name: made[name] if name in made else fare(spark, sf, name)
+    got = sorted((r.transaction_id or 0, r.pass_id or 0) for r in orders.clearing_house_passes(t).collect())
+    assert got == [(0, 0), (1, 70), (1, 70), (1, 70), (1, 71), (1, 71), (1, 71), (2, 0)]

@@ -63,3 +63,14 @@ def test_clearing_transactions_of_equal_or_missing_keys_meet_their_uses(spark, s
     t = lambda name: made[name] if name in made else fare(spark, sf, name)
     got = sorted((r.transaction_id or 0, r.pass_id or 0) for r in orders.clearing_house_passes(t).collect())
     assert got == [(0, 0), (1, 70), (1, 70), (1, 70), (1, 71), (1, 71), (1, 71), (2, 0)]
+
+
+def test_facts_are_cut_to_what_a_report_shows_before_they_are_joined(spark):
+    schedule = spark.createDataFrame([(20240128, 20240115, 20240131, 20240115, 20240110, 20240112, 20240129)], "due_day_key int, comp_operating_day_key int, comp_max_settlement_day_key int, adden_max_operating_day_key int, adden_min_settlement_day_key int, adden_max_settlement_day_key int, deposit_due_day_key int")
+    rows = spark.createDataFrame([(1, 20240115, 20240111), (2, 20240116, 20240111), (3, 20240115, 20240113), (4, 20240115, 20240201), (5, None, 20240111)], "id int, operating_day_key int, settlement_day_key int")
+    ids = lambda cut: sorted(r.id for r in cut.collect())
+    assert ids(revenue.in_addendum(rows, schedule)) == ids(revenue.addendum(rows, schedule)) == [1]
+    assert ids(revenue.in_computation(rows, schedule)) == ids(revenue.computation(rows, schedule)) == [1, 3]
+    assert ids(revenue.in_addendum(rows.drop("operating_day_key"), schedule)) == [1, 2, 5]
+    assert ids(revenue.in_computation(rows.drop("settlement_day_key"), schedule)) == [1, 3, 4]
+    assert ids(revenue.in_addendum(rows.drop("settlement_day_key"), schedule)) == [1, 2, 3, 4, 5]

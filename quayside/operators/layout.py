@@ -15,7 +15,7 @@ from quayside.functions.scratch import saved
 from quayside.operators.carry import running
 from quayside.sources.feeds import materialize_report
 from quayside.sources.files import child_dirs, delete, exists, list_files, list_uris, rename, total_bytes
-from quayside.sources.footers import footer_statistics, rewrite_without
+from quayside.sources.footers import column_extremes, rewrite_without
 
 
 def column_min_max(df: DataFrame, column: str, condition: str | None = None) -> DataFrame:
@@ -23,22 +23,38 @@ def column_min_max(df: DataFrame, column: str, condition: str | None = None) ->
     return rows.agg(F.min(column).alias("low"), F.max(column).alias("high"))
 
 
-def stats_min_max(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """One row (low, high) of a parquet dataset's column from the footers of its files, which
-    tasks read; only files whose footers don't tell, or tell a text that may be cut, are read
-    for rows. Of a path partition, from the folders' names, as strings. Null if all values are."""
+def columns_min_max(spark: SparkSession, path: str, columns: list[str]) -> list[DataFrame]:
+    """One row (low, high) for each of some columns of a parquet dataset, from one pass of tasks
+    over the footers of its files; a row group whose footer doesn't tell, or tells a text that may
+    be cut, is read for that column by the task that has it open. Files of other kinds of columns
+    that tell nothing are read as rows. Of a path partition, from the folders' names, as strings.
+    Null if all values are."""
     files = list_uris(spark, path)
-    parts = [p.split("=", 1)[1] for f in files for p in f.split("/")[:-1] if p.startswith(f"{column}=")]
-    if parts:
-        return spark.createDataFrame([(min(parts), max(parts))], "low string, high string")
-    kind = spark.read.parquet(path).schema[column].dataType
-    told = footer_statistics(spark, files, column, kind)
-    known = told.agg(F.min(F.when(F.col("known"), F.col("low"))).alias("low"), F.max(F.when(F.col("known"), F.col("high"))).alias("high"), F.collect_list(F.when(~F.col("known"), F.col("file"))).alias("files")).first()
-    found = spark.createDataFrame([(known.low, known.high)], T.StructType([T.StructField(c, kind) for c in ("low", "high")]))
-    if not known.files:
-        return found
-    read = spark.read.parquet(*known.files).agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    return found.unionByName(read).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    folders = {tuple(f.split("/")[:-1]) for f in files}
+    parts = {c: [p.split("=", 1)[1] for f in folders for p in f if p.startswith(f"{c}=")] for c in columns}
+    schema = spark.read.parquet(path).schema
+    kinds = {c: schema[c].dataType for c in columns if not parts[c]}
+    if kinds:
+        told = column_extremes(spark, files, kinds)
+        ends = [f(f"{end}_{k}").alias(f"{end}_{k}") for k in range(len(kinds)) for f, end in ((F.min, "low"), (F.max, "high"))]
+        unread = [F.collect_set(F.when(F.array_contains("unknown", c), F.col("file"))).alias(f"unread_{k}") for k, c in enumerate(kinds)]
+        known = told.agg(*ends, *unread).first()
+    out = []
+    for c in columns:
+        if parts[c]:
+            out.append(spark.createDataFrame([(min(parts[c]), max(parts[c]))], "low string, high string"))
+            continue
+        k = list(kinds).index(c)
+        found = spark.createDataFrame([(known[f"low_{k}"], known[f"high_{k}"])], T.StructType([T.StructField(e, kinds[c]) for e in ("low", "high")]))
+        if known[f"unread_{k}"]:
+            found = found.unionByName(column_min_max(spark.read.parquet(*known[f"unread_{k}"]), c)).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        out.append(found)
+    return out
+
+
+def stats_min_max(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``columns_min_max`` of one column."""
+    return columns_min_max(spark, path, [column])[0]
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -91,15 +91,22 @@ def latest_snapshot_scan(spark: SparkSession, path: str, part: str = "snapshot")
     return spark.read.option("basePath", path).parquet(f"{path}/{newest}")
 
 
+def dealt_to_files(df: DataFrame, parts: tuple[str, ...], rows_per_file: int) -> DataFrame:
+    """Rows dealt to tasks so that each holds about ``rows_per_file`` rows of a partition. Sizes
+    are a row a partition's folder, so they go to all tasks: met by key, the rows of a large
+    partition would all be one task's."""
+    sizes = F.broadcast(df.groupBy(*parts).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__tasks")))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in parts]
+    rows = df.alias("d").join(sizes.alias("s"), reduce(lambda a, b: a & b, same)).select("d.*", "__tasks")
+    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c not in parts]), F.col("__tasks"))
+    return rows.withColumn("__task", deal).repartition(*parts, "__task").drop("__tasks", "__task")
+
+
 def partitioned_write(df: DataFrame, path: str, parts: tuple[str, ...], rows_per_file: int = 5_000_000) -> None:
     """Partitioned parquet in files of about ``rows_per_file`` rows: a partition of n rows is
     written by n / rows_per_file tasks, so a large one is not one task's and a small one is
     one file."""
-    sizes = df.groupBy(*parts).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("__tasks"))
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in parts]
-    rows = df.alias("d").join(sizes.alias("s"), reduce(lambda a, b: a & b, same)).select("d.*", "__tasks")
-    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c not in parts]), F.col("__tasks"))
-    spread = rows.withColumn("__task", deal).repartition(*parts, "__task").drop("__tasks", "__task")
+    spread = dealt_to_files(df, parts, rows_per_file)
     spread.write.mode("overwrite").partitionBy(*parts).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 

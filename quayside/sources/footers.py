@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,60 @@ def footer_statistics(spark: SparkSession, files: list[str], column: str, kind:
     return named(spark, files).mapInArrow(run, out)
 
 
+def column_extremes(spark: SparkSession, files: list[str], kinds: dict[str, T.DataType]) -> DataFrame:
+    """(file, unknown, low_0, high_0, low_1 ...) of each row group of the files, every file opened
+    once for all columns of ``kinds`` (pairs in their order). What a footer does not tell of a text
+    or a whole number is read by the same task, a batch of that column at a time; ``unknown`` lists
+    the columns of other kinds that it does not tell."""
+    arrow = {c: to_arrow_type(kind) for c, kind in kinds.items()}
+    readable = {c for c, kind in kinds.items() if isinstance(kind, (T.StringType, T.BinaryType, T.IntegralType))}
+
+    def told(group: pq.RowGroupMetaData, place: int | None) -> tuple[bool, object, object]:
+        stats = None if place is None else group.column(place).statistics
+        if place is None or (stats is not None and stats.null_count == group.num_rows):
+            return True, None, None
+        if stats is None or not stats.has_min_max or any(isinstance(v, (str, bytes)) and len(v) >= LONGEST_STATISTIC for v in (stats.min, stats.max)):
+            return False, None, None
+        return True, stats.min, stats.max
+
+    def read(file: pq.ParquetFile, g: int, column: str) -> tuple[object, object]:
+        low = high = None
+        for batch in file.iter_batches(row_groups=[g], columns=[column]):
+            found = pc.min_max(batch.column(0)).as_py()
+            if found["min"] is not None:
+                low = found["min"] if low is None else min(low, found["min"])
+                high = found["max"] if high is None else max(high, found["max"])
+        return low, high
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["file", "unknown", *(f"{end}_{k}" for k in range(len(arrow)) for end in ("low", "high"))]
+        types = [pa.string(), pa.list_(pa.string()), *(kind for kind in arrow.values() for _ in range(2))]
+        for batch in batches:
+            rows = []
+            for name in batch.column(0).to_pylist():
+                system, path = _open(name)
+                with system.open_input_file(path) as source:
+                    file = pq.ParquetFile(source)
+                    found = file.metadata
+                    places = {found.schema.column(k).path: k for k in range(found.num_columns)}
+                    for g in range(found.num_row_groups):
+                        row, unknown = [], []
+                        for c in arrow:
+                            known, low, high = told(found.row_group(g), places.get(c))
+                            if not known and c in readable:
+                                low, high = read(file, g, c)
+                            elif not known:
+                                unknown.append(c)
+                            row += [low, high]
+                        rows.append((name, unknown, *row))
+            cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=names)
+
+    out = [T.StructField("file", T.StringType()), T.StructField("unknown", T.ArrayType(T.StringType()))]
+    out += [T.StructField(f"{end}_{k}", kind) for k, kind in enumerate(kinds.values()) for end in ("low", "high")]
+    return named(spark, files).mapInArrow(run, T.StructType(out))
+
+
 def first_lines(spark: SparkSession, files: list[str], most: int = HEAD_BYTES) -> DataFrame:
     """(file, head): each file's first line, from at most ``most`` of its bytes, gzip or not;
     null of an empty file. A longer first line fails."""

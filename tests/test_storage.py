@@ -1,6 +1,7 @@
 """Exports that fail and repeat, partitions reclustered in place, footers and first lines."""
 
 import gzip
+import math
 import random
 
 import pytest
@@ -70,6 +71,29 @@ def test_extremes_from_footers_read_only_files_that_do_not_tell(spark, tmp_path)
     assert layout.stats_min_max(spark, nothing, "k").first() == (None, None)
 
 
+def test_extremes_of_several_columns_open_each_file_once(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "k string, v int, x double, p int"
+    for rows in ([("b" * 70, 1, 1.5, 1), (None, 9, float("nan"), 2)], [(None, None, None, 1)], [("c" * 70 + "é", -4, -2.0, 2)]):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+    told = footers.column_extremes(spark, list_uris(spark, path), {c: spark.read.parquet(path).schema[c].dataType for c in ("k", "v")}).collect()
+    assert not any(r.unknown for r in told) and max(r.high_0 or "" for r in told) == "c" * 70 + "é"
+    k, v, x, p = (df.first() for df in layout.columns_min_max(spark, path, ["k", "v", "x", "p"]))
+    assert k == ("b" * 70, "c" * 70 + "é") and v == (-4, 9) and p == ("1", "2") and x.low == -2.0 and math.isnan(x.high)
+
+
+def test_rows_of_a_partition_are_not_gathered_to_meet_its_size(spark):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        dealt = feeds.dealt_to_files(spark.range(4000).selectExpr("id", "id % 2 as part"), ("part",), 100)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert dealt.count() == 4000
+
+
 def test_first_lines_need_the_first_bytes_only(spark, tmp_path):
     rng = random.Random(1)
     body = "\n".join(f"{rng.random()},{rng.random()}" for _ in range(20_000))

@@ -11,7 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quayside.functions.scratch import saved, scratch_scope
 from quayside.operators.carry import running
 
 SEQ, OPER = "change_seq", "change_oper"
@@ -113,11 +115,29 @@ def silver_rebuild(history: DataFrame, snapshot: str, date_column: str | None =
     return rows
 
 
+#: Batches up to this size are found by one sort of their records; larger ones range by range.
+SORTED_BATCH = 10_000
+
+
 def batch_ceiling(cdc: DataFrame, watermark: str, size: int) -> DataFrame:
     """One row (n, ceiling): of the next ``size`` I, U and D records above the watermark.
-    A null sequence sorts first, so that it shows."""
-    rows = cdc.filter(F.col(OPER).isin("I", "U", "D") & (F.col(SEQ).isNull() | (F.col(SEQ) > watermark)))
-    return rows.select(SEQ).orderBy(F.asc_nulls_first(SEQ)).limit(size).agg(F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("ceiling"))
+    A null sequence sorts first, so that it shows. A large batch's end is found by counts of
+    ranges of sequences, and by a sort of the range that it falls in: no task holds the batch."""
+    rows = cdc.filter(F.col(OPER).isin("I", "U", "D") & (F.col(SEQ).isNull() | (F.col(SEQ) > watermark))).select(SEQ)
+    first = lambda some, n: some.orderBy(F.asc_nulls_first(SEQ)).limit(n).agg(F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("ceiling"))
+    if size <= SORTED_BATCH:
+        return first(rows, size)
+    spark, before, ceiling = cdc.sparkSession, 0, None
+    with scratch_scope(spark):
+        dealt = saved(rows.repartitionByRange(F.asc_nulls_first(SEQ)).withColumn("__range", F.spark_partition_id()), "sequences")
+        ranges = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("n"), F.max(SEQ).alias("high")).orderBy("__range").collect()  # a row a range
+        for r in ranges:
+            if before + r.n > size:
+                last = first(dealt.filter(F.col("__range") == r["__range"]), size - before).first()
+                before, ceiling = size, ceiling if last.ceiling is None else last.ceiling
+                break
+            before, ceiling = before + r.n, ceiling if r.high is None else r.high
+    return spark.createDataFrame([(before, ceiling)], T.StructType([T.StructField("n", T.LongType()), T.StructField("ceiling", cdc.schema[SEQ].dataType)]))
 
 
 def read_batch(cdc: DataFrame, watermark: str, size: int) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quayside.functions.scratch import scratch_dir
+from quayside.functions.scratch import saved, scratch_dir
 from quayside.operators import cdc, quality
 from quayside.plans.adapters import load, with_adapters
 from quayside.plans.cdc_queries import FOLD as CDC_FOLD_SQL
@@ -44,7 +44,8 @@ def _job(spark, d):
         root = f"{scratch_dir(spark)}/job-{uuid.uuid4().hex}"
         loads = load(spark, d, "silver_initial").select(F.lit("s1").alias("snapshot"), "txn_id", "amount", "status", "change_seq", F.lit("L").alias("change_oper"), F.lit(None).cast("timestamp_ntz").alias("change_ts"))
         log = load(spark, d, "cdc_log")
-        history = loads.unionByName(log.withColumn("snapshot", F.lit("s1")).drop("part_year", "part_month"))
+        # shaped once, as a table of files: each look of each run reads only the columns and sequences it needs
+        history = saved(loads.unionByName(log.withColumn("snapshot", F.lit("s1")).drop("part_year", "part_month")), "history")
         budget = -(-log.count() // BATCHES)
         while table_job.run_once(spark, history, root, "txn", KEYS, budget=budget).budget_full:
             pass

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import quality
+from quayside.operators import cdc, quality
 from quayside.streaming import runs, state_table, table_job
 
 SCHEMA = "snapshot string, k int, amount long, day date, change_seq string, change_oper string, change_ts timestamp_ntz"
@@ -95,3 +95,13 @@ def test_health_is_judged_by_two_measured_versions(spark, tmp_path):
     named = lambda batch: state_table.measure(spark, root, batch).withColumn("table_id", F.lit("t"))
     issues = quality.table_health(named(before), named(newest)).first().issues
     assert {"max_id_fell", "min_id_rose", "rows_fell"} <= set(issues.split(","))
+
+
+@pytest.mark.parametrize("size", [1, 7, 40, 99, 100, 5000])
+def test_end_of_a_large_batch_is_found_without_holding_it(spark, monkeypatch, size):
+    rows = [(None if k < 3 else f"{(k * 37) % 50:05d}", "IUDB"[k % 4]) for k in range(133)]
+    log = spark.createDataFrame(rows, "change_seq string, change_oper string").repartition(5)
+    want = cdc.batch_ceiling(log, "00004", size).first()
+    monkeypatch.setattr(cdc, "SORTED_BATCH", 0)
+    found = cdc.batch_ceiling(log, "00004", size)
+    assert found.first() == want and "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()

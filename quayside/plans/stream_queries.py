@@ -12,22 +12,31 @@ from quayside.plans.adapters import load, with_adapters
 from quayside.plans.cdc_queries import FOLD as CDC_FOLD_SQL
 from quayside.plans.cdc_queries import KEYS
 from quayside.plans.cdc_queries import SQL as CDC_SQL
+from quayside.sources.files import list_uris
 from quayside.streaming import runs, state_table, table_job
 from quayside.streaming.cdc_stream import apply_stream, read_current, start_table
 
 FILES, FILES_PER_BATCH = 6, 2
 
 
+def land(log, landed: str, low: int, high: int) -> None:
+    """Records of some sequences land as one file of the feed, which all tasks that have any write
+    a part of."""
+    log.filter(F.col("change_seq").cast("long").between(low, high)).write.mode("append").parquet(landed)
+
+
 def cdc_stream_apply(spark, d):
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
-    log = load(spark, d, "cdc_log")
+    landed, log, done = f"{root}/landed", load(spark, d, "cdc_log"), 0
     low, high = log.agg(F.min(F.col("change_seq").cast("long")), F.max(F.col("change_seq").cast("long"))).first()
     step = (high - low) // FILES + 1
-    for k in range(FILES):  # in the order of their sequence, as a feed lands them
-        part = F.col("change_seq").cast("long").between(low + k * step, low + (k + 1) * step - 1)
-        log.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landed")
     start_table(load(spark, d, "silver_initial"), root)
-    apply_stream(spark, f"{root}/landed", log.schema, root, KEYS, files_per_batch=FILES_PER_BATCH)
+    for k in range(FILES):  # in the order of their sequence, as a feed lands them
+        land(log, landed, low + k * step, low + (k + 1) * step - 1)
+        if (k + 1) % FILES_PER_BATCH == 0 or k + 1 == FILES:  # parts of a file are of one batch
+            n = len(list_uris(spark, landed))
+            apply_stream(spark, landed, log.schema, root, KEYS, files_per_batch=max(1, n - done))
+            done = n
     return read_current(spark, root)
 
 

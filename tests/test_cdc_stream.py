@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.plans import stream_queries
 from quayside.sources.files import list_files
 from quayside.streaming import cdc_stream, state_table
 
@@ -140,3 +141,9 @@ def test_repeats_change_nothing_and_old_folders_go(spark, tmp_path):
     assert held(spark, root)[10] == 3
     assert len({f.split("/data/")[1].split("/")[0] for f in list_files(spark, f"{root}/data")}) == cdc_stream.KEEP
     assert cdc_stream.read_current(spark, root).filter(F.col("part_month").isNull()).isEmpty()
+
+
+def test_a_landed_file_is_written_by_all_tasks_that_have_its_records(spark, tmp_path):
+    log = spark.range(100).repartition(4).selectExpr("lpad(cast(id as string), 20, '0') as change_seq")
+    stream_queries.land(log, str(tmp_path / "landed"), 20, 79)
+    assert len(list_files(spark, str(tmp_path / "landed"))) == 4 and spark.read.parquet(str(tmp_path / "landed")).count() == 60

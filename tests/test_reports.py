@@ -1,7 +1,7 @@
 """Reports on small tables made by hand."""
 
 from quayside.plans.fares import fare
-from quayside.reports import orders, revenue, settlement
+from quayside.reports import naming, orders, revenue, settlement
 
 
 def test_adjustment_sales_count_as_trip_revenue(spark, sf):
@@ -74,3 +74,12 @@ def test_facts_are_cut_to_what_a_report_shows_before_they_are_joined(spark):
     assert ids(revenue.in_addendum(rows.drop("operating_day_key"), schedule)) == [1, 2, 5]
     assert ids(revenue.in_computation(rows.drop("settlement_day_key"), schedule)) == [1, 3, 4]
     assert ids(revenue.in_addendum(rows.drop("settlement_day_key"), schedule)) == [1, 2, 3, 4, 5]
+
+
+def test_names_of_several_keys_are_looked_up_by_moving_the_rows_once(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (None, 2, "c"), (3, None, "d"), (None, None, "e")], "x int, y int, v string")
+    xs, ys = spark.createDataFrame([(1, "x1"), (1, "again"), (3, "x3")], "x int, xn string"), spark.createDataFrame([(1, "y1"), (2, "y2")], "y int, yn string")
+    names = lambda keys: naming.attach(naming.attach(keys, xs, {"x": "x"}, ["xn"]), ys, {"y": "y"}, ["yn"])
+    found = naming.lookup(rows, names, ["x", "y"])
+    assert found.columns == ["x", "y", "v", "xn", "yn"]
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, names(rows).collect())) and found.count() == 7

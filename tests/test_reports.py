@@ -83,3 +83,15 @@ def test_names_of_several_keys_are_looked_up_by_moving_the_rows_once(spark):
     found = naming.lookup(rows, names, ["x", "y"])
     assert found.columns == ["x", "y", "v", "xn", "yn"]
     assert sorted(map(repr, found.collect())) == sorted(map(repr, names(rows).collect())) and found.count() == 7
+
+
+def test_order_lines_move_once_to_meet_products_and_cards(spark, sf):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = orders.order_detail(lambda name: fare(spark, sf, name))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    # the lookups by keys of lines are over their distinct keys
+    assert "Aggregate [l_fare_prod_key" in plan

@@ -95,3 +95,44 @@ def test_order_lines_move_once_to_meet_products_and_cards(spark, sf):
         spark.conf.set(setting, before)
     # the lookups by keys of lines are over their distinct keys
     assert "Aggregate [l_fare_prod_key" in plan
+
+
+def test_uses_of_a_trip_are_dealt_once_and_meet_the_sales_of_its_payments(spark, sf):
+    use = {
+        "patron_trip_id": "long", "source": "string", "trip_price_count": "int", "dw_transaction_id": "long", "transaction_dtm": "string", "device_id": "long", "transit_account_id": "long",
+        "transfer_sequence_nbr": "int", "operator_key": "long", "card_key": "long", "media_type_key": "long", "ride_type_key": "int", "txn_status_key": "int", "fare_due": "long", "value_changed": "long",
+        "bankcard_payment_value": "long", "retrieval_ref_nbr": "string", "token_id": "string", "operating_day_key": "int", "settlement_day_key": "int", "posting_day_key": "int", "uncollectible_amount": "long",
+    }
+    fixed = {"transaction_dtm": "2024-01-05", "retrieval_ref_nbr": "r", "token_id": "t", "operating_day_key": 20240105, "settlement_day_key": 20240106, "posting_day_key": 20240106, "ride_type_key": 1, "media_type_key": 1}
+
+    def taps(*keys):
+        rows = [dict.fromkeys(use, 1) | fixed | dict(zip(("dw_transaction_id", "patron_trip_id", "source", "trip_price_count"), k, strict=True)) for k in keys]
+        return [tuple(r[c] for c in use) for r in rows]
+
+    made = {
+        "use_txn": (taps((1, 7, "A", 1), (2, 7, "A", 2), (3, 7, "B", 1), (4, 7, None, 1), (5, None, "A", 1), (6, 8, "A", 1), (7, 9, "A", 1)), ", ".join(f"{c} {x}" for c, x in use.items())),
+        "patron_trip": ([(7, "A", "rule"), (7, "A", "again"), (7, "B", "b"), (8, "A", "other"), (None, "A", "no trip"), (7, None, "no source")], "patron_trip_id long, source string, fare_rule_description string"),
+        "trip_payment": (
+            [
+                (7, 1, 10, 20, 100, 3, 5, 0, 0, "p", "A"), (7, 1, 10, None, 1000, 3, 5, 0, 0, "p", "A"),  # two payments of one sale
+                (7, 2, None, None, 40, 3, 5, 0, 0, "p", "A"), (7, 1, 11, 20, 50, 3, 5, 0, 0, "p", "B"), (8, 1, 99, 99, 60, 3, 5, 0, 0, "p", "A"), (7, 1, 10, 20, 7, 3, 5, 0, 0, "p", None),
+            ],
+            "patron_trip_id long, trip_price_count int, purse_load_id long, bankcard_payment_id long, bankcard_value long, stored_value long, uncollectible_amount long, is_reversal int, je_is_fare_adjustment int, transaction_dtm string, source string",
+        ),
+        "sale_txn": (
+            [(10, None, 26, 0, "l"), (10, None, 26, 0, "l"), (None, 20, 20, 1, "s1"), (None, 20, 20, 3, "s2"), (None, 20, 20, 4, "kind"), (11, None, 20, 1, "x"), (None, None, 26, 1, "n")],
+            "purse_load_id long, bankcard_payment_id long, sale_type_key int, bankcard_payment_type_key int, retrieval_ref_nbr string",
+        ),
+    }
+    t = lambda name: spark.createDataFrame(*made[name]) if name in made else fare(spark, sf, name)
+    rows = revenue.tap_revenue(t)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1].split(", 4)")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # uses, trips, payments and both kinds of sales by trip; no sum and no join deals by more keys
+    assert sum("patron_trip_id" in keys for keys in dealt) == 5 and not any("," in keys for keys in dealt)
+    got = sorted((r.dw_transaction_id, r.fare_rule_description, r.retrieval_ref_nbr or "", r.fare_revenue) for r in rows.collect())
+    # 2 late sales: (100 + 5 + 3) and (1000 + 5 + 3) twice each; no late sale: 40 + 5, 50 + 5 and 60 + 5
+    first = [(1, rule, ref, n) for rule in ("again", "rule") for ref, n in (("", -2016), ("s1", -216), ("s2", -216))]
+    assert got == [*first, (2, "again", "", -45), (2, "rule", "", -45), (3, "b", "s1", -55), (3, "b", "s2", -55), (6, "other", "", -65)]
+    few = revenue.tap_revenue(t, few=True)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, rows.collect()))

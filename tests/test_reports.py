@@ -1,5 +1,6 @@
 """Reports on small tables made by hand."""
 
+from quayside.plans import fares
 from quayside.plans.fares import fare
 from quayside.reports import naming, orders, revenue, settlement
 
@@ -136,3 +137,29 @@ def test_uses_of_a_trip_are_dealt_once_and_meet_the_sales_of_its_payments(spark,
     assert got == [*first, (2, "again", "", -45), (2, "rule", "", -45), (3, "b", "s1", -55), (3, "b", "s2", -55), (6, "other", "", -65)]
     few = revenue.tap_revenue(t, few=True)
     assert sorted(map(repr, few.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_payments_of_other_sources_leave_before_they_are_joined(spark, sf, monkeypatch):
+    monkeypatch.setattr(fares, "_MADE", {})
+    tables = sorted(f for name in ("lineitem", "orders") for f in spark.read.parquet(f"{sf}/{name}.parquet").inputFiles())
+    assert sorted(fare(spark, sf, "payment_summary").inputFiles()) == tables  # no base is written for a fact read once
+    plan = revenue.component_d(lambda name: fare(spark, sf, name))._jdf.queryExecution().optimizedPlan().toString()
+    assert any("array_contains" in line and "l_orderkey" in line for line in plan.splitlines())
+    base = fare(spark, sf, "fare_base").inputFiles()
+    assert fare(spark, sf, "payment_summary").inputFiles() == base
+    keys = "txn_source string, sales_channel_key long, payment_type_key int"
+    made = {
+        "payment_summary": ([("R", 1, 1, 5, 100), ("R", 1, 1, 5, 20), ("R", 1, 2, 5, 3), ("S", 1, 1, 6, 40), (None, 1, 1, 5, 7), ("X", 1, 1, 5, 9)], keys + ", reason_key long, payment_value long"),
+        "txn_channel_map": ([("R", 1, 1, "Direct Refunds Applied"), ("S", 1, 1, "Direct Refunds Applied"), ("X", 1, 1, "Product Sales"), (None, 1, 1, "Direct Refunds Applied")], keys + ", txn_group string"),
+        "reasons": ([(5, "five")], "reason_key long, reason_name string"),
+    }
+
+    def t(name, drop=""):
+        df = spark.createDataFrame(*made[name])
+        if name == "payment_summary":
+            return df.selectExpr("*", "1 as settlement_day_key", "2 as operating_day_key")
+        return df.selectExpr("*", "'c' as txn_channel_display", "'s' as sales_channel_display").filter(f"txn_group <> '{drop}'") if name == "txn_channel_map" else df
+
+    got = sorted((r.reason_name or "", r.refund_value) for r in revenue.component_d(t).collect())
+    assert got == [("", 0.4), ("five", 1.2)]
+    assert revenue.component_d(lambda name: t(name, "Direct Refunds Applied")).collect() == []

@@ -1,5 +1,7 @@
 """Reports on small tables made by hand."""
 
+from pyspark.sql import functions as F
+
 from quayside.plans import fares
 from quayside.plans.fares import fare
 from quayside.reports import naming, orders, revenue, settlement
@@ -163,3 +165,28 @@ def test_payments_of_other_sources_leave_before_they_are_joined(spark, sf, monke
     got = sorted((r.reason_name or "", r.refund_value) for r in revenue.component_d(t).collect())
     assert got == [("", 0.4), ("five", 1.2)]
     assert revenue.component_d(lambda name: t(name, "Direct Refunds Applied")).collect() == []
+
+
+def test_uses_and_payments_of_a_trip_meet_where_they_are_written(spark, sf, monkeypatch):
+    monkeypatch.setattr(fares, "_MADE", {})
+    base = fare(spark, sf, "fare_base")
+    buckets = spark.sparkContext.defaultParallelism
+    assert len(base.inputFiles()) <= buckets  # a bucket is one task's, however many write
+    assert base.select("order_id", F.input_file_name()).distinct().count() == base.select("order_id").distinct().count()
+    assert base.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert "Repartition" not in spark.table("lineitem")._jdf.queryExecution().optimizedPlan().toString()
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        rows = revenue.tap_revenue(lambda name: F.broadcast(fare(spark, sf, name)) if name == "media_types" else fare(spark, sf, name))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(repr, rows.collect()))
+    finally:
+        spark.conf.set(setting, before)
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # only trips and both kinds of sales go to the buckets; uses and payments stay in theirs
+    assert sum("patron_trip_id" in keys for keys in dealt) == 3
+    plain = {"use_txn", "trip_payment"}
+    moved = revenue.tap_revenue(lambda name: fare(spark, sf, name).repartition(3) if name in plain else fare(spark, sf, name))
+    assert got == sorted(map(repr, moved.collect())) and got

@@ -15,7 +15,7 @@ from quayside.functions.scratch import saved
 from quayside.operators.carry import running
 from quayside.sources.feeds import materialize_report
 from quayside.sources.files import child_dirs, delete, exists, list_files, list_uris, rename, total_bytes
-from quayside.sources.footers import column_extremes, rewrite_without
+from quayside.sources.footers import column_extremes, footer_statistics, rewrite_without
 
 
 def column_min_max(df: DataFrame, column: str, condition: str | None = None) -> DataFrame:

@@ -152,3 +152,11 @@ def test_a_partition_is_written_by_one_task_without_a_sort(spark, tmp_path):
         rows.write.partitionBy("part").parquet(f"{tmp_path}/t")
     assert spark.conf.get(setting) == before
     assert len(list_uris(spark, f"{tmp_path}/t")) == 7 and spark.read.parquet(f"{tmp_path}/t").count() == 1000
+
+
+def test_size_of_a_dataset_is_told_by_its_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id", "id % 2 as part").repartition("part").write.partitionBy("part").parquet(path)
+    n_bytes = sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
+    size = layout.size_profile(spark, path).first()
+    assert (size.n_rows, size.n_files, size.n_bytes, size.rows_per_mb) == (5000, 2, n_bytes, max(1000, 5000 * 1048576 // n_bytes))

@@ -190,3 +190,41 @@ def test_uses_and_payments_of_a_trip_meet_where_they_are_written(spark, sf, monk
     plain = {"use_txn", "trip_payment"}
     moved = revenue.tap_revenue(lambda name: fare(spark, sf, name).repartition(3) if name in plain else fare(spark, sf, name))
     assert got == sorted(map(repr, moved.collect())) and got
+
+
+def _met_in_place(spark, monkeypatch, large, report, sf):
+    """The keys by which a report over large tables deals rows, its rows, and its rows over tables that lie otherwise."""
+    monkeypatch.setattr(fares, "_MADE", {})
+    fare(spark, sf, "fare_base")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    t = lambda name: fare(spark, sf, name) if name in large else F.broadcast(fare(spark, sf, name))
+    spark.conf.set(setting, "-1")
+    try:
+        rows = report(t)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(repr, rows.collect()))
+    finally:
+        spark.conf.set(setting, before)
+    dealt = [line.split("hashpartitioning(")[1].rsplit("), ", 1)[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    return dealt, got, sorted(map(repr, report(lambda name: fare(spark, sf, name).repartition(3)).collect()))
+
+
+def test_orders_lines_and_payments_meet_where_they_lie(spark, sf, monkeypatch):
+    large = {"patron_order", "order_line_item", "order_payment", "products", "cards", "transit_accounts"}
+    for report in (orders.order_lines, orders.adjustments):
+        dealt, got, moved = _met_in_place(spark, monkeypatch, large, report, sf)
+        # orders come by their key in their table's few columns, and what was found for lines; no line and no payment is moved
+        assert sum("o_orderkey" in keys for keys in dealt) == 1 and sum("l_dw_patron_order_id" in keys for keys in dealt) == 1
+        assert not any("line_item_id" in keys or "p_" in keys.replace("fare_p", "") for keys in dealt)
+        assert got == moved and got
+
+
+def test_keys_of_a_group_are_looked_up_and_rows_without_one_too(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, None, "c"), (2, 1, "d"), (2, 9, "e"), (None, 1, "f"), (None, None, "g")], "g int, x int, v string")
+    xs = spark.createDataFrame([(1, "x1"), (1, "again"), (3, "x3")], "x int, xn string")
+    names = lambda keys: naming.attach(keys, xs, {"x": "x"}, ["xn"])
+    want = sorted(map(repr, names(rows).collect()))
+    assert sorted(map(repr, naming.lookup_all(rows, names, ["x"], "g").collect())) == want
+    within = naming.lookup_within(rows, names, ["x"], "g")
+    assert sorted(map(repr, within.collect())) == [r for r in want if "g=None" not in r] and within.columns == ["g", "x", "v", "xn"]

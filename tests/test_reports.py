@@ -228,3 +228,9 @@ def test_keys_of_a_group_are_looked_up_and_rows_without_one_too(spark):
     assert sorted(map(repr, naming.lookup_all(rows, names, ["x"], "g").collect())) == want
     within = naming.lookup_within(rows, names, ["x"], "g")
     assert sorted(map(repr, within.collect())) == [r for r in want if "g=None" not in r] and within.columns == ["g", "x", "v", "xn"]
+
+
+def test_only_lines_that_a_report_shows_are_looked_up(spark, sf):
+    plan = orders.adjustments(lambda name: fare(spark, sf, name))._jdf.queryExecution().optimizedPlan().toString()
+    # where lines are read for the report, and where for their keys
+    assert sum("Filter" in line and "Adjustment" in line for line in plan.splitlines()) >= 2

@@ -234,3 +234,35 @@ def test_only_lines_that_a_report_shows_are_looked_up(spark, sf):
     plan = orders.adjustments(lambda name: fare(spark, sf, name))._jdf.queryExecution().optimizedPlan().toString()
     # where lines are read for the report, and where for their keys
     assert sum("Filter" in line and "Adjustment" in line for line in plan.splitlines()) >= 2
+
+
+def test_distinct_uses_stay_where_they_lie(spark, sf, monkeypatch):
+    dealt, got, moved = _met_in_place(spark, monkeypatch, {"unsettled", "products"}, settlement.unsettled_uses, sf)
+    # what was found for the orders' keys comes to the orders; no use is moved
+    assert sum("order_nbr" in keys for keys in dealt) == 1 and not any("retrieval_ref_nbr" in keys for keys in dealt)
+    assert got == moved and got
+
+
+def test_rows_that_share_a_hash_are_compared_in_full(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, None, 7), (1, 0, 7), (1, 0, 8), (2, 0, 7), (3, 5, 9), (None, None, None), (None, None, None)], "a int, b int, k int")
+    sides = spark.createDataFrame([(7, "x"), (7, "y"), (8, "x"), (9, "x")], "k int, name string")
+    names = lambda rows: naming.attach(rows, sides, {"k": "k"}, ["name"])
+    want = sorted(map(repr, names(rows).selectExpr("coalesce(b, 0) as b", "a", "name").distinct().collect()))
+    for most in (naming.MOST_SHARED, 0):
+        monkeypatch.setattr(naming, "MOST_SHARED", most)
+        found = naming.distinct_rows(rows, [naming.zero("b").alias("b"), "a"], names, ["name"])
+        assert sorted(map(repr, found.collect())) == want and len(want) == 6
+    alone = naming.distinct_rows(rows.filter("a > 1"), ["a"], names, ["name"])
+    assert sorted(tuple(r) for r in alone.collect()) == [(2, "x"), (2, "y"), (3, "x")]
+
+
+def test_uses_are_distinct_whatever_their_names(spark, sf):
+    use = fare(spark, sf, "unsettled").limit(1).drop("fare_prod_key", "order_nbr", "benefit_value")
+    keys = spark.createDataFrame([(1, 5, None), (2, 5, 0), (None, 6, 0), (3, 8, 0), (4, None, 0), (5, 5, 300)], "order_nbr long, fare_prod_key long, benefit_value long")
+    made = {
+        "unsettled": use.crossJoin(keys),
+        # two keys of one name, and a key twice under it
+        "products": spark.createDataFrame([(5, "p"), (5, "p"), (6, "p"), (8, "q"), (8, "r")], "fare_prod_key long, fare_prod_name string"),
+    }
+    rows = settlement.unsettled_uses(lambda name: made[name] if name in made else fare(spark, sf, name))
+    assert sorted((r.fare_prod_name or "", r.benefit_value) for r in rows.collect()) == [("", 0.0), ("p", 0.0), ("p", 3.0), ("q", 0.0), ("r", 0.0)]

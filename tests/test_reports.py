@@ -266,3 +266,10 @@ def test_uses_are_distinct_whatever_their_names(spark, sf):
     }
     rows = settlement.unsettled_uses(lambda name: made[name] if name in made else fare(spark, sf, name))
     assert sorted((r.fare_prod_name or "", r.benefit_value) for r in rows.collect()) == [("", 0.0), ("p", 0.0), ("p", 3.0), ("q", 0.0), ("r", 0.0)]
+
+
+def test_clearing_transactions_stay_where_they_lie(spark, sf, monkeypatch):
+    dealt, got, moved = _met_in_place(spark, monkeypatch, {"clearing", "use_txn", "products"}, orders.clearing_house_passes, sf)
+    # what was found for the orders' keys comes to the orders, and keys alone go to uses and products
+    assert sum("order_nbr" in keys for keys in dealt) == 1 and not any("isnull" in keys for keys in dealt)
+    assert got == moved and got
